@@ -4,10 +4,11 @@ The reference builds its ledger by cross-joining every day with every key
 and left-joining the facts.  At scale that shuffles the dense product.  Here
 only sparse rows are shuffled (once, partitioned by the key); each sparse
 row then expands locally into itself plus the quiet days up to the next
-movement.  One *anchor* row per key, dated the day before the calendar
-starts, produces the leading quiet days and keys that never moved; keys
-without an anchor (orphans, unknown to the dimension) are dropped, as the
-reference's spine-driven join drops them.
+movement.  One *anchor* row per key, dated the day before the range starts,
+produces the leading quiet days and keys that never moved; keys without an
+anchor (orphans, unknown to the dimension) are dropped, as the reference's
+spine-driven join drops them.  Optional *history* rows (movements before the
+range) feed the running balance but emit nothing.
 
 A key's partition holds at most one row per calendar day plus its anchor,
 so a hot key cannot grow a task beyond the calendar's length.
@@ -20,33 +21,44 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+EVENT, ANCHOR, HISTORY = 0, 1, 2
+
 
 def densify(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
             lo: Column, hi: Column, anchors: DataFrame | None = None,
-            opening: tuple[str, Column] | None = None) -> DataFrame:
+            opening: tuple[str, Column] | None = None,
+            carry: Sequence[str] = (), history_from: Column | None = None) -> DataFrame:
     """Expand ``sparse`` (keys, full_date, values; one row per key-day) to
     every day in ``[lo, hi]``.
 
-    anchors  keys to emit in full; ``None`` emits only keys present in
-             ``sparse`` (from their first day in range on).
-    opening  ``(name, net)``: adds ``name`` = sum of ``net`` over all
-             earlier days (the running balance before the day).
+    lo, hi        range bounds; scalar columns, or expressions over ``carry``
+    anchors       keys (+ carry) to emit in full; ``None`` emits only keys
+                  present in ``sparse`` (from their first day in range on)
+    opening       ``(name, net)``: adds ``name`` = sum of ``net`` over all
+                  earlier days (the running balance before the day)
+    carry         extra columns present in ``sparse`` and ``anchors``,
+                  passed through to the output
+    history_from  movements in ``[history_from, lo)`` count towards
+                  ``opening`` but are not emitted (default: none)
     Quiet days carry 0 in every value column.
     """
-    keys, values = list(keys), list(values)
-    events = (sparse.filter((F.col("full_date") >= lo) & (F.col("full_date") <= hi))
-              .select(*keys, "full_date", *values, F.lit(0).alias("_anchor")))
-    rows = events
+    keys, values, carry = list(keys), list(values), list(carry)
+    d = F.col("full_date")
+    start = lo if history_from is None else history_from
+    kind = F.when(d >= lo, F.lit(EVENT)).otherwise(F.lit(HISTORY))
+    rows = (sparse.select(*keys, *carry, "full_date", *values)
+            .filter((d >= start) & (d <= hi))
+            .select("*", kind.alias("_kind")))
     if anchors is not None:
-        rows = events.unionByName(anchors.select(
-            *keys, F.date_sub(lo, 1).alias("full_date"),
+        rows = rows.unionByName(anchors.select(
+            *keys, *carry, F.date_sub(lo, 1).alias("full_date"),
             *[F.lit(0).cast("bigint").alias(v) for v in values],
-            F.lit(1).alias("_anchor")))
+            F.lit(ANCHOR).alias("_kind")))
 
-    w = Window.partitionBy(*keys).orderBy("full_date")
+    w = Window.partitionBy(*keys).orderBy("full_date", "_kind")
     extra = [F.lead("full_date").over(w).alias("_next")]
     if anchors is not None:
-        extra.append(F.max("_anchor").over(
+        extra.append(F.max((F.col("_kind") == ANCHOR).cast("int")).over(
             w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_known"))
     if opening is not None:
         name, net = opening
@@ -56,13 +68,13 @@ def densify(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
     if anchors is not None:
         rows = rows.filter(F.col("_known") == 1)
 
-    first = F.greatest(F.col("full_date"), lo)
-    last = F.coalesce(F.date_sub(F.col("_next"), 1), hi)
+    first = F.greatest(d, lo)
+    last = F.least(F.coalesce(F.date_sub(F.col("_next"), 1), hi), hi)
     rows = rows.select("*", F.explode(
         F.when(first <= last, F.sequence(first, last))).alias("_day"))
 
-    on_event = (F.col("_day") == F.col("full_date")) & (F.col("_anchor") == 0)
-    out = [*keys, F.col("_day").alias("full_date")]
+    on_event = (F.col("_day") == d) & (F.col("_kind") == EVENT)
+    out = [*keys, *carry, F.col("_day").alias("full_date")]
     out += [F.when(on_event, F.col(v)).otherwise(F.lit(0)).cast("bigint").alias(v)
             for v in values]
     if opening is not None:

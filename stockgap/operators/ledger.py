@@ -19,12 +19,9 @@ from ..functions.dates import date_key
 from ..sources.warehouse import Warehouse
 from .calendar import calendar_bounds
 from .densify import densify
+from .keys import attach_all
 
 PAIR = ("distributor_id", "sku_id")
-# A product dimension up to this size is inlined into the plan as one array
-# (a scalar subquery); above it the pairs come from a bucketed equi-join.
-MAX_INLINE_SKUS = 100_000
-PAIR_BUCKETS = 64
 
 
 def daily_movements(wh: Warehouse) -> DataFrame:
@@ -59,21 +56,9 @@ def daily_secondary_units(wh: Warehouse) -> DataFrame:
 
 
 def pair_keys(wh: Warehouse) -> DataFrame:
-    """Every (distributor, sku) pair of the dimensions (the spine's keys).
-
-    The product dimension is small by nature; its size is checked and, below
-    the bound, it is inlined as one array and exploded per distributor: no
-    join, no shuffle.  Above the bound an exact bucketed equi-join is used.
-    """
+    """Every (distributor, sku) pair of the dimensions (the spine's keys)."""
     skus = wh.products.select("sku_id").distinct()
-    dists = wh.distributors.select("distributor_id")
-    if skus.count() <= MAX_INLINE_SKUS:
-        arr = skus.agg(F.sort_array(F.collect_list("sku_id"))).scalar()
-        return dists.select("distributor_id", F.explode(arr).alias("sku_id"))
-    bucketed = skus.withColumn("_b", F.pmod(F.hash("sku_id"), F.lit(PAIR_BUCKETS)))
-    fanned = dists.select("distributor_id",
-                          F.explode(F.sequence(F.lit(0), F.lit(PAIR_BUCKETS - 1))).alias("_b"))
-    return fanned.join(bucketed, "_b").select("distributor_id", "sku_id")
+    return attach_all(wh.distributors.select("distributor_id"), skus, ["sku_id"])
 
 
 def spine(wh: Warehouse) -> DataFrame:

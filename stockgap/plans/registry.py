@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import params as P
 from ..operators import calendar as cal_ops
+from ..operators import leakage as lk
 from ..operators import ledger as led
 from ..operators import stuffing as stf
 from ..sources.bindings import bind_driver_tables
@@ -48,4 +49,13 @@ QUERIES: dict[str, Query] = {
     "trailing_28d": _on_wh(lambda wh: stf.trailing_28d(wh, D.stuffing)),
     "stuffing": _on_wh(lambda wh: stf.channel_stuffing(wh, D.stuffing)),
     "stuffing_counts": _on_wh(lambda wh: stf.stuffing_counts(wh, D.stuffing)),
+    "promo_calendar": _on_wh(lambda wh: lk.promo_calendar(wh, D.leakage)),
+    "promo_window_rows": _on_wh(lambda wh: lk.promo_window_rows(wh, D.leakage)),
+    "promo_windows": _on_wh(lambda wh: lk.promo_windows(wh, D.leakage)),
+    "stock_at_promo_end": _on_wh(lambda wh: lk.stock_at_promo_end(wh, D.leakage)),
+    "leakage": _on_wh(lambda wh: lk.promotion_leakage(wh, D.leakage)),
+    "leaked_pairs": _on_wh(lambda wh: lk.leaked_pairs(wh, D.leakage)),
+    "leak_counts": _on_wh(lambda wh: lk.leak_counts(wh, D.leakage)),
+    "prev_day_units": _on_wh(lambda wh: lk.prev_day_units(wh, D.leakage)),
+    "dump_day": _on_wh(lambda wh: lk.dump_day(wh, D.leakage)),
 }
