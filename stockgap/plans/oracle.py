@@ -302,3 +302,31 @@ ORACLE.update({
         " WHERE prev_day_units = 0 AND secondary_units > 0 AND full_date > promo_end"
         " ORDER BY distributor_id, sku_id, full_date"),
 })
+
+_TOP = ("SELECT distributor_id, distributor_name, region, stuffing_flags, promo_leak_flags,"
+        " route_dump_events, stuffing_pts, promo_pts, route_pts, risk_score, risk_tier"
+        " FROM risk ORDER BY risk_score DESC, distributor_id LIMIT {n}")
+
+ORACLE.update({
+    "drop_stats": _q(
+        "SELECT distributor_id, n AS total_drops,"
+        f" {_round1('s1', 'n')} AS avg_drop_units,"
+        " CAST(floor(std * 10.0 + 0.5) AS DOUBLE) / 10.0 AS std_drop_units,"
+        " mx AS max_drop_units FROM route_std"),
+    "drop_zscore": _q("SELECT distributor_id, max_drop_z_score FROM route"),
+    "bulk_drops": _q("SELECT distributor_id, bulk_dumps FROM route_stats"),
+    "bulk_stores": _q(
+        "SELECT distributor_id, COUNT(DISTINCT kirana_id) AS kiranas_hit_by_dumps"
+        " FROM drops WHERE qty_units >= 45 GROUP BY distributor_id"),
+    "bulk_volume_share": _q(
+        f"SELECT distributor_id, {_round1('100 * bulk_s', 's1')} AS bulk_volume_pct"
+        " FROM route_stats"),
+    "route": _q("SELECT * FROM route"),
+    "risk_score": _q("SELECT * FROM risk"),
+    "risk_top10": _q(_TOP.format(n=10)),
+    "risk_top8": _q(_TOP.format(n=8)),
+    "risk_kpis": _q(
+        "SELECT COUNT(*) AS distributors, COUNT(*) FILTER (WHERE risk_tier = 'HIGH') AS high_risk,"
+        " CAST(COALESCE(SUM(stuffing_flags), 0) AS BIGINT) AS stuffing,"
+        " CAST(COALESCE(SUM(route_dump_events), 0) AS BIGINT) AS dumps FROM risk"),
+})

@@ -14,6 +14,8 @@ from .. import params as P
 from ..operators import calendar as cal_ops
 from ..operators import leakage as lk
 from ..operators import ledger as led
+from ..operators import risk as rk
+from ..operators import route as rt
 from ..operators import stuffing as stf
 from ..sources.bindings import bind_driver_tables
 
@@ -58,4 +60,14 @@ QUERIES: dict[str, Query] = {
     "leak_counts": _on_wh(lambda wh: lk.leak_counts(wh, D.leakage)),
     "prev_day_units": _on_wh(lambda wh: lk.prev_day_units(wh, D.leakage)),
     "dump_day": _on_wh(lambda wh: lk.dump_day(wh, D.leakage)),
+    "drop_stats": _on_wh(lambda wh: rt.drop_stats(wh, D.route)),
+    "drop_zscore": _on_wh(lambda wh: rt.drop_zscore(wh, D.route)),
+    "bulk_drops": _on_wh(lambda wh: rt.bulk_drops(wh, D.route)),
+    "bulk_stores": _on_wh(lambda wh: rt.bulk_stores(wh, D.route)),
+    "bulk_volume_share": _on_wh(lambda wh: rt.bulk_volume_share(wh, D.route)),
+    "route": _on_wh(lambda wh: rt.route_falsification(wh, D.route)),
+    "risk_score": _on_wh(lambda wh: rk.risk_score(wh, D)),
+    "risk_top10": _on_wh(lambda wh: rk.risk_top(rk.risk_score(wh, D), 10)),
+    "risk_top8": _on_wh(lambda wh: rk.risk_top(rk.risk_score(wh, D), 8)),
+    "risk_kpis": _on_wh(lambda wh: rk.risk_kpis(rk.risk_score(wh, D))),
 }
