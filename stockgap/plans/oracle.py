@@ -330,3 +330,49 @@ ORACLE.update({
         " CAST(COALESCE(SUM(stuffing_flags), 0) AS BIGINT) AS stuffing,"
         " CAST(COALESCE(SUM(route_dump_events), 0) AS BIGINT) AS dumps FROM risk"),
 })
+
+_BUCKET = ("CASE WHEN qty_units <= 5 THEN '1-5' WHEN qty_units <= 10 THEN '6-10'"
+           " WHEN qty_units <= 15 THEN '11-15' WHEN qty_units <= 20 THEN '16-20'"
+           " WHEN qty_units <= 25 THEN '21-25' WHEN qty_units <= 30 THEN '26-30'"
+           " WHEN qty_units <= 40 THEN '31-40' ELSE '40+' END")
+_DUMPER = "(SELECT distributor_id FROM route_stats ORDER BY bulk_dumps DESC, distributor_id LIMIT 1)"
+_BUCKETS = (
+    "SELECT " + _BUCKET + " AS bucket,"
+    " CASE WHEN distributor_id = " + _DUMPER + " THEN CAST(" + _DUMPER + " AS VARCHAR)"
+    " || ' (falsifier)' ELSE 'All other distributors' END AS cohort,"
+    " COUNT(*) AS drop_count FROM drops GROUP BY 1, 2")
+
+ORACLE.update({
+    "distributor_series": _q(
+        "SELECT c.full_date, CAST(SUM(r.primary_units) AS BIGINT) AS primary_units"
+        " FROM ledger r JOIN dim_date c ON c.date_id = r.date_id"
+        " WHERE r.distributor_id = (SELECT d.distributor_id FROM dim_distributor d"
+        "   LEFT JOIN stuffing_counts st ON st.distributor_id = d.distributor_id"
+        "   ORDER BY st.spike_days DESC NULLS LAST, d.distributor_id LIMIT 1)"
+        " GROUP BY c.full_date ORDER BY c.full_date"),
+    "pair_series": _q(
+        "SELECT r.full_date, r.secondary_units FROM ledger r,"
+        " (SELECT lf.distributor_id, lf.sku_id, pr.promo_start, pr.promo_end FROM leak_flag lf"
+        "  JOIN dim_promotion pr ON pr.promotion_id = lf.promotion_id"
+        "  ORDER BY lf.is_leak DESC, lf.distributor_id, lf.promotion_id LIMIT 1) k"
+        " WHERE r.distributor_id = k.distributor_id AND r.sku_id = k.sku_id"
+        " AND r.full_date BETWEEN CAST(k.promo_start - INTERVAL 21 DAY AS DATE)"
+        " AND CAST(k.promo_end + INTERVAL 36 DAY AS DATE) ORDER BY r.full_date"),
+    "spike_overlay": _q(
+        "SELECT distributor_id, full_date, primary_units,"
+        " CASE WHEN trail_n > 0 THEN CAST(trail_p AS DOUBLE) / CAST(trail_n AS DOUBLE) END"
+        " AS trail_mean,"
+        " CASE WHEN trail_n > 0 THEN primary_units * trail_n >= 4 * trail_p"
+        " ELSE primary_units >= 0 END AS flagged FROM trail"),
+    "drop_size_buckets": _q(_BUCKETS),
+    "drop_size_pivot": _q(
+        "SELECT o.bucket, o.bucket_order,"
+        " CAST(COALESCE(SUM(b.drop_count) FILTER (WHERE b.cohort <> 'All other distributors'), 0)"
+        " AS BIGINT) AS falsifier_drops,"
+        " CAST(COALESCE(SUM(b.drop_count) FILTER (WHERE b.cohort = 'All other distributors'), 0)"
+        " AS BIGINT) AS other_drops"
+        " FROM (VALUES ('1-5', 0), ('6-10', 1), ('11-15', 2), ('16-20', 3), ('21-25', 4),"
+        " ('26-30', 5), ('31-40', 6), ('40+', 7)) AS o(bucket, bucket_order)"
+        " LEFT JOIN (" + _BUCKETS + ") b ON b.bucket = o.bucket"
+        " GROUP BY o.bucket, o.bucket_order ORDER BY o.bucket_order"),
+})

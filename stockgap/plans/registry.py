@@ -14,6 +14,7 @@ from .. import params as P
 from ..operators import calendar as cal_ops
 from ..operators import leakage as lk
 from ..operators import ledger as led
+from ..operators import reports as rp
 from ..operators import risk as rk
 from ..operators import route as rt
 from ..operators import stuffing as stf
@@ -70,4 +71,9 @@ QUERIES: dict[str, Query] = {
     "risk_top10": _on_wh(lambda wh: rk.risk_top(rk.risk_score(wh, D), 10)),
     "risk_top8": _on_wh(lambda wh: rk.risk_top(rk.risk_score(wh, D), 8)),
     "risk_kpis": _on_wh(lambda wh: rk.risk_kpis(rk.risk_score(wh, D))),
+    "distributor_series": _on_wh(lambda wh: rp.distributor_series(wh, D)),
+    "pair_series": _on_wh(lambda wh: rp.pair_series(wh, D)),
+    "spike_overlay": _on_wh(lambda wh: rp.spike_overlay(wh, D)),
+    "drop_size_buckets": _on_wh(lambda wh: rp.drop_size_buckets(wh, D)),
+    "drop_size_pivot": lambda spark, sf_dir: rp.drop_size_pivot(spark, _wh(spark, sf_dir), D),
 }
