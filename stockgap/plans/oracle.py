@@ -376,3 +376,81 @@ ORACLE.update({
         " LEFT JOIN (" + _BUCKETS + ") b ON b.bucket = o.bucket"
         " GROUP BY o.bucket, o.bucket_order ORDER BY o.bucket_order"),
 })
+
+
+def _dup(table: str, keys: str, name: str) -> str:
+    return (f"SELECT '{name}' AS check_name, COUNT(*) AS duplicate_keys,"
+            f" CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS excess_rows"
+            f" FROM (SELECT {keys}, COUNT(*) AS n FROM {table} GROUP BY {keys} HAVING COUNT(*) > 1) x")
+
+
+def _nulls(table: str, cols: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name,"
+        f" COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count FROM {table}" for c in cols)
+
+
+def _orphan(child: str, fk: str, parent: str, pk: str, name: str) -> str:
+    return (f"SELECT '{name}' AS check_name, COUNT(*) AS orphan_keys,"
+            f" CAST(COALESCE(SUM(n), 0) AS BIGINT) AS orphan_rows FROM"
+            f" (SELECT {fk} AS k, COUNT(*) AS n FROM {child} WHERE {fk} IS NOT NULL GROUP BY {fk}) c"
+            f" WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pk} = c.k)")
+
+
+def _check(table: str, ok: str, name: str) -> str:
+    return (f"SELECT '{name}' AS check_name, COUNT(*) AS checked_rows,"
+            f" COUNT(*) FILTER (WHERE NOT COALESCE({ok}, TRUE)) AS violations FROM {table}")
+
+
+ORACLE.update({
+    "dq_duplicate_keys": _q(" UNION ALL ".join([
+        _dup("lineitem", "l_orderkey, l_linenumber", "lineitem(l_orderkey, l_linenumber)"),
+        _dup("orders", "o_orderkey", "orders(o_orderkey)"),
+        _dup("part", "p_partkey", "part(p_partkey)"),
+        _dup("supplier", "s_suppkey", "supplier(s_suppkey)"),
+        _dup("customer", "c_custkey", "customer(c_custkey)"),
+        _dup("nation", "n_nationkey", "nation(n_nationkey)"),
+        _dup("region", "r_regionkey", "region(r_regionkey)"),
+        _dup("dim_date", "date_id", "calendar(date_id)"),
+        _dup("dim_date", "full_date", "calendar(full_date)"),
+        _dup("dim_promotion", "promotion_id", "promotion(promotion_id)"),
+    ])),
+    "dq_null_counts": _q(" UNION ALL ".join([
+        _nulls("lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                            "l_linestatus", "l_shipdate"]),
+        _nulls("orders", ["o_orderkey", "o_custkey"]),
+        _nulls("part", ["p_partkey", "p_type", "p_size"]),
+        _nulls("supplier", ["s_suppkey", "s_name", "s_nationkey"]),
+        _nulls("customer", ["c_custkey", "c_name", "c_nationkey"]),
+        _nulls("nation", ["n_nationkey", "n_name", "n_regionkey"]),
+        _nulls("region", ["r_regionkey", "r_name"]),
+    ])),
+    "dq_orphans": _q(" UNION ALL ".join([
+        _orphan("lineitem", "l_orderkey", "orders", "o_orderkey", "lineitem.l_orderkey -> orders"),
+        _orphan("lineitem", "l_partkey", "part", "p_partkey", "lineitem.l_partkey -> part"),
+        _orphan("lineitem", "l_suppkey", "supplier", "s_suppkey", "lineitem.l_suppkey -> supplier"),
+        _orphan("orders", "o_custkey", "customer", "c_custkey", "orders.o_custkey -> customer"),
+        _orphan("supplier", "s_nationkey", "nation", "n_nationkey", "supplier.s_nationkey -> nation"),
+        _orphan("customer", "c_nationkey", "nation", "n_nationkey", "customer.c_nationkey -> nation"),
+        _orphan("nation", "n_regionkey", "region", "r_regionkey", "nation.n_regionkey -> region"),
+        _orphan("dim_promotion", "sku_id", "dim_product", "sku_id", "promotion.sku_id -> product"),
+    ])),
+    "dq_range": _q(" UNION ALL ".join([
+        _check("lineitem", "l_quantity >= 0", "lineitem.l_quantity >= 0"),
+        _check("lineitem", "l_quantity = floor(l_quantity)", "lineitem.l_quantity is whole"),
+        _check("part", "p_size > 0", "part.p_size > 0 (units per case)"),
+        _check("dim_promotion", "discount_pct BETWEEN 0 AND 100",
+               "promotion.discount_pct between 0 and 100"),
+    ])),
+    "dq_ledger_identity": _q(
+        "SELECT 'ledger closing = opening + primary - secondary' AS check_name,"
+        " COUNT(*) AS checked_rows,"
+        " COUNT(*) FILTER (WHERE closing_units <> opening_units + primary_units - secondary_units)"
+        " AS violations FROM ledger"
+        " UNION ALL SELECT 'ledger opening = previous closing', COUNT(*),"
+        " COUNT(*) FILTER (WHERE opening_units <> COALESCE(prev_closing, 0)) FROM"
+        " (SELECT opening_units, LAG(closing_units) OVER (PARTITION BY distributor_id, sku_id"
+        "  ORDER BY date_id) AS prev_closing FROM ledger) x"
+        " UNION ALL " + _check("dim_promotion", "promo_end >= promo_start",
+                               "promotion.promo_end >= promo_start")),
+})

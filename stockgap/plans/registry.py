@@ -14,6 +14,7 @@ from .. import params as P
 from ..operators import calendar as cal_ops
 from ..operators import leakage as lk
 from ..operators import ledger as led
+from ..operators import quality as dq
 from ..operators import reports as rp
 from ..operators import risk as rk
 from ..operators import route as rt
@@ -76,4 +77,9 @@ QUERIES: dict[str, Query] = {
     "spike_overlay": _on_wh(lambda wh: rp.spike_overlay(wh, D)),
     "drop_size_buckets": _on_wh(lambda wh: rp.drop_size_buckets(wh, D)),
     "drop_size_pivot": lambda spark, sf_dir: rp.drop_size_pivot(spark, _wh(spark, sf_dir), D),
+    "dq_duplicate_keys": _on_wh(dq.dq_duplicate_keys),
+    "dq_null_counts": _on_wh(dq.dq_null_counts),
+    "dq_orphans": _on_wh(dq.dq_orphans),
+    "dq_range": _on_wh(dq.dq_range),
+    "dq_ledger_identity": _on_wh(dq.dq_ledger_identity),
 }
