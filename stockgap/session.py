@@ -14,6 +14,7 @@ LOCAL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.shuffle.partitions": "8",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
