@@ -79,7 +79,7 @@ def promo_movements(wh: Warehouse) -> DataFrame:
 
 def promo_pairs(wh: Warehouse) -> DataFrame:
     """Every distributor with every valid promotion."""
-    return attach_all(wh.distributors.select("distributor_id"),
+    return attach_all(wh.dist_keys(),
                       valid_promotions(wh), PROMO_COLS)
 
 

@@ -58,7 +58,7 @@ def daily_secondary_units(wh: Warehouse) -> DataFrame:
 def pair_keys(wh: Warehouse) -> DataFrame:
     """Every (distributor, sku) pair of the dimensions (the spine's keys)."""
     skus = wh.products.select("sku_id").distinct()
-    return attach_all(wh.distributors.select("distributor_id"), skus, ["sku_id"])
+    return attach_all(wh.dist_keys(), skus, ["sku_id"])
 
 
 def spine(wh: Warehouse) -> DataFrame:
@@ -83,7 +83,7 @@ def stock_ledger_by_date(wh: Warehouse, scope: str = "full") -> DataFrame:
     dense = densify(daily_movements(wh), PAIR, ["primary_units", "secondary_units"],
                     lo, hi, anchors=anchors, opening=("opening_units", _net()))
     if scope == "active":
-        known = wh.distributors.select("distributor_id")
+        known = wh.dist_keys()
         dense = dense.join(known, "distributor_id", "left_semi")
     return dense.withColumn("closing_units",
                             F.col("opening_units") + _net())

@@ -24,7 +24,7 @@ from .stuffing import dist_day_dense, dist_day_sparse, stuffing_counts
 def top_stuffer(wh: Warehouse, p: Params = Params()) -> Column:
     """Distributor with the most stuffing flags (ties: lowest id); if none is
     flagged, the lowest id.  A scalar subquery."""
-    d = wh.distributors.select("distributor_id")
+    d = wh.dist_keys()
     ranked = (d.join(stuffing_counts(wh, p.stuffing), "distributor_id", "left")
               .orderBy(F.desc_nulls_last("spike_days"), "distributor_id").limit(1))
     return ranked.select("distributor_id").scalar()
@@ -36,7 +36,7 @@ def distributor_series(wh: Warehouse, p: Params = Params(),
     pick = F.lit(distributor_id) if distributor_id is not None else top_stuffer(wh, p)
     lo, hi = calendar_bounds(wh.calendar)
     mine = dist_day_sparse(wh).filter(F.col("distributor_id") == pick)
-    one = wh.distributors.select("distributor_id").filter(F.col("distributor_id") == pick)
+    one = wh.dist_keys().filter(F.col("distributor_id") == pick)
     dense = densify(mine, ["distributor_id"], ["primary_units"], lo, hi, anchors=one)
     return dense.select("full_date", "primary_units").orderBy("full_date")
 
@@ -62,7 +62,7 @@ def pair_series(wh: Warehouse, p: Params = Params()) -> DataFrame:
     mv = promo_movements(wh).filter(
         (F.col("promotion_id") == pick["promotion_id"])
         & (F.col("distributor_id") == pick["distributor_id"]))
-    anchor = wh.distributors.select("distributor_id").filter(
+    anchor = wh.dist_keys().filter(
         F.col("distributor_id") == pick["distributor_id"]).select(
         pick["promotion_id"].alias("promotion_id"), "distributor_id",
         pick["sku_id"].alias("sku_id"))

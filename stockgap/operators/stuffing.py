@@ -25,7 +25,6 @@ from ..params import StuffingParams
 from ..sources.warehouse import Warehouse
 from .calendar import calendar_bounds
 from .densify import densify
-from .ledger import daily_movements
 
 VALUES = ["primary_units", "secondary_units"]
 
@@ -33,17 +32,18 @@ VALUES = ["primary_units", "secondary_units"]
 def dist_day_sparse(wh: Warehouse) -> DataFrame:
     """A3 on movement days only: (distributor, day) totals over all SKUs."""
     lo, hi = calendar_bounds(wh.calendar)
-    daily = daily_movements(wh).filter((F.col("full_date") >= lo) & (F.col("full_date") <= hi))
-    return (daily.groupBy("distributor_id", "full_date")
-            .agg(F.sum("primary_units").cast("bigint").alias("primary_units"),
-                 F.sum("secondary_units").cast("bigint").alias("secondary_units")))
+    m = wh.movements.filter((F.col("full_date") >= lo) & (F.col("full_date") <= hi))
+    return (m.groupBy("distributor_id", "full_date")
+            .agg(F.coalesce(F.sum("primary_units"), F.lit(0)).cast("bigint").alias("primary_units"),
+                 F.coalesce(F.sum("secondary_units"), F.lit(0)).cast("bigint")
+                 .alias("secondary_units")))
 
 
 def dist_day_dense(wh: Warehouse) -> DataFrame:
     """A3: one row per distributor per calendar day (zeros on quiet days)."""
     lo, hi = calendar_bounds(wh.calendar)
     return densify(dist_day_sparse(wh), ["distributor_id"], VALUES, lo, hi,
-                   anchors=wh.distributors.select("distributor_id"))
+                   anchors=wh.dist_keys())
 
 
 def dist_day(wh: Warehouse) -> DataFrame:
@@ -112,7 +112,9 @@ def stuffing_flags(wh: Warehouse, p: StuffingParams = StuffingParams(),
     flagged = (mean_ge(tp, n, p.min_trail)
                & value_ge_k_mean(F.col("primary_units"), tp, n, p.ratio))
     # the calendar is bounded by its day count: broadcasting it is safe
-    return t.join(F.broadcast(month_ends), "full_date", "left_semi").filter(flagged)
+    hits = t.join(F.broadcast(month_ends), "full_date", "left_semi").filter(flagged)
+    # keep distributors of the dimension only, as the dense spine does
+    return hits.join(wh.dist_keys(), "distributor_id", "left_semi")
 
 
 def channel_stuffing(wh: Warehouse, p: StuffingParams = StuffingParams(),

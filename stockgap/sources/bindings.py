@@ -84,4 +84,5 @@ def bind_driver_tables(spark: SparkSession, sf_dir: str,
                         "nation", "region")}
     return Warehouse(calendar=calendar, products=products, distributors=distributors,
                      promotions=promotions_frame(spark, promotions),
-                     movements=movements, drop_sizes=drop_sizes, drops=drops, raw=raw)
+                     movements=movements, drop_sizes=drop_sizes, drops=drops, raw=raw,
+                     distributor_ids=supplier.select(F.col("s_suppkey").alias("distributor_id")))

@@ -40,3 +40,11 @@ class Warehouse:
     drops: DataFrame
     # raw tables for the data-quality jobs, by name
     raw: dict[str, DataFrame] = field(default_factory=dict)
+    # distributor ids alone, when cheaper than projecting ``distributors``
+    # (which may carry joins for names and regions)
+    distributor_ids: DataFrame | None = None
+
+    def dist_keys(self) -> DataFrame:
+        if self.distributor_ids is not None:
+            return self.distributor_ids
+        return self.distributors.select("distributor_id")
