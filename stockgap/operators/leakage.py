@@ -32,9 +32,9 @@ from .ledger import daily_movements
 
 PROMO_COLS = ["promotion_id", "sku_id", "promo_start", "promo_end"]
 KEYS = ["promotion_id", "distributor_id", "sku_id"]
-# A promotion calendar up to this many SKUs is pushed into the fact scan
-# as a literal IN list.
-MAX_LITERAL_SKUS = 1_000
+# A promotion calendar up to this many rows is broadcast and its SKUs are
+# pushed into the fact scan as a literal IN list.
+MAX_SMALL_PROMOS = 10_000
 
 
 def valid_promotions(wh: Warehouse) -> DataFrame:
@@ -55,26 +55,31 @@ def promo_calendar(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFra
         .cast("bigint").alias("post_days"))
 
 
-def _promo_sku_filter(wh: Warehouse) -> Column | None:
-    """Literal SKU list of the promotions (small, checked), for scan pushdown."""
-    skus = valid_promotions(wh).select("sku_id").distinct()
-    rows = skus.limit(MAX_LITERAL_SKUS + 1).collect()
-    if len(rows) > MAX_LITERAL_SKUS:
-        return None
-    return F.col("sku_id").isin([r.sku_id for r in rows])
+def _promo_side(wh: Warehouse) -> tuple[DataFrame, Column | None]:
+    """The promotions to join, and a literal SKU filter for scan pushdown.
+
+    One bounded probe (at most ``MAX_SMALL_PROMOS + 1`` rows reach the
+    driver) proves the calendar small; then it is broadcast and its SKUs
+    become an ``IN`` list that reaches the product scan.  A larger calendar
+    is joined as is and Spark's runtime statistics pick the strategy.
+    """
+    promos = valid_promotions(wh).select(*PROMO_COLS)
+    probe = promos.select("sku_id").limit(MAX_SMALL_PROMOS + 1).collect()
+    if len(probe) > MAX_SMALL_PROMOS:
+        return promos, None
+    skus = sorted({r.sku_id for r in probe})
+    return F.broadcast(promos), F.col("sku_id").isin(skus)
 
 
 def promo_movements(wh: Warehouse) -> DataFrame:
     """Daily movements of promoted SKUs, tagged with each promotion of the SKU."""
     lo, hi = calendar_bounds(wh.calendar)
+    promos, sku_filter = _promo_side(wh)
     daily = daily_movements(wh)
-    hint = _promo_sku_filter(wh)
-    if hint is not None:
-        daily = daily.filter(hint)
+    if sku_filter is not None:
+        daily = daily.filter(sku_filter)
     daily = daily.filter((F.col("full_date") >= lo) & (F.col("full_date") <= hi))
-    promos = valid_promotions(wh).select(*PROMO_COLS)
-    # promotions are a campaign calendar (size-checked above): broadcast
-    return daily.join(F.broadcast(promos), "sku_id")
+    return daily.join(promos, "sku_id")
 
 
 def promo_pairs(wh: Warehouse) -> DataFrame:

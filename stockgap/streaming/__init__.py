@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming part: every job is a full, idempotent batch
+rebuild (truncate and insert), with no watermark, window, state or
+late-data rule to reproduce.  Incremental runs use the batch jobs with
+``sources.csv_io.write_table(..., partition_by=...)`` (dynamic partition
+overwrite), so no streaming operator is invented here.
+"""
