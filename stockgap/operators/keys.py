@@ -18,11 +18,13 @@ BUCKETS = 64
 
 
 def attach_all(large: DataFrame, small: DataFrame, cols: Sequence[str],
-               max_inline: int = MAX_INLINE_ROWS) -> DataFrame:
-    """``large`` x ``small[cols]`` (all combinations), small side checked."""
+               max_inline: int = MAX_INLINE_ROWS, size: int | None = None) -> DataFrame:
+    """``large`` x ``small[cols]`` (all combinations), small side checked.
+
+    ``size`` is the small side's row count when already known."""
     cols = list(cols)
     small = small.select(*cols)
-    if small.count() <= max_inline:
+    if (small.count() if size is None else size) <= max_inline:
         arr = small.agg(F.sort_array(F.collect_list(F.struct(*cols)))).scalar()
         return large.select("*", F.explode(arr).alias("_s")).select(
             *large.columns, *[F.col(f"_s.{c}").alias(c) for c in cols])

@@ -64,10 +64,12 @@ def _promo_side(wh: Warehouse) -> tuple[DataFrame, Column | None]:
     is joined as is and Spark's runtime statistics pick the strategy.
     """
     promos = valid_promotions(wh).select(*PROMO_COLS)
-    probe = promos.select("sku_id").limit(MAX_SMALL_PROMOS + 1).collect()
+    # probe the seed itself (a superset of the valid rows): no fact scan
+    probe = wh.once("promo_probe", lambda: wh.promotions.select("sku_id")
+                    .limit(MAX_SMALL_PROMOS + 1).collect())
     if len(probe) > MAX_SMALL_PROMOS:
         return promos, None
-    skus = sorted({r.sku_id for r in probe})
+    skus = sorted({r.sku_id for r in probe if r.sku_id is not None})
     return F.broadcast(promos), F.col("sku_id").isin(skus)
 
 
@@ -84,8 +86,9 @@ def promo_movements(wh: Warehouse) -> DataFrame:
 
 def promo_pairs(wh: Warehouse) -> DataFrame:
     """Every distributor with every valid promotion."""
-    return attach_all(wh.dist_keys(),
-                      valid_promotions(wh), PROMO_COLS)
+    promos = valid_promotions(wh)
+    return attach_all(wh.dist_keys(), promos, PROMO_COLS,
+                      size=wh.once("promo_count", promos.count))
 
 
 def promo_stats(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:

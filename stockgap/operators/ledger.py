@@ -58,7 +58,7 @@ def daily_secondary_units(wh: Warehouse) -> DataFrame:
 def pair_keys(wh: Warehouse) -> DataFrame:
     """Every (distributor, sku) pair of the dimensions (the spine's keys)."""
     skus = wh.products.select("sku_id").distinct()
-    return attach_all(wh.dist_keys(), skus, ["sku_id"])
+    return attach_all(wh.dist_keys(), skus, ["sku_id"], size=wh.once("sku_count", skus.count))
 
 
 def spine(wh: Warehouse) -> DataFrame:

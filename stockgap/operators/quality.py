@@ -125,14 +125,19 @@ def dq_ledger_identity(wh: Warehouse) -> DataFrame:
     closing_ok = (F.col("closing_units") == F.col("opening_units") + F.col("primary_units")
                   - F.col("secondary_units"))
     chained = F.coalesce(F.col("opening_units") == prev, F.col("opening_units") == 0)
+    # one pass over the ledger for both checks, then one row per check
     checked = led.select(closing_ok.alias("_c"), chained.alias("_o"))
+    counts = checked.agg(F.count(F.lit(1)).alias("n"),
+                         F.count_if(~F.col("_c")).alias("closing"),
+                         F.count_if(~F.col("_o")).alias("opening"))
+    both = counts.select(F.explode(F.array(
+        F.struct(F.lit("ledger closing = opening + primary - secondary").alias("check_name"),
+                 F.col("n").alias("checked_rows"), F.col("closing").alias("violations")),
+        F.struct(F.lit("ledger opening = previous closing").alias("check_name"),
+                 F.col("n").alias("checked_rows"), F.col("opening").alias("violations")))
+    ).alias("c")).select("c.*")
     return _union([
-        checked.agg(F.lit("ledger closing = opening + primary - secondary").alias("check_name"),
-                    F.count(F.lit(1)).alias("checked_rows"),
-                    F.count_if(~F.col("_c")).alias("violations")),
-        checked.agg(F.lit("ledger opening = previous closing").alias("check_name"),
-                    F.count(F.lit(1)).alias("checked_rows"),
-                    F.count_if(~F.col("_o")).alias("violations")),
+        both,
         violations(wh.promotions, F.col("promo_end") >= F.col("promo_start"),
                    "promotion.promo_end >= promo_start"),
     ])

@@ -78,7 +78,7 @@ def route_falsification(wh: Warehouse, p: RouteParams = RouteParams()) -> DataFr
     """The detector's report, most bulk drops first."""
     st = _with_stats(drop_moments(wh, p))
     stores = bulk_stores(wh, p)
-    names = wh.distributors.select("distributor_id", "distributor_name")
+    names = wh.dist_names()
     verdict = (F.when(F.col("bulk_dumps") >= p.repeat_dumps, F.lit(ROUTE_FALSIFIED))
                .when(F.col("bulk_dumps") > 0, F.lit(ROUTE_SUSPECT))
                .otherwise(F.lit(OK_VERDICT)))

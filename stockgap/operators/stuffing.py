@@ -54,7 +54,7 @@ def dist_day(wh: Warehouse) -> DataFrame:
 def dist_day_named(wh: Warehouse) -> DataFrame:
     """The distributor-day rows with calendar and distributor attributes."""
     cal = wh.calendar.select("full_date", "date_id", "is_month_end")
-    names = wh.distributors.select("distributor_id", "distributor_name")
+    names = wh.dist_names()
     return (dist_day_dense(wh).join(F.broadcast(cal), "full_date")
             .join(names, "distributor_id")
             .select("date_id", "full_date", "is_month_end", "distributor_id",
@@ -121,7 +121,7 @@ def channel_stuffing(wh: Warehouse, p: StuffingParams = StuffingParams(),
                      method: str = "auto") -> DataFrame:
     """The detector's report, strongest spike first."""
     f = stuffing_flags(wh, p, method)
-    names = wh.distributors.select("distributor_id", "distributor_name")
+    names = wh.dist_names()
     n, tp, ts = F.col("trail_days"), F.col("trail_primary_sum"), F.col("trail_secondary_sum")
     out = f.join(names, "distributor_id").select(
         "distributor_id", "distributor_name", F.col("full_date").alias("spike_date"),

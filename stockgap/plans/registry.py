@@ -24,8 +24,16 @@ from ..sources.bindings import bind_driver_tables
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_BOUND: dict = {}
+
+
 def _wh(spark: SparkSession, sf_dir: str):
-    return bind_driver_tables(spark, sf_dir)
+    """The driver tables bound once per session and folder (lazy plans only;
+    re-binding would only repeat plan analysis)."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+    if key not in _BOUND:
+        _BOUND[key] = bind_driver_tables(spark, sf_dir)
+    return _BOUND[key]
 
 
 def _on_wh(fn) -> Query:

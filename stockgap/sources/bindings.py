@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..operators.calendar import calendar_between
 from .promotions import promotions_frame
-from .tables import read_table
+from .tables import LazyTables, read_table
 from .warehouse import Warehouse
 
 # One promotion on the PROMO product type, inside the driver data's span.
@@ -79,10 +79,12 @@ def bind_driver_tables(spark: SparkSession, sf_dir: str,
              .select(F.col("l_suppkey").alias("distributor_id"), qty.alias("qty_units"),
                      F.col("o_custkey").alias("kirana_id")))
 
-    raw = {name: read_table(spark, sf_dir, name)
-           for name in ("lineitem", "orders", "part", "supplier", "customer",
-                        "nation", "region")}
+    raw = LazyTables(("lineitem", "orders", "part", "supplier", "customer", "nation", "region"),
+                     lambda name: read_table(spark, sf_dir, name))
     return Warehouse(calendar=calendar, products=products, distributors=distributors,
                      promotions=promotions_frame(spark, promotions),
                      movements=movements, drop_sizes=drop_sizes, drops=drops, raw=raw,
-                     distributor_ids=supplier.select(F.col("s_suppkey").alias("distributor_id")))
+                     distributor_ids=supplier.select(F.col("s_suppkey").alias("distributor_id")),
+                     distributor_names=supplier.select(
+                         F.col("s_suppkey").alias("distributor_id"),
+                         F.col("s_name").alias("distributor_name")))

@@ -24,6 +24,7 @@ drops         distributor_id, qty_units BIGINT, kirana_id; one row per
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -39,10 +40,26 @@ class Warehouse:
     drop_sizes: DataFrame
     drops: DataFrame
     # raw tables for the data-quality jobs, by name
-    raw: dict[str, DataFrame] = field(default_factory=dict)
+    raw: Mapping[str, DataFrame] = field(default_factory=dict)
     # distributor ids alone, when cheaper than projecting ``distributors``
     # (which may carry joins for names and regions)
     distributor_ids: DataFrame | None = None
+    distributor_names: DataFrame | None = None
+
+    # results of small probes (dimension sizes) proven for this binding
+    memo: dict = field(default_factory=dict, repr=False, compare=False)
+
+    def once(self, key: str, compute):
+        """``compute()`` once per warehouse (for small size probes)."""
+        if key not in self.memo:
+            self.memo[key] = compute()
+        return self.memo[key]
+
+    def dist_names(self) -> DataFrame:
+        """(distributor_id, distributor_name), from the leanest source."""
+        if self.distributor_names is not None:
+            return self.distributor_names
+        return self.distributors.select("distributor_id", "distributor_name")
 
     def dist_keys(self) -> DataFrame:
         if self.distributor_ids is not None:
