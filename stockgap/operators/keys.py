@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_INLINE_ROWS = 100_000
+MAX_INLINE_ROWS = 10_000
 BUCKETS = 64
 
 

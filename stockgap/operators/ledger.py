@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_key
+from ..sources.csv_io import write_table
 from ..sources.warehouse import Warehouse
 from .calendar import calendar_bounds
 from .densify import densify
@@ -131,3 +132,24 @@ def negative_stock(wh: Warehouse, ledger: DataFrame | None = None) -> DataFrame:
     never arrived)."""
     led = stock_ledger(wh) if ledger is None else ledger
     return led.filter(F.col("closing_units") < 0)
+
+
+def materialize_ledger(wh: Warehouse, path: str, layout: str = "generated",
+                       scope: str = "full") -> None:
+    """Write the ledger as parquet, replacing the previous build.
+
+    layout="generated"  rows stay in the partitions they were generated in
+                        (keys clustered, days in order): no extra shuffle,
+                        row groups prune well on distributor and SKU.
+    layout="month"      one folder per month (``month`` = yyyymm), rebuilt
+                        with dynamic partition overwrite; rows are first
+                        sorted by month inside each task so a task writes
+                        its months one after another.
+    """
+    led = stock_ledger(wh, scope)
+    if layout == "month":
+        led = (led.withColumn("month", (F.col("date_id") / 100).cast("int"))
+               .sortWithinPartitions("month"))
+        write_table(led, path, ("month",))
+    else:
+        write_table(led, path)

@@ -45,3 +45,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A location for intermediate tables under the shared checkpoint folder."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def cluster_conf(input_bytes: int, executor_cores_total: int) -> dict[str, str]:
+    """Settings sized for a cluster run over ``input_bytes`` of fact data.
+
+    Shuffle partitions start at ~256 MB of input each (at least 2 waves of
+    the cluster's cores) and AQE coalesces them down at runtime; files are
+    split at 256 MB; a partition more than 5x the median and over 512 MB is
+    split by the skew-join rule; runtime broadcast only under 64 MB measured.
+    """
+    mb = 1 << 20
+    parts = max(2 * executor_cores_total, input_bytes // (256 * mb))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * mb),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * mb),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * mb),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * mb),
+        "spark.sql.shuffle.partitions": str(int(parts)),
+        "spark.sql.files.maxPartitionBytes": str(256 * mb),
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    }

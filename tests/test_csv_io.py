@@ -41,3 +41,16 @@ def test_write_table_dynamic_overwrite(spark, tmp_path, planted):
     write_table(led, path, ("month",))
     write_table(led.filter(F.col("date_id") < 20230201), path, ("month",))  # January only
     assert spark.read.parquet(path).count() == 181 * 6 * 2
+
+
+def test_materialize_ledger_layouts(spark, tmp_path, planted):
+    from stockgap.operators.ledger import materialize_ledger
+    for layout in ("generated", "month"):
+        path = str(tmp_path / f"ledger-{layout}")
+        materialize_ledger(planted, path, layout=layout)
+        materialize_ledger(planted, path, layout=layout)      # rebuild replaces
+        back = spark.read.parquet(path)
+        assert back.count() == 181 * 6 * 2
+    months = {r.month for r in spark.read.parquet(str(tmp_path / "ledger-month"))
+              .select("month").distinct().collect()}
+    assert months == {202301, 202302, 202303, 202304, 202305, 202306}
