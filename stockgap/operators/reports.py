@@ -8,15 +8,19 @@ scalar subquery, so an extract follows the data it explains.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exact import value_ge_k_mean
 from ..params import COHORT_OTHERS, COHORT_SUFFIX, Params
+from ..sources.csv_io import export_csv
 from ..sources.warehouse import Warehouse
 from .calendar import calendar_bounds
 from .densify import densify
 from .leakage import KEYS, _is_leak, promo_movements, promo_stats
+from .risk import risk_score
 from .route import drop_moments
 from .stuffing import dist_day_dense, dist_day_sparse, stuffing_counts
 
@@ -146,3 +150,26 @@ def drop_size_pivot(spark: SparkSession, wh: Warehouse, p: Params = Params()) ->
                     F.coalesce(F.col("other_drops"), F.lit(0)).cast("bigint").alias("other_drops"))
             .orderBy("bucket_order"))
 
+
+
+def export_dashboard_extracts(spark: SparkSession, wh: Warehouse, folder: str,
+                              p: Params = Params()) -> dict[str, str]:
+    """The four extracts as headed CSV folders (ranked risk list, the top
+    stuffer's series, the top hoarder's series, drop-size buckets).
+
+    The ranked list has one row per distributor and stays partitioned (its
+    order is kept by a range-partitioned sort); the other three are bounded
+    (days of one distributor, buckets) and are written as one file each.
+    """
+    risk = risk_score(wh, p).orderBy(F.desc("risk_score"), "distributor_id")
+    out = {
+        "risk_list": (risk, False),
+        "distributor_series": (distributor_series(wh, p), True),
+        "pair_series": (pair_series(wh, p), True),
+        "drop_size_buckets": (drop_size_buckets(wh, p), True),
+    }
+    paths = {}
+    for name, (df, single) in out.items():
+        paths[name] = os.path.join(folder, name)
+        export_csv(df, paths[name], single_file=single)
+    return paths

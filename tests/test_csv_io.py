@@ -54,3 +54,14 @@ def test_materialize_ledger_layouts(spark, tmp_path, planted):
     months = {r.month for r in spark.read.parquet(str(tmp_path / "ledger-month"))
               .select("month").distinct().collect()}
     assert months == {202301, 202302, 202303, 202304, 202305, 202306}
+
+
+def test_dashboard_extracts(spark, tmp_path, planted):
+    from stockgap.operators.reports import export_dashboard_extracts
+    from stockgap.params import REFERENCE
+    paths = export_dashboard_extracts(spark, planted, str(tmp_path / "csv"), REFERENCE)
+    risk = spark.read.option("header", True).csv(paths["risk_list"])
+    assert risk.count() == 6
+    series = spark.read.option("header", True).csv(paths["distributor_series"])
+    assert series.count() == 181
+    assert len([f for f in os.listdir(paths["pair_series"]) if f.endswith(".csv")]) == 1
