@@ -21,28 +21,43 @@ from .stuffing import stuffing_counts
 
 
 def risk_score(wh: Warehouse, p: Params = Params()) -> DataFrame:
-    r = p.risk
+    """The fused score, one row per distributor of the dimension."""
     st = stuffing_counts(wh, p.stuffing)
     pl = leak_counts(wh, p.leakage)
-    rt = drop_moments(wh, p.route).select("distributor_id", "bulk_dumps", "_s1", "_bulk_s")
+    rt = drop_moments(wh, p.route).select("distributor_id", "bulk_dumps",
+                                          F.col("_s1").alias("total_units"),
+                                          F.col("_bulk_s").alias("bulk_units"))
     d = wh.distributors.select("distributor_id", "distributor_name", "region")
-    j = (d.join(st, "distributor_id", "left").join(pl, "distributor_id", "left")
-         .join(rt, "distributor_id", "left"))
+    return score(d, st, pl, rt, p)
+
+
+def score(distributors: DataFrame, stuffing: DataFrame, leaks: DataFrame,
+          route: DataFrame, p: Params = Params()) -> DataFrame:
+    """Points and tier from per-distributor counts.
 
+    distributors  distributor_id, distributor_name, region
+    stuffing      distributor_id, spike_days
+    leaks         distributor_id, leaked_skus
+    route         distributor_id, bulk_dumps, total_units, bulk_units
+    """
+    r = p.risk
+    j = (distributors.join(stuffing, "distributor_id", "left")
+         .join(leaks, "distributor_id", "left").join(route, "distributor_id", "left"))
     flags = F.coalesce(F.col("spike_days"), F.lit(0))
-    leaks = F.coalesce(F.col("leaked_skus"), F.lit(0))
+    leaked = F.coalesce(F.col("leaked_skus"), F.lit(0))
     dumps = F.coalesce(F.col("bulk_dumps"), F.lit(0))
-    s1, bulk_s = F.col("_s1"), F.col("_bulk_s")
+    s1, bulk_s = F.col("total_units"), F.col("bulk_units")
+    # share >= threshold, with a missing or undefined share read as 0
     share_ok = F.when(s1 > 0, bulk_s * 100 * r.route_share_pct.denominator
                       >= s1 * r.route_share_pct.numerator
                       ).otherwise(F.lit(0 >= r.route_share_pct))
     scored = j.select(
         "distributor_id", "distributor_name", "region",
-        flags.alias("stuffing_flags"), leaks.alias("promo_leak_flags"),
+        flags.alias("stuffing_flags"), leaked.alias("promo_leak_flags"),
         dumps.alias("route_dump_events"),
         F.coalesce(round_ratio(bulk_s * 100, s1, 1), F.lit(0.0)).alias("bulk_volume_pct"),
         F.least(F.lit(r.stuffing_cap), flags * r.points_per_spike).alias("stuffing_pts"),
-        F.when(leaks > 0, F.lit(r.promo_points)).otherwise(F.lit(0)).alias("promo_pts"),
+        F.when(leaked > 0, F.lit(r.promo_points)).otherwise(F.lit(0)).alias("promo_pts"),
         F.when(share_ok, F.lit(r.route_share_points))
          .when(dumps >= p.route.repeat_dumps, F.lit(r.route_repeat_points))
          .otherwise(F.lit(0)).alias("route_pts"))
