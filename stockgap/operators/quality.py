@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schemas import PRIMARY_KEYS
 from ..sources.warehouse import Warehouse
 from .ledger import stock_ledger_by_date
 
@@ -141,3 +142,41 @@ def dq_ledger_identity(wh: Warehouse) -> DataFrame:
         violations(wh.promotions, F.col("promo_end") >= F.col("promo_start"),
                    "promotion.promo_end >= promo_start"),
     ])
+
+
+# -- the checks for tables in the reference's own star schema ----------------
+
+REFERENCE_FKS = (
+    ("dim_distributor", "rep_id", "dim_sales_rep", "rep_id"),
+    ("dim_kirana", "distributor_id", "dim_distributor", "distributor_id"),
+    ("dim_promotion", "sku_id", "dim_product", "sku_id"),
+    ("fact_primary_sales", "date_id", "dim_date", "date_id"),
+    ("fact_primary_sales", "distributor_id", "dim_distributor", "distributor_id"),
+    ("fact_primary_sales", "sku_id", "dim_product", "sku_id"),
+    ("fact_primary_sales", "rep_id", "dim_sales_rep", "rep_id"),
+    ("fact_secondary_sales", "date_id", "dim_date", "date_id"),
+    ("fact_secondary_sales", "kirana_id", "dim_kirana", "kirana_id"),
+    ("fact_secondary_sales", "distributor_id", "dim_distributor", "distributor_id"),
+    ("fact_secondary_sales", "sku_id", "dim_product", "sku_id"),
+)
+REFERENCE_CHECKS = (
+    ("dim_product", "units_per_case > 0"),
+    ("dim_promotion", "discount_pct BETWEEN 0 AND 100"),
+    ("dim_promotion", "promo_end >= promo_start"),
+    ("fact_primary_sales", "qty_cases >= 0"),
+    ("fact_secondary_sales", "qty_units >= 0"),
+)
+
+
+def reference_quality(wh: Warehouse) -> dict[str, DataFrame]:
+    """Q1-Q5 over reference-shaped tables (those present in ``wh.raw``)."""
+    t = wh.raw
+    dup = [duplicate_keys(t[n], list(k), f"{n}({', '.join(k)})")
+           for n, k in PRIMARY_KEYS.items() if n in t]
+    nulls = [null_counts(t[n], n, t[n].columns) for n in t]
+    fks = [orphans(t[c], fk, t[p], pk, f"{c}.{fk} -> {p}")
+           for c, fk, p, pk in REFERENCE_FKS if c in t and p in t]
+    rng = [violations(t[n], F.expr(cond), f"{n}: {cond}")
+           for n, cond in REFERENCE_CHECKS if n in t]
+    return {"duplicate_keys": _union(dup), "null_counts": _union(nulls),
+            "orphans": _union(fks), "range": _union(rng)}

@@ -1,6 +1,7 @@
 """End to end on the planted-anomaly fixture, reference parameters."""
 
 import datetime as dt
+import os
 from dataclasses import replace
 from fractions import Fraction
 
@@ -146,3 +147,39 @@ def test_quality_jobs(planted):
     assert bad.violations == len(BULK_DAYS)
     nulls = dq.null_counts(planted.raw["dim_product"], "dim_product", ["sku_id", "mrp"]).collect()
     assert {r.column_name: r.null_count for r in nulls} == {"sku_id": 0, "mrp": 0}
+
+
+def test_sql_views(spark, planted):
+    from stockgap.plans.views import register_views
+    names = register_views(spark, planted, REF)
+    assert "vw_fraud_risk_score" in names
+    top = spark.sql("SELECT distributor_id, risk_score FROM vw_fraud_risk_score "
+                    "ORDER BY risk_score DESC, distributor_id LIMIT 2").collect()
+    assert [(r.distributor_id, r.risk_score) for r in top] == [("D02", 40), ("D04", 30)]
+    n = spark.sql("SELECT COUNT(*) AS n FROM fact_stock_reconciliation").collect()[0].n
+    assert n == 181 * 6 * 2
+
+
+def test_reference_quality(planted):
+    q = dq.reference_quality(planted)
+    assert {r.check_name: r.duplicate_keys for r in q["duplicate_keys"].collect()}[
+        "fact_primary_sales(primary_order_id)"] == 0
+    orph = {r.check_name: r.orphan_rows for r in q["orphans"].collect()}
+    assert len(orph) == 9 and set(orph.values()) == {0}        # 2 of 11 need dim_sales_rep
+    assert {r.violations for r in q["range"].collect()} == {0}
+    assert {r.null_count for r in q["null_counts"].collect()} == {0}
+
+
+def test_cli(tmp_path, planted):
+    import subprocess
+    import sys
+    from fixtures import write_planted_csvs
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    write_planted_csvs(str(folder))
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-m", "stockgap", "--csv", str(folder), "--local", "2",
+                          "risk", "--top", "3"], cwd=root, capture_output=True, text=True,
+                         timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "D02" in out.stdout and "HIGH" in out.stdout
