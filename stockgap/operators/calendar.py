@@ -36,8 +36,16 @@ def calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     return calendar_between(bounds)
 
 
-def calendar_bounds(cal: DataFrame) -> tuple[Column, Column]:
-    """First and last day as scalar subqueries (evaluated once per query)."""
-    lo = cal.agg(F.min("full_date")).scalar()
-    hi = cal.agg(F.max("full_date")).scalar()
-    return lo, hi
+def calendar_range(wh) -> tuple[dt.date | None, dt.date | None]:
+    """First and last day of the warehouse's calendar, probed once per
+    warehouse (two dates reach the driver, as a loaded date table would)."""
+    def probe():
+        r = wh.calendar.agg(F.min("full_date").alias("lo"), F.max("full_date").alias("hi")).first()
+        return (r.lo, r.hi)
+    return wh.once("calendar_range", probe)
+
+
+def calendar_bounds(wh) -> tuple[Column, Column]:
+    """First and last day as date literals (see :func:`calendar_range`)."""
+    lo, hi = calendar_range(wh)
+    return F.lit(lo).cast("date"), F.lit(hi).cast("date")

@@ -44,7 +44,7 @@ def valid_promotions(wh: Warehouse) -> DataFrame:
 
 def promo_calendar(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
     """The seeded promotions with the calendar days of each window."""
-    lo, hi = calendar_bounds(wh.calendar)
+    lo, hi = calendar_bounds(wh)
     a, b = F.col("promo_start"), F.col("promo_end")
     return valid_promotions(wh).select(
         "promotion_id", "promo_name", "sku_id", "promo_start", "promo_end", "discount_pct",
@@ -75,7 +75,7 @@ def _promo_side(wh: Warehouse) -> tuple[DataFrame, Column | None]:
 
 def promo_movements(wh: Warehouse) -> DataFrame:
     """Daily movements of promoted SKUs, tagged with each promotion of the SKU."""
-    lo, hi = calendar_bounds(wh.calendar)
+    lo, hi = calendar_bounds(wh)
     promos, sku_filter = _promo_side(wh)
     daily = daily_movements(wh)
     if sku_filter is not None:
@@ -93,7 +93,7 @@ def promo_pairs(wh: Warehouse) -> DataFrame:
 
 def promo_stats(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
     """Sums and day counts of every window, per (promotion, distributor, sku)."""
-    lo, hi = calendar_bounds(wh.calendar)
+    lo, hi = calendar_bounds(wh)
     a, b, d = F.col("promo_start"), F.col("promo_end"), F.col("full_date")
     s, net = F.col("secondary_units"), F.col("primary_units") - F.col("secondary_units")
     base_lo, post_hi = F.date_sub(a, p.pre_days), F.date_add(b, p.post_days)
@@ -187,7 +187,7 @@ def leaked_pairs(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame
 
 def prev_day_units(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
     """Leaked pairs' daily secondary sales with the previous day's value."""
-    lo, hi = calendar_bounds(wh.calendar)
+    lo, hi = calendar_bounds(wh)
     leaked = leaked_pairs(wh, p)
     mv = promo_movements(wh).select(*KEYS, "promo_end", "full_date", "secondary_units")
     dense = densify(mv, KEYS, ["secondary_units"], lo, hi, anchors=leaked, carry=["promo_end"])
@@ -204,7 +204,7 @@ def dump_day(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
     Spine-free: on the dense ledger "yesterday = 0" means "no non-zero
     movement row yesterday", so a LAG over the non-zero rows decides it.
     """
-    lo, _ = calendar_bounds(wh.calendar)
+    lo, _ = calendar_bounds(wh)
     leaked = leaked_pairs(wh, p)
     mv = (promo_movements(wh).filter(F.col("secondary_units") != 0)
           .join(leaked.select(*KEYS), KEYS, "left_semi"))
@@ -229,7 +229,7 @@ def promo_window_rows(wh: Warehouse, p: LeakageParams = LeakageParams()) -> Data
     Densified over the range only; movements from the calendar start up to
     the range feed the opening balance without producing rows.
     """
-    lo, hi = calendar_bounds(wh.calendar)
+    lo, hi = calendar_bounds(wh)
     a, b = F.col("promo_start"), F.col("promo_end")
     w_lo = F.greatest(F.date_sub(a, p.pre_days), lo)
     w_hi = F.least(F.date_add(b, p.post_days), hi)

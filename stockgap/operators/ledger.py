@@ -34,7 +34,7 @@ def daily_movements(wh: Warehouse) -> DataFrame:
 
 
 def _in_calendar(df: DataFrame, wh: Warehouse) -> DataFrame:
-    lo, hi = calendar_bounds(wh.calendar)
+    lo, hi = calendar_bounds(wh)
     return df.filter((F.col("full_date") >= lo) & (F.col("full_date") <= hi))
 
 
@@ -64,7 +64,7 @@ def pair_keys(wh: Warehouse) -> DataFrame:
 
 def spine(wh: Warehouse) -> DataFrame:
     """Every day x distributor x sku (dense), generated, not joined."""
-    lo, hi = calendar_bounds(wh.calendar)
+    lo, hi = calendar_bounds(wh)
     days = pair_keys(wh).select(*PAIR, F.explode(F.sequence(lo, hi)).alias("full_date"))
     return days.select(date_key(F.col("full_date")).alias("date_id"), *PAIR)
 
@@ -79,7 +79,7 @@ def stock_ledger_by_date(wh: Warehouse, scope: str = "full") -> DataFrame:
     scope="full"   every distributor x sku pair of the dimensions (reference)
     scope="active" only pairs with at least one movement in the calendar
     """
-    lo, hi = calendar_bounds(wh.calendar)
+    lo, hi = calendar_bounds(wh)
     anchors = pair_keys(wh) if scope == "full" else None
     dense = densify(daily_movements(wh), PAIR, ["primary_units", "secondary_units"],
                     lo, hi, anchors=anchors, opening=("opening_units", _net()))
@@ -99,7 +99,7 @@ def stock_ledger(wh: Warehouse, scope: str = "full") -> DataFrame:
 
 def ledger_movements(wh: Warehouse) -> DataFrame:
     """Dense daily movements (spine left-joined to both roll-ups)."""
-    lo, hi = calendar_bounds(wh.calendar)
+    lo, hi = calendar_bounds(wh)
     dense = densify(daily_movements(wh), PAIR, ["primary_units", "secondary_units"],
                     lo, hi, anchors=pair_keys(wh))
     return dense.select(date_key(F.col("full_date")).alias("date_id"), *PAIR,

@@ -38,7 +38,7 @@ def distributor_series(wh: Warehouse, p: Params = Params(),
                        distributor_id=None) -> DataFrame:
     """One distributor's daily primary total over the whole calendar."""
     pick = F.lit(distributor_id) if distributor_id is not None else top_stuffer(wh, p)
-    lo, hi = calendar_bounds(wh.calendar)
+    lo, hi = calendar_bounds(wh)
     mine = dist_day_sparse(wh).filter(F.col("distributor_id") == pick)
     one = wh.dist_keys().filter(F.col("distributor_id") == pick)
     dense = densify(mine, ["distributor_id"], ["primary_units"], lo, hi, anchors=one)
@@ -57,7 +57,7 @@ def pair_series(wh: Warehouse, p: Params = Params()) -> DataFrame:
     """The top hoarder's daily secondary sales around its promotion,
     ``[start - series_days_before, end + series_days_after]``."""
     r = p.report
-    lo, hi = calendar_bounds(wh.calendar)
+    lo, hi = calendar_bounds(wh)
     pick = top_leak_pair(wh, p).select(
         F.struct(*KEYS, "promo_start", "promo_end").alias("k")).scalar()
     a, b = pick["promo_start"], pick["promo_end"]

@@ -31,7 +31,7 @@ VALUES = ["primary_units", "secondary_units"]
 
 def dist_day_sparse(wh: Warehouse) -> DataFrame:
     """A3 on movement days only: (distributor, day) totals over all SKUs."""
-    lo, hi = calendar_bounds(wh.calendar)
+    lo, hi = calendar_bounds(wh)
     m = wh.movements.filter((F.col("full_date") >= lo) & (F.col("full_date") <= hi))
     return (m.groupBy("distributor_id", "full_date")
             .agg(F.coalesce(F.sum("primary_units"), F.lit(0)).cast("bigint").alias("primary_units"),
@@ -41,7 +41,7 @@ def dist_day_sparse(wh: Warehouse) -> DataFrame:
 
 def dist_day_dense(wh: Warehouse) -> DataFrame:
     """A3: one row per distributor per calendar day (zeros on quiet days)."""
-    lo, hi = calendar_bounds(wh.calendar)
+    lo, hi = calendar_bounds(wh)
     return densify(dist_day_sparse(wh), ["distributor_id"], VALUES, lo, hi,
                    anchors=wh.dist_keys())
 
@@ -89,7 +89,7 @@ def trailing_28d(wh: Warehouse, p: StuffingParams = StuffingParams()) -> DataFra
 
 def trailing_sparse(wh: Warehouse, p: StuffingParams = StuffingParams()) -> DataFrame:
     """The same frame over movement days only (RANGE on the day number)."""
-    lo, _ = calendar_bounds(wh.calendar)
+    lo, _ = calendar_bounds(wh)
     w = (Window.partitionBy("distributor_id").orderBy(day_number(F.col("full_date")))
          .rangeBetween(-p.trail_days, -1))
     dd = dist_day_sparse(wh)
