@@ -130,7 +130,7 @@ def promo_stats(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
         day_span(F.greatest(base_lo, lo), F.least(post_hi, hi)).alias("_window_days"))
 
 
-def _is_leak(p: LeakageParams) -> Column:
+def is_leak(p: LeakageParams) -> Column:
     bs, bn = F.col("baseline_units"), F.col("baseline_days")
     return (mean_le_k_mean(F.col("promo_units"), F.col("promo_days"), bs, bn, p.max_promo_share)
             & mean_ge(bs, bn, p.min_baseline)
@@ -159,7 +159,7 @@ def stock_at_promo_end(wh: Warehouse, p: LeakageParams = LeakageParams()) -> Dat
 def promotion_leakage(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
     """C4: the detector's report, per distributor and promoted SKU."""
     st = promo_stats(wh, p).filter(F.col("_window_days") > 0)
-    verdict = F.when(_is_leak(p), F.lit(LEAK_VERDICT)).otherwise(F.lit(OK_VERDICT))
+    verdict = F.when(is_leak(p), F.lit(LEAK_VERDICT)).otherwise(F.lit(OK_VERDICT))
     return st.select(
         "distributor_id", "sku_id",
         round_ratio(F.col("baseline_units"), F.col("baseline_days"), 1).alias("baseline_daily_units"),
@@ -171,7 +171,7 @@ def promotion_leakage(wh: Warehouse, p: LeakageParams = LeakageParams()) -> Data
 
 def leak_counts(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
     """Distinct leaked SKUs per distributor (only distributors with one)."""
-    st = promo_stats(wh, p).filter((F.col("_window_days") > 0) & _is_leak(p))
+    st = promo_stats(wh, p).filter((F.col("_window_days") > 0) & is_leak(p))
     return st.groupBy("distributor_id").agg(F.count_distinct("sku_id").alias("leaked_skus"))
 
 

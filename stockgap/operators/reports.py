@@ -19,7 +19,7 @@ from ..sources.csv_io import export_csv
 from ..sources.warehouse import Warehouse
 from .calendar import calendar_bounds
 from .densify import densify
-from .leakage import KEYS, _is_leak, promo_movements, promo_stats
+from .leakage import KEYS, is_leak, promo_movements, promo_stats
 from .risk import risk_score
 from .route import drop_moments
 from .stuffing import dist_day_dense, dist_day_sparse, stuffing_counts
@@ -49,7 +49,7 @@ def top_leak_pair(wh: Warehouse, p: Params = Params()) -> DataFrame:
     """The leakage row to chart: leaked first, then distributor, promotion."""
     st = promo_stats(wh, p.leakage).filter(F.col("_window_days") > 0)
     ranked = st.select(*KEYS, "promo_start", "promo_end",
-                       F.coalesce(_is_leak(p.leakage), F.lit(False)).alias("_leak"))
+                       F.coalesce(is_leak(p.leakage), F.lit(False)).alias("_leak"))
     return ranked.orderBy(F.desc("_leak"), "distributor_id", "promotion_id").limit(1)
 
 
