@@ -12,6 +12,11 @@ range) feed the running balance but emit nothing.
 
 A key's partition holds at most one row per calendar day plus its anchor,
 so a hot key cannot grow a task beyond the calendar's length.
+
+The exchange before the window has an explicit partition count (the
+session's ``spark.sql.shuffle.partitions`` unless given): AQE would otherwise
+merge partitions by their *sparse* size, and each merged task would then
+emit many times that in dense rows.
 """
 
 from __future__ import annotations
@@ -27,7 +32,8 @@ EVENT, ANCHOR, HISTORY = 0, 1, 2
 def densify(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
             lo: Column, hi: Column, anchors: DataFrame | None = None,
             opening: tuple[str, Column] | None = None,
-            carry: Sequence[str] = (), history_from: Column | None = None) -> DataFrame:
+            carry: Sequence[str] = (), history_from: Column | None = None,
+            partitions: int | None = None) -> DataFrame:
     """Expand ``sparse`` (keys, full_date, values; one row per key-day) to
     every day in ``[lo, hi]``.
 
@@ -40,6 +46,8 @@ def densify(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
                   passed through to the output
     history_from  movements in ``[history_from, lo)`` count towards
                   ``opening`` but are not emitted (default: none)
+    partitions    tasks that generate the dense rows (default: the session's
+                  shuffle partitions; not coalesced by AQE)
     Quiet days carry 0 in every value column.
     """
     keys, values, carry = list(keys), list(values), list(carry)
@@ -55,6 +63,9 @@ def densify(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
             *[F.lit(0).cast("bigint").alias(v) for v in values],
             F.lit(ANCHOR).alias("_kind")))
 
+    if partitions is None:
+        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(partitions, *keys)
     w = Window.partitionBy(*keys).orderBy("full_date", "_kind")
     extra = [F.lead("full_date").over(w).alias("_next")]
     if anchors is not None:
