@@ -63,9 +63,15 @@ def pair_keys(wh: Warehouse) -> DataFrame:
 
 
 def spine(wh: Warehouse) -> DataFrame:
-    """Every day x distributor x sku (dense), generated, not joined."""
+    """Every day x distributor x sku (dense), generated, not joined.
+
+    The pairs are spread over the shuffle partitions first, so each task
+    generates the days of its share of pairs (a small file split of the
+    distributor table does not fan out into one huge task)."""
     lo, hi = calendar_bounds(wh)
-    days = pair_keys(wh).select(*PAIR, F.explode(F.sequence(lo, hi)).alias("full_date"))
+    n = int(wh.calendar.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pair_keys(wh).repartition(n, *PAIR)
+    days = pairs.select(*PAIR, F.explode(F.sequence(lo, hi)).alias("full_date"))
     return days.select(date_key(F.col("full_date")).alias("date_id"), *PAIR)
 
 
