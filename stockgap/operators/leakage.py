@@ -131,6 +131,10 @@ def promo_stats(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
 
 
 def is_leak(p: LeakageParams) -> Column:
+    """The detector's test on :func:`promo_stats` columns: promotion mean at
+    most ``max_promo_share`` x baseline, baseline at least ``min_baseline``,
+    post mean at least ``min_post_lift`` x baseline (NULL when a window has
+    no days)."""
     bs, bn = F.col("baseline_units"), F.col("baseline_days")
     return (mean_le_k_mean(F.col("promo_units"), F.col("promo_days"), bs, bn, p.max_promo_share)
             & mean_ge(bs, bn, p.min_baseline)
