@@ -204,3 +204,24 @@ def test_detectors_over_stored_ledger(spark, planted, tmp_path):
         a, b = job(planted), job(stored)
         assert sorted(a.collect()) == sorted(b.collect())
     assert led.stock_ledger(stored).exceptAll(led.stock_ledger(planted)).count() == 0
+
+
+def test_leakage_parts(planted):
+    leaked = lk.leaked_pairs(planted, REF.leakage).collect()
+    assert [(r.distributor_id, r.sku_id, r.promo_end) for r in leaked] == [("D05", "SKU001", PROMO_END)]
+    prev = {r.full_date: r for r in lk.prev_day_units(planted, REF.leakage).collect()}
+    assert len(prev) == 181 and prev[dt.date(2023, 1, 1)].prev_day_units is None
+    day = prev[PROMO_END + dt.timedelta(days=1)]
+    assert (day.prev_day_units, day.secondary_units) == (0, 600)
+    rows = lk.promo_window_rows(planted, REF.leakage).filter("distributor_id = 'D05'").collect()
+    by = {r.promo_window: 0 for r in rows}
+    for r in rows:
+        by[r.promo_window] += 1
+    assert by == {"baseline": 14, "promo": 16, "post": 15}
+    end = [r for r in rows if r.full_date == PROMO_END][0]
+    assert end.closing_units == 3200
+    stock = {r.distributor_id: r.stock_at_promo_end
+             for r in lk.stock_at_promo_end(planted, REF.leakage).collect()}
+    assert stock["D05"] == 3200 and stock["D06"] == 0
+    cal = lk.promo_calendar(planted, REF.leakage).collect()[0]
+    assert (cal.baseline_days, cal.promo_days, cal.post_days) == (14, 16, 15)
