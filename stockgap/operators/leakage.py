@@ -73,15 +73,19 @@ def _promo_side(wh: Warehouse) -> tuple[DataFrame, Column | None]:
     return F.broadcast(promos), F.col("sku_id").isin(skus)
 
 
-def promo_movements(wh: Warehouse) -> DataFrame:
-    """Daily movements of promoted SKUs, tagged with each promotion of the SKU."""
+def promo_movements(wh: Warehouse, daily: bool = True) -> DataFrame:
+    """Movements of promoted SKUs inside the calendar, tagged with each
+    promotion of the SKU: one row per day (``daily``) or per fact line."""
     lo, hi = calendar_bounds(wh)
     promos, sku_filter = _promo_side(wh)
-    daily = daily_movements(wh)
+    mv = daily_movements(wh) if daily else wh.movements.select(
+        "distributor_id", "sku_id", "full_date",
+        F.coalesce(F.col("primary_units"), F.lit(0)).alias("primary_units"),
+        F.coalesce(F.col("secondary_units"), F.lit(0)).alias("secondary_units"))
     if sku_filter is not None:
-        daily = daily.filter(sku_filter)
-    daily = daily.filter((F.col("full_date") >= lo) & (F.col("full_date") <= hi))
-    return daily.join(promos, "sku_id")
+        mv = mv.filter(sku_filter)
+    mv = mv.filter((F.col("full_date") >= lo) & (F.col("full_date") <= hi))
+    return mv.join(promos, "sku_id")
 
 
 def promo_pairs(wh: Warehouse) -> DataFrame:
@@ -98,8 +102,11 @@ def promo_stats(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
     s, net = F.col("secondary_units"), F.col("primary_units") - F.col("secondary_units")
     base_lo, post_hi = F.date_sub(a, p.pre_days), F.date_add(b, p.post_days)
 
-    mv = promo_movements(wh).select(*KEYS, "promo_start", "promo_end", "full_date",
-                                    "primary_units", "secondary_units", F.lit(0).alias("_anchor"))
+    # window sums need no daily roll-up: aggregate the lines directly (one
+    # exchange, map-side combined)
+    mv = promo_movements(wh, daily=False).select(
+        *KEYS, "promo_start", "promo_end", "full_date", "primary_units", "secondary_units",
+        F.lit(0).alias("_anchor"))
     zero = promo_pairs(wh).select(*KEYS, "promo_start", "promo_end",
                                   F.lit(None).cast("date").alias("full_date"),
                                   F.lit(0).cast("bigint").alias("primary_units"),
