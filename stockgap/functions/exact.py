@@ -75,18 +75,32 @@ def round_ratio(num, den, digits: int = 0) -> Column:
     return q.cast("double") / F.lit(float(scale))
 
 
-def round_double(x, digits: int = 1) -> Column:
-    """Round a non-negative double half up: ``floor(x * 10^d + 0.5) / 10^d``."""
-    scale = float(10 ** digits)
-    return F.floor(_c(x) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+# Exact square-root rounding is used while its integer operands stay far
+# inside decimal(38): up to this many observations per group.
+MAX_EXACT_SQRT_N = 1_000_000
 
 
-def sample_stddev(n, s1, s2) -> Column:
-    """Sample standard deviation from count, sum and sum of squares.
+def round_sqrt_ratio(num, den, digits: int = 1, exact_if: Column | None = None) -> Column:
+    """``sqrt(num / den)`` rounded half away from zero, for integers
+    ``num >= 0``, ``den > 0``; NULL when ``den`` is 0 or NULL.
 
-    ``sqrt((n*s2 - s1^2) / (n*(n-1)))``; the numerator is an exact integer,
-    then one division and one square root in double.  NULL for n < 2.
+    A double estimate ``k`` of ``sqrt(num/den) * 10^d`` is corrected by one
+    step using the exact test ``(2k-1)^2 den <= 4 * 100^d * num < (2k+1)^2 den``
+    (``k`` is right iff that holds), so ties such as 0.15 round up as exact
+    decimal arithmetic does.  Where ``exact_if`` is false the double estimate
+    is returned as is.
     """
-    num = (_wide(n) * _wide(s2) - _wide(s1) * _wide(s1)).cast("double")
-    den = (_c(n).cast("double") * (_c(n) - 1).cast("double"))
-    return F.when(_c(n) > 1, F.sqrt(num / den))
+    scale = 10 ** digits
+    q = _wide(num) * (4 * scale * scale)
+    d = F.nullif(_wide(den), F.lit(0).cast("decimal(38,0)"))
+    est = F.floor(F.sqrt(_c(num).cast("double") / d.cast("double")) * F.lit(float(scale))
+                  + F.lit(0.5)).cast("bigint")
+
+    def sq(k):  # (2k+1)^2 as an exact wide integer
+        return (F.lit(2) * k + 1).cast("decimal(38,0)") * (F.lit(2) * k + 1).cast("decimal(38,0)")
+
+    too_high = (est > 0) & (sq(est - 1) * d > q)       # (2k-1)^2 den > 4s^2 num
+    too_low = sq(est) * d <= q                          # 4s^2 num >= (2k+1)^2 den
+    fixed = F.when(too_high, est - 1).when(too_low, est + 1).otherwise(est)
+    k = fixed if exact_if is None else F.when(exact_if, fixed).otherwise(est)
+    return k.cast("double") / F.lit(float(scale))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exact import round_double, round_ratio, sample_stddev
+from ..functions.exact import MAX_EXACT_SQRT_N, _wide, round_ratio, round_sqrt_ratio
 from ..params import OK_VERDICT, ROUTE_FALSIFIED, ROUTE_SUSPECT, RouteParams
 from ..sources.warehouse import Warehouse
 
@@ -40,15 +40,25 @@ def bulk_stores(wh: Warehouse, p: RouteParams = RouteParams()) -> DataFrame:
 
 
 def _with_stats(m: DataFrame) -> DataFrame:
-    n, s1 = F.col("total_drops"), F.col("_s1")
-    std = sample_stddev(n, s1, F.col("_s2"))
-    z = ((n * F.col("max_drop_units") - s1).cast("double")
-         / (n.cast("double") * F.nullif(std, F.lit(0.0))))
+    """Rounded mean, deviation, z-score of the largest drop, bulk share.
+
+    With ``var = num / (n(n-1))``, ``num = n*s2 - s1^2``:
+    ``std = sqrt(num / (n(n-1)))`` and, for ``A = n*max - s1``,
+    ``z = (max - mean) / std = sqrt(A^2 (n-1) / (n * num))``; both are
+    rounded exactly from these integers (see ``round_sqrt_ratio``).
+    """
+    n, s1, s2, mx = F.col("total_drops"), F.col("_s1"), F.col("_s2"), F.col("max_drop_units")
+    num = _wide(n) * _wide(s2) - _wide(s1) * _wide(s1)
+    a = _wide(n) * _wide(mx) - _wide(s1)
+    exact = n <= MAX_EXACT_SQRT_N
+    std = F.when(n > 1, round_sqrt_ratio(num, _wide(n) * (_wide(n) - 1), 1, exact))
+    z = F.when((n > 1) & (num > 0),
+               round_sqrt_ratio(a * a * (_wide(n) - 1), _wide(n) * num, 1, exact))
     return m.select(
         "*",
         round_ratio(s1, n, 1).alias("avg_drop_units"),
-        round_double(std, 1).alias("std_drop_units"),
-        round_double(z, 1).alias("max_drop_z_score"),
+        std.alias("std_drop_units"),
+        z.alias("max_drop_z_score"),
         round_ratio(F.col("_bulk_s") * 100, s1, 1).alias("bulk_volume_pct"))
 
 

@@ -1,6 +1,5 @@
 """Exact means, rounding and moments."""
 
-import math
 from fractions import Fraction
 
 import numpy as np
@@ -34,11 +33,12 @@ def test_mean_thresholds_are_exact(spark):
 def test_sample_stddev_matches_numpy(spark):
     xs = [5, 10, 20, 20, 150, 7]
     n, s1, s2 = len(xs), sum(xs), sum(x * x for x in xs)
-    got = one(spark, X.sample_stddev(F.lit(n), F.lit(s1), F.lit(s2)))
-    assert math.isclose(got, float(np.std(xs, ddof=1)), rel_tol=1e-12)
-    assert one(spark, X.sample_stddev(F.lit(1), F.lit(5), F.lit(25))) is None
+    got = one(spark, X.round_sqrt_ratio(F.lit(n * s2 - s1 * s1), F.lit(n * (n - 1)), 1))
+    assert got == round(float(np.std(xs, ddof=1)), 1)
+    assert one(spark, X.round_sqrt_ratio(F.lit(5), F.lit(0), 1)) is None
 
 
-def test_round_double(spark):
-    assert one(spark, X.round_double(F.lit(8.46), 1)) == 8.5
-    assert one(spark, X.round_double(F.lit(8.44), 1)) == 8.4
+def test_sqrt_rounding_ties_go_up(spark):
+    # sqrt(9/400) = 0.15 exactly: rounds to 0.2 as in exact decimal arithmetic
+    assert one(spark, X.round_sqrt_ratio(F.lit(9), F.lit(400), 1)) == 0.2
+    assert one(spark, X.round_sqrt_ratio(F.lit(1), F.lit(400), 1)) == 0.1

@@ -60,3 +60,23 @@ def test_round_ratio_half_up(spark, pairs):
         q = Fraction(n, d)
         assert r.r0 == int(q + Fraction(1, 2))
         assert r.r1 == int(q * 10 + Fraction(1, 2)) / 10.0
+
+
+def _exact_round_sqrt(num, den):
+    """round(sqrt(num/den), 1) half up, in integers: the largest k with
+    (2k-1)^2 <= 400 num / den."""
+    from math import isqrt
+    return ((isqrt(400 * num // den) + 1) // 2) / 10.0
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 10**15), st.integers(1, 10**9)), min_size=1,
+                max_size=20))
+def test_round_sqrt_ratio_exact(spark, pairs):
+    from stockgap.functions.exact import round_sqrt_ratio
+    ties = [(9, 400), (1, 400), (225, 10000), (2025, 40000), (3 * 3 * 17, 400 * 17), (0, 5)]
+    rows = pairs + ties
+    df = spark.createDataFrame(rows, "n bigint, d bigint")
+    got = df.select(round_sqrt_ratio(F.col("n"), F.col("d"), 1).alias("r")).collect()
+    for (n, d), r in zip(rows, got):
+        assert r.r == _exact_round_sqrt(n, d), (n, d)
