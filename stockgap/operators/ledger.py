@@ -150,7 +150,10 @@ def materialize_ledger(wh: Warehouse, path: str, layout: str = "generated",
     layout="month"      one folder per month (``month`` = yyyymm), rebuilt
                         with dynamic partition overwrite; rows are first
                         sorted by month inside each task so a task writes
-                        its months one after another.
+                        its months one after another.  Every task writes a
+                        file into every month it covers (tasks x months
+                        files), so on a large cluster prefer "generated" or
+                        fewer shuffle partitions for this write.
     """
     led = stock_ledger(wh, scope)
     if layout == "month":
