@@ -61,6 +61,11 @@ def main() -> None:
     t0 = time.perf_counter()
     QUERIES["ledger"](spark, sf_dir).write.mode("overwrite").parquet(out)
     times["ledger_write_parquet"] = round(time.perf_counter() - t0, 3)
+    from stockgap.operators.ledger import ledger_runs  # noqa: PLC0415
+    from stockgap.plans.registry import _wh  # noqa: PLC0415
+    t0 = time.perf_counter()
+    ledger_runs(_wh(spark, sf_dir)).write.mode("overwrite").parquet(out + "-runs")
+    times["ledger_runs_write_parquet"] = round(time.perf_counter() - t0, 3)
 
     sf = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),

@@ -29,26 +29,19 @@ from pyspark.sql import functions as F
 EVENT, ANCHOR, HISTORY = 0, 1, 2
 
 
-def densify(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
-            lo: Column, hi: Column, anchors: DataFrame | None = None,
-            opening: tuple[str, Column] | None = None,
-            carry: Sequence[str] = (), history_from: Column | None = None,
-            partitions: int | None = None) -> DataFrame:
-    """Expand ``sparse`` (keys, full_date, values; one row per key-day) to
-    every day in ``[lo, hi]``.
+def day_runs(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
+             lo: Column, hi: Column, anchors: DataFrame | None = None,
+             opening: tuple[str, Column] | None = None,
+             carry: Sequence[str] = (), history_from: Column | None = None,
+             partitions: int | None = None) -> DataFrame:
+    """The dense series of :func:`densify` in run-length form.
 
-    lo, hi        range bounds; scalar columns, or expressions over ``carry``
-    anchors       keys (+ carry) to emit in full; ``None`` emits only keys
-                  present in ``sparse`` (from their first day in range on)
-    opening       ``(name, net)``: adds ``name`` = sum of ``net`` over all
-                  earlier days (the running balance before the day)
-    carry         extra columns present in ``sparse`` and ``anchors``,
-                  passed through to the output
-    history_from  movements in ``[history_from, lo)`` count towards
-                  ``opening`` but are not emitted (default: none)
-    partitions    tasks that generate the dense rows (default: the session's
-                  shuffle partitions; not coalesced by AQE)
-    Quiet days carry 0 in every value column.
+    One row per key and run ``[from_date, to_date]``: the values apply to
+    ``from_date`` only (0 on the other days of the run), and ``opening``
+    (when asked) is the balance before ``from_date``; every later day of the
+    run opens and closes at ``opening + net``.  Rows: one per movement day
+    plus one leading run per key, so the size follows the facts, not the
+    calendar.  Arguments as for :func:`densify`.
     """
     keys, values, carry = list(keys), list(values), list(carry)
     d = F.col("full_date")
@@ -81,15 +74,61 @@ def densify(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
 
     first = F.greatest(d, lo)
     last = F.least(F.coalesce(F.date_sub(F.col("_next"), 1), hi), hi)
-    rows = rows.select("*", F.explode(
-        F.when(first <= last, F.sequence(first, last))).alias("_day"))
-
-    on_event = (F.col("_day") == d) & (F.col("_kind") == EVENT)
-    out = [*keys, *carry, F.col("_day").alias("full_date")]
-    out += [F.when(on_event, F.col(v)).otherwise(F.lit(0)).cast("bigint").alias(v)
+    is_event = F.col("_kind") == EVENT
+    out = [*keys, *carry, first.alias("from_date"), last.alias("to_date")]
+    out += [F.when(is_event, F.col(v)).otherwise(F.lit(0)).cast("bigint").alias(v)
             for v in values]
     if opening is not None:
         name, net = opening
-        out.append(F.when(on_event, F.col("_open"))
+        # anchor and history rows start a quiet run at the balance after them
+        out.append(F.when(is_event, F.col("_open"))
                    .otherwise(F.col("_open") + net).cast("bigint").alias(name))
+    return rows.filter(first <= last).select(*out)
+
+
+def expand_runs(runs: DataFrame, keys: Sequence[str], values: Sequence[str],
+                opening: tuple[str, Column] | None = None,
+                carry: Sequence[str] = ()) -> DataFrame:
+    """Dense rows from :func:`day_runs` output, one per day of each run.
+
+    A local ``explode``: the runs keep their partitioning, nothing moves.
+    ``opening`` is ``(name, net)`` as given to :func:`day_runs`.
+    """
+    day = F.col("_day")
+    rows = runs.select("*", F.explode(F.sequence("from_date", "to_date")).alias("_day"))
+    on_first = day == F.col("from_date")
+    out = [*keys, *carry, day.alias("full_date")]
+    out += [F.when(on_first, F.col(v)).otherwise(F.lit(0)).cast("bigint").alias(v)
+            for v in values]
+    if opening is not None:
+        name, net = opening
+        out.append(F.when(on_first, F.col(name))
+                   .otherwise(F.col(name) + net).cast("bigint").alias(name))
     return rows.select(*out)
+
+
+def densify(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
+            lo: Column, hi: Column, anchors: DataFrame | None = None,
+            opening: tuple[str, Column] | None = None,
+            carry: Sequence[str] = (), history_from: Column | None = None,
+            partitions: int | None = None) -> DataFrame:
+    """Expand ``sparse`` (keys, full_date, values; one row per key-day) to
+    every day in ``[lo, hi]``.
+
+    lo, hi        range bounds; scalar columns, or expressions over ``carry``
+    anchors       keys (+ carry) to emit in full; ``None`` emits only keys
+                  present in ``sparse`` (from their first day in range on)
+    opening       ``(name, net)``: adds ``name`` = sum of ``net`` over all
+                  earlier days (the running balance before the day); ``net``
+                  is an expression over the value columns
+    carry         extra columns present in ``sparse`` and ``anchors``,
+                  passed through to the output
+    history_from  movements in ``[history_from, lo)`` count towards
+                  ``opening`` but are not emitted (default: none)
+    partitions    tasks that generate the dense rows (default: the session's
+                  shuffle partitions; not coalesced by AQE)
+    Quiet days carry 0 in every value column.
+    """
+    runs = day_runs(sparse, keys, values, lo, hi, anchors=anchors, opening=opening,
+                    carry=carry, history_from=history_from, partitions=partitions)
+    return expand_runs(runs, keys, values, opening=opening, carry=carry)

@@ -19,7 +19,7 @@ from ..functions.dates import date_key
 from ..sources.csv_io import write_table
 from ..sources.warehouse import Warehouse
 from .calendar import calendar_bounds
-from .densify import densify
+from .densify import day_runs, densify, expand_runs
 from .keys import attach_all
 
 PAIR = ("distributor_id", "sku_id")
@@ -96,6 +96,37 @@ def stock_ledger_by_date(wh: Warehouse, scope: str = "full") -> DataFrame:
                             F.col("opening_units") + _net())
 
 
+def ledger_runs(wh: Warehouse, scope: str = "full") -> DataFrame:
+    """The ledger in run-length form: one row per (distributor, sku) and
+    movement day, plus one leading run per pair, with the day range the row
+    stands for.
+
+    ``from_date`` carries that day's movements, ``opening_units`` and
+    ``closing_units``; every later day up to ``to_date`` has no movement and
+    opens and closes at ``closing_units``.  Its size follows the facts (the
+    dense ledger is days x pairs), so this is the form to store at scale;
+    :func:`ledger_from_runs` gives the dense rows back.
+    """
+    lo, hi = calendar_bounds(wh)
+    anchors = pair_keys(wh) if scope == "full" else None
+    runs = day_runs(daily_movements(wh), PAIR, ["primary_units", "secondary_units"],
+                    lo, hi, anchors=anchors, opening=("opening_units", _net()))
+    if scope == "active":
+        runs = runs.join(wh.dist_keys(), "distributor_id", "left_semi")
+    return runs.select(*PAIR, "from_date", "to_date", "opening_units", "primary_units",
+                       "secondary_units", (F.col("opening_units") + _net()).alias("closing_units"))
+
+
+def ledger_from_runs(runs: DataFrame) -> DataFrame:
+    """The dense ledger (reference columns) from :func:`ledger_runs` rows,
+    e.g. read back from storage; a local explode, no shuffle."""
+    dense = expand_runs(runs, PAIR, ["primary_units", "secondary_units"],
+                        opening=("opening_units", _net()))
+    return dense.select(date_key(F.col("full_date")).alias("date_id"), *PAIR,
+                        "opening_units", "primary_units", "secondary_units",
+                        (F.col("opening_units") + _net()).alias("closing_units"))
+
+
 def stock_ledger(wh: Warehouse, scope: str = "full") -> DataFrame:
     """The ledger in the reference's column order."""
     led = stock_ledger_by_date(wh, scope)
@@ -144,6 +175,9 @@ def materialize_ledger(wh: Warehouse, path: str, layout: str = "generated",
                        scope: str = "full") -> None:
     """Write the ledger as parquet, replacing the previous build.
 
+    layout="runs"       the run-length form (:func:`ledger_runs`): one row per
+                        pair and movement day; read back with
+                        :func:`ledger_from_runs`.  The form to store at scale.
     layout="generated"  rows stay in the partitions they were generated in
                         (keys clustered, days in order): no extra shuffle,
                         row groups prune well on distributor and SKU.
@@ -155,6 +189,9 @@ def materialize_ledger(wh: Warehouse, path: str, layout: str = "generated",
                         files), so on a large cluster prefer "generated" or
                         fewer shuffle partitions for this write.
     """
+    if layout == "runs":
+        write_table(ledger_runs(wh, scope), path)
+        return
     led = stock_ledger(wh, scope)
     if layout == "month":
         led = (led.withColumn("month", (F.col("date_id") / 100).cast("int"))

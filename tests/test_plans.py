@@ -33,7 +33,7 @@ def ancestors(lines, i):
 
 def test_ledger_never_shuffles_dense_rows(spark):
     lines = plan(spark, "ledger")
-    gen = [i for i, s in enumerate(lines) if "Generate explode(CASE WHEN" in s]
+    gen = [i for i, s in enumerate(lines) if "Generate explode(sequence(from_date" in s]
     assert gen, "dense days come from a generator"
     for i in gen:
         assert not any("Exchange" in a for a in ancestors(lines, i))
@@ -47,7 +47,7 @@ def test_detectors_are_spine_free(spark):
         text = "\n".join(plan(spark, key))
         # the only day generator is the calendar's (one row per day, from a
         # one-row min/max); no per-key dense days
-        assert "Generate explode(CASE WHEN" not in text, key
+        assert "explode(sequence(from_date" not in text, key
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, key
 
 
