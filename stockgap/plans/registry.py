@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import params as P
-from ..operators import calendar as cal_ops
 from ..operators import leakage as lk
 from ..operators import ledger as led
 from ..operators import quality as dq
