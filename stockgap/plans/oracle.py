@@ -26,13 +26,14 @@ dim_date AS (
     FROM (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP),
                                              INTERVAL 1 DAY)) AS DATE) AS full_date
           FROM bounds) g),
-dim_product AS (SELECT DISTINCT p_type AS sku_id FROM part),
+dim_product AS (SELECT DISTINCT p_type AS sku_id FROM part WHERE p_type IS NOT NULL),
 dim_distributor AS (
     SELECT s.s_suppkey AS distributor_id, s.s_name AS distributor_name,
            s.s_nationkey AS rep_id, r.r_name AS region
     FROM supplier s
     LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey
-    LEFT JOIN region r ON r.r_regionkey = n.n_regionkey),
+    LEFT JOIN region r ON r.r_regionkey = n.n_regionkey
+    WHERE s.s_suppkey IS NOT NULL),
 dim_promotion AS (
     SELECT * FROM (VALUES ('PROMO001', 'Spring sale on PROMO lines', 'PROMO',
                            DATE '1998-04-10', DATE '1998-04-25', 20))
@@ -41,12 +42,12 @@ fact_primary AS (
     SELECT CAST(strftime(li.d, '%Y%m%d') AS INTEGER) AS date_id, li.l_suppkey AS distributor_id,
            p.p_type AS sku_id, li.qty AS qty_cases, p.p_size AS units_per_case
     FROM li JOIN part p ON p.p_partkey = li.l_partkey
-    WHERE li.l_linestatus = 'F'),
+    WHERE li.l_linestatus = 'F' AND p.p_type IS NOT NULL),
 fact_secondary AS (
     SELECT CAST(strftime(li.d, '%Y%m%d') AS INTEGER) AS date_id, li.l_suppkey AS distributor_id,
            p.p_type AS sku_id, li.qty AS qty_units
     FROM li JOIN part p ON p.p_partkey = li.l_partkey
-    WHERE li.l_linestatus = 'O'),
+    WHERE li.l_linestatus = 'O' AND p.p_type IS NOT NULL),
 drops AS (
     SELECT li.l_suppkey AS distributor_id, o.o_custkey AS kirana_id, li.qty AS qty_units
     FROM li LEFT JOIN orders o ON o.o_orderkey = li.l_orderkey

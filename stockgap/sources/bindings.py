@@ -42,8 +42,9 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bind_driver_tables(spark: SparkSession, sf_dir: str,
                        promotions=DRIVER_PROMOTIONS) -> Warehouse:
     lines = _lines(spark, sf_dir)
+    # a line belongs to a SKU only through a part with a type
     part = read_table(spark, sf_dir, "part").select(
-        "p_partkey", F.col("p_type").alias("sku_id"), "p_size")
+        "p_partkey", F.col("p_type").alias("sku_id"), "p_size").where(F.col("sku_id").isNotNull())
     supplier = read_table(spark, sf_dir, "supplier")
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
@@ -52,7 +53,9 @@ def bind_driver_tables(spark: SparkSession, sf_dir: str,
     bounds = lines.agg(F.min("full_date").alias("lo"), F.max("full_date").alias("hi"))
     calendar = calendar_between(bounds)
 
+    # dimension keys are NOT NULL (primary keys in the reference)
     products = part.select("sku_id").distinct()
+    supplier = supplier.where(F.col("s_suppkey").isNotNull())
     distributors = (
         supplier.join(nation, supplier.s_nationkey == nation.n_nationkey, "left")
         .join(region, nation.n_regionkey == region.r_regionkey, "left")
