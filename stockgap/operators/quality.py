@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import PRIMARY_KEYS
 from ..sources.warehouse import Warehouse
-from .ledger import stock_ledger_by_date
+from .ledger import ledger_runs
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -117,20 +117,35 @@ def dq_range(wh: Warehouse) -> DataFrame:
     ])
 
 
-def dq_ledger_identity(wh: Warehouse) -> DataFrame:
+def dq_ledger_identity(wh: Warehouse, ledger: DataFrame | None = None) -> DataFrame:
     """Q5: closing = opening + in - out; opening = previous closing; the first
-    day opens at 0; promotions end on or after they start."""
-    led = stock_ledger_by_date(wh)
-    w = Window.partitionBy("distributor_id", "sku_id").orderBy("full_date")
-    prev = F.lag("closing_units").over(w)
+    day opens at 0; promotions end on or after they start.
+
+    Without a stored ``ledger`` the checks run on the run-length form: inside
+    a run every later day opens and closes at the run's closing balance, so
+    only each run's first day and the hand-over between runs can fail, and
+    ``checked_rows`` still counts dense rows."""
     closing_ok = (F.col("closing_units") == F.col("opening_units") + F.col("primary_units")
                   - F.col("secondary_units"))
-    chained = F.coalesce(F.col("opening_units") == prev, F.col("opening_units") == 0)
-    # one pass over the ledger for both checks, then one row per check
-    checked = led.select(closing_ok.alias("_c"), chained.alias("_o"))
-    counts = checked.agg(F.count(F.lit(1)).alias("n"),
-                         F.count_if(~F.col("_c")).alias("closing"),
-                         F.count_if(~F.col("_o")).alias("opening"))
+    if ledger is None:
+        runs = ledger_runs(wh)
+        w = Window.partitionBy("distributor_id", "sku_id").orderBy("from_date")
+        prev = F.lag("closing_units").over(w)
+        checked = runs.select(
+            (F.datediff("to_date", "from_date") + 1).alias("_days"),
+            closing_ok.alias("_c"),
+            F.coalesce(F.col("opening_units") == prev, F.col("opening_units") == 0).alias("_o"))
+        counts = checked.agg(F.sum("_days").cast("bigint").alias("n"),
+                             F.count_if(~F.col("_c")).alias("closing"),
+                             F.count_if(~F.col("_o")).alias("opening"))
+    else:
+        w = Window.partitionBy("distributor_id", "sku_id").orderBy("date_id")
+        prev = F.lag("closing_units").over(w)
+        chained = F.coalesce(F.col("opening_units") == prev, F.col("opening_units") == 0)
+        checked = ledger.select(closing_ok.alias("_c"), chained.alias("_o"))
+        counts = checked.agg(F.count(F.lit(1)).alias("n"),
+                             F.count_if(~F.col("_c")).alias("closing"),
+                             F.count_if(~F.col("_o")).alias("opening"))
     both = counts.select(F.explode(F.array(
         F.struct(F.lit("ledger closing = opening + primary - secondary").alias("check_name"),
                  F.col("n").alias("checked_rows"), F.col("closing").alias("violations")),

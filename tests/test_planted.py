@@ -240,3 +240,22 @@ def test_ledger_runs_round_trip(spark, planted, tmp_path):
     led.materialize_ledger(planted, path, layout="runs")
     stored = led.ledger_from_runs(spark.read.parquet(path))
     assert stored.exceptAll(dense).count() == 0 and stored.count() == dense.count()
+
+
+def test_ledger_checks_runs_and_dense_agree(planted):
+    from pyspark.sql import functions as F
+    dense = led.stock_ledger(planted)
+    a = sorted(tuple(r) for r in dq.dq_ledger_identity(planted).collect())
+    b = sorted(tuple(r) for r in dq.dq_ledger_identity(planted, dense).collect())
+    assert a == b
+    assert sorted(led.ledger_sanity(planted).collect()) == sorted(
+        led.ledger_sanity(planted, dense).collect())
+    assert led.negative_stock(planted).exceptAll(led.negative_stock(planted, dense)).count() == 0
+    # a stored ledger with one corrupted closing balance fails both checks once
+    bad = dense.withColumn("closing_units", F.when(
+        (F.col("distributor_id") == "D01") & (F.col("sku_id") == "SKU001")
+        & (F.col("date_id") == 20230301), F.col("closing_units") + 1)
+        .otherwise(F.col("closing_units")))
+    got = {r.check_name: r.violations for r in dq.dq_ledger_identity(planted, bad).collect()}
+    assert got["ledger closing = opening + primary - secondary"] == 1
+    assert got["ledger opening = previous closing"] == 1
