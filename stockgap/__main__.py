@@ -35,7 +35,7 @@ def _parser() -> argparse.ArgumentParser:
     sub = ap.add_subparsers(dest="cmd", required=True)
     led = sub.add_parser("ledger")
     led.add_argument("--out", required=True)
-    led.add_argument("--layout", choices=["generated", "month"], default="generated")
+    led.add_argument("--layout", choices=["generated", "month", "runs"], default="generated")
     led.add_argument("--scope", choices=["full", "active"], default="full")
     rk = sub.add_parser("risk")
     rk.add_argument("--top", type=int, default=10)
