@@ -22,7 +22,8 @@ from .stuffing import stuffing_counts
 
 def risk_score(wh: Warehouse, p: Params = Params()) -> DataFrame:
     """The fused score, one row per distributor of the dimension."""
-    st = stuffing_counts(wh, p.stuffing)
+    # joined from the distributor dimension below: no need to restrict first
+    st = stuffing_counts(wh, p.stuffing, known_only=False)
     pl = leak_counts(wh, p.leakage)
     rt = drop_moments(wh, p.route).select("distributor_id", "bulk_dumps",
                                           F.col("_s1").alias("total_units"),

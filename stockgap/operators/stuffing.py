@@ -102,8 +102,11 @@ def trailing_sparse(wh: Warehouse, p: StuffingParams = StuffingParams()) -> Data
 
 
 def stuffing_flags(wh: Warehouse, p: StuffingParams = StuffingParams(),
-                   method: str = "auto") -> DataFrame:
-    """Flagged (distributor, month-end day) rows with trailing count and sums."""
+                   method: str = "auto", known_only: bool = True) -> DataFrame:
+    """Flagged (distributor, month-end day) rows with trailing count and sums.
+
+    ``known_only=False`` skips the restriction to the distributor dimension,
+    for callers that join from the dimension anyway."""
     if method == "auto":
         method = "sparse" if p.min_trail > 0 else "dense"
     t = trailing_sparse(wh, p) if method == "sparse" else trailing_dense(wh, p)
@@ -113,6 +116,8 @@ def stuffing_flags(wh: Warehouse, p: StuffingParams = StuffingParams(),
                & value_ge_k_mean(F.col("primary_units"), tp, n, p.ratio))
     # the calendar is bounded by its day count: broadcasting it is safe
     hits = t.join(F.broadcast(month_ends), "full_date", "left_semi").filter(flagged)
+    if not known_only:
+        return hits
     # keep distributors of the dimension only, as the dense spine does
     return hits.join(wh.dist_keys(), "distributor_id", "left_semi")
 
@@ -134,7 +139,7 @@ def channel_stuffing(wh: Warehouse, p: StuffingParams = StuffingParams(),
 
 
 def stuffing_counts(wh: Warehouse, p: StuffingParams = StuffingParams(),
-                    method: str = "auto") -> DataFrame:
+                    method: str = "auto", known_only: bool = True) -> DataFrame:
     """Flagged month-ends per distributor (only distributors with flags)."""
-    return (stuffing_flags(wh, p, method).groupBy("distributor_id")
+    return (stuffing_flags(wh, p, method, known_only).groupBy("distributor_id")
             .agg(F.count(F.lit(1)).alias("spike_days")))
