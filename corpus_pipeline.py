@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockgap.llm import line_dedup, quality, simhash
+from stockgap.llm import bpe, line_dedup, mixing, quality, simhash
 from stockgap.llm.common import staged, table, text_of
+from stockgap.llm.queries import VOCABULARY
 
 #: no SQL: the classifier and the tokenizer cannot be expressed; see tests/llm/test_pipeline.py
 ORACLE_SQL = None
@@ -35,10 +36,25 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return simhash.one_per_group(docs)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sample documents to the raked source, language and topic weights."""
+    return mixing.mix(docs)
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, lang, source, n_tokens, ids, text) of each document; the text
+    is the one its ids decode to."""
+    tokens = bpe.tokenize(docs, VOCABULARY, keep=("lang", "source"))
+    return tokens.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                         F.col("decoded").alias("text"))
+
+
 STAGES = [
     ("quality_classifier", classify_quality),
     ("line_dedup", drop_boilerplate_lines),
     ("simhash_near_dedup", drop_near_duplicates),
+    ("mixing", mix_sources),
+    ("bpe", encode_tokens),
 ]
 
 

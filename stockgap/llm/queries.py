@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality, simhash
+from . import bpe, line_dedup, mixing, quality, simhash
 from .common import staged, table
 
+#: the public vocabulary file of the BPE query; a parameter of the operator
+VOCABULARY = os.environ.get("STOCKGAP_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), details=True)
+    return drawn.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"),
+                        "topic", "n_tokens", F.round("probability", 9).alias("probability"))
+
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -30,13 +40,20 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.tokenize(table(spark, sf_dir, "documents"), VOCABULARY))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mixing": op2_mixing,
     "op6_simhash": op6_simhash,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality": op8_quality,
+    "op9_bpe": op9_bpe,
 }
 
 ORACLE: dict[str, str] = {
+    "op2_mixing": mixing.oracle(),
     "op7_line_dedup": """
         WITH lines AS (
             SELECT doc_id, coalesce(source, '') AS site, pos, trim(line) AS line, raw
