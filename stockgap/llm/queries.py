@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, mixing, quality, simhash
+from . import ann, bpe, line_dedup, mixing, quality, secrets, simhash
 from .common import staged, table
 
 #: the public vocabulary file of the BPE query; a parameter of the operator
@@ -21,6 +21,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "topic", "n_tokens", F.round("probability", 9).alias("probability"))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
@@ -44,12 +48,19 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.tokenize(table(spark, sf_dir, "documents"), VOCABULARY))
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20).select(
+        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
+    "op3_secrets": op3_secrets,
     "op6_simhash": op6_simhash,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
+    "op10_nearest": op10_nearest,
 }
 
 ORACLE: dict[str, str] = {
