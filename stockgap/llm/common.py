@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +53,18 @@ def text_of(col: str | Column = "text") -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The groups of a stream of batches sorted by ``keys``, whole, one by one
+    (for groups of bounded size)."""
+    rest = None
+    for b in batches:
+        b = b if rest is None else pd.concat([rest, b], ignore_index=True)
+        key = b[keys].to_numpy()
+        cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist()]
+        for i, j in zip(cuts, cuts[1:]):
+            yield b.iloc[i:j]
+        rest = b.iloc[cuts[-1]:]
+    if rest is not None and len(rest):
+        yield rest
