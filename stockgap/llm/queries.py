@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, line_dedup, mixing, neighbours, quality, secrets, simhash
+from . import ann, bpe, html, line_dedup, mixing, neighbours, quality, secrets, simhash
 from .common import staged, table
 
 #: the public vocabulary file of the BPE query; a parameter of the operator
@@ -25,6 +25,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
     return found.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
@@ -61,6 +65,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_secrets": op3_secrets,
+    "op4_html": op4_html,
     "op5_neighbours": op5_neighbours,
     "op6_simhash": op6_simhash,
     "op7_line_dedup": op7_line_dedup,
