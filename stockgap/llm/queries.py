@@ -8,13 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html, line_dedup, mixing, neighbours, quality, secrets, simhash
+from . import ann, bpe, html, licenses, line_dedup, mixing, neighbours, quality, secrets, simhash
 from .common import staged, table
 
 #: the public vocabulary file of the BPE query; a parameter of the operator
 VOCABULARY = os.environ.get("STOCKGAP_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).withColumn("coverage", F.round("coverage", 6))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), details=True)
     return drawn.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"),
@@ -63,6 +67,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": op1_licenses,
     "op2_mixing": op2_mixing,
     "op3_secrets": op3_secrets,
     "op4_html": op4_html,
