@@ -10,7 +10,8 @@ A template becomes a candidate at a diagonal (document word minus template
 word) where enough of its fingerprints meet; there the words are aligned
 within a band (match +2, mismatch and gap -1, best local alignment).  What
 covers at least ``COVERAGE`` of the template's words is reported with its
-span.  A match inside the span of one with more matched words is not.
+span.  A match inside the span of one with more matched words (or as many,
+and a higher coverage) is not.
 """
 
 from __future__ import annotations
@@ -202,7 +203,7 @@ def matches(text: str, index: Index, coverage: float = COVERAGE) -> list[tuple[s
             at += int(inside[at])
     if not found:
         return []
-    found.sort(key=lambda x: (-x[0], x[1], x[3]))
+    found.sort(key=lambda x: (-x[0], len(index.words[x[3]]), x[1], x[3]))
     kept: list[tuple[int, int, int, int]] = []
     for x in found:
         if not any(k[1] <= x[1] and x[2] <= k[2] for k in kept):

@@ -17,6 +17,7 @@ import math
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import staged, text_of
 
@@ -62,7 +63,7 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MI
         near.join(exact, _KEY).select(*_KEY, "first"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _without(text: pd.Series, drop: pd.Series) -> pd.Series:
     def one(t, d):
         if t is None or d is None:

@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import text_of
 
@@ -68,7 +69,7 @@ def text_stats(text: str) -> list[float]:
             np.log1p(n / len(lines)) / 5, len(set(lines)) / len(lines), pairs]
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def stats_of(texts: pd.Series) -> pd.Series:
     return texts.map(text_stats)
 

@@ -24,6 +24,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import staged, text_of
 
@@ -40,8 +41,15 @@ AROUND = 256  # characters of surroundings on each side
 N_IDENTIFIERS = 4096
 MIN_RATIO = 0.7
 MIN_CLASSES = 2
-_SPAN = "struct<kind:string,start:int,end:int,text:string>"
-_CAND = "struct<start:int,end:int,before:string,text:string,after:string>"
+
+
+def _spans(**fields: T.DataType) -> T.ArrayType:
+    return T.ArrayType(T.StructType([T.StructField(k, v) for k, v in fields.items()]))
+
+
+_BASE = _spans(kind=T.StringType(), start=T.IntegerType(), end=T.IntegerType(), text=T.StringType())
+_CANDIDATES = _spans(start=T.IntegerType(), end=T.IntegerType(), before=T.StringType(), text=T.StringType(), after=T.StringType())
+_NOVEL = _spans(kind=T.StringType(), start=T.IntegerType(), end=T.IntegerType(), text=T.StringType(), marginal_bytes=T.IntegerType())
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -69,7 +77,7 @@ def candidates(text: str, base: Iterable[tuple[str, int, int, str]]) -> list[tup
     return sorted(out.values())
 
 
-@F.pandas_udf(f"base array<{_SPAN}>, cand array<{_CAND}>")
+@F.pandas_udf(T.StructType([T.StructField("base", _BASE), T.StructField("cand", _CANDIDATES)]))
 def scan_udf(texts: pd.Series) -> pd.DataFrame:
     base = [base_spans(t) for t in texts]
     return pd.DataFrame({"base": base, "cand": [candidates(t, b) for t, b in zip(texts, base)]})
@@ -105,7 +113,7 @@ def find_secrets(docs: DataFrame, min_ratio: float = MIN_RATIO) -> DataFrame:
     scanned = staged(docs.select(docs["doc_id"].alias("doc_id"), scan_udf(text_of(docs["text"])).alias("x")).select("doc_id", "x.*"))
     names = identifiers(scanned)
 
-    @F.pandas_udf("array<struct<kind:string,start:int,end:int,text:string,marginal_bytes:int>>")
+    @F.pandas_udf(_NOVEL)
     def judge(cands: pd.Series) -> pd.Series:
         novelty = Novelty(names)
         out = []
@@ -115,7 +123,7 @@ def find_secrets(docs: DataFrame, min_ratio: float = MIN_RATIO) -> DataFrame:
         return pd.Series(out, dtype=object)
 
     return scanned.select("doc_id", "base", F.when(F.size("cand") > 0, judge("cand")).otherwise(
-        F.expr("array()").cast("array<struct<kind:string,start:int,end:int,text:string,marginal_bytes:int>>")).alias("novel"))
+        F.array().cast(_NOVEL)).alias("novel"))
 
 
 def joined(spans: Column) -> Column:
