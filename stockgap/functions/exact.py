@@ -56,12 +56,14 @@ def mean_ge_k_mean(t1, n1, t2, n2, k: Fraction) -> Column:
 
 
 def idiv(a, b) -> Column:
-    """Integral division (truncates; equals floor for non-negative inputs)."""
-    return F.call_function("div", _c(a), _c(b))
+    """``floor(a / b)`` of non-negative wide integers, exact over the whole
+    38 digits (the ``div`` operator returns a bigint and would overflow)."""
+    a, b = _wide(a), _wide(b)
+    return ((a - a % b) / b).cast("decimal(38,0)")
 
 
 def round_ratio(num, den, digits: int = 0) -> Column:
-    """Round the non-negative ratio ``num/den`` half away from zero.
+    """Round the ratio ``num/den`` (``den > 0``) half away from zero.
 
     ``digits=0`` gives a bigint, ``digits>0`` a double equal to an integer
     divided by ``10**digits`` (so two engines produce the same IEEE value).
@@ -69,38 +71,35 @@ def round_ratio(num, den, digits: int = 0) -> Column:
     """
     scale = 10 ** digits
     den_wide = F.nullif(_wide(den), F.lit(0).cast("decimal(38,0)"))
-    q = idiv(_wide(num) * (2 * scale) + den_wide, den_wide * 2)
+    size = idiv(F.abs(_wide(num)) * (2 * scale) + den_wide, den_wide * 2)
+    q = F.when(_c(num) < 0, -size).otherwise(size)
     if digits == 0:
-        return q
+        return q.cast("bigint")
     return q.cast("double") / F.lit(float(scale))
 
 
-# Exact square-root rounding is used while its integer operands stay far
-# inside decimal(38): up to this many observations per group.
-MAX_EXACT_SQRT_N = 1_000_000
+def round_sqrt(quad, digits: int = 1) -> Column:
+    """``sqrt(x)`` rounded half away from zero to ``digits``, exactly, given
+    the wide integer ``quad = floor(4 * 100**digits * x)``; NULL for NULL.
 
+    With ``s = 10**digits`` the rounded value is ``k / s`` for the largest
+    ``k`` with ``(2k - 1)^2 <= 4 s^2 x``; the left side is an integer, so the
+    floor decides it.  A double estimate of ``k`` is corrected by one step.
+    """
+    q = _wide(quad)
+    est = F.floor((F.sqrt(q.cast("double")) + 1) / 2).cast("bigint")
 
-def round_sqrt_ratio(num, den, digits: int = 1, exact_if: Column | None = None) -> Column:
-    """``sqrt(num / den)`` rounded half away from zero, for integers
-    ``num >= 0``, ``den > 0``; NULL when ``den`` is 0 or NULL.
+    def odd_square(k):
+        return (F.lit(2) * k - 1).cast("decimal(19,0)") * (F.lit(2) * k - 1).cast("decimal(19,0)")
 
-    A double estimate ``k`` of ``sqrt(num/den) * 10^d`` is corrected by one
-    step using the exact test ``(2k-1)^2 den <= 4 * 100^d * num < (2k+1)^2 den``
-    (``k`` is right iff that holds), so ties such as 0.15 round up as exact
-    decimal arithmetic does.  Where ``exact_if`` is false the double estimate
-    is returned as is.
-    """
-    scale = 10 ** digits
-    q = _wide(num) * (4 * scale * scale)
-    d = F.nullif(_wide(den), F.lit(0).cast("decimal(38,0)"))
-    est = F.floor(F.sqrt(_c(num).cast("double") / d.cast("double")) * F.lit(float(scale))
-                  + F.lit(0.5)).cast("bigint")
+    k = (F.when((est > 0) & (odd_square(est) > q), est - 1)
+         .when(odd_square(est + 1) <= q, est + 1).otherwise(est))
+    return k.cast("double") / F.lit(float(10 ** digits))
 
-    def sq(k):  # (2k+1)^2 as an exact wide integer
-        return (F.lit(2) * k + 1).cast("decimal(38,0)") * (F.lit(2) * k + 1).cast("decimal(38,0)")
 
-    too_high = (est > 0) & (sq(est - 1) * d > q)       # (2k-1)^2 den > 4s^2 num
-    too_low = sq(est) * d <= q                          # 4s^2 num >= (2k+1)^2 den
-    fixed = F.when(too_high, est - 1).when(too_low, est + 1).otherwise(est)
-    k = fixed if exact_if is None else F.when(exact_if, fixed).otherwise(est)
-    return k.cast("double") / F.lit(float(scale))
+def round_sqrt_ratio(num, den, digits: int = 1) -> Column:
+    """``sqrt(num / den)`` rounded half away from zero, for integers
+    ``num >= 0``, ``den > 0``; NULL when ``den`` is 0 or NULL.  Exact while
+    ``4 * 100**digits * num`` has at most 38 digits."""
+    d = F.nullif(_wide(den), F.lit(0).cast("decimal(38,0)"))
+    return round_sqrt(idiv(_wide(num) * (4 * 100 ** digits), d), digits)

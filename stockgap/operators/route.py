@@ -14,22 +14,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exact import MAX_EXACT_SQRT_N, _wide, round_ratio, round_sqrt_ratio
+from ..functions.exact import _wide, idiv, round_ratio, round_sqrt, round_sqrt_ratio
 from ..params import OK_VERDICT, ROUTE_FALSIFIED, ROUTE_SUSPECT, RouteParams
 from ..sources.warehouse import Warehouse
 
 
 def drop_moments(wh: Warehouse, p: RouteParams = RouteParams()) -> DataFrame:
-    """Raw per-distributor aggregates: n, sum, sum of squares, max, bulk."""
+    """Raw per-distributor aggregates: n, sum, sum of squares, max, bulk.
+
+    The squares are summed in two parts (above and below 2^16), which stay
+    bigints where their whole sum would overflow one."""
     q = F.col("qty_units")
     bulk = q >= p.bulk_units
-    return wh.drop_sizes.groupBy("distributor_id").agg(
+    sums = wh.drop_sizes.groupBy("distributor_id").agg(
         F.count(F.lit(1)).alias("total_drops"),
         F.sum(q).cast("bigint").alias("_s1"),
-        F.sum(q * q).cast("bigint").alias("_s2"),
+        F.sum(F.shiftright(q * q, 16)).alias("_high"),
+        F.sum((q * q).bitwiseAND(F.lit(0xFFFF))).alias("_low"),
         F.max(q).alias("max_drop_units"),
         F.count_if(bulk).alias("bulk_dumps"),
         F.coalesce(F.sum(F.when(bulk, q)), F.lit(0)).cast("bigint").alias("_bulk_s"))
+    return sums.withColumn("_s2", _wide(F.col("_high")) * (1 << 16) + _wide(F.col("_low"))).drop("_high", "_low")
 
 
 def bulk_stores(wh: Warehouse, p: RouteParams = RouteParams()) -> DataFrame:
@@ -44,16 +49,19 @@ def _with_stats(m: DataFrame) -> DataFrame:
 
     With ``var = num / (n(n-1))``, ``num = n*s2 - s1^2``:
     ``std = sqrt(num / (n(n-1)))`` and, for ``A = n*max - s1``,
-    ``z = (max - mean) / std = sqrt(A^2 (n-1) / (n * num))``; both are
-    rounded exactly from these integers (see ``round_sqrt_ratio``).
+    ``z = (max - mean) / std = sqrt(A^2 (n-1) / (n * num))``.  Both are
+    rounded exactly from integers, by one path for every n: with
+    ``Q = 400 A^2`` the floor that ``round_sqrt`` needs is
+    ``floor((Q - ceil(Q / n)) / num)``, so nothing larger than ``Q`` and
+    ``400 num`` is ever formed (38 digits hold 10^12 drops of 10^5 units).
     """
     n, s1, s2, mx = F.col("total_drops"), F.col("_s1"), F.col("_s2"), F.col("max_drop_units")
     num = _wide(n) * _wide(s2) - _wide(s1) * _wide(s1)
     a = _wide(n) * _wide(mx) - _wide(s1)
-    exact = n <= MAX_EXACT_SQRT_N
-    std = F.when(n > 1, round_sqrt_ratio(num, _wide(n) * (_wide(n) - 1), 1, exact))
+    std = F.when(n > 1, round_sqrt_ratio(num, _wide(n) * (_wide(n) - 1), 1))
+    quad = a * a * 400
     z = F.when((n > 1) & (num > 0),
-               round_sqrt_ratio(a * a * (_wide(n) - 1), _wide(n) * num, 1, exact))
+               round_sqrt(idiv(quad - idiv(quad + _wide(n) - 1, n), F.when(num > 0, num)), 1))
     return m.select(
         "*",
         round_ratio(s1, n, 1).alias("avg_drop_units"),
