@@ -26,12 +26,14 @@ import pandas as pd
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from .common import shuffle_partitions, text_of
 
-LEAF = 1 << 14
+LEAF = 1 << 16
 WINDOW = 64
+SLICE = 512
 
 
 #: fixed value: the split pattern of byte-level BPE vocabularies (the tokenizers library's ByteLevel)
@@ -48,13 +50,11 @@ def _byte_of_char() -> dict[str, int]:
 
 def load(path: str) -> dict:
     """What a task needs of a byte-level BPE vocabulary file: ``ranks``
-    (token bytes -> id, merged in the order of the ids), ``special`` (text ->
-    id) and the ``tokenizer`` for decoding."""
+    (token bytes -> id, merged in the order of the ids) and ``special`` (text
+    -> id)."""
     with open(path, encoding="utf-8") as f:
         text = f.read()
     t = Tokenizer.from_str(text)
-    t.no_truncation()
-    t.no_padding()
     special = {a.content: i for i, a in t.get_added_tokens_decoder().items()}
     byte = _byte_of_char()
     ranks = {bytes(map(byte.__getitem__, k)): i for k, i in t.get_vocab(with_added_tokens=False).items() if k not in special}
@@ -62,25 +62,25 @@ def load(path: str) -> dict:
     merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
     if merged != sorted(merged):
         raise ValueError(f"{path}: the merges are not in the order of the ids")
-    return {"ranks": ranks, "special": special, "tokenizer": t}
+    return {"ranks": ranks, "special": special}
 
 
 class Codec:
-    """Encodes with the vocabulary's ranks, decodes with its tokenizer."""
+    """Encodes with the vocabulary's ranks, decodes with its tokens' bytes."""
 
-    def __init__(self, ranks: dict[bytes, int], special: dict[str, int], tokenizer: Tokenizer):
+    def __init__(self, ranks: dict[bytes, int], special: dict[str, int]):
         self.encoding = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
-        self.special, self.tokenizer = special, tokenizer
-        known = {**ranks, **{k.encode(): i for k, i in special.items()}}
-        self.width = np.zeros(max(known.values()) + 1, np.int64)
-        self.width[list(known.values())] = list(map(len, known))
+        self.special = special
+        known = {i: k for k, i in {**ranks, **{k.encode(): i for k, i in special.items()}}.items()}
+        self.bytes = [known.get(i, b"") for i in range(max(known) + 1)]
+        self.width = np.array(list(map(len, self.bytes)), np.int64)
         if not all(c.encode() in ranks for c in ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")):
             raise ValueError("a contraction of the split pattern is not a token")
         #: bytes that a cut may influence to its left: three characters, or a special token
         self.guard = max(12, *map(len, map(str.encode, special))) if special else 12
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(self.encoding.encode(t, allowed_special="all"), np.int32) for t in texts]
+        return [self.encoding.encode_to_numpy(t, allowed_special="all").astype(np.int32) for t in texts]
 
     def halves(self, text: str, leaf: int) -> list[str]:
         """``text`` halved until no part is longer than ``leaf``; a cut never
@@ -98,7 +98,7 @@ class Codec:
         return [text[i:j] for i, j in zip(cuts, [*cuts[1:], len(text)])]
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
-        return self.tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
+        return [b"".join(map(self.bytes.__getitem__, x.tolist())).decode("utf-8", "replace") for x in ids]
 
     def _keys(self, ids: np.ndarray, start: int) -> np.ndarray:
         """One number per token for its first byte and its id."""
@@ -154,14 +154,16 @@ def tokenize(docs: DataFrame, vocabulary_path: str, leaf: int = LEAF, window: in
     def codec() -> Codec:
         known = shared.value
         if "codec" not in known:  # the broadcast lives as long as the Python worker
-            known["codec"] = Codec(known["ranks"], known["special"], known["tokenizer"])
+            known["codec"] = Codec(known["ranks"], known["special"])
         return known["codec"]
 
-    @F.pandas_udf("ids array<int>, decoded string")
-    def whole(texts: pd.Series) -> pd.DataFrame:
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = codec()
-        ids = c.encode(texts.tolist())
-        return pd.DataFrame({"ids": ids, "decoded": c.decode(ids)})
+        for b in batches:
+            for at in range(0, len(b), SLICE):  # ids and texts of a few rows at a time
+                own = b[at: at + SLICE].copy()
+                ids = c.encode(own.pop("text").tolist())
+                yield own.assign(ids=ids, decoded=c.decode(ids))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = codec()
@@ -188,7 +190,8 @@ def tokenize(docs: DataFrame, vocabulary_path: str, leaf: int = LEAF, window: in
         return pd.DataFrame({"h1": group.h1[:1].to_numpy(), "h2": group.h2[:1].to_numpy(), "ids": [ids], "decoded": c.decode([ids])})
 
     rows = docs.select(docs["doc_id"].alias("doc_id"), *[docs[c].alias(c) for c in keep], text_of(docs["text"]).alias("text"))
-    short = rows.where(F.length("text") <= leaf).withColumn("x", whole("text")).select("doc_id", *keep, "x.ids", "x.decoded")
+    carried = T.StructType(rows.drop("text").schema.fields).add("ids", T.ArrayType(T.IntegerType())).add("decoded", T.StringType())
+    short = rows.where(F.length("text") <= leaf).mapInPandas(whole, carried)
     long = rows.where(F.length("text") > leaf).withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), "text")})
     dealt = long.select("h1", "h2", "text").mapInPandas(cut, "h1 long, h2 long, i int, part string").repartition(
         shuffle_partitions(docs.sparkSession), "h1", "h2", "i").sortWithinPartitions("h1", "h2", "i")
