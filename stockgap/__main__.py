@@ -3,6 +3,7 @@
   ledger   materialize the stock ledger as parquet
   risk     print the ranked risk list
   export   write the dashboard extracts as CSV
+  rebuild  write all tables and the ledger as parquet
   check    print the data-quality reports
 
 Input is either the TPC-H-shaped parquet tables (``--tables DIR``) or the
@@ -14,12 +15,15 @@ from __future__ import annotations
 
 import argparse
 
+import datetime as dt
+
 from pyspark.sql import SparkSession
 
 from . import params as P
 from .operators import ledger, quality, reports, risk
-from .session import ensure_checkpoint_dir, local_session
+from .session import dense_partitions, local_session, scratch_path
 from .sources.bindings import bind_driver_tables
+from .sources.csv_io import write_table
 from .sources.reference import bind_reference_tables, load_reference_csvs
 
 
@@ -35,20 +39,28 @@ def _parser() -> argparse.ArgumentParser:
     sub = ap.add_subparsers(dest="cmd", required=True)
     led = sub.add_parser("ledger")
     led.add_argument("--out", required=True)
-    led.add_argument("--layout", choices=["generated", "month", "runs"], default="generated")
+    led.add_argument("--layout", choices=["generated", "month", "runs"], default="runs")
     led.add_argument("--scope", choices=["full", "active"], default="full")
     rk = sub.add_parser("risk")
     rk.add_argument("--top", type=int, default=10)
     ex = sub.add_parser("export")
     ex.add_argument("--out", required=True)
-    sub.add_parser("check")
+    ex.add_argument("--stuffer", help="distributor of the series (default: most stuffing flags)")
+    ex.add_argument("--hoarder", nargs=2, metavar=("DISTRIBUTOR", "SKU"),
+                    help="pair of the sales series (default: the first leaked one)")
+    ex.add_argument("--from", dest="start", type=dt.date.fromisoformat, help="first day of the pair series")
+    ex.add_argument("--to", dest="end", type=dt.date.fromisoformat, help="last day of the pair series")
+    ex.add_argument("--dumper", help="distributor of the drop sizes (default: most bulk drops)")
+    rb = sub.add_parser("rebuild", help="write dimensions, facts and ledger as parquet, replacing earlier ones")
+    rb.add_argument("--out", required=True)
+    ck = sub.add_parser("check")
+    ck.add_argument("--ledger", help="stored ledger to check (default: one is written first)")
     return ap
 
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = local_session(args.local) if args.local else SparkSession.builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
     if args.tables:
         wh = bind_driver_tables(spark, args.tables)
         params = P.REFERENCE if args.params == "reference" else P.DRIVER
@@ -57,21 +69,39 @@ def main(argv: list[str] | None = None) -> None:
         params = P.DRIVER if args.params == "driver" else P.REFERENCE
 
     if args.cmd == "ledger":
+        if args.layout != "runs":  # dense rows: size the generating tasks by what they make
+            lo, hi = wh.span().first()
+            pairs = wh.dist_keys().count() * wh.products.select("sku_id").distinct().count()
+            parts = dense_partitions(pairs, (hi - lo).days + 1)
+            spark.conf.set("spark.sql.shuffle.partitions",
+                           str(max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))))
         ledger.materialize_ledger(wh, args.out, layout=args.layout, scope=args.scope)
         print(f"ledger written to {args.out}")
     elif args.cmd == "risk":
         risk.risk_top(risk.risk_score(wh, params), args.top).show(args.top, truncate=False)
     elif args.cmd == "export":
-        for name, path in reports.export_dashboard_extracts(spark, wh, args.out, params).items():
+        hoarder = args.hoarder and dict(distributor_id=args.hoarder[0], sku_id=args.hoarder[1],
+                                        start=args.start, end=args.end)
+        for name, path in reports.export_dashboard_extracts(
+                spark, wh, args.out, params, args.stuffer, hoarder, args.dumper).items():
             print(f"{name}: {path}")
+    elif args.cmd == "rebuild":
+        for name, df in wh.raw.items():
+            write_table(df, f"{args.out}/{name}")
+        ledger.materialize_ledger(wh, f"{args.out}/ledger")
+        print(f"{len(wh.raw)} tables and the ledger written to {args.out}")
     elif args.cmd == "check":
         if args.csv:
             reports_ = list(quality.reference_quality(wh).values())
         else:
             reports_ = [job(wh) for job in (quality.dq_duplicate_keys, quality.dq_null_counts,
                                             quality.dq_orphans, quality.dq_range)]
-        for df in reports_ + [quality.dq_ledger_identity(wh)]:
-            df.show(100, truncate=False)
+        path = args.ledger
+        if not path:
+            path = scratch_path(spark, "ledger")
+            ledger.materialize_ledger(wh, path)
+        for df in reports_ + [quality.dq_ledger_identity(wh, spark.read.parquet(path))]:
+            df.show(df.count(), truncate=False)  # a row per check: bounded by the schema
 
 
 if __name__ == "__main__":

@@ -28,8 +28,3 @@ def day_number(d: Column) -> Column:
 def day_span(lo: Column, hi: Column) -> Column:
     """Number of days in the closed range ``[lo, hi]``; 0 when empty."""
     return F.greatest(F.datediff(hi, lo) + 1, F.lit(0))
-
-
-def days_between(d: Column, lo: Column, hi: Column) -> Column:
-    """``lo <= d <= hi`` on dates (inclusive, like SQL BETWEEN)."""
-    return (d >= lo) & (d <= hi)

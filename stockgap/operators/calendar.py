@@ -36,16 +36,28 @@ def calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     return calendar_between(bounds)
 
 
-def calendar_range(wh) -> tuple[dt.date | None, dt.date | None]:
-    """First and last day of the warehouse's calendar, probed once per
-    warehouse (two dates reach the driver, as a loaded date table would)."""
-    def probe():
-        r = wh.calendar.agg(F.min("full_date").alias("lo"), F.max("full_date").alias("hi")).first()
-        return (r.lo, r.hi)
-    return wh.once("calendar_range", probe)
-
-
-def calendar_bounds(wh) -> tuple[Column, Column]:
-    """First and last day as date literals (see :func:`calendar_range`)."""
-    lo, hi = calendar_range(wh)
-    return F.lit(lo).cast("date"), F.lit(hi).cast("date")
+def calendar_bounds(wh, daily: DataFrame | None = None) -> tuple[Column, Column]:
+    """First and last day of the calendar, as scalar subqueries of the plan
+    that uses them: new days show up without a new binding.
+
+    ``daily`` is the roll-up the caller reads anyway.  Where the calendar
+    spans the facts by construction, the bounds are those of the roll-up; the
+    subquery names all its columns, so it is the same aggregate and Spark
+    reuses its exchange instead of scanning the facts again.
+    """
+    if daily is None or not wh.calendar_spans_facts:
+        pick = wh.span().select(F.struct("lo", "hi").alias("b")).scalar()
+        return pick["lo"], pick["hi"]
+    row = F.struct("full_date", *[c for c in daily.columns if c != "full_date"])
+    # the count keeps Spark from dropping a roll-up without sums below min and max
+    pick = daily.agg(F.min(row).alias("lo"), F.max(row).alias("hi"), F.count(F.lit(1)).alias("n")).select(
+        F.struct(F.col("lo.full_date").alias("lo"), F.col("hi.full_date").alias("hi"), "n").alias("b")).scalar()
+    return pick["lo"], pick["hi"]
+
+
+def in_calendar(df: DataFrame, wh, daily: DataFrame | None = None) -> DataFrame:
+    """The rows of ``df`` whose ``full_date`` is a calendar day."""
+    if wh.calendar_spans_facts:
+        return df
+    lo, hi = calendar_bounds(wh, daily)
+    return df.filter((F.col("full_date") >= lo) & (F.col("full_date") <= hi))

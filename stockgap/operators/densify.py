@@ -33,7 +33,7 @@ def day_runs(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
              lo: Column, hi: Column, anchors: DataFrame | None = None,
              opening: tuple[str, Column] | None = None,
              carry: Sequence[str] = (), history_from: Column | None = None,
-             partitions: int | None = None) -> DataFrame:
+             partitions: int | None = None, in_range: bool = False) -> DataFrame:
     """The dense series of :func:`densify` in run-length form.
 
     One row per key and run ``[from_date, to_date]``: the values apply to
@@ -47,13 +47,14 @@ def day_runs(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
     d = F.col("full_date")
     start = lo if history_from is None else history_from
     kind = F.when(d >= lo, F.lit(EVENT)).otherwise(F.lit(HISTORY))
-    rows = (sparse.select(*keys, *carry, "full_date", *values)
-            .filter((d >= start) & (d <= hi))
-            .select("*", kind.alias("_kind")))
+    rows = sparse.select(*keys, *carry, "full_date", *values)
+    if not in_range:
+        rows = rows.filter((d >= start) & (d <= hi))
+    rows = rows.select("*", kind.alias("_kind"))
     if anchors is not None:
         rows = rows.unionByName(anchors.select(
             *keys, *carry, F.date_sub(lo, 1).alias("full_date"),
-            *[F.lit(0).cast("bigint").alias(v) for v in values],
+            *[(F.col(v) if v in anchors.columns else F.lit(0)).cast("bigint").alias(v) for v in values],
             F.lit(ANCHOR).alias("_kind")))
 
     if partitions is None:
@@ -111,13 +112,15 @@ def densify(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
             lo: Column, hi: Column, anchors: DataFrame | None = None,
             opening: tuple[str, Column] | None = None,
             carry: Sequence[str] = (), history_from: Column | None = None,
-            partitions: int | None = None) -> DataFrame:
+            partitions: int | None = None, in_range: bool = False) -> DataFrame:
     """Expand ``sparse`` (keys, full_date, values; one row per key-day) to
     every day in ``[lo, hi]``.
 
     lo, hi        range bounds; scalar columns, or expressions over ``carry``
     anchors       keys (+ carry) to emit in full; ``None`` emits only keys
-                  present in ``sparse`` (from their first day in range on)
+                  present in ``sparse`` (from their first day in range on).
+                  Value columns it has are movements of the day before the
+                  range (an opening balance)
     opening       ``(name, net)``: adds ``name`` = sum of ``net`` over all
                   earlier days (the running balance before the day); ``net``
                   is an expression over the value columns
@@ -126,9 +129,12 @@ def densify(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
     history_from  movements in ``[history_from, lo)`` count towards
                   ``opening`` but are not emitted (default: none)
     partitions    tasks that generate the dense rows (default: the session's
-                  shuffle partitions; not coalesced by AQE)
+                  shuffle partitions; not coalesced by AQE).  See
+                  :func:`stockgap.session.dense_partitions`
+    in_range      no row of ``sparse`` lies outside the range
     Quiet days carry 0 in every value column.
     """
     runs = day_runs(sparse, keys, values, lo, hi, anchors=anchors, opening=opening,
-                    carry=carry, history_from=history_from, partitions=partitions)
+                    carry=carry, history_from=history_from, partitions=partitions,
+                    in_range=in_range)
     return expand_runs(runs, keys, values, opening=opening, carry=carry)

@@ -1,9 +1,9 @@
-"""Key sets: every row of a large dimension paired with every row of a small one.
+"""Key sets: every row of one dimension paired with every row of another.
 
-The small side (products, promotions) is size-checked.  Below the bound it
-is inlined into the plan as one array (a scalar subquery, evaluated once)
-and exploded next to each large-side row: no join and no shuffle.  Above
-the bound an exact bucketed equi-join is used instead.
+One plan for every size: a grid equi-join.  Rows of either side are dealt to
+``GRID`` buckets and copied to all buckets of the other side, so each of the
+``GRID * GRID`` cells joins a share of one with a share of the other; no cell
+holds a whole side.  A side that Spark measures to be small is broadcast.
 """
 
 from __future__ import annotations
@@ -13,21 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_INLINE_ROWS = 10_000
-BUCKETS = 64
+GRID = 16
 
 
-def attach_all(large: DataFrame, small: DataFrame, cols: Sequence[str],
-               max_inline: int = MAX_INLINE_ROWS, size: int | None = None) -> DataFrame:
-    """``large`` x ``small[cols]`` (all combinations), small side checked.
-
-    ``size`` is the small side's row count when already known."""
+def attach_all(large: DataFrame, small: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Every row of ``large`` with every row of ``small[cols]``."""
     cols = list(cols)
-    small = small.select(*cols)
-    if (small.count() if size is None else size) <= max_inline:
-        arr = small.agg(F.sort_array(F.collect_list(F.struct(*cols)))).scalar()
-        return large.select("*", F.explode(arr).alias("_s")).select(
-            *large.columns, *[F.col(f"_s.{c}").alias(c) for c in cols])
-    bucketed = small.withColumn("_b", F.pmod(F.hash(*cols), F.lit(BUCKETS)))
-    fanned = large.select("*", F.explode(F.sequence(F.lit(0), F.lit(BUCKETS - 1))).alias("_b"))
-    return fanned.join(bucketed, "_b").drop("_b")
+    share = lambda names: F.pmod(F.xxhash64(*names), F.lit(GRID)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(GRID - 1)))
+    a = large.select("*", share(large.columns).alias("_a")).select("*", every.alias("_b"))
+    b = small.select(*cols).select("*", share(cols).alias("_b")).select("*", every.alias("_a"))
+    return a.join(b, ["_a", "_b"]).select(*large.columns, *cols)

@@ -6,14 +6,16 @@ before, the promotion, post after), reads the stock at the promotion's last
 day, and calls it leakage when promotion sales collapse while the baseline
 was active and post-promotion sales jump.
 
-Spine-free plan: window means are ``sum / days``, where the sum comes from
-movement days only and the day count from calendar arithmetic; the stock at
-the promotion's end is the net of all movements up to it.  One aggregation
-of the promoted SKUs' movement rows (plus one zero row per distributor and
-promotion, so that quiet distributors appear as in the dense ledger) yields
-every statistic; no dense rows and no join from the dimension.
-
-Promotions sharing a SKU are kept apart (grouped by promotion, quirk K2).
+Spine-free plan: the promoted SKUs' movements are rolled up per day first.
+The cumulative sums that the windows need are those at a few cut days per
+promotion (:func:`balances_at`): the cut days join the daily rows of their
+(distributor, SKU) as probe rows of one running window, whatever the number
+of promotions.  Window sums are differences of cumulative sums, day counts
+are calendar arithmetic, and the stock at the promotion's end is the net
+balance there.  Rows entering the window are daily rows plus four probes per
+distributor and promotion; no fact line is ever multiplied by promotions.
+
+Promotions sharing a SKU are kept apart (``promotion_id`` is a column).
 """
 
 from __future__ import annotations
@@ -25,16 +27,14 @@ from ..functions.dates import date_key, day_span
 from ..functions.exact import mean_ge, mean_ge_k_mean, mean_le_k_mean, round_ratio
 from ..params import LEAK_VERDICT, OK_VERDICT, LeakageParams
 from ..sources.warehouse import Warehouse
-from .calendar import calendar_bounds
+from .calendar import calendar_bounds, in_calendar
 from .densify import densify
 from .keys import attach_all
 from .ledger import daily_movements
 
 PROMO_COLS = ["promotion_id", "sku_id", "promo_start", "promo_end"]
+PAIR = ["distributor_id", "sku_id"]
 KEYS = ["promotion_id", "distributor_id", "sku_id"]
-# A promotion calendar up to this many rows is broadcast and its SKUs are
-# pushed into the fact scan as a literal IN list.
-MAX_SMALL_PROMOS = 10_000
 
 
 def valid_promotions(wh: Warehouse) -> DataFrame:
@@ -55,75 +55,64 @@ def promo_calendar(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFra
         .cast("bigint").alias("post_days"))
 
 
-def _promo_side(wh: Warehouse) -> tuple[DataFrame, Column | None]:
-    """The promotions to join, and a literal SKU filter for scan pushdown.
-
-    One bounded probe (at most ``MAX_SMALL_PROMOS + 1`` rows reach the
-    driver) proves the calendar small; then it is broadcast and its SKUs
-    become an ``IN`` list that reaches the product scan.  A larger calendar
-    is joined as is and Spark's runtime statistics pick the strategy.
-    """
-    promos = valid_promotions(wh).select(*PROMO_COLS)
-    # probe the seed itself (a superset of the valid rows): no fact scan
-    probe = wh.once("promo_probe", lambda: wh.promotions.select("sku_id")
-                    .limit(MAX_SMALL_PROMOS + 1).collect())
-    if len(probe) > MAX_SMALL_PROMOS:
-        return promos, None
-    skus = sorted({r.sku_id for r in probe if r.sku_id is not None})
-    return F.broadcast(promos), F.col("sku_id").isin(skus)
-
-
-def promo_movements(wh: Warehouse, daily: bool = True) -> DataFrame:
-    """Movements of promoted SKUs inside the calendar, tagged with each
-    promotion of the SKU: one row per day (``daily``) or per fact line."""
-    lo, hi = calendar_bounds(wh)
-    promos, sku_filter = _promo_side(wh)
-    mv = daily_movements(wh) if daily else wh.movements.select(
-        "distributor_id", "sku_id", "full_date",
-        F.coalesce(F.col("primary_units"), F.lit(0)).alias("primary_units"),
-        F.coalesce(F.col("secondary_units"), F.lit(0)).alias("secondary_units"))
-    if sku_filter is not None:
-        mv = mv.filter(sku_filter)
-    mv = mv.filter((F.col("full_date") >= lo) & (F.col("full_date") <= hi))
-    return mv.join(promos, "sku_id")
+def promoted_daily(wh: Warehouse) -> DataFrame:
+    """Daily roll-up of the SKUs that have a promotion: the semi join filters
+    the lines before they are rolled up; Spark broadcasts the promotions'
+    SKUs where it measures them small."""
+    skus = valid_promotions(wh).select("sku_id").distinct()
+    return in_calendar(daily_movements(wh).join(skus, "sku_id", "left_semi"), wh)
 
 
 def promo_pairs(wh: Warehouse) -> DataFrame:
     """Every distributor with every valid promotion."""
-    promos = valid_promotions(wh)
-    return attach_all(wh.dist_keys(), promos, PROMO_COLS,
-                      size=wh.once("promo_count", promos.count))
+    return attach_all(wh.dist_keys(), valid_promotions(wh), PROMO_COLS)
 
 
-def promo_stats(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
-    """Sums and day counts of every window, per (promotion, distributor, sku)."""
-    lo, hi = calendar_bounds(wh)
-    a, b, d = F.col("promo_start"), F.col("promo_end"), F.col("full_date")
-    s, net = F.col("secondary_units"), F.col("primary_units") - F.col("secondary_units")
-    base_lo, post_hi = F.date_sub(a, p.pre_days), F.date_add(b, p.post_days)
+def balances_at(daily: DataFrame, probes: DataFrame) -> DataFrame:
+    """``probes`` (distributor_id, sku_id, full_date, more) with
+    ``cum_secondary`` and ``cum_net``: the pair's secondary sales and net
+    movement up to and including that day.
 
-    # window sums need no daily roll-up: aggregate the lines directly (one
-    # exchange, map-side combined)
-    mv = promo_movements(wh, daily=False).select(
-        *KEYS, "promo_start", "promo_end", "full_date", "primary_units", "secondary_units",
-        F.lit(0).alias("_anchor"))
-    zero = promo_pairs(wh).select(*KEYS, "promo_start", "promo_end",
-                                  F.lit(None).cast("date").alias("full_date"),
-                                  F.lit(0).cast("bigint").alias("primary_units"),
-                                  F.lit(0).cast("bigint").alias("secondary_units"),
-                                  F.lit(1).alias("_anchor"))
-
-    def ssum(cond: Column, x: Column = s) -> Column:
-        return F.coalesce(F.sum(F.when(cond, x)), F.lit(0)).cast("bigint")
-
-    agg = (mv.unionByName(zero).groupBy(*KEYS, "promo_start", "promo_end").agg(
-        F.max("_anchor").alias("_known"),
-        ssum((d >= base_lo) & (d < a)).alias("baseline_units"),
-        ssum((d >= a) & (d <= b)).alias("promo_units"),
-        ssum((d > b) & (d <= post_hi)).alias("post_units"),
-        ssum(d < a).alias("before_units"),
-        ssum(d <= b, net).alias("_net_to_end")))
-    return agg.filter(F.col("_known") == 1).select(
+    One running window over the daily rows and the probes of a pair; a
+    partition holds a row per movement day and its probes.
+    """
+    more = [c for c in probes.columns if c not in (*PAIR, "full_date")]
+    empty = [F.lit(None).cast(probes.schema[c].dataType).alias(c) for c in more]
+    rows = daily.select(*PAIR, "full_date", *empty, "primary_units", "secondary_units",
+                        F.lit(0).alias("_probe")).unionByName(
+        probes.select(*PAIR, "full_date", *more, F.lit(0).cast("bigint").alias("primary_units"),
+                      F.lit(0).cast("bigint").alias("secondary_units"), F.lit(1).alias("_probe")))
+    w = (Window.partitionBy(*PAIR).orderBy("full_date", "_probe")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    net = F.col("primary_units") - F.col("secondary_units")
+    return (rows.select("*", F.sum("secondary_units").over(w).cast("bigint").alias("cum_secondary"),
+                        F.sum(net).over(w).cast("bigint").alias("cum_net"))
+            .filter(F.col("_probe") == 1).select(*PAIR, "full_date", *more, "cum_secondary", "cum_net"))
+
+
+def promo_stats(wh: Warehouse, p: LeakageParams = LeakageParams(),
+                bounds: tuple[Column, Column] | None = None) -> DataFrame:
+    """Sums and day counts of every window, per (promotion, distributor, sku).
+
+    ``bounds``: the calendar's first and last day, where the caller has them."""
+    own = promoted_daily(wh)
+    lo, hi = bounds or calendar_bounds(wh)
+    a, b = F.col("promo_start"), F.col("promo_end")
+    base_lo, post_hi = F.date_sub(a, p.pre_days), F.date_add(b, p.post_days)
+    cuts = F.array(F.date_sub(base_lo, 1), F.date_sub(a, 1), b, post_hi)
+    probes = promo_pairs(wh).select("*", F.posexplode(cuts).alias("_cut", "full_date"))
+    at = balances_at(own, probes)
+
+    def upto(i: int, c: str) -> Column:
+        return F.max(F.when(F.col("_cut") == i, F.col(c)))
+
+    s = at.groupBy(*KEYS, "promo_start", "promo_end").agg(
+        (upto(1, "cum_secondary") - upto(0, "cum_secondary")).alias("baseline_units"),
+        (upto(2, "cum_secondary") - upto(1, "cum_secondary")).alias("promo_units"),
+        (upto(3, "cum_secondary") - upto(2, "cum_secondary")).alias("post_units"),
+        upto(1, "cum_secondary").alias("before_units"),
+        upto(2, "cum_net").alias("_net_to_end"))
+    return s.select(
         *KEYS, "promo_start", "promo_end",
         day_span(F.greatest(base_lo, lo), F.least(F.date_sub(a, 1), hi)).cast("bigint")
         .alias("baseline_days"), "baseline_units",
@@ -167,22 +156,25 @@ def stock_at_promo_end(wh: Warehouse, p: LeakageParams = LeakageParams()) -> Dat
     return st.select(*KEYS, "stock_at_promo_end")
 
 
-def promotion_leakage(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
-    """C4: the detector's report, per distributor and promoted SKU."""
-    st = promo_stats(wh, p).filter(F.col("_window_days") > 0)
+def promotion_leakage(wh: Warehouse, p: LeakageParams = LeakageParams(),
+                      stats: DataFrame | None = None) -> DataFrame:
+    """C4: the detector's report, per promotion, distributor and SKU (from
+    ``stats`` if given, e.g. of a stored ledger)."""
+    st = (promo_stats(wh, p) if stats is None else stats).filter(F.col("_window_days") > 0)
     verdict = F.when(is_leak(p), F.lit(LEAK_VERDICT)).otherwise(F.lit(OK_VERDICT))
     return st.select(
-        "distributor_id", "sku_id",
+        *KEYS,
         round_ratio(F.col("baseline_units"), F.col("baseline_days"), 1).alias("baseline_daily_units"),
         round_ratio(F.col("promo_units"), F.col("promo_days"), 1).alias("promo_daily_units"),
         round_ratio(F.col("post_units"), F.col("post_days"), 1).alias("post_promo_units"),
         "stock_at_promo_end", verdict.alias("verdict"),
-    ).orderBy("verdict", "distributor_id", "sku_id")
+    ).orderBy("verdict", "distributor_id", "sku_id", "promotion_id")
 
 
-def leak_counts(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
+def leak_counts(wh: Warehouse, p: LeakageParams = LeakageParams(),
+                bounds: tuple[Column, Column] | None = None) -> DataFrame:
     """Distinct leaked SKUs per distributor (only distributors with one)."""
-    st = promo_stats(wh, p).filter((F.col("_window_days") > 0) & is_leak(p))
+    st = promo_stats(wh, p, bounds).filter((F.col("_window_days") > 0) & is_leak(p))
     return st.groupBy("distributor_id").agg(F.count_distinct("sku_id").alias("leaked_skus"))
 
 
@@ -197,15 +189,19 @@ def leaked_pairs(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame
 
 
 def prev_day_units(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
-    """Leaked pairs' daily secondary sales with the previous day's value."""
-    lo, hi = calendar_bounds(wh)
+    """Leaked pairs' daily secondary sales with the previous day's value.
+
+    The series of a pair is made dense once; its leaked promotions join the
+    finished rows."""
     leaked = leaked_pairs(wh, p)
-    mv = promo_movements(wh).select(*KEYS, "promo_end", "full_date", "secondary_units")
-    dense = densify(mv, KEYS, ["secondary_units"], lo, hi, anchors=leaked, carry=["promo_end"])
-    w = Window.partitionBy(*KEYS).orderBy("full_date")
-    return dense.select("distributor_id", "sku_id", "promo_end", "full_date",
-                        "secondary_units",
-                        F.lag("secondary_units").over(w).alias("prev_day_units"))
+    lo, hi = calendar_bounds(wh)
+    dense = densify(promoted_daily(wh), PAIR, ["secondary_units"], lo, hi,
+                    anchors=leaked.select(*PAIR).distinct(), in_range=True)
+    w = Window.partitionBy(*PAIR).orderBy("full_date")
+    series = dense.select(*PAIR, "full_date", "secondary_units",
+                          F.lag("secondary_units").over(w).alias("prev_day_units"))
+    return series.join(leaked, PAIR).select("promotion_id", *PAIR, "promo_end", "full_date",
+                                            "secondary_units", "prev_day_units")
 
 
 def dump_day(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
@@ -213,42 +209,46 @@ def dump_day(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
     (yesterday 0 units, today > 0), per distributor and SKU.
 
     Spine-free: on the dense ledger "yesterday = 0" means "no non-zero
-    movement row yesterday", so a LAG over the non-zero rows decides it.
+    movement row yesterday", so a LAG over the non-zero rows decides it.  Over
+    several leaked promotions of a pair the first such day after any of them
+    is the first one after the earliest end.
     """
     lo, _ = calendar_bounds(wh)
-    leaked = leaked_pairs(wh, p)
-    mv = (promo_movements(wh).filter(F.col("secondary_units") != 0)
-          .join(leaked.select(*KEYS), KEYS, "left_semi"))
-    w = Window.partitionBy(*KEYS).orderBy("full_date")
+    after = leaked_pairs(wh, p).groupBy(*PAIR).agg(F.min("promo_end").alias("_after"))
+    mv = promoted_daily(wh).filter(F.col("secondary_units") != 0).join(after, PAIR)
+    w = Window.partitionBy(*PAIR).orderBy("full_date")
     prev = F.lag("full_date").over(w)
-    cand = mv.select(*KEYS, "promo_end", "full_date", "secondary_units", prev.alias("_prev"))
+    cand = mv.select(*PAIR, "_after", "full_date", "secondary_units", prev.alias("_prev"))
     d = F.col("full_date")
-    hit = ((F.col("secondary_units") > 0) & (d > F.col("promo_end")) & (d > lo)
+    hit = ((F.col("secondary_units") > 0) & (d > F.col("_after")) & (d > lo)
            & (F.col("_prev").isNull() | (F.col("_prev") < F.date_sub(d, 1))))
-    first = (cand.filter(hit).groupBy("distributor_id", "sku_id")
+    first = (cand.filter(hit).groupBy(*PAIR)
              .agg(F.min(F.struct("full_date", "secondary_units")).alias("_f")))
-    return first.select("distributor_id", "sku_id",
-                        F.col("_f.full_date").alias("resumed_selling_on"),
+    return first.select(*PAIR, F.col("_f.full_date").alias("resumed_selling_on"),
                         F.col("_f.secondary_units").alias("units_sold_that_day")
-                        ).orderBy("distributor_id", "sku_id")
+                        ).orderBy(*PAIR)
 
 
 def promo_window_rows(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
     """Dense ledger rows of promoted SKUs inside each promotion's range
     ``[start - pre_days, end + post_days]``, labelled by window.
 
-    Densified over the range only; movements from the calendar start up to
-    the range feed the opening balance without producing rows.
+    Only movements inside a range meet its promotion (interval condition of
+    the join); the balance before the range comes from :func:`balances_at`.
     """
     lo, hi = calendar_bounds(wh)
+    daily = promoted_daily(wh)
     a, b = F.col("promo_start"), F.col("promo_end")
-    w_lo = F.greatest(F.date_sub(a, p.pre_days), lo)
-    w_hi = F.least(F.date_add(b, p.post_days), hi)
     carry = ["promo_start", "promo_end", "_lo", "_hi"]
-    mv = promo_movements(wh).select("*", w_lo.alias("_lo"), w_hi.alias("_hi"))
-    anchors = promo_pairs(wh).select("*", w_lo.alias("_lo"), w_hi.alias("_hi"))
+    spans = [F.greatest(F.date_sub(a, p.pre_days), lo).alias("_lo"),
+             F.least(F.date_add(b, p.post_days), hi).alias("_hi")]
+    ranges = valid_promotions(wh).select(*PROMO_COLS, *spans)
+    mv = daily.join(ranges, "sku_id").filter(
+        (F.col("full_date") >= F.col("_lo")) & (F.col("full_date") <= F.col("_hi")))
+    before = balances_at(daily, promo_pairs(wh).select("*", *spans).withColumn("full_date", F.date_sub("_lo", 1)))
+    anchors = before.select(*KEYS, *carry, F.col("cum_net").alias("primary_units"))
     dense = densify(mv, KEYS, ["primary_units", "secondary_units"], F.col("_lo"), F.col("_hi"),
-                    anchors=anchors, carry=carry, history_from=lo,
+                    anchors=anchors, carry=carry, in_range=True,
                     opening=("opening_units",
                              F.col("primary_units") - F.col("secondary_units")))
     d = F.col("full_date")

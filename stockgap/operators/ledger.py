@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import date_key
 from ..sources.csv_io import write_table
 from ..sources.warehouse import Warehouse
-from .calendar import calendar_bounds
+from .calendar import calendar_bounds, in_calendar
 from .densify import day_runs, densify, expand_runs
 from .keys import attach_all
 
@@ -33,17 +33,12 @@ def daily_movements(wh: Warehouse) -> DataFrame:
                  .alias("secondary_units")))
 
 
-def _in_calendar(df: DataFrame, wh: Warehouse) -> DataFrame:
-    lo, hi = calendar_bounds(wh)
-    return df.filter((F.col("full_date") >= lo) & (F.col("full_date") <= hi))
-
-
 def daily_primary_units(wh: Warehouse) -> DataFrame:
     """A1 + P3: primary shipments per day, cases converted to units per line."""
     m = wh.movements.filter(F.col("primary_units").isNotNull())
     out = (m.groupBy("distributor_id", "sku_id", "full_date")
            .agg(F.sum("primary_units").cast("bigint").alias("primary_units")))
-    return _in_calendar(out, wh).select(date_key(F.col("full_date")).alias("date_id"),
+    return in_calendar(out, wh).select(date_key(F.col("full_date")).alias("date_id"),
                                         *PAIR, "primary_units")
 
 
@@ -52,14 +47,14 @@ def daily_secondary_units(wh: Warehouse) -> DataFrame:
     m = wh.movements.filter(F.col("secondary_units").isNotNull())
     out = (m.groupBy("distributor_id", "sku_id", "full_date")
            .agg(F.sum("secondary_units").cast("bigint").alias("secondary_units")))
-    return _in_calendar(out, wh).select(date_key(F.col("full_date")).alias("date_id"),
+    return in_calendar(out, wh).select(date_key(F.col("full_date")).alias("date_id"),
                                         *PAIR, "secondary_units")
 
 
 def pair_keys(wh: Warehouse) -> DataFrame:
     """Every (distributor, sku) pair of the dimensions (the spine's keys)."""
     skus = wh.products.select("sku_id").distinct()
-    return attach_all(wh.dist_keys(), skus, ["sku_id"], size=wh.once("sku_count", skus.count))
+    return attach_all(wh.dist_keys(), skus, ["sku_id"])
 
 
 def spine(wh: Warehouse) -> DataFrame:
@@ -69,7 +64,7 @@ def spine(wh: Warehouse) -> DataFrame:
     generates the days of its share of pairs (a small file split of the
     distributor table does not fan out into one huge task)."""
     lo, hi = calendar_bounds(wh)
-    n = int(wh.calendar.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(wh.movements.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = pair_keys(wh).repartition(n, *PAIR)
     days = pairs.select(*PAIR, F.explode(F.sequence(lo, hi)).alias("full_date"))
     return days.select(date_key(F.col("full_date")).alias("date_id"), *PAIR)
@@ -85,10 +80,11 @@ def stock_ledger_by_date(wh: Warehouse, scope: str = "full") -> DataFrame:
     scope="full"   every distributor x sku pair of the dimensions (reference)
     scope="active" only pairs with at least one movement in the calendar
     """
-    lo, hi = calendar_bounds(wh)
+    daily = daily_movements(wh)
+    lo, hi = calendar_bounds(wh, daily)
     anchors = pair_keys(wh) if scope == "full" else None
-    dense = densify(daily_movements(wh), PAIR, ["primary_units", "secondary_units"],
-                    lo, hi, anchors=anchors, opening=("opening_units", _net()))
+    dense = densify(daily, PAIR, ["primary_units", "secondary_units"], lo, hi, anchors=anchors,
+                    opening=("opening_units", _net()), in_range=wh.calendar_spans_facts)
     if scope == "active":
         known = wh.dist_keys()
         dense = dense.join(known, "distributor_id", "left_semi")
@@ -107,10 +103,11 @@ def ledger_runs(wh: Warehouse, scope: str = "full") -> DataFrame:
     dense ledger is days x pairs), so this is the form to store at scale;
     :func:`ledger_from_runs` gives the dense rows back.
     """
-    lo, hi = calendar_bounds(wh)
+    daily = daily_movements(wh)
+    lo, hi = calendar_bounds(wh, daily)
     anchors = pair_keys(wh) if scope == "full" else None
-    runs = day_runs(daily_movements(wh), PAIR, ["primary_units", "secondary_units"],
-                    lo, hi, anchors=anchors, opening=("opening_units", _net()))
+    runs = day_runs(daily, PAIR, ["primary_units", "secondary_units"], lo, hi, anchors=anchors,
+                    opening=("opening_units", _net()), in_range=wh.calendar_spans_facts)
     if scope == "active":
         runs = runs.join(wh.dist_keys(), "distributor_id", "left_semi")
     return runs.select(*PAIR, "from_date", "to_date", "opening_units", "primary_units",
@@ -136,9 +133,10 @@ def stock_ledger(wh: Warehouse, scope: str = "full") -> DataFrame:
 
 def ledger_movements(wh: Warehouse) -> DataFrame:
     """Dense daily movements (spine left-joined to both roll-ups)."""
-    lo, hi = calendar_bounds(wh)
-    dense = densify(daily_movements(wh), PAIR, ["primary_units", "secondary_units"],
-                    lo, hi, anchors=pair_keys(wh))
+    daily = daily_movements(wh)
+    lo, hi = calendar_bounds(wh, daily)
+    dense = densify(daily, PAIR, ["primary_units", "secondary_units"], lo, hi,
+                    anchors=pair_keys(wh), in_range=wh.calendar_spans_facts)
     return dense.select(date_key(F.col("full_date")).alias("date_id"), *PAIR,
                         "primary_units", "secondary_units")
 
@@ -155,8 +153,12 @@ def ledger_sanity(wh: Warehouse, ledger: DataFrame | None = None) -> DataFrame:
 
     Without a stored ``ledger`` the counts come from the run-length form
     (rows = sum of run lengths), so no dense row is generated."""
+    daily = daily_movements(wh)
+    lo, hi = calendar_bounds(wh, daily.select(*PAIR, "full_date"))
     if ledger is None:
-        got = ledger_runs(wh).agg(
+        keys = daily.select(*PAIR, "full_date")
+        runs = day_runs(keys, PAIR, [], lo, hi, anchors=pair_keys(wh), in_range=wh.calendar_spans_facts)
+        got = runs.agg(
             F.sum(F.datediff("to_date", "from_date") + 1).cast("bigint").alias("recon_rows"),
             F.count_distinct("distributor_id").alias("distributors"),
             F.count_distinct("sku_id").alias("skus"))
@@ -164,7 +166,7 @@ def ledger_sanity(wh: Warehouse, ledger: DataFrame | None = None) -> DataFrame:
         got = ledger.agg(F.count(F.lit(1)).alias("recon_rows"),
                          F.count_distinct("distributor_id").alias("distributors"),
                          F.count_distinct("sku_id").alias("skus"))
-    days = wh.calendar.agg(F.count(F.lit(1))).scalar()
+    days = F.datediff(hi, lo).cast("bigint") + 1
     dists = wh.distributors.agg(F.count_distinct("distributor_id")).scalar()
     skus = wh.products.agg(F.count_distinct("sku_id")).scalar()
     expected = (days * dists * skus).cast("bigint")
@@ -183,31 +185,29 @@ def negative_stock(wh: Warehouse, ledger: DataFrame | None = None) -> DataFrame:
     return ledger.filter(F.col("closing_units") < 0)
 
 
-def materialize_ledger(wh: Warehouse, path: str, layout: str = "generated",
-                       scope: str = "full") -> None:
-    """Write the ledger as parquet, replacing the previous build.
+def materialize_ledger(wh: Warehouse, path: str, layout: str = "runs", scope: str = "full",
+                       files_per_month: int = 8) -> None:
+    """Write the ledger as parquet; the previous build goes whole.
 
     layout="runs"       the run-length form (:func:`ledger_runs`): one row per
                         pair and movement day; read back with
                         :func:`ledger_from_runs`.  The form to store at scale.
-    layout="generated"  rows stay in the partitions they were generated in
-                        (keys clustered, days in order): no extra shuffle,
+    layout="generated"  dense rows stay in the partitions they were generated
+                        in (keys clustered, days in order): no extra shuffle,
                         row groups prune well on distributor and SKU.
-    layout="month"      one folder per month (``month`` = yyyymm), rebuilt
-                        with dynamic partition overwrite; rows are first
-                        sorted by month inside each task so a task writes
-                        its months one after another.  Every task writes a
-                        file into every month it covers (tasks x months
-                        files), so on a large cluster prefer "generated" or
-                        fewer shuffle partitions for this write.
+    layout="month"      dense rows in one folder per month (``month`` =
+                        yyyymm), dealt by (month, pair bucket) before the
+                        write: at most ``files_per_month`` files a month.
     """
     if layout == "runs":
         write_table(ledger_runs(wh, scope), path)
         return
     led = stock_ledger(wh, scope)
     if layout == "month":
-        led = (led.withColumn("month", (F.col("date_id") / 100).cast("int"))
-               .sortWithinPartitions("month"))
+        n = int(led.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        bucket = F.pmod(F.xxhash64(*PAIR), F.lit(files_per_month)).cast("int")
+        led = (led.withColumn("month", (F.col("date_id") / 100).cast("int")).withColumn("_bucket", bucket)
+               .repartition(n, "month", "_bucket").sortWithinPartitions("month", "_bucket", *PAIR).drop("_bucket"))
         write_table(led, path, ("month",))
     else:
         write_table(led, path)

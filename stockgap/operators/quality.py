@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from ..schemas import PRIMARY_KEYS
 from ..sources.warehouse import Warehouse
-from .ledger import ledger_runs
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -50,11 +49,35 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, check: str) -
                     F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphan_rows"))
 
 
-def violations(df: DataFrame, ok: Column, check: str) -> DataFrame:
-    """Q4/Q5: rows failing a CHECK (NULL results count as passing, as in SQL)."""
-    return df.agg(F.lit(check).alias("check_name"),
-                  F.count(F.lit(1)).alias("checked_rows"),
-                  F.count_if(~F.coalesce(ok, F.lit(True))).alias("violations"))
+def many_orphans(child: DataFrame, fks: Sequence[tuple[str, DataFrame, str, str]]) -> DataFrame:
+    """Q3 for several foreign keys (column, parent, parent key, check name) of
+    one child table, whose rows are read once: keys are counted per foreign
+    key, and the parents' keys are tagged alike and joined away."""
+    tagged = child.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("check_name"), F.col(fk).cast("string").alias("_k"))
+        for fk, _, _, name in fks])).alias("x")).select("x.*").filter(F.col("_k").isNotNull())
+    keys = tagged.groupBy("check_name", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    known = _union([parent.select(F.lit(name).alias("check_name"), F.col(pk).cast("string").alias("_k"))
+                    for _, parent, pk, name in fks]).distinct()
+    miss = keys.join(known, ["check_name", "_k"], "left_anti").groupBy("check_name").agg(
+        F.count(F.lit(1)).alias("orphan_keys"), F.sum("_n").cast("bigint").alias("orphan_rows"))
+    names = child.sparkSession.createDataFrame([(name,) for *_, name in fks], "check_name string")
+    return names.join(miss, "check_name", "left").select(
+        "check_name", F.coalesce("orphan_keys", F.lit(0)).cast("bigint").alias("orphan_keys"),
+        F.coalesce("orphan_rows", F.lit(0)).cast("bigint").alias("orphan_rows"))
+
+
+def violations(df: DataFrame, checks: Sequence[tuple[Column, str]], weight: Column | None = None) -> DataFrame:
+    """Q4/Q5: rows failing each CHECK (condition, name), all in one pass over
+    the table (NULL results count as passing, as in SQL).  ``weight``: how
+    many rows a row stands for."""
+    w = F.lit(1).cast("bigint") if weight is None else weight.cast("bigint")
+    n = F.coalesce(F.sum(w), F.lit(0)).alias("_n")
+    bad = [F.coalesce(F.sum(F.when(~F.coalesce(ok, F.lit(True)), w)), F.lit(0)).alias(f"_{i}")
+           for i, (ok, _) in enumerate(checks)]
+    return df.agg(n, *bad).select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("check_name"), F.col("_n").cast("bigint").alias("checked_rows"),
+                 F.col(f"_{i}").cast("bigint").alias("violations")) for i, (_, name) in enumerate(checks)])))
 
 
 # -- the checks for the driver binding ------------------------------------
@@ -87,17 +110,30 @@ NOT_NULL = {
 }
 
 
+def orders_with_lines(wh: Warehouse) -> DataFrame:
+    """orders LEFT JOIN lineitem: orders without a line have NULL in columns
+    that are NOT NULL in lineitem."""
+    o, li = wh.raw["orders"], wh.raw["lineitem"]
+    return o.join(li, o["o_orderkey"] == li["l_orderkey"], "left").select(
+        "o_orderkey", "l_orderkey", "l_partkey", "l_quantity")
+
+
 def dq_null_counts(wh: Warehouse) -> DataFrame:
-    return _union([null_counts(wh.raw[t], t, cols) for t, cols in NOT_NULL.items()])
+    return _union([null_counts(wh.raw[t], t, cols) for t, cols in NOT_NULL.items()]
+                  + [null_counts(orders_with_lines(wh), "orders left join lineitem",
+                                 ["o_orderkey", "l_orderkey", "l_partkey", "l_quantity"])])
 
 
 def dq_orphans(wh: Warehouse) -> DataFrame:
     r = wh.raw
     return _union([
-        orphans(r["lineitem"], "l_orderkey", r["orders"], "o_orderkey", "lineitem.l_orderkey -> orders"),
-        orphans(r["lineitem"], "l_partkey", r["part"], "p_partkey", "lineitem.l_partkey -> part"),
-        orphans(r["lineitem"], "l_suppkey", r["supplier"], "s_suppkey", "lineitem.l_suppkey -> supplier"),
-        orphans(r["orders"], "o_custkey", r["customer"], "c_custkey", "orders.o_custkey -> customer"),
+        many_orphans(r["lineitem"], [
+            ("l_orderkey", r["orders"], "o_orderkey", "lineitem.l_orderkey -> orders"),
+            ("l_partkey", r["part"], "p_partkey", "lineitem.l_partkey -> part"),
+            ("l_suppkey", r["supplier"], "s_suppkey", "lineitem.l_suppkey -> supplier")]),
+        many_orphans(r["orders"], [
+            ("o_custkey", r["customer"], "c_custkey", "orders.o_custkey -> customer"),
+            ("o_orderkey", r["lineitem"], "l_orderkey", "orders.o_orderkey -> lineitem")]),
         orphans(r["supplier"], "s_nationkey", r["nation"], "n_nationkey", "supplier.s_nationkey -> nation"),
         orphans(r["customer"], "c_nationkey", r["nation"], "n_nationkey", "customer.c_nationkey -> nation"),
         orphans(r["nation"], "n_regionkey", r["region"], "r_regionkey", "nation.n_regionkey -> region"),
@@ -109,54 +145,45 @@ def dq_range(wh: Warehouse) -> DataFrame:
     r = wh.raw
     q = F.col("l_quantity")
     return _union([
-        violations(r["lineitem"], q >= 0, "lineitem.l_quantity >= 0"),
-        violations(r["lineitem"], q == F.floor(q), "lineitem.l_quantity is whole"),
-        violations(r["part"], F.col("p_size") > 0, "part.p_size > 0 (units per case)"),
-        violations(wh.promotions, F.col("discount_pct").between(0, 100),
-                   "promotion.discount_pct between 0 and 100"),
+        violations(r["lineitem"], [(q >= 0, "lineitem.l_quantity >= 0"),
+                                   (q == F.floor(q), "lineitem.l_quantity is whole"),
+                                   (q <= 45, "lineitem.l_quantity <= 45 (no bulk drop)")]),
+        violations(r["part"], [(F.col("p_size") > 0, "part.p_size > 0 (units per case)")]),
+        violations(wh.promotions, [(F.col("discount_pct").between(0, 100),
+                                    "promotion.discount_pct between 0 and 100")]),
     ])
 
 
-def dq_ledger_identity(wh: Warehouse, ledger: DataFrame | None = None) -> DataFrame:
-    """Q5: closing = opening + in - out; opening = previous closing; the first
-    day opens at 0; promotions end on or after they start.
-
-    Without a stored ``ledger`` the checks run on the run-length form: inside
-    a run every later day opens and closes at the run's closing balance, so
-    only each run's first day and the hand-over between runs can fail, and
-    ``checked_rows`` still counts dense rows."""
-    closing_ok = (F.col("closing_units") == F.col("opening_units") + F.col("primary_units")
-                  - F.col("secondary_units"))
-    if ledger is None:
-        runs = ledger_runs(wh)
-        w = Window.partitionBy("distributor_id", "sku_id").orderBy("from_date")
-        prev = F.lag("closing_units").over(w)
-        checked = runs.select(
-            (F.datediff("to_date", "from_date") + 1).alias("_days"),
-            closing_ok.alias("_c"),
-            F.coalesce(F.col("opening_units") == prev, F.col("opening_units") == 0).alias("_o"))
-        counts = checked.agg(F.sum("_days").cast("bigint").alias("n"),
-                             F.count_if(~F.col("_c")).alias("closing"),
-                             F.count_if(~F.col("_o")).alias("opening"))
-    else:
-        w = Window.partitionBy("distributor_id", "sku_id").orderBy("date_id")
-        prev = F.lag("closing_units").over(w)
-        chained = F.coalesce(F.col("opening_units") == prev, F.col("opening_units") == 0)
-        checked = ledger.select(closing_ok.alias("_c"), chained.alias("_o"))
-        counts = checked.agg(F.count(F.lit(1)).alias("n"),
-                             F.count_if(~F.col("_c")).alias("closing"),
-                             F.count_if(~F.col("_o")).alias("opening"))
-    both = counts.select(F.explode(F.array(
-        F.struct(F.lit("ledger closing = opening + primary - secondary").alias("check_name"),
-                 F.col("n").alias("checked_rows"), F.col("closing").alias("violations")),
-        F.struct(F.lit("ledger opening = previous closing").alias("check_name"),
-                 F.col("n").alias("checked_rows"), F.col("opening").alias("violations")))
-    ).alias("c")).select("c.*")
-    return _union([
-        both,
-        violations(wh.promotions, F.col("promo_end") >= F.col("promo_start"),
-                   "promotion.promo_end >= promo_start"),
-    ])
+def dq_ledger_identity(wh: Warehouse, ledger: DataFrame) -> DataFrame:
+    """Q5 on a *stored* ledger (run-length or dense): closing = opening + in -
+    out; opening = previous closing, the first day opens at 0; closing stock
+    is not negative; and promotions end on or after they start.
+
+    In a run-length ledger every later day of a run opens and closes at the
+    run's closing balance, so only its first day and the hand-over between
+    runs can break an identity; counts are of days all the same."""
+    runs = "from_date" in ledger.columns
+    days = F.datediff("to_date", "from_date") + 1 if runs else F.lit(1)
+    w = Window.partitionBy("distributor_id", "sku_id").orderBy("from_date" if runs else "date_id")
+    prev = F.lag("closing_units").over(w)
+    checked = ledger.select(
+        days.alias("_days"),
+        (F.col("closing_units") == F.col("opening_units") + F.col("primary_units")
+         - F.col("secondary_units")).alias("_c"),
+        F.coalesce(F.col("opening_units") == prev, F.col("opening_units") == 0).alias("_o"),
+        (F.col("closing_units") >= 0).alias("_p"))
+    # an identity breaks on the first day of a run, a negative stock on all its days
+    one = checked.agg(
+        F.coalesce(F.sum("_days"), F.lit(0)).cast("bigint").alias("n"),
+        F.count_if(~F.col("_c")).alias("c"), F.count_if(~F.col("_o")).alias("o"),
+        F.coalesce(F.sum(F.when(~F.col("_p"), F.col("_days"))), F.lit(0)).cast("bigint").alias("p"))
+    named = (("ledger closing = opening + primary - secondary", "c"), ("ledger opening = previous closing", "o"),
+             ("ledger closing >= 0", "p"))
+    both = one.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("check_name"), F.col("n").alias("checked_rows"), F.col(c).alias("violations"))
+        for name, c in named])))
+    return _union([both, violations(wh.promotions, [(F.col("promo_end") >= F.col("promo_start"),
+                                                     "promotion.promo_end >= promo_start")])])
 
 
 # -- the checks for tables in the reference's own star schema ----------------
@@ -191,7 +218,7 @@ def reference_quality(wh: Warehouse) -> dict[str, DataFrame]:
     nulls = [null_counts(t[n], n, t[n].columns) for n in t]
     fks = [orphans(t[c], fk, t[p], pk, f"{c}.{fk} -> {p}")
            for c, fk, p, pk in REFERENCE_FKS if c in t and p in t]
-    rng = [violations(t[n], F.expr(cond), f"{n}: {cond}")
-           for n, cond in REFERENCE_CHECKS if n in t]
+    rng = [violations(t[n], [(F.expr(c), f"{n}: {c}") for m, c in REFERENCE_CHECKS if m == n])
+           for n in dict(REFERENCE_CHECKS) if n in t]
     return {"duplicate_keys": _union(dup), "null_counts": _union(nulls),
             "orphans": _union(fks), "range": _union(rng)}

@@ -1,9 +1,9 @@
 """The dashboard's extracts, computed where the data lives.
 
 The reference exports fixed distributors' series to CSV and post-processes
-them in pandas.  Here the subjects are picked from the detectors' own
-results (the top stuffer, the top hoarder, the top bulk dumper) by a
-scalar subquery, so an extract follows the data it explains.
+them in pandas.  Here a subject may be named; otherwise it is picked from the
+detectors' own results (the top stuffer, the top hoarder, the top bulk
+dumper) as a one-row frame, so an extract follows the data it explains.
 """
 
 from __future__ import annotations
@@ -19,28 +19,27 @@ from ..sources.csv_io import export_csv
 from ..sources.warehouse import Warehouse
 from .calendar import calendar_bounds
 from .densify import densify
-from .leakage import KEYS, is_leak, promo_movements, promo_stats
+from .leakage import KEYS, is_leak, promo_stats
+from .ledger import daily_movements
 from .risk import risk_score
-from .route import drop_moments
 from .stuffing import dist_day_dense, dist_day_sparse, stuffing_counts
 
 
-def top_stuffer(wh: Warehouse, p: Params = Params()) -> Column:
+def top_stuffer(wh: Warehouse, p: Params = Params()) -> DataFrame:
     """Distributor with the most stuffing flags (ties: lowest id); if none is
-    flagged, the lowest id.  A scalar subquery."""
-    d = wh.dist_keys()
-    ranked = (d.join(stuffing_counts(wh, p.stuffing), "distributor_id", "left")
+    flagged, the lowest id.  One row."""
+    ranked = (wh.dist_keys().join(stuffing_counts(wh, p.stuffing), "distributor_id", "left")
               .orderBy(F.desc_nulls_last("spike_days"), "distributor_id").limit(1))
-    return ranked.select("distributor_id").scalar()
+    return ranked.select("distributor_id")
 
 
 def distributor_series(wh: Warehouse, p: Params = Params(),
                        distributor_id=None) -> DataFrame:
     """One distributor's daily primary total over the whole calendar."""
-    pick = F.lit(distributor_id) if distributor_id is not None else top_stuffer(wh, p)
+    one = top_stuffer(wh, p) if distributor_id is None else wh.dist_keys().filter(
+        F.col("distributor_id") == F.lit(distributor_id)).distinct()
     lo, hi = calendar_bounds(wh)
-    mine = dist_day_sparse(wh).filter(F.col("distributor_id") == pick)
-    one = wh.dist_keys().filter(F.col("distributor_id") == pick)
+    mine = dist_day_sparse(wh).join(one, "distributor_id")
     dense = densify(mine, ["distributor_id"], ["primary_units"], lo, hi, anchors=one)
     return dense.select("full_date", "primary_units").orderBy("full_date")
 
@@ -53,25 +52,32 @@ def top_leak_pair(wh: Warehouse, p: Params = Params()) -> DataFrame:
     return ranked.orderBy(F.desc("_leak"), "distributor_id", "promotion_id").limit(1)
 
 
-def pair_series(wh: Warehouse, p: Params = Params()) -> DataFrame:
-    """The top hoarder's daily secondary sales around its promotion,
-    ``[start - series_days_before, end + series_days_after]``."""
+def pair_series(wh: Warehouse, p: Params = Params(), distributor_id=None, sku_id=None,
+                start=None, end=None) -> DataFrame:
+    """One distributor's daily secondary sales of one SKU.
+
+    Without a subject: the top hoarder's, around its promotion
+    ``[start - series_days_before, end + series_days_after]``.  With
+    ``distributor_id`` and ``sku_id``: theirs, from ``start`` to ``end``
+    (dates; the calendar's first and last day if not given)."""
     r = p.report
     lo, hi = calendar_bounds(wh)
-    pick = top_leak_pair(wh, p).select(
-        F.struct(*KEYS, "promo_start", "promo_end").alias("k")).scalar()
-    a, b = pick["promo_start"], pick["promo_end"]
-    s_lo = F.greatest(F.date_sub(a, r.series_days_before), lo)
-    s_hi = F.least(F.date_add(b, r.series_days_after), hi)
-    mv = promo_movements(wh).filter(
-        (F.col("promotion_id") == pick["promotion_id"])
-        & (F.col("distributor_id") == pick["distributor_id"]))
-    anchor = wh.dist_keys().filter(
-        F.col("distributor_id") == pick["distributor_id"]).select(
-        pick["promotion_id"].alias("promotion_id"), "distributor_id",
-        pick["sku_id"].alias("sku_id"))
-    dense = densify(mv.select(*KEYS, "full_date", "secondary_units"), KEYS,
-                    ["secondary_units"], s_lo, s_hi, anchors=anchor)
+    if distributor_id is None:
+        a, b = F.col("promo_start"), F.col("promo_end")
+        subject = top_leak_pair(wh, p).select(
+            "distributor_id", "sku_id",
+            F.greatest(F.date_sub(a, r.series_days_before), lo).alias("_lo"),
+            F.least(F.date_add(b, r.series_days_after), hi).alias("_hi"))
+    else:
+        day = lambda x, bound: bound if x is None else F.lit(x).cast("date")
+        subject = wh.dist_keys().filter(F.col("distributor_id") == F.lit(distributor_id)).distinct().select(
+            "distributor_id", F.lit(sku_id).alias("sku_id"),
+            F.greatest(day(start, lo), lo).alias("_lo"), F.least(day(end, hi), hi).alias("_hi"))
+    keys = ["distributor_id", "sku_id"]
+    mv = daily_movements(wh).join(subject, keys).filter(
+        (F.col("full_date") >= F.col("_lo")) & (F.col("full_date") <= F.col("_hi")))
+    dense = densify(mv, keys, ["secondary_units"], F.col("_lo"), F.col("_hi"),
+                    anchors=subject, carry=["_lo", "_hi"], in_range=True)
     return dense.select("full_date", "secondary_units").orderBy("full_date")
 
 
@@ -113,32 +119,40 @@ def _bucket(q: Column, edges) -> Column:
     return expr.otherwise(F.lit(labels[-1]))
 
 
-def top_dumper(wh: Warehouse, p: Params = Params()) -> Column:
-    """Distributor with the most bulk drops (ties: lowest id), scalar."""
-    m = drop_moments(wh, p.route)
-    return (m.orderBy(F.desc("bulk_dumps"), "distributor_id").limit(1)
-            .select("distributor_id").scalar())
-
-
-def drop_size_buckets(wh: Warehouse, p: Params = Params()) -> DataFrame:
-    """Drop counts by size bucket, top dumper versus everyone else."""
-    pick = top_dumper(wh, p)
-    q = F.col("qty_units")
-    cohort = (F.when(F.col("distributor_id") == pick,
-                     F.concat(pick.cast("string"), F.lit(COHORT_SUFFIX)))
-              .otherwise(F.lit(COHORT_OTHERS)))
-    return (wh.drop_sizes.groupBy(_bucket(q, p.report.bucket_edges).alias("bucket"),
-                                  cohort.alias("cohort"))
-            .agg(F.count(F.lit(1)).alias("drop_count")))
+def drop_size_buckets(wh: Warehouse, p: Params = Params(), distributor_id=None) -> DataFrame:
+    """Drop counts by size bucket, one distributor versus everyone
+    else: ``distributor_id``, or the one with the most bulk drops (ties: the
+    lowest id).
 
-
-def drop_size_pivot(spark: SparkSession, wh: Warehouse, p: Params = Params()) -> DataFrame:
+    One aggregate per distributor carries the bulk count and a count per
+    bucket; the subject and both cohorts follow from it in a second one."""
+    edges, q = p.report.bucket_edges, F.col("qty_units")
+    labels = bucket_labels(edges)
+    bucket = _bucket(q, edges)
+    per = wh.drop_sizes.groupBy("distributor_id").agg(
+        F.count_if(q >= p.route.bulk_units).alias("_bulk"),
+        F.array(*[F.count_if(bucket == lab) for lab in labels]).alias("_n"))
+    if distributor_id is None:
+        top = F.min(F.struct((-F.col("_bulk")).alias("rank"), "distributor_id", "_n"))
+    else:
+        top = F.max(F.when(F.col("distributor_id") == F.lit(distributor_id), F.struct("distributor_id", "_n")))
+    one = per.agg(top.alias("_top"), *[F.sum(F.col("_n")[i]).alias(f"_{i}") for i in range(len(labels))])
+    mine = [F.coalesce(F.col("_top._n")[i], F.lit(0)) for i in range(len(labels))]
+    subject = F.concat(F.col("_top.distributor_id").cast("string"), F.lit(COHORT_SUFFIX))
+    rows = F.array(*[F.struct(F.lit(lab).alias("bucket"), c.alias("cohort"), n.cast("bigint").alias("drop_count"))
+                     for i, lab in enumerate(labels)
+                     for c, n in ((subject, mine[i]), (F.lit(COHORT_OTHERS), F.col(f"_{i}") - mine[i]))])
+    return one.select(F.inline(rows)).filter(F.col("drop_count") > 0)
+
+
+def drop_size_pivot(spark: SparkSession, wh: Warehouse, p: Params = Params(),
+                    distributor_id=None) -> DataFrame:
     """Buckets in their fixed order, one column per cohort,
     missing combinations 0."""
     labels = bucket_labels(p.report.bucket_edges)
     order = spark.createDataFrame([(lab, i) for i, lab in enumerate(labels)],
                                   "bucket string, bucket_order int")
-    b = drop_size_buckets(wh, p).withColumn(
+    b = drop_size_buckets(wh, p, distributor_id).withColumn(
         "side", F.when(F.col("cohort") == F.lit(COHORT_OTHERS), F.lit("other_drops"))
         .otherwise(F.lit("falsifier_drops")))
     piv = b.groupBy("bucket").pivot("side", ["falsifier_drops", "other_drops"]).agg(
@@ -153,10 +167,14 @@ def drop_size_pivot(spark: SparkSession, wh: Warehouse, p: Params = Params()) ->
 
 
 def export_dashboard_extracts(spark: SparkSession, wh: Warehouse, folder: str,
-                              p: Params = Params()) -> dict[str, str]:
+                              p: Params = Params(), stuffer=None, hoarder=None,
+                              dumper=None) -> dict[str, str]:
     """The four extracts as headed CSV folders (ranked risk list, the top
     stuffer's series, the top hoarder's series, drop-size buckets).
 
+    ``stuffer`` (a distributor id), ``hoarder`` (arguments of
+    :func:`pair_series`) and ``dumper`` (a distributor id) name other subjects.
+
     The ranked list has one row per distributor and stays partitioned (its
     order is kept by a range-partitioned sort); the other three are bounded
     (days of one distributor, buckets) and are written as one file each.
@@ -164,9 +182,9 @@ def export_dashboard_extracts(spark: SparkSession, wh: Warehouse, folder: str,
     risk = risk_score(wh, p).orderBy(F.desc("risk_score"), "distributor_id")
     out = {
         "risk_list": (risk, False),
-        "distributor_series": (distributor_series(wh, p), True),
-        "pair_series": (pair_series(wh, p), True),
-        "drop_size_buckets": (drop_size_buckets(wh, p), True),
+        "distributor_series": (distributor_series(wh, p, stuffer), True),
+        "pair_series": (pair_series(wh, p, **(hoarder or {})), True),
+        "drop_size_buckets": (drop_size_buckets(wh, p, dumper), True),
     }
     paths = {}
     for name, (df, single) in out.items():

@@ -16,14 +16,16 @@ Two plans give the same flags:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import date_key, day_number
+from ..functions.dates import date_key, day_number, is_month_end
 from ..functions.exact import mean_ge, round_ratio, value_ge_k_mean
 from ..params import StuffingParams
 from ..sources.warehouse import Warehouse
-from .calendar import calendar_bounds
+from .calendar import calendar_bounds, in_calendar
 from .densify import densify
 
 VALUES = ["primary_units", "secondary_units"]
@@ -31,9 +33,7 @@ VALUES = ["primary_units", "secondary_units"]
 
 def dist_day_sparse(wh: Warehouse) -> DataFrame:
     """A3 on movement days only: (distributor, day) totals over all SKUs."""
-    lo, hi = calendar_bounds(wh)
-    m = wh.movements.filter((F.col("full_date") >= lo) & (F.col("full_date") <= hi))
-    return (m.groupBy("distributor_id", "full_date")
+    return (in_calendar(wh.movements, wh).groupBy("distributor_id", "full_date")
             .agg(F.coalesce(F.sum("primary_units"), F.lit(0)).cast("bigint").alias("primary_units"),
                  F.coalesce(F.sum("secondary_units"), F.lit(0)).cast("bigint")
                  .alias("secondary_units")))
@@ -41,9 +41,10 @@ def dist_day_sparse(wh: Warehouse) -> DataFrame:
 
 def dist_day_dense(wh: Warehouse) -> DataFrame:
     """A3: one row per distributor per calendar day (zeros on quiet days)."""
-    lo, hi = calendar_bounds(wh)
-    return densify(dist_day_sparse(wh), ["distributor_id"], VALUES, lo, hi,
-                   anchors=wh.dist_keys())
+    daily = dist_day_sparse(wh)
+    lo, hi = calendar_bounds(wh, daily)
+    return densify(daily, ["distributor_id"], VALUES, lo, hi, anchors=wh.dist_keys(),
+                   in_range=wh.calendar_spans_facts)
 
 
 def dist_day(wh: Warehouse) -> DataFrame:
@@ -53,11 +54,10 @@ def dist_day(wh: Warehouse) -> DataFrame:
 
 def dist_day_named(wh: Warehouse) -> DataFrame:
     """The distributor-day rows with calendar and distributor attributes."""
-    cal = wh.calendar.select("full_date", "date_id", "is_month_end")
-    names = wh.dist_names()
-    return (dist_day_dense(wh).join(F.broadcast(cal), "full_date")
-            .join(names, "distributor_id")
-            .select("date_id", "full_date", "is_month_end", "distributor_id",
+    d = F.col("full_date")
+    return (dist_day_dense(wh).join(wh.dist_names(), "distributor_id")
+            .select(date_key(d).alias("date_id"), "full_date",
+                    is_month_end(d).alias("is_month_end"), "distributor_id",
                     "distributor_name", *VALUES))
 
 
@@ -87,35 +87,41 @@ def trailing_28d(wh: Warehouse, p: StuffingParams = StuffingParams()) -> DataFra
         round_ratio(F.col("trail_secondary_sum"), F.col("trail_days")).alias("trail_sec_avg"))
 
 
-def trailing_sparse(wh: Warehouse, p: StuffingParams = StuffingParams()) -> DataFrame:
-    """The same frame over movement days only (RANGE on the day number)."""
-    lo, _ = calendar_bounds(wh)
+def trailing_sparse(wh: Warehouse, p: StuffingParams = StuffingParams(),
+                    values: Sequence[str] = VALUES) -> DataFrame:
+    """The same frame over movement days only (RANGE on the day number), with
+    the trailing sums of ``values``."""
+    dd = dist_day_sparse(wh).select("distributor_id", "full_date", *values)
+    lo, _ = calendar_bounds(wh, dd)
     w = (Window.partitionBy("distributor_id").orderBy(day_number(F.col("full_date")))
          .rangeBetween(-p.trail_days, -1))
-    dd = dist_day_sparse(wh)
     return dd.select(
-        "distributor_id", "full_date", *VALUES,
+        "distributor_id", "full_date", *values,
         F.least(F.lit(p.trail_days), F.datediff(F.col("full_date"), lo)).cast("bigint")
         .alias("trail_days"),
-        F.coalesce(F.sum("primary_units").over(w), F.lit(0)).cast("bigint").alias("trail_primary_sum"),
-        F.coalesce(F.sum("secondary_units").over(w), F.lit(0)).cast("bigint").alias("trail_secondary_sum"))
+        *[F.coalesce(F.sum(v).over(w), F.lit(0)).cast("bigint").alias(f"trail_{v.removesuffix('_units')}_sum")
+          for v in values])
+
+
+def is_flagged(p: StuffingParams) -> Column:
+    """The detector's test on a day's ``primary_units``, ``trail_days`` and
+    ``trail_primary_sum`` (NULL when the frame has no days)."""
+    n, tp = F.col("trail_days"), F.col("trail_primary_sum")
+    return (is_month_end(F.col("full_date")) & mean_ge(tp, n, p.min_trail)
+            & value_ge_k_mean(F.col("primary_units"), tp, n, p.ratio))
 
 
 def stuffing_flags(wh: Warehouse, p: StuffingParams = StuffingParams(),
-                   method: str = "auto", known_only: bool = True) -> DataFrame:
+                   method: str = "auto", known_only: bool = True,
+                   values: Sequence[str] = VALUES) -> DataFrame:
     """Flagged (distributor, month-end day) rows with trailing count and sums.
 
     ``known_only=False`` skips the restriction to the distributor dimension,
     for callers that join from the dimension anyway."""
     if method == "auto":
         method = "sparse" if p.min_trail > 0 else "dense"
-    t = trailing_sparse(wh, p) if method == "sparse" else trailing_dense(wh, p)
-    month_ends = wh.calendar.filter(F.col("is_month_end")).select("full_date")
-    n, tp = F.col("trail_days"), F.col("trail_primary_sum")
-    flagged = (mean_ge(tp, n, p.min_trail)
-               & value_ge_k_mean(F.col("primary_units"), tp, n, p.ratio))
-    # the calendar is bounded by its day count: broadcasting it is safe
-    hits = t.join(F.broadcast(month_ends), "full_date", "left_semi").filter(flagged)
+    t = trailing_sparse(wh, p, values) if method == "sparse" else trailing_dense(wh, p)
+    hits = t.filter(is_flagged(p))
     if not known_only:
         return hits
     # keep distributors of the dimension only, as the dense spine does
@@ -141,5 +147,5 @@ def channel_stuffing(wh: Warehouse, p: StuffingParams = StuffingParams(),
 def stuffing_counts(wh: Warehouse, p: StuffingParams = StuffingParams(),
                     method: str = "auto", known_only: bool = True) -> DataFrame:
     """Flagged month-ends per distributor (only distributors with flags)."""
-    return (stuffing_flags(wh, p, method, known_only).groupBy("distributor_id")
+    return (stuffing_flags(wh, p, method, known_only, ["primary_units"]).groupBy("distributor_id")
             .agg(F.count(F.lit(1)).alias("spike_days")))

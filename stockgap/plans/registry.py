@@ -6,11 +6,15 @@ runs one operator with the driver parameters.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import params as P
+from .. import schemas as S
 from ..operators import leakage as lk
 from ..operators import ledger as led
 from ..operators import quality as dq
@@ -18,21 +22,19 @@ from ..operators import reports as rp
 from ..operators import risk as rk
 from ..operators import route as rt
 from ..operators import stuffing as stf
+from ..operators.calendar import calendar_bounds
+from ..session import scratch_path
 from ..sources.bindings import bind_driver_tables
+from ..sources.csv_io import export_csv, load_csv
+from ..sources.stored import stored_promo_stats, with_stored_ledger
+from .views import register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_BOUND: dict = {}
-
-
 def _wh(spark: SparkSession, sf_dir: str):
-    """The driver tables bound once per session and folder (lazy plans only;
-    re-binding would only repeat plan analysis)."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
-    if key not in _BOUND:
-        _BOUND[key] = bind_driver_tables(spark, sf_dir)
-    return _BOUND[key]
+    """The driver tables, bound anew for every query (lazy plans only)."""
+    return bind_driver_tables(spark, sf_dir)
 
 
 def _on_wh(fn) -> Query:
@@ -45,6 +47,68 @@ def _on_wh(fn) -> Query:
 
 D = P.DRIVER
 
+# Several promotions on one SKU, overlapping ones too, and one on another.
+SEVERAL = (
+    ("PROMO001", "Spring sale", "PROMO", dt.date(1998, 4, 10), dt.date(1998, 4, 25), 20),
+    ("PROMO002", "Late spring sale", "PROMO", dt.date(1998, 4, 20), dt.date(1998, 5, 10), 10),
+    ("PROMO003", "Autumn sale", "PROMO", dt.date(1997, 9, 1), dt.date(1997, 9, 20), 15),
+    ("PROMO004", "Economy week", "ECONOMY", dt.date(1998, 4, 12), dt.date(1998, 4, 18), 30),
+)
+
+
+def _several(fn) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(bind_driver_tables(spark, sf_dir, promotions=SEVERAL))
+    return run
+
+
+def _stored(layout: str, fn) -> Query:
+    """Write the ledger to the shared folder, read it back, run on it."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        wh = _wh(spark, sf_dir)
+        path = scratch_path(spark, f"ledger-{layout}")
+        led.materialize_ledger(wh, path, layout=layout)
+        return fn(wh, spark.read.parquet(path))
+    return run
+
+
+def _month_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month layout written twice, the second time from a calendar
+    that lost its last year; what is stored then."""
+    wh = _wh(spark, sf_dir)
+    path = scratch_path(spark, "ledger-month")
+    led.materialize_ledger(wh, path, layout="month")
+    led.materialize_ledger(first_years(wh), path, layout="month")
+    return spark.read.parquet(path).drop("month")
+
+
+def first_years(wh):
+    """The warehouse up to the year before its last one."""
+    lo, hi = calendar_bounds(wh)
+    end = F.make_date(F.year(hi) - 1, F.lit(12), F.lit(31))
+    return replace(wh, calendar=wh.calendar.filter(F.col("full_date") <= end),
+                   movements=wh.movements.filter(F.col("full_date") <= end),
+                   bounds=None, calendar_spans_facts=False)
+
+
+def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar and the deliveries per day, exported as CSV and
+    loaded by position."""
+    wh = _wh(spark, sf_dir)
+    days, sold = scratch_path(spark, "csv-days"), scratch_path(spark, "csv-sold")
+    export_csv(wh.calendar.select(*S.DIM_DATE.names), days)
+    export_csv(led.daily_secondary_units(wh), sold)
+    d = load_csv(spark, days, S.DIM_DATE)
+    s = load_csv(spark, sold, "day_key int, distributor_id bigint, sku_id string, secondary_units bigint")
+    return s.join(d, s["day_key"] == d["date_id"]).select("full_date", "is_month_end", "distributor_id", "sku_id", "secondary_units")
+
+
+def _view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The risk view by name, in SQL."""
+    register_views(spark, _wh(spark, sf_dir), D)
+    return spark.sql("SELECT distributor_id, risk_score, risk_tier FROM vw_fraud_risk_score WHERE risk_score > 0")
+
+
 QUERIES: dict[str, Query] = {
     "calendar": _on_wh(lambda wh: wh.calendar),
     "spine": _on_wh(led.spine),
@@ -88,5 +152,21 @@ QUERIES: dict[str, Query] = {
     "dq_null_counts": _on_wh(dq.dq_null_counts),
     "dq_orphans": _on_wh(dq.dq_orphans),
     "dq_range": _on_wh(dq.dq_range),
-    "dq_ledger_identity": _on_wh(dq.dq_ledger_identity),
+    "dq_ledger_identity": _stored("runs", dq.dq_ledger_identity),
+    "ledger_runs": _on_wh(led.ledger_runs),
+    "ledger_stored": _stored("runs", lambda wh, runs: led.ledger_from_runs(runs)),
+    "ledger_month_rebuild": _month_rebuild,
+    "stuffing_stored": _stored("runs", lambda wh, runs: stf.channel_stuffing(with_stored_ledger(wh, runs), D.stuffing)),
+    "leakage_stored": _stored("runs", lambda wh, runs: lk.promotion_leakage(
+        wh, D.leakage, stats=stored_promo_stats(wh, runs, D.leakage))),
+    "risk_score_stored": _stored("runs", lambda wh, runs: rk.risk_score(with_stored_ledger(wh, runs), D)),
+    "leakage_several": _several(lambda wh: lk.promotion_leakage(wh, D.leakage)),
+    "promo_windows_several": _several(lambda wh: lk.promo_windows(wh, D.leakage)),
+    "promo_window_rows_several": _several(lambda wh: lk.promo_window_rows(wh, D.leakage)),
+    "dump_day_several": _several(lambda wh: lk.dump_day(wh, D.leakage)),
+    "pair_series_subject": _on_wh(lambda wh: rp.pair_series(
+        wh, D, distributor_id=3, sku_id="STANDARD", start=dt.date(1997, 1, 1), end=dt.date(1997, 12, 31))),
+    "drop_size_buckets_subject": _on_wh(lambda wh: rp.drop_size_buckets(wh, D, distributor_id=3)),
+    "csv_round_trip": _csv_round_trip,
+    "view_risk": _view,
 }

@@ -1,9 +1,10 @@
 """Named live views for SQL users.
 
 ``register_views`` registers lazy DataFrames as temporary views, so each
-``SELECT`` re-runs the current plan over the current tables, like the
-reference's ``CREATE OR REPLACE VIEW``.  Names follow the reference's tables
-and view.
+``SELECT`` re-runs the plan, calendar bounds and promotions included, like
+the reference's ``CREATE OR REPLACE VIEW``.  Spark keeps the file listing of a
+table read by path; after files were added, ``refresh_views`` lists them
+again.  Names follow the reference's tables and view.
 """
 
 from __future__ import annotations
@@ -31,3 +32,9 @@ def register_views(spark: SparkSession, wh: Warehouse, p: Params = Params()) ->
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return list(views)
+
+
+def refresh_views(spark: SparkSession, views: list[str]) -> None:
+    """List the files under the views again (after new data was appended)."""
+    for name in views:
+        spark.catalog.refreshTable(name)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -25,26 +25,34 @@ def local_session(cores: int | str = "*", app: str = "stockgap", **conf) -> Spar
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names shared storage and is used as is; only
-    when it is unset (local tests) do we pick a folder of our own.
+    On a cluster the setting must name shared storage and is used as is; a
+    local session (tests, bench) without it gets a folder of its own, once.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="stockgap-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
+        spark.sparkContext.setCheckpointDir(path)
+        path = spark.sparkContext.getCheckpointDir()
     return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A location for intermediate tables under the shared checkpoint folder."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
+    """A new location for an intermediate table in the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def dense_partitions(pairs: int, days: int, rows_per_task: int = 5_000_000) -> int:
+    """Tasks for generating the dense ledger: by its own size (``pairs`` x
+    ``days``), not by the size of the sparse rows it is made from."""
+    return max(1, -(-pairs * days // rows_per_task))
 
 
 def cluster_conf(input_bytes: int, executor_cores_total: int) -> dict[str, str]:

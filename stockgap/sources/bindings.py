@@ -1,7 +1,7 @@
 """Bind the TPC-H-shaped driver tables to the warehouse concepts.
 
 =============  ==========================================================
-calendar       every day from the first to the last ``l_shipdate``
+calendar       every day from the first to the last movement
 distributor    ``supplier`` (id ``s_suppkey``, name ``s_name``), rep =
                ``s_nationkey``, region = region name via nation
 sku            ``p_type`` of ``part``; units per case = ``p_size``,
@@ -34,7 +34,8 @@ DRIVER_PROMOTIONS = (
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "lineitem").select(
+    # a line without a supplier belongs to no distributor
+    return read_table(spark, sf_dir, "lineitem").where("l_suppkey is not null").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_linestatus",
         F.to_date("l_shipdate").alias("full_date"))
 
@@ -50,9 +51,6 @@ def bind_driver_tables(spark: SparkSession, sf_dir: str,
     region = read_table(spark, sf_dir, "region")
     orders = read_table(spark, sf_dir, "orders")
 
-    bounds = lines.agg(F.min("full_date").alias("lo"), F.max("full_date").alias("hi"))
-    calendar = calendar_between(bounds)
-
     # dimension keys are NOT NULL (primary keys in the reference)
     products = part.select("sku_id").distinct()
     supplier = supplier.where(F.col("s_suppkey").isNotNull())
@@ -64,17 +62,26 @@ def bind_driver_tables(spark: SparkSession, sf_dir: str,
                 F.col("s_nationkey").alias("rep_id"),
                 F.col("r_name").alias("region")))
 
-    qty = F.col("l_quantity").cast("bigint")
-    movements = (
-        lines.filter(F.col("l_linestatus").isin("F", "O"))
-        .join(part, lines.l_partkey == part.p_partkey)
-        .select("full_date", F.col("l_suppkey").alias("distributor_id"), "sku_id",
-                F.when(F.col("l_linestatus") == "F", qty * F.col("p_size"))
-                 .cast("bigint").alias("primary_units"),
-                F.when(F.col("l_linestatus") == "O", qty)
-                 .cast("bigint").alias("secondary_units")))
-
-    deliveries = lines.filter(F.col("l_linestatus") == "O")
+    # units are whole: a fraction ends the job instead of being cut off
+    q = F.col("l_quantity")
+    qty = F.when(q != F.floor(q), F.raise_error(F.lit("l_quantity is not whole"))).otherwise(q).cast("bigint")
+
+    def sold(status: str) -> DataFrame:
+        """Lines of one status whose part is known: movements and drops are
+        the same lines."""
+        of = lines.filter(F.col("l_linestatus").isin("F", "O") if status == "FO" else F.col("l_linestatus") == status)
+        return of.join(part, lines.l_partkey == part.p_partkey)
+
+    movements = sold("FO").select(
+        "full_date", F.col("l_suppkey").alias("distributor_id"), "sku_id",
+        F.when(F.col("l_linestatus") == "F", qty * F.col("p_size"))
+         .cast("bigint").alias("primary_units"),
+        F.when(F.col("l_linestatus") == "O", qty)
+         .cast("bigint").alias("secondary_units"))
+    bounds = movements.agg(F.min("full_date").alias("lo"), F.max("full_date").alias("hi"))
+    calendar = calendar_between(bounds)
+
+    deliveries = sold("O")
     drop_sizes = deliveries.select(F.col("l_suppkey").alias("distributor_id"),
                                    qty.alias("qty_units"))
     drops = (deliveries.join(orders.select("o_orderkey", "o_custkey"),
@@ -87,6 +94,7 @@ def bind_driver_tables(spark: SparkSession, sf_dir: str,
     return Warehouse(calendar=calendar, products=products, distributors=distributors,
                      promotions=promotions_frame(spark, promotions),
                      movements=movements, drop_sizes=drop_sizes, drops=drops, raw=raw,
+                     bounds=bounds, calendar_spans_facts=True,
                      distributor_ids=supplier.select(F.col("s_suppkey").alias("distributor_id")),
                      distributor_names=supplier.select(
                          F.col("s_suppkey").alias("distributor_id"),

@@ -30,10 +30,13 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Materialize a result as parquet, replacing the previous build;
-    with ``partition_by`` only the partitions present in ``df`` are replaced."""
-    w = df.write.mode("overwrite")
+def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
+                only_present: bool = False) -> None:
+    """Materialize a result as parquet, replacing the previous build
+    whole; nothing of it stays.  ``only_present`` replaces the partitions that
+    ``df`` has and leaves the others (a rebuild of some months)."""
+    mode = "dynamic" if only_present else "static"
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
     if partition_by:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by)
     w.parquet(path)

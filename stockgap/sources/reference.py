@@ -9,14 +9,14 @@ Primary cases are converted to units with the product's ``units_per_case``
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.dates import date_from_key
+from ..params import REFERENCE_PROMO
 from .csv_io import load_csv
+from .promotions import promotions_frame
 from .warehouse import Warehouse
 
 CSV_TABLES = {
@@ -29,20 +29,32 @@ CSV_TABLES = {
     "fact_primary_sales": S.FACT_PRIMARY,
     "fact_secondary_sales": S.FACT_SECONDARY,
 }
+REQUIRED = ("dim_date", "dim_product", "dim_distributor", "fact_primary_sales", "fact_secondary_sales")
 
 
 def load_reference_csvs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Every ``<table>.csv`` present in ``folder``, by position and schema."""
+    """Every ``<table>.csv`` in ``folder`` (a path or URI of any file system
+    that Spark reads), by position and schema.  A table that the jobs need
+    and the folder lacks is an error."""
     out = {}
+    base = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
     for name, schema in CSV_TABLES.items():
-        path = os.path.join(folder, f"{name}.csv")
-        if os.path.exists(path):
-            out[name] = load_csv(spark, path, schema)
+        path = spark._jvm.org.apache.hadoop.fs.Path(base, f"{name}.csv")
+        if fs.exists(path):
+            out[name] = load_csv(spark, path.toString(), schema)
+    missing = [n for n in REQUIRED if n not in out]
+    if missing:
+        raise FileNotFoundError(f"{folder}: no {', '.join(f'{n}.csv' for n in missing)}")
     return out
 
 
-def bind_reference_tables(t: dict[str, DataFrame]) -> Warehouse:
+def bind_reference_tables(t: dict[str, DataFrame], promotions=(REFERENCE_PROMO,)) -> Warehouse:
+    """The warehouse over star-schema tables.  Where there is no
+    ``dim_promotion`` table, ``promotions`` (rows of its columns) seed it."""
     product = t["dim_product"]
+    if "dim_promotion" not in t:
+        t = {**t, "dim_promotion": promotions_frame(product.sparkSession, promotions)}
     prim = (t["fact_primary_sales"]
             .join(product.select("sku_id", "units_per_case"), "sku_id")
             .select(date_from_key(F.col("date_id")).alias("full_date"), "distributor_id",

@@ -2,27 +2,78 @@
 
 The reference builds its ledger once and every detector reads the stored
 table.  :func:`with_stored_ledger` swaps a warehouse's movement facts for
-the ledger's daily movements, so the ledger-based jobs (stuffing, leakage,
-dump day, series) read the stored table instead of re-rolling the raw
-facts.  Quiet days (no movement at all) are skipped on read; the jobs
-re-create them.  Delivery-grain jobs (route) still read the deliveries.
+the ledger's daily movements, whatever its layout (runs, dense, by month), so
+the ledger-based jobs (stuffing, leakage, dump day, series) read the stored
+table instead of re-rolling the raw facts.  Quiet days are skipped on read;
+the jobs re-create them.  Delivery-grain jobs (route) still read the
+deliveries.
+
+:func:`stored_promo_stats` goes further for the leakage windows: it reads
+only the runs that touch a promotion's range and takes the stock from the
+stored balance.
 """
 
 from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import date_from_key
+from ..functions.dates import date_from_key, day_span
+from ..operators.calendar import calendar_bounds
+from ..operators.leakage import KEYS, PROMO_COLS, valid_promotions
+from ..params import LeakageParams
 from .warehouse import Warehouse
 
+VALUES = ("primary_units", "secondary_units")
+
+
+def is_runs(ledger: DataFrame) -> bool:
+    return "from_date" in ledger.columns
+
 
 def with_stored_ledger(wh: Warehouse, ledger: DataFrame) -> Warehouse:
+    """``wh`` with the stored ledger's movements (runs, dense or month layout).
+
+    The calendar stays the warehouse's own: a stored ledger may lag behind
+    the facts, and its days must not shrink the calendar."""
     moved = ledger.filter((F.col("primary_units") != 0) | (F.col("secondary_units") != 0))
-    movements = moved.select(date_from_key(F.col("date_id")).alias("full_date"),
-                             "distributor_id", "sku_id",
-                             F.col("primary_units").cast("bigint").alias("primary_units"),
-                             F.col("secondary_units").cast("bigint").alias("secondary_units"))
-    return replace(wh, movements=movements, memo=dict(wh.memo))
+    day = F.col("from_date") if is_runs(ledger) else date_from_key(F.col("date_id"))
+    movements = moved.select(day.alias("full_date"), "distributor_id", "sku_id",
+                             *[F.col(v).cast("bigint").alias(v) for v in VALUES])
+    return replace(wh, movements=movements, calendar_spans_facts=False,
+                   movements_are_lines=False)
+
+
+def stored_promo_stats(wh: Warehouse, runs: DataFrame, p: LeakageParams = LeakageParams()) -> DataFrame:
+    """The window statistics of :func:`stockgap.operators.leakage.promo_stats`
+    (those of C4) from a stored run-length ledger of every pair.
+
+    The scan is pruned to runs that touch any promotion's range (two scalar
+    subqueries), the join meets a promotion only with runs inside its own."""
+    lo, hi = calendar_bounds(wh)
+    a, b = F.col("promo_start"), F.col("promo_end")
+    base_lo, post_hi = F.date_sub(a, p.pre_days), F.date_add(b, p.post_days)
+    ranges = valid_promotions(wh).select(*PROMO_COLS, base_lo.alias("_lo"), post_hi.alias("_hi"))
+    first = ranges.agg(F.min("_lo")).scalar()
+    last = ranges.agg(F.max("_hi")).scalar()
+    near = runs.filter((F.col("to_date") >= first) & (F.col("from_date") <= last))
+    met = near.join(ranges, "sku_id").filter(
+        (F.col("to_date") >= F.col("_lo")) & (F.col("from_date") <= F.col("_hi")))
+    d, s = F.col("from_date"), F.col("secondary_units")
+
+    def total(cond: Column) -> Column:
+        return F.coalesce(F.sum(F.when(cond, s)), F.lit(0)).cast("bigint")
+
+    sums = met.groupBy(*KEYS, "promo_start", "promo_end").agg(
+        total((d >= base_lo) & (d < a)).alias("baseline_units"),
+        total((d >= a) & (d <= b)).alias("promo_units"),
+        total((d > b) & (d <= post_hi)).alias("post_units"),
+        F.max(F.when((d <= b) & (F.col("to_date") >= b), F.col("closing_units"))).alias("stock_at_promo_end"))
+    return sums.select(
+        "*",
+        day_span(F.greatest(base_lo, lo), F.least(F.date_sub(a, 1), hi)).cast("bigint").alias("baseline_days"),
+        day_span(F.greatest(a, lo), F.least(b, hi)).cast("bigint").alias("promo_days"),
+        day_span(F.greatest(F.date_add(b, 1), lo), F.least(post_hi, hi)).cast("bigint").alias("post_days"),
+        day_span(F.greatest(base_lo, lo), F.least(post_hi, hi)).alias("_window_days"))

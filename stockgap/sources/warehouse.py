@@ -28,6 +28,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 @dataclass
@@ -46,14 +47,20 @@ class Warehouse:
     distributor_ids: DataFrame | None = None
     distributor_names: DataFrame | None = None
 
-    # results of small probes (dimension sizes) proven for this binding
-    memo: dict = field(default_factory=dict, repr=False, compare=False)
+    # one row (lo, hi): the calendar's first and last day, when that is
+    # cheaper than asking ``calendar``
+    bounds: DataFrame | None = None
+    # the calendar runs from the first to the last movement by construction,
+    # so no movement lies outside it
+    calendar_spans_facts: bool = False
+    # a movement is one fact line (a secondary one a delivery), not a daily sum
+    movements_are_lines: bool = True
 
-    def once(self, key: str, compute):
-        """``compute()`` once per warehouse (for small size probes)."""
-        if key not in self.memo:
-            self.memo[key] = compute()
-        return self.memo[key]
+    def span(self) -> DataFrame:
+        """(lo, hi): the calendar's first and last day, a lazy one-row frame."""
+        if self.bounds is not None:
+            return self.bounds
+        return self.calendar.agg(F.min("full_date").alias("lo"), F.max("full_date").alias("hi"))
 
     def dist_names(self) -> DataFrame:
         """(distributor_id, distributor_name), from the leanest source."""

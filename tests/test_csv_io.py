@@ -39,8 +39,45 @@ def test_write_table_dynamic_overwrite(spark, tmp_path, planted):
     led = stock_ledger(planted).withColumn("month", F.col("date_id").cast("string").substr(1, 6))
     path = str(tmp_path / "ledger")
     write_table(led, path, ("month",))
-    write_table(led.filter(F.col("date_id") < 20230201), path, ("month",))  # January only
+    january = led.filter(F.col("date_id") < 20230201)
+    write_table(january, path, ("month",), only_present=True)        # a rebuild of one month
     assert spark.read.parquet(path).count() == 181 * 6 * 2
+    write_table(january, path, ("month",))                           # a rebuild of all
+    assert spark.read.parquet(path).count() == 31 * 6 * 2
+
+
+def test_month_rebuild_leaves_nothing_stale(spark, tmp_path, planted):
+    from dataclasses import replace
+
+    from stockgap.operators.ledger import materialize_ledger
+    path = str(tmp_path / "ledger")
+    materialize_ledger(planted, path, layout="month", files_per_month=2)
+    months = [f for f in os.listdir(path) if f.startswith("month=")]
+    assert all(len([x for x in os.listdir(f"{path}/{m}") if x.endswith(".parquet")]) <= 2 for m in months)
+    short = replace(planted, calendar=planted.calendar.filter(F.col("date_id") < 20230501))
+    materialize_ledger(short, path, layout="month")
+    back = spark.read.parquet(path)
+    assert back.agg(F.max("date_id")).first()[0] == 20230430 and back.count() == 120 * 6 * 2
+
+
+def test_csv_folder_by_uri_and_missing_tables(spark, tmp_path):
+    import pytest
+    from fixtures import write_planted_csvs
+
+    from stockgap.operators.leakage import promo_calendar
+    from stockgap.params import REFERENCE
+    from stockgap.sources.reference import bind_reference_tables, load_reference_csvs
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    write_planted_csvs(str(folder))
+    tables = load_reference_csvs(spark, f"file://{folder}")
+    assert set(tables) == set(load_reference_csvs(spark, str(folder))) and len(tables) >= 6
+    # the promotion seed stands in for a table that the folder does not have
+    seeded = bind_reference_tables({k: v for k, v in tables.items() if k != "dim_promotion"})
+    assert [r.promotion_id for r in promo_calendar(seeded, REFERENCE.leakage).collect()] == ["PROMO001"]
+    os.rename(folder / "dim_distributor.csv", folder / "other.csv")
+    with pytest.raises(FileNotFoundError, match="dim_distributor"):
+        load_reference_csvs(spark, f"file://{folder}")
 
 
 def test_materialize_ledger_layouts(spark, tmp_path, planted):
