@@ -15,9 +15,10 @@ than k neighbours turn up probe all buckets.
 Equal vectors keep only their k + 1 smallest ids, as no others can be among
 anyone's k nearest with ties to the smaller id.  A bucket's candidates and
 queries are dealt into blocks of bounded size, and each block pair is one
-group, so no group grows with the data.  A block reports, per query, its k
-best that reach the query's k-th best among ``FLOOR_ROWS`` sampled rows, a
-lower bound on what a true neighbour scores.
+group, so no group grows with the data.  A block reports one row per query:
+its k best that reach the query's k-th best among ``FLOOR_ROWS`` sampled
+rows, a lower bound on what a true neighbour scores.  So a query has at most
+``tables * probes`` such rows a block, whatever the table's size.
 """
 
 from __future__ import annotations
@@ -107,7 +108,8 @@ def _blocked(rows: DataFrame, sizes: DataFrame, own: str, other: str, keys: list
 
 
 def _search(rows: DataFrame, queries: DataFrame, k: int, hashes: Hashes, probes: int, dim: int, floor: pd.DataFrame) -> DataFrame:
-    """(query_id, vec_id, score): what the probed buckets hold of each query's k best."""
+    """(query_id, found): of each probed bucket its k best for the query, as
+    (-score, vec_id) pairs."""
     fx, fid = matrix(floor.v, dim), floor.vec_id.to_numpy()
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -136,10 +138,15 @@ def _search(rows: DataFrame, queries: DataFrame, k: int, hashes: Hashes, probes:
         for at in range(0, len(right) if len(left) else 0, 256):
             own = right[at: at + 256]
             qid = own.query_id.to_numpy()
-            s = matrix(own.qv, dim) @ x.T
+            q = matrix(own.qv, dim)
+            s = q @ x.T
             s[(s < own.low.to_numpy()[:, None]) | (qid[:, None] == ids[None, :])] = -np.inf
-            out += [(int(qid[i]), int(ids[j]), float(s[i, j])) for i, c in _best(s, ids, k) for j in c]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+            for i in np.flatnonzero(s.max(axis=1) > -np.inf):
+                c = np.flatnonzero(s[i] > -np.inf)
+                exact = (x[c] * q[i]).sum(axis=1)  # the same for equal vectors in any block
+                best = np.lexsort((ids[c], -exact))[:k]
+                out.append((int(qid[i]), [(-float(exact[b]), int(ids[c[b]])) for b in best]))
+        return pd.DataFrame(out, columns=["query_id", "found"])
 
     keys = ["t", "bucket"]
     cells = rows.mapInPandas(place, "t int, bucket int, vec_id long, v array<float>" if "float" in rows.schema["v"].dataType.simpleString() else "t int, bucket int, vec_id long, v array<double>")
@@ -150,7 +157,7 @@ def _search(rows: DataFrame, queries: DataFrame, k: int, hashes: Hashes, probes:
     group = [*keys, "b_row", "b_query"]
     a = _blocked(cells, sizes, "b_row", "b_query", keys, "vec_id").groupBy(*group)
     b = _blocked(asked, sizes, "b_query", "b_row", keys, "query_id").groupBy(*group)
-    return a.cogroup(b).applyInPandas(score, "query_id long, vec_id long, score double")
+    return a.cogroup(b).applyInPandas(score, "query_id long, found array<struct<away:double,vec_id:long>>")
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = TABLES, recall: float = RECALL) -> DataFrame:
@@ -158,13 +165,13 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = TABLES, rec
     embedding) for which ``is_query`` (a condition on vec_id) holds.
 
     Null, zero and non-finite vectors, vectors of another length than most,
-    and rows without id take no part.  Rows that repeat an id are one
-    candidate, with the best of their scores, and never their own neighbour.
-    No queries or no candidates: an empty result.
+    and rows without id take no part.  Rows that repeat an id and its vector
+    are one candidate; rows that repeat an id are never each other's
+    neighbour.  No queries or no candidates: an empty result.
     """
     v = vectors["embedding"]
     kind = v.cast("array<float>") if "float" in vectors.schema["embedding"].dataType.simpleString() else v.cast("array<double>")
-    rows = staged(vectors.where(vectors["vec_id"].isNotNull()).select(vectors["vec_id"].cast("long").alias("vec_id"), kind.alias("v")).where(sound(F.col("v"))))
+    rows = staged(vectors.where(vectors["vec_id"].isNotNull()).select(vectors["vec_id"].cast("long").alias("vec_id"), kind.alias("v")).where(sound(F.col("v"))).distinct())
     dim = width(rows)
     rows = rows.where(F.size("v") == dim)
     same = Window.partitionBy(F.xxhash64("v"), F.xxhash64(F.lit(1), "v")).orderBy("vec_id")
@@ -180,9 +187,11 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = TABLES, rec
     probes = min(2 * hashes.size, int(np.quantile(ranks, recall, method="higher")) + 1) if len(ranks) else 1
 
     def ranked(asked: DataFrame, p: int) -> DataFrame:
-        found = _search(distinct, asked, k, hashes, p, dim, floor).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-        best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        return staged(found.select("query_id", F.row_number().over(best).alias("rank"), "vec_id", "score").where(F.col("rank") <= k))
+        found = _search(distinct, asked, k, hashes, p, dim, floor).groupBy("query_id").agg(F.flatten(F.collect_list("found")).alias("found"))
+        # a pair turns up in each table at most once
+        near = F.slice(F.array_distinct(F.slice(F.sort_array("found"), 1, k * tables)), 1, k)
+        return staged(found.select("query_id", F.posexplode(near).alias("at", "x")).select(
+            "query_id", (F.col("at") + 1).alias("rank"), "x.vec_id", (-F.col("x.away")).alias("score")))
 
     first = ranked(queries, probes)
     short = queries.join(first.where(F.col("rank") == min(k, max(1, (n or 0) - 1))).select("query_id"), "query_id", "left_anti")
