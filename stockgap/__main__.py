@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 
 from . import params as P
 from .operators import ledger, quality, reports, risk
-from .session import dense_partitions, local_session, scratch_path
+from .session import cluster_conf, dense_partitions, local_session, scratch_path
 from .sources.bindings import bind_driver_tables
 from .sources.csv_io import write_table
 from .sources.reference import bind_reference_tables, load_reference_csvs
@@ -36,6 +36,9 @@ def _parser() -> argparse.ArgumentParser:
     ap.add_argument("--params", choices=["driver", "reference"], default=None,
                     help="threshold set (default: driver for --tables, reference for --csv)")
     ap.add_argument("--local", type=int, default=0, help="start a local session with N cores")
+    ap.add_argument("--size", type=float, default=0, metavar="GB",
+                    help="input size; with --cores sizes shuffles and broadcasts of a cluster run")
+    ap.add_argument("--cores", type=int, default=0, help="executor cores of the cluster")
     sub = ap.add_subparsers(dest="cmd", required=True)
     led = sub.add_parser("ledger")
     led.add_argument("--out", required=True)
@@ -60,7 +63,8 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = local_session(args.local) if args.local else SparkSession.builder.getOrCreate()
+    sizing = cluster_conf(int(args.size * (1 << 30)), args.cores) if args.size and args.cores else {}
+    spark = local_session(args.local, **sizing) if args.local else SparkSession.builder.config(map=sizing).getOrCreate()
     if args.tables:
         wh = bind_driver_tables(spark, args.tables)
         params = P.REFERENCE if args.params == "reference" else P.DRIVER
