@@ -36,9 +36,9 @@ def calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     return calendar_between(bounds)
 
 
-def calendar_bounds(wh, daily: DataFrame | None = None) -> tuple[Column, Column]:
-    """First and last day of the calendar, as scalar subqueries of the plan
-    that uses them: new days show up without a new binding.
+def calendar_pick(wh, daily: DataFrame | None = None) -> Column:
+    """The calendar's first and last day, a struct (lo, hi): a scalar subquery
+    of the plan that uses it, so new days show up without a new binding.
 
     ``daily`` is the roll-up the caller reads anyway.  Where the calendar
     spans the facts by construction, the bounds are those of the roll-up; the
@@ -46,12 +46,18 @@ def calendar_bounds(wh, daily: DataFrame | None = None) -> tuple[Column, Column]
     reuses its exchange instead of scanning the facts again.
     """
     if daily is None or not wh.calendar_spans_facts:
-        pick = wh.span().select(F.struct("lo", "hi").alias("b")).scalar()
-        return pick["lo"], pick["hi"]
+        return wh.span().select(F.struct("lo", "hi").alias("b")).scalar()
     row = F.struct("full_date", *[c for c in daily.columns if c != "full_date"])
     # the count keeps Spark from dropping a roll-up without sums below min and max
-    pick = daily.agg(F.min(row).alias("lo"), F.max(row).alias("hi"), F.count(F.lit(1)).alias("n")).select(
+    return daily.agg(F.min(row).alias("lo"), F.max(row).alias("hi"), F.count(F.lit(1)).alias("n")).select(
         F.struct(F.col("lo.full_date").alias("lo"), F.col("hi.full_date").alias("hi"), "n").alias("b")).scalar()
+
+
+def calendar_bounds(wh, daily: DataFrame | None = None) -> tuple[Column, Column]:
+    """First and last day of :func:`calendar_pick` as columns.  Every use puts
+    the subquery into the plan anew; where there are several, project the
+    pick once and take its fields."""
+    pick = calendar_pick(wh, daily)
     return pick["lo"], pick["hi"]
 
 

@@ -46,7 +46,7 @@ def day_runs(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
     keys, values, carry = list(keys), list(values), list(carry)
     d = F.col("full_date")
     start = lo if history_from is None else history_from
-    kind = F.when(d >= lo, F.lit(EVENT)).otherwise(F.lit(HISTORY))
+    kind = F.lit(EVENT) if in_range else F.when(d >= lo, F.lit(EVENT)).otherwise(F.lit(HISTORY))
     rows = sparse.select(*keys, *carry, "full_date", *values)
     if not in_range:
         rows = rows.filter((d >= start) & (d <= hi))
@@ -69,12 +69,13 @@ def day_runs(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
         name, net = opening
         extra.append(F.coalesce(F.sum(net).over(
             w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("bigint").alias("_open"))
-    rows = rows.select("*", *extra)
+    # the bounds once, after the exchange: they may be subqueries
+    rows = rows.select("*", *extra).select("*", lo.alias("_first"), hi.alias("_last"))
     if anchors is not None:
         rows = rows.filter(F.col("_known") == 1)
 
-    first = F.greatest(d, lo)
-    last = F.least(F.coalesce(F.date_sub(F.col("_next"), 1), hi), hi)
+    first = F.greatest(d, F.col("_first"))
+    last = F.least(F.coalesce(F.date_sub(F.col("_next"), 1), F.col("_last")), F.col("_last"))
     is_event = F.col("_kind") == EVENT
     out = [*keys, *carry, first.alias("from_date"), last.alias("to_date")]
     out += [F.when(is_event, F.col(v)).otherwise(F.lit(0)).cast("bigint").alias(v)

@@ -27,7 +27,7 @@ from ..functions.dates import date_key, day_span
 from ..functions.exact import mean_ge, mean_ge_k_mean, mean_le_k_mean, round_ratio
 from ..params import LEAK_VERDICT, OK_VERDICT, LeakageParams
 from ..sources.warehouse import Warehouse
-from .calendar import calendar_bounds, in_calendar
+from .calendar import calendar_bounds, calendar_pick, in_calendar
 from .densify import densify
 from .keys import attach_all
 from .ledger import daily_movements
@@ -44,9 +44,9 @@ def valid_promotions(wh: Warehouse) -> DataFrame:
 
 def promo_calendar(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
     """The seeded promotions with the calendar days of each window."""
-    lo, hi = calendar_bounds(wh)
+    lo, hi = F.col("_cal.lo"), F.col("_cal.hi")
     a, b = F.col("promo_start"), F.col("promo_end")
-    return valid_promotions(wh).select(
+    return valid_promotions(wh).select("*", calendar_pick(wh).alias("_cal")).select(
         "promotion_id", "promo_name", "sku_id", "promo_start", "promo_end", "discount_pct",
         day_span(F.greatest(F.date_sub(a, p.pre_days), lo), F.least(F.date_sub(a, 1), hi))
         .cast("bigint").alias("baseline_days"),
@@ -91,12 +91,13 @@ def balances_at(daily: DataFrame, probes: DataFrame) -> DataFrame:
 
 
 def promo_stats(wh: Warehouse, p: LeakageParams = LeakageParams(),
-                bounds: tuple[Column, Column] | None = None) -> DataFrame:
+                pick: Column | None = None) -> DataFrame:
     """Sums and day counts of every window, per (promotion, distributor, sku).
 
-    ``bounds``: the calendar's first and last day, where the caller has them."""
+    ``pick``: the calendar's bounds (:func:`calendar_pick`), where the caller
+    has them."""
     own = promoted_daily(wh)
-    lo, hi = bounds or calendar_bounds(wh)
+    lo, hi = F.col("_cal.lo"), F.col("_cal.hi")
     a, b = F.col("promo_start"), F.col("promo_end")
     base_lo, post_hi = F.date_sub(a, p.pre_days), F.date_add(b, p.post_days)
     cuts = F.array(F.date_sub(base_lo, 1), F.date_sub(a, 1), b, post_hi)
@@ -112,6 +113,7 @@ def promo_stats(wh: Warehouse, p: LeakageParams = LeakageParams(),
         (upto(3, "cum_secondary") - upto(2, "cum_secondary")).alias("post_units"),
         upto(1, "cum_secondary").alias("before_units"),
         upto(2, "cum_net").alias("_net_to_end"))
+    s = s.select("*", (calendar_pick(wh) if pick is None else pick).alias("_cal"))
     return s.select(
         *KEYS, "promo_start", "promo_end",
         day_span(F.greatest(base_lo, lo), F.least(F.date_sub(a, 1), hi)).cast("bigint")
@@ -172,9 +174,9 @@ def promotion_leakage(wh: Warehouse, p: LeakageParams = LeakageParams(),
 
 
 def leak_counts(wh: Warehouse, p: LeakageParams = LeakageParams(),
-                bounds: tuple[Column, Column] | None = None) -> DataFrame:
+                pick: Column | None = None) -> DataFrame:
     """Distinct leaked SKUs per distributor (only distributors with one)."""
-    st = promo_stats(wh, p, bounds).filter((F.col("_window_days") > 0) & is_leak(p))
+    st = promo_stats(wh, p, pick).filter((F.col("_window_days") > 0) & is_leak(p))
     return st.groupBy("distributor_id").agg(F.count_distinct("sku_id").alias("leaked_skus"))
 
 
@@ -236,16 +238,16 @@ def promo_window_rows(wh: Warehouse, p: LeakageParams = LeakageParams()) -> Data
     Only movements inside a range meet its promotion (interval condition of
     the join); the balance before the range comes from :func:`balances_at`.
     """
-    lo, hi = calendar_bounds(wh)
     daily = promoted_daily(wh)
-    a, b = F.col("promo_start"), F.col("promo_end")
+    a, b, lo, hi = F.col("promo_start"), F.col("promo_end"), F.col("_cal.lo"), F.col("_cal.hi")
+    pick = calendar_pick(wh).alias("_cal")
     carry = ["promo_start", "promo_end", "_lo", "_hi"]
     spans = [F.greatest(F.date_sub(a, p.pre_days), lo).alias("_lo"),
              F.least(F.date_add(b, p.post_days), hi).alias("_hi")]
-    ranges = valid_promotions(wh).select(*PROMO_COLS, *spans)
+    ranges = valid_promotions(wh).select(*PROMO_COLS, pick).select(*PROMO_COLS, *spans)
     mv = daily.join(ranges, "sku_id").filter(
         (F.col("full_date") >= F.col("_lo")) & (F.col("full_date") <= F.col("_hi")))
-    before = balances_at(daily, promo_pairs(wh).select("*", *spans).withColumn("full_date", F.date_sub("_lo", 1)))
+    before = balances_at(daily, promo_pairs(wh).select("*", pick).select("*", *spans).drop("_cal").withColumn("full_date", F.date_sub("_lo", 1)))
     anchors = before.select(*KEYS, *carry, F.col("cum_net").alias("primary_units"))
     dense = densify(mv, KEYS, ["primary_units", "secondary_units"], F.col("_lo"), F.col("_hi"),
                     anchors=anchors, carry=carry, in_range=True,

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_from_key, day_span
-from ..operators.calendar import calendar_bounds
+from ..operators.calendar import calendar_pick
 from ..operators.leakage import KEYS, PROMO_COLS, valid_promotions
 from ..params import LeakageParams
 from .warehouse import Warehouse
@@ -52,7 +52,7 @@ def stored_promo_stats(wh: Warehouse, runs: DataFrame, p: LeakageParams = Leakag
 
     The scan is pruned to runs that touch any promotion's range (two scalar
     subqueries), the join meets a promotion only with runs inside its own."""
-    lo, hi = calendar_bounds(wh)
+    lo, hi = F.col("_cal.lo"), F.col("_cal.hi")
     a, b = F.col("promo_start"), F.col("promo_end")
     base_lo, post_hi = F.date_sub(a, p.pre_days), F.date_add(b, p.post_days)
     ranges = valid_promotions(wh).select(*PROMO_COLS, base_lo.alias("_lo"), post_hi.alias("_hi"))
@@ -71,8 +71,8 @@ def stored_promo_stats(wh: Warehouse, runs: DataFrame, p: LeakageParams = Leakag
         total((d >= a) & (d <= b)).alias("promo_units"),
         total((d > b) & (d <= post_hi)).alias("post_units"),
         F.max(F.when((d <= b) & (F.col("to_date") >= b), F.col("closing_units"))).alias("stock_at_promo_end"))
-    return sums.select(
-        "*",
+    return sums.select("*", calendar_pick(wh).alias("_cal")).select(
+        *KEYS, "baseline_units", "promo_units", "post_units", "stock_at_promo_end",
         day_span(F.greatest(base_lo, lo), F.least(F.date_sub(a, 1), hi)).cast("bigint").alias("baseline_days"),
         day_span(F.greatest(a, lo), F.least(b, hi)).cast("bigint").alias("promo_days"),
         day_span(F.greatest(F.date_add(b, 1), lo), F.least(post_hi, hi)).cast("bigint").alias("post_days"),
