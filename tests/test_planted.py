@@ -187,6 +187,26 @@ def test_cli(tmp_path, planted):
     assert "D02" in out.stdout and "HIGH" in out.stdout
 
 
+def test_cli_rebuild_check_and_subjects(spark, tmp_path, monkeypatch, capsys):
+    from fixtures import write_planted_csvs
+
+    from stockgap import __main__ as cli
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    write_planted_csvs(str(folder))
+    cli.main(["--csv", f"file://{folder}", "rebuild", "--out", str(tmp_path / "all")])
+    runs = spark.read.parquet(str(tmp_path / "all" / "ledger"))
+    assert led.ledger_from_runs(runs).count() == 181 * 6 * 2
+    assert spark.read.parquet(str(tmp_path / "all" / "fact_secondary_sales")).count() > 0
+    cli.main(["--csv", str(folder), "check", "--ledger", str(tmp_path / "all" / "ledger")])
+    assert "ledger closing >= 0" in capsys.readouterr().out
+    cli.main(["--csv", str(folder), "export", "--out", str(tmp_path / "csv-out"), "--stuffer", "D03", "--dumper", "D05",
+              "--hoarder", "D01", "SKU001", "--from", "2023-02-01", "--to", "2023-02-10"])
+    read = lambda name: spark.read.option("header", True).csv(str(tmp_path / "csv-out" / name)).collect()
+    assert len(read("pair_series")) == 10 and len(read("distributor_series")) == 181
+    assert {r.cohort for r in read("drop_size_buckets")} == {"D05 (falsifier)", "All other distributors"}
+
+
 def test_active_scope_is_full_ledger_of_pairs_that_moved(planted):
     full = led.stock_ledger(planted).filter("distributor_id <> 'D06'")
     active = led.stock_ledger(planted, scope="active")
