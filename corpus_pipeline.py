@@ -21,7 +21,8 @@ ORACLE_SQL = None
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality classifier rejects (score < 0.5)."""
     learn = quality.labelled(table(spark, sf_dir, "labels"))
-    known = docs.join(learn.select(F.col("id").alias("__id")).distinct(), F.col("__id") == docs["doc_id"], "left_semi")
+    ids = F.broadcast(learn.select(F.col("id").alias("__id")).distinct())  # at most about quality.MAX_TRAIN
+    known = docs.join(ids, F.col("__id") == docs["doc_id"], "left_semi")
     model = quality.fit(staged(quality.document_stats(known)).join(learn, "id"))
     return docs.where(quality.score_udf(model, of_text=True)(text_of(docs["text"])) >= 0.5)
 

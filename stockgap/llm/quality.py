@@ -7,8 +7,8 @@ driver solves systems whose size depends on the number of features alone.
 Out-of-fold scores are calibrated by isotonic regression (pool adjacent
 violators) over score bins.
 
-Bounds: ``max_train`` labelled rows at most enter the fit (the ones with the
-smallest id hashes); everything else covers all rows.
+Bounds: about ``MAX_TRAIN`` labelled rows at most enter the fit (the ones with
+the smallest id hashes); everything else covers all rows.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ STATS = ["log_bytes", "log_words", "upper", "lower", "digit", "space", "newline"
          "bang", "mark", "stop", "other", "mean_word", "sd_word", "distinct", "repeated",
          "top_word", "concentration", "line_words", "distinct_lines", "bigrams"]
 N_FEATURES = 160
+MAX_TRAIN = 1_000_000
 FOLDS = 4
 BINS = 2000
 _CLASSES = ["upper", "lower", "digit", "space", "newline", "high", "pipe", "bang", "mark", "stop", "other"]
@@ -114,8 +115,9 @@ def isotonic(score: np.ndarray, good: np.ndarray, total: np.ndarray) -> tuple[np
 
 
 def fit(stats: DataFrame, n_features: int = N_FEATURES, ridge: float = 1e-3, gamma: float = 0.35,
-        max_train: int = 1_000_000, seed: int = 7) -> Model:
-    """Fit on ``stats`` (id, stats array<double>, label 0/1).
+        seed: int = 7) -> Model:
+    """Fit on ``stats`` (id, stats array<double>, label 0/1), e.g. of the
+    documents in :func:`labelled`.
 
     Null ids, labels or statistics are left out; repeated rows count as often
     as they occur.  No rows: a constant 0.5; one class only: its share.
@@ -125,9 +127,8 @@ def fit(stats: DataFrame, n_features: int = N_FEATURES, ridge: float = 1e-3, gam
     n, good = rows.agg(F.count(F.lit(1)), F.sum("label")).first()
     if not n or good in (0, n):
         return _constant(good / n if n else 0.5)
-    unit = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) / (1 << 30)
     fold = F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(FOLDS)).cast("int")
-    train = rows.where(unit < max_train / n).select(fold.alias("fold"), "stats", "label").repartition(16).persist()
+    train = rows.select(fold.alias("fold"), "stats", "label").repartition(16).persist()
     try:
         d = len(STATS)
         got = train.select(F.posexplode("stats").alias("i", "x")).groupBy("i").agg(
@@ -193,10 +194,14 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(c.cast("string")), F.lit(3)) == 1, F.lit(False))
 
 
-def labelled(labels: DataFrame) -> DataFrame:
-    """(id, label) rows that a fit may learn from."""
-    return labels.where(~held_out()).where("doc_id is not null and quality in (0, 1)").select(
+def labelled(labels: DataFrame, max_train: int = MAX_TRAIN, seed: int = 7) -> DataFrame:
+    """(id, label) rows that a fit learns from: not held out, and about
+    ``max_train`` at most, by the hash of the id.  Few enough to broadcast
+    (16 bytes a row)."""
+    rows = labels.where(~held_out()).where("doc_id is not null and quality in (0, 1)").select(
         F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    unit = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) / (1 << 30)
+    return rows.where(unit < max_train / max(1, rows.count()))
 
 
 def document_stats(docs: DataFrame) -> DataFrame:

@@ -51,6 +51,13 @@ def test_nulls_empty_long_and_no_labels(spark):
     assert empty.select(quality.score_udf(model)("stats")).count() == 0
 
 
+def test_training_rows_are_bounded(spark):
+    labels = spark.range(5000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    n = quality.labelled(labels).count()
+    assert n == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(5000))
+    assert 300 < quality.labelled(labels, max_train=400).count() < 500
+
+
 def test_isotonic_pools_violators():
     knots, levels = quality.isotonic(np.array([0.1, 0.2, 0.3, 0.4]), np.array([0.0, 3.0, 1.0, 4.0]), np.array([4.0, 4.0, 4.0, 4.0]))
     assert levels.tolist() == [0.0, 0.5, 1.0] and (np.diff(knots) > 0).all()
