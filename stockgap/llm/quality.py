@@ -29,7 +29,8 @@ from .common import text_of
 
 STATS = ["log_bytes", "log_words", "upper", "lower", "digit", "space", "newline", "high", "pipe",
          "bang", "mark", "stop", "other", "mean_word", "sd_word", "distinct", "repeated",
-         "top_word", "concentration", "line_words", "distinct_lines", "bigrams"]
+         "top_word", "concentration", "line_words", "distinct_lines", "bigrams",
+         "n_upper", "n_pipe", "n_bang", "n_mark", "n_repeated", "n_lost"]
 N_FEATURES = 160
 MAX_TRAIN = 1_000_000
 FOLDS = 4
@@ -54,20 +55,24 @@ def text_stats(text: str) -> list[float]:
     data = text.encode("utf-8", "replace")
     if not data:
         return [0.0] * len(STATS)
-    share = np.bincount(_CLASS_OF[np.frombuffer(data, np.uint8)], minlength=len(_CLASSES)) / len(data)
+    count_of = np.bincount(_CLASS_OF[np.frombuffer(data, np.uint8)], minlength=len(_CLASSES))
+    share = count_of / len(data)
     words = data.split()
     n = len(words)
     if n:
         size = np.fromiter(map(len, words), np.float64, n)
         count = np.fromiter(Counter(words).values(), np.float64)
-        repeated = sum(map(eq, words, islice(words, 1, None))) / n
+        again = sum(map(eq, words, islice(words, 1, None)))
         pairs = len(set(zip(words, islice(words, 1, None)))) / max(1, n - 1)
-        word = [size.mean() / 10, size.std() / 10, len(count) / n, repeated, count.max() / n, float((count / n) @ (count / n))]
+        word = [size.mean() / 10, size.std() / 10, len(count) / n, again / n, count.max() / n, float((count / n) @ (count / n))]
+        lost = n - len(count)
     else:
-        pairs, word = 0.0, [0.0] * 6
+        pairs, word, again, lost = 0.0, [0.0] * 6, 0, 0
     lines = data.split(b"\n")
+    # shares mislead in short texts: the marks of junk once more as counts
+    counts = [*(count_of[_CLASSES.index(c)] for c in ("upper", "pipe", "bang", "mark")), again, lost]
     return [np.log1p(len(data)) / 10, np.log1p(n) / 10, *share.tolist(), *word,
-            np.log1p(n / len(lines)) / 5, len(set(lines)) / len(lines), pairs]
+            np.log1p(n / len(lines)) / 5, len(set(lines)) / len(lines), pairs, *(np.log1p(counts) / 5).tolist()]
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
@@ -114,7 +119,7 @@ def isotonic(score: np.ndarray, good: np.ndarray, total: np.ndarray) -> tuple[np
     return p[:, 0] / p[:, 2], p[:, 1] / p[:, 2]
 
 
-def fit(stats: DataFrame, n_features: int = N_FEATURES, ridge: float = 1e-3, gamma: float = 0.35,
+def fit(stats: DataFrame, n_features: int = N_FEATURES, ridge: float = 1e-4, gamma: float = 0.2,
         seed: int = 7) -> Model:
     """Fit on ``stats`` (id, stats array<double>, label 0/1), e.g. of the
     documents in :func:`labelled`.
