@@ -22,10 +22,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Unset on a cluster: an error, since a machine-local folder would be
     invisible to the other executors.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if path:
         return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not _LOCAL:
         _LOCAL.append(tempfile.mkdtemp(prefix="stockgap-llm-"))
