@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from .common import shuffle_partitions, text_of
+from .common import shuffle_partitions, text_batches, text_of
 
 LEAF = 1 << 16
 WINDOW = 64
@@ -189,7 +189,7 @@ def tokenize(docs: DataFrame, vocabulary_path: str, leaf: int = LEAF, window: in
         ids = c.tree(list(zip(group.part, map(np.asarray, group.ids))), window)
         return pd.DataFrame({"h1": group.h1[:1].to_numpy(), "h2": group.h2[:1].to_numpy(), "ids": [ids], "decoded": c.decode([ids])})
 
-    rows = docs.select(docs["doc_id"].alias("doc_id"), *[docs[c].alias(c) for c in keep], text_of(docs["text"]).alias("text"))
+    rows = text_batches(docs).select(docs["doc_id"].alias("doc_id"), *[docs[c].alias(c) for c in keep], text_of(docs["text"]).alias("text"))
     carried = T.StructType(rows.drop("text").schema.fields).add("ids", T.ArrayType(T.IntegerType())).add("decoded", T.StringType())
     short = rows.where(F.length("text") <= leaf).mapInPandas(whole, carried)
     long = rows.where(F.length("text") > leaf).withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), "text")})

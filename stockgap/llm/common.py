@@ -51,6 +51,18 @@ def text_of(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+TEXT_BATCH = 1024
+
+
+def text_batches(df: DataFrame, rows: int = TEXT_BATCH) -> DataFrame:
+    """``df``, after lowering the session's Arrow batches to ``rows`` rows if
+    they are larger: texts go to Python a few MB at a time, also long ones."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= rows:
+        conf.set(key, str(rows))
+    return df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import text_batches, text_of
 
 COVERAGE = 0.8
 ENOUGH = 0.3  # of a template's fingerprints: words that miss 20 % of a template leave 40 % of its pairs of pairs
@@ -226,5 +226,5 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, coverage: fl
     def found(texts: pd.Series) -> pd.Series:
         return pd.Series([matches(t, index, coverage) for t in texts], dtype=object)
 
-    return docs.select(docs["doc_id"].alias("doc_id"), found(text_of(docs["text"])).alias("m")).select(
+    return text_batches(docs).select(docs["doc_id"].alias("doc_id"), found(text_of(docs["text"])).alias("m")).select(
         "doc_id", F.explode("m").alias("m")).select("doc_id", "m.*")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import staged, text_of
+from .common import staged, text_batches, text_of
 
 MIN_SITES = 5
 MIN_WORDS = 3
@@ -83,7 +83,7 @@ def clean(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORD
     the empty text.  A null text stays null; rows that repeat a document
     (same id and text) are treated alike.
     """
-    bad = staged(boilerplate(docs, min_sites, min_words, lg_k))
+    bad = staged(boilerplate(text_batches(docs), min_sites, min_words, lg_k))
     hits = line_hashes(docs, min_words).join(bad, _KEY).where(
         (F.coalesce("doc_id", F.lit(_LAST)) != F.col("first.doc")) | (F.col("pos") != F.col("first.pos"))
         | (F.col("text_hash") != F.col("first.text_hash")))

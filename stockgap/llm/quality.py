@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_of
+from .common import text_batches, text_of
 
 STATS = ["log_bytes", "log_words", "upper", "lower", "digit", "space", "newline", "high", "pipe",
          "bang", "mark", "stop", "other", "mean_word", "sd_word", "distinct", "repeated",
@@ -211,4 +211,4 @@ def labelled(labels: DataFrame, max_train: int = MAX_TRAIN, seed: int = 7) -> Da
 
 def document_stats(docs: DataFrame) -> DataFrame:
     """(id, stats) of every document, from its whole text (null: empty)."""
-    return docs.select(F.col("doc_id").alias("id"), stats_of(text_of(docs["text"])).alias("stats"))
+    return text_batches(docs).select(F.col("doc_id").alias("id"), stats_of(text_of(docs["text"])).alias("stats"))

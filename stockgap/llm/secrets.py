@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import staged, text_of
+from .common import staged, text_batches, text_of
 
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -110,7 +110,7 @@ def find_secrets(docs: DataFrame, min_ratio: float = MIN_RATIO) -> DataFrame:
     """(doc_id, base, novel) per row of ``docs``: arrays of (kind, start, end,
     text), novel ones with their marginal bytes.  Null text: empty; every row
     is judged on its own, whatever its id."""
-    scanned = staged(docs.select(docs["doc_id"].alias("doc_id"), scan_udf(text_of(docs["text"])).alias("x")).select("doc_id", "x.*"))
+    scanned = staged(text_batches(docs).select(docs["doc_id"].alias("doc_id"), scan_udf(text_of(docs["text"])).alias("x")).select("doc_id", "x.*"))
     names = identifiers(scanned)
 
     @F.pandas_udf(_NOVEL)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, staged, text_of
+from .common import shuffle_partitions, staged, text_batches, text_of
 from .graph import connected_components
 
 SHINGLE = 3
@@ -150,7 +150,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     doc_id has a fingerprint but no component and links nothing.  Rows that
     repeat a doc_id are one document: what any of them links to is linked.
     """
-    prints = staged(docs.select(docs["doc_id"].cast("long").alias("doc_id"),
+    prints = staged(text_batches(docs).select(docs["doc_id"].cast("long").alias("doc_id"),
                                 fingerprint_udf(shingle)(text_of(docs["text"])).alias("fp")))
     nodes = staged(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")))
     again = prints.where("doc_id is not null").groupBy("doc_id").agg(
