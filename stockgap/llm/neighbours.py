@@ -8,8 +8,10 @@ list changes.  A list keeps neighbours down to cos(2 * angle of the
 threshold), as whoever is linked to a linked neighbour is at least that near.
 
 A list full of links is saturated: there may be more.  The lists of a
-component that holds one are enlarged to the whole component, compared in
-tiles; what leaves a tile is a count per node, never its pairs.  At the end
+component that holds one are enlarged to the whole component, and to all
+nodes of the label that lie near enough to it (by the triangle inequality)
+to be linked, compared in tiles; what leaves a tile is a count per node,
+never its pairs.  Components that turn out to be linked become one.  At the end
 the links of ``AUDIT`` sampled nodes are counted against all nodes of their
 labels; under ``RECALL`` the search is repeated with twice the tables.
 """
@@ -32,6 +34,7 @@ LIST = 24
 LEAF = 256  # vectors a start bucket should hold on average
 CHUNK = 1024  # and at most about so many
 TILE = 1024
+PART = 4096  # nodes that are held against the balls of tiles at a time
 MISS = 1e-3  # share of links at the threshold that the start buckets may miss
 ROUNDS = 6
 SETTLED = 1e-3
@@ -161,6 +164,83 @@ def _enlarged(members: DataFrame, dim: int, threshold: float) -> DataFrame:
     return spread.groupBy("root", "lo", "hi").applyInPandas(count, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
 
 
+def _beyond(grown: DataFrame, nodes: DataFrame, dim: int, threshold: float) -> DataFrame:
+    """(node, links, root): links between ``grown`` components (root, node) and
+    nodes outside them, counted at both ends; ``root`` is linked to ``node``.
+
+    A tile of a component lies in a ball around its mean direction; only nodes
+    within the threshold's angle of that ball are compared with the tile.
+    """
+    spark, reach = nodes.sparkSession, math.acos(threshold) + 1e-6
+    tiles = grown.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    own = staged(grown.join(tiles, "root").join(nodes, "node").select(
+        "label", "root", F.pmod(F.xxhash64("node"), "tiles").cast("int").alias("tile"), "node", "weight", "v"))
+    label = own.schema["label"].dataType.simpleString()
+
+    def ball(g: pd.DataFrame) -> pd.DataFrame:
+        x = _unit(g.v, dim)
+        centre = x.mean(0)
+        size = np.linalg.norm(centre)
+        radius = float(np.arccos(np.clip(x @ centre / size, -1, 1)).max()) if size > 1e-9 else math.pi
+        return pd.DataFrame({"label": g.label.iloc[:1].to_numpy(), "root": g.root.iloc[:1].to_numpy(), "tile": g.tile.iloc[:1].to_numpy(),
+                             "centre": [centre / max(size, 1e-9)], "radius": [radius]})
+
+    balls = staged(own.groupBy("label", "root", "tile").applyInPandas(ball, f"label {label}, root long, tile int, centre array<double>, radius double"))
+    if balls.isEmpty():
+        return spark.createDataFrame([], "node long, links long, root long")
+    parts = nodes.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+    bins = balls.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("bins"))
+    outside = nodes.join(parts, "label").join(bins, "label").join(grown.select("node", "root"), "node", "left").select(
+        "label", F.pmod(F.xxhash64("node"), "parts").alias("part"), F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("bin"),
+        "node", "v", F.coalesce("root", "node").alias("own"), F.col("root").isNull().alias("free"))
+    cast = balls.join(bins, "label").join(parts, "label").select(
+        "label", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part"),
+        F.pmod(F.xxhash64("root", "tile"), "bins").cast("int").alias("bin"), "root", "tile", "centre", "radius")
+
+    def near(n: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(n) or not len(b):
+            return pd.DataFrame({"label": n.label[:0], "root": [], "tile": [], "node": []}).astype({"root": "int64", "tile": "int64", "node": "int64"})
+        x, c, root, radius = _unit(n.v, dim), np.stack(b.centre.to_numpy()), b.root.to_numpy(), b.radius.to_numpy()
+        out = []
+        for at in range(0, len(x), 1024):
+            close = np.arccos(np.clip(x[at: at + 1024] @ c.T, -1, 1)) <= radius + reach
+            # links between two grown components are counted once, from the smaller root
+            close &= n.free.to_numpy()[at: at + 1024, None] | (n.own.to_numpy()[at: at + 1024, None] > root)
+            i, j = np.nonzero(close)
+            out.append(pd.DataFrame({"label": n.label.to_numpy()[at + i], "root": root[j], "tile": b.tile.to_numpy()[j], "node": n.node.to_numpy()[at + i]}))
+        return pd.concat(out)
+
+    cell = ["label", "part", "bin"]
+    met = staged(outside.groupBy(*cell).cogroup(cast.groupBy(*cell)).applyInPandas(near, f"label {label}, root long, tile int, node long").distinct())
+    cell = ["label", "root", "tile"]
+    pieces = met.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("pieces"))
+    left = own.join(pieces, cell).select(
+        *cell, F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), "node", "weight", "v", F.lit(True).alias("inside"))
+    right = met.join(pieces, cell).join(nodes, ["label", "node"]).select(
+        *cell, F.pmod(F.xxhash64("node"), "pieces").cast("int").alias("piece"), "node", "weight", "v", F.lit(False).alias("inside"))
+
+    def count(g: pd.DataFrame) -> pd.DataFrame:
+        inside = g.inside.to_numpy()
+        x, weight = _unit(g.v, dim), g.weight.to_numpy()
+        links = np.zeros(len(g), np.int64)
+        a, b = np.flatnonzero(inside), np.flatnonzero(~inside)
+        for at in range(0, len(a), 1024):
+            linked = x[a[at: at + 1024]] @ x[b].T >= threshold
+            links[a[at: at + 1024]] = linked @ weight[b]
+            links[b] += weight[a[at: at + 1024]] @ linked
+        return pd.DataFrame({"node": g.node, "links": links, "root": g.root})[links > 0]
+
+    return staged(left.unionByName(right).groupBy(*cell, "piece").applyInPandas(count, "node long, links long, root long"))
+
+
+def _merged(nodes: DataFrame, comps: DataFrame, beyond: DataFrame) -> DataFrame:
+    """(node, root) of all nodes: the components, joined where ``beyond`` links them."""
+    parts = nodes.select("node").distinct().join(comps, "node", "left").select("node", F.coalesce("root", "node").alias("part"))
+    bridges = beyond.join(parts, "node").select(F.col("part").alias("a"), F.col("root").alias("b")).distinct()
+    tops = connected_components(bridges).select(F.col("node").alias("part"), F.col("root").alias("top"))
+    return parts.join(tops, "part", "left").select("node", F.coalesce("top", "part").alias("root"))
+
+
 def _audit(nodes: DataFrame, found: DataFrame, dim: int, threshold: float, seed: int) -> float:
     """Share of the links of sampled nodes that ``found`` (node, links) has."""
     sample = nodes.orderBy(F.xxhash64(F.lit(seed), "node"), "node").limit(AUDIT).select("node", "label", "v").toPandas()
@@ -207,11 +287,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = LIST,
         enlarged = _enlarged(grown.join(nodes, "node").select("root", "node", "weight", "v"), dim, threshold)
         listed = pairs.join(grown.select(F.col("node").alias("u")), "u", "left_anti").join(
             nodes.select(F.col("node").alias("v"), "weight"), "v").groupBy(F.col("u").alias("node")).agg(F.sum("weight").alias("links"))
-        found = staged(enlarged.unionByName(listed))
+        beyond = _beyond(grown, nodes, dim, threshold)
+        found = staged(enlarged.unionByName(listed).unionByName(beyond.select("node", "links")).groupBy("node").agg(F.sum("links").alias("links")))
         if not most or more >= 8 or _audit(nodes, found, dim, threshold, seed) >= RECALL:
             break
         more *= 2
-    table = staged(nodes.join(comps, "node", "left").join(found, "node", "left").select(
+    table = staged(nodes.join(_merged(nodes, comps, beyond), "node", "left").join(found, "node", "left").select(
         "label", "v", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("component_id")))
     member = rows.where(fit).join(table, ["label", "v"]).select("vec_id", "n_links", "component_id")
     rest = rows.where(~fit).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from llm_data import components, vecs
 
 from stockgap.llm import neighbours
@@ -73,3 +74,26 @@ def test_tables_grow_with_the_bits():
     assert neighbours.tables_for(100, 0.93) == (0, 1)
     bits, tables = neighbours.tables_for(1 << 20, 0.93)
     assert bits == 12 and tables > 20
+
+
+def _groups(n, cosines, dim=16, seed=4):
+    """Tight groups of ``n`` distinct vectors; the centre of each at the given cosine to the first one's."""
+    rng = np.random.default_rng(seed)
+    axes = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
+    centres = [axes[0]] + [c * axes[0] + np.sqrt(1 - c * c) * axes[1 + i] for i, c in enumerate(cosines)]
+    return [(100 * g + i, (c + rng.standard_normal(dim) * 0.002).tolist(), 1) for g, c in enumerate(centres) for i in range(n)]
+
+
+@pytest.mark.parametrize("n,cosines", [(25, [0.95]), (60, [0.97]), (40, [0.95, 0.94]), (30, [0.5, 0.95])])
+def test_tight_groups_linked_across(spark, n, cosines):
+    rows = _groups(n, cosines) + [(5000, _groups(1, [0.94], seed=4)[1][1], 1), (5001, [1.0] * 16, 1), (5002, _groups(1, [])[0][1], 2)]
+    got = sorted((tuple(r) for r in neighbours.near_duplicates(vecs(spark, rows)).collect()), key=str)
+    assert got == _brute(rows)
+
+
+def test_links_across_in_small_tiles(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "TILE", 8)
+    monkeypatch.setattr(neighbours, "PART", 16)
+    rows = _groups(30, [0.95, 0.94])
+    got = sorted((tuple(r) for r in neighbours.near_duplicates(vecs(spark, rows)).collect()), key=str)
+    assert got == _brute(rows)
