@@ -12,8 +12,10 @@ component that holds one are enlarged to the whole component, and to all
 nodes of the label that lie near enough to it (by the triangle inequality)
 to be linked, compared in tiles; what leaves a tile is a count per node,
 never its pairs.  Components that turn out to be linked become one.  At the end
-the links of ``AUDIT`` sampled nodes are counted against all nodes of their
-labels; under ``RECALL`` the search is repeated with twice the tables.
+the links of sampled nodes (``AUDIT`` of those with no, few and more links
+found) are counted against all nodes of their labels; if any has lost one the
+search is repeated with twice the tables, and in the end the labels are
+compared whole, in tiles.
 """
 
 from __future__ import annotations
@@ -32,14 +34,15 @@ from .vectors import matrix, sound, width
 
 LIST = 24
 LEAF = 256  # vectors a start bucket should hold on average
-CHUNK = 1024  # and at most about so many
+CHUNK = 1024  # a larger one is compared in pairs of chunks of about so many
 TILE = 1024
 PART = 4096  # nodes that are held against the balls of tiles at a time
 MISS = 1e-3  # share of links at the threshold that the start buckets may miss
 ROUNDS = 6
 SETTLED = 1e-3
 AUDIT = 256
-RECALL = 0.98
+FEW = 3
+MORE = 8  # times the tables, at most
 
 
 def _unit(column, dim: int) -> np.ndarray:
@@ -78,19 +81,24 @@ def _start(nodes: DataFrame, dim: int, most: int, threshold: float, floor: float
     sizes = staged(placed.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks")))
 
     def lists(g: pd.DataFrame) -> pd.DataFrame:
-        x, node = _unit(g.v, dim), g.node.to_numpy()
+        x, node, chunk = _unit(g.v, dim), g.node.to_numpy(), g.chunk.to_numpy()
+        lo, hi = np.flatnonzero(chunk == g.lo.iloc[0]), np.flatnonzero(chunk == g.hi.iloc[0])
         out = []
-        for at in range(0, len(x), 1024):
-            s = x[at: at + 1024] @ x.T
-            s[np.arange(len(s)), at + np.arange(len(s))] = -1
-            for i in np.flatnonzero(s.max(1) >= floor):
-                c = np.flatnonzero(s[i] >= floor)
-                c = c[np.lexsort((node[c], -s[i][c]))[:k]]
-                out.append(pd.DataFrame({"u": node[at + i], "v": node[c], "sim": s[i][c]}))
+        for a, b in [(lo, hi), (hi, lo)] if g.lo.iloc[0] != g.hi.iloc[0] else [(lo, lo)]:
+            for at in range(0, len(a), 1024):
+                s = x[a[at: at + 1024]] @ x[b].T
+                if a is b:
+                    s[np.arange(len(s)), at + np.arange(len(s))] = -1
+                for i in np.flatnonzero(s.max(1, initial=-1) >= floor):
+                    c = np.flatnonzero(s[i] >= floor)
+                    c = c[np.lexsort((node[b[c]], -s[i][c]))[:k]]
+                    out.append(pd.DataFrame({"u": node[a[at + i]], "v": node[b[c]], "sim": s[i][c]}))
         return pd.concat(out) if out else pd.DataFrame({"u": [], "v": [], "sim": []}).astype({"u": "int64", "v": "int64"})
 
-    found = placed.join(sizes, cell).withColumn("chunk", F.pmod(F.xxhash64("node", "t"), "chunks")).groupBy(*cell, "chunk").applyInPandas(
-        lists, "u long, v long, sim double")
+    dealt = placed.join(sizes, cell).withColumn("chunk", F.pmod(F.xxhash64("node", "t"), "chunks").cast("int")).select(
+        *cell, "node", "v", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")).withColumns(
+        {"lo": F.least("chunk", "other"), "hi": F.greatest("chunk", "other")})
+    found = dealt.groupBy(*cell, "lo", "hi").applyInPandas(lists, "u long, v long, sim double")
     return _best(found.where("u <> v").groupBy("u", "v").agg(F.max("sim").alias("sim")).withColumn("new", F.lit(True)), k)
 
 
@@ -241,21 +249,54 @@ def _merged(nodes: DataFrame, comps: DataFrame, beyond: DataFrame) -> DataFrame:
     return parts.join(tops, "part", "left").select("node", F.coalesce("top", "part").alias("root"))
 
 
-def _audit(nodes: DataFrame, found: DataFrame, dim: int, threshold: float, seed: int) -> float:
-    """Share of the links of sampled nodes that ``found`` (node, links) has."""
-    sample = nodes.orderBy(F.xxhash64(F.lit(seed), "node"), "node").limit(AUDIT).select("node", "label", "v").toPandas()
-    q, label, own = _unit(sample.v, dim), sample.label.to_numpy(), sample.node.to_numpy()
+def _whole(nodes: DataFrame, comps: DataFrame, dim: int, threshold: float) -> DataFrame:
+    """(node, links, root): as ``_beyond``, but all links of all nodes, from
+    whole labels compared in tiles; of the links between two components a
+    pair of tiles reports one."""
+    tiles = nodes.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    own = nodes.join(tiles, "label").join(comps, "node", "left").withColumn("tile", F.pmod(F.xxhash64("node", "v"), "tiles").cast("int"))
+    spread = own.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")).select(
+        "label", "node", "weight", "v", "tile", F.coalesce("root", "node").alias("part"), F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"))
+
+    def count(g: pd.DataFrame) -> pd.DataFrame:
+        tile, same = g.tile.to_numpy(), bool(g.lo.iloc[0] == g.hi.iloc[0])
+        a, b = np.flatnonzero(tile == g.lo.iloc[0]), np.flatnonzero(tile == g.hi.iloc[0])
+        x, node, weight, part = _unit(g.v, dim), g.node.to_numpy(), g.weight.to_numpy(), g.part.to_numpy()
+        links, bridges = np.zeros(len(g), np.int64), set()
+        for at in range(0, len(a), 1024):
+            s = a[at: at + 1024]
+            near = (x[s] @ x[b].T >= threshold) & (node[s][:, None] != node[b][None, :])
+            links[s] += near @ weight[b]
+            if not same:
+                links[b] += weight[s] @ near
+            i, j = np.nonzero(near & (part[s][:, None] != part[b][None, :]))
+            bridges.update(zip(part[s[i]].tolist(), part[b[j]].tolist()))
+        ends = list(bridges)
+        return pd.concat([pd.DataFrame({"node": node, "links": links, "root": part}),
+                          pd.DataFrame({"node": [p for p, _ in ends], "links": 0, "root": [q for _, q in ends]}).astype("int64")])
+
+    return staged(spread.groupBy("label", "lo", "hi").applyInPandas(count, "node long, links long, root long"))
+
+
+def _lost(nodes: DataFrame, found: DataFrame, dim: int, threshold: float, seed: int) -> int:
+    """How many of the sampled nodes have more links than ``found`` (node, links).
+
+    Nodes with none, few (up to ``FEW``) and more are sampled apart, so that
+    large groups do not hide what pairs and triples lose."""
+    known = staged(nodes.select("node", "label", "v").join(found, "node", "left").withColumn("links", F.coalesce("links", F.lit(0))))
+    sample = pd.concat([known.where(kind).orderBy(F.xxhash64(F.lit(seed), "node"), "node").limit(AUDIT).toPandas()
+                        for kind in ("links = 0", f"links between 1 and {FEW}", f"links > {FEW}")], ignore_index=True)
+    q, label, own, has = _unit(sample.v, dim), sample.label.to_numpy(), sample.node.to_numpy(), sample.links.to_numpy()
 
     def block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(len(q), np.int64)
         for b in batches:
             near = (q @ _unit(b.v, dim).T >= threshold) & (label[:, None] == b.label.to_numpy()[None, :]) & (own[:, None] != b.node.to_numpy()[None, :])
             total += near @ b.weight.to_numpy()
-        yield pd.DataFrame({"node": own, "truth": total})
+        yield pd.DataFrame({"at": np.arange(len(q)), "truth": total})
 
-    truth = nodes.mapInPandas(block, "node long, truth long").groupBy("node").agg(F.sum("truth").alias("truth"))
-    got, want = truth.join(found, "node", "left").agg(F.sum(F.least("truth", F.coalesce("links", F.lit(0)))), F.sum("truth")).first()
-    return 1.0 if not want else got / want
+    truth = nodes.mapInPandas(block, "at long, truth long").groupBy("at").agg(F.sum("truth").alias("truth")).toPandas()
+    return int((truth.truth.to_numpy() > has[truth["at"].to_numpy()]).sum())
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = LIST, seed: int = 5) -> DataFrame:
@@ -289,7 +330,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = LIST,
             nodes.select(F.col("node").alias("v"), "weight"), "v").groupBy(F.col("u").alias("node")).agg(F.sum("weight").alias("links"))
         beyond = _beyond(grown, nodes, dim, threshold)
         found = staged(enlarged.unionByName(listed).unionByName(beyond.select("node", "links")).groupBy("node").agg(F.sum("links").alias("links")))
-        if not most or more >= 8 or _audit(nodes, found, dim, threshold, seed) >= RECALL:
+        if not most or not _lost(nodes, found, dim, threshold, seed):
+            break
+        if more >= MORE:
+            beyond = _whole(nodes, comps, dim, threshold)
+            found = staged(beyond.groupBy("node").agg(F.sum("links").alias("links")))
             break
         more *= 2
     table = staged(nodes.join(_merged(nodes, comps, beyond), "node", "left").join(found, "node", "left").select(

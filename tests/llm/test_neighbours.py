@@ -97,3 +97,31 @@ def test_links_across_in_small_tiles(spark, monkeypatch):
     rows = _groups(30, [0.95, 0.94])
     got = sorted((tuple(r) for r in neighbours.near_duplicates(vecs(spark, rows)).collect()), key=str)
     assert got == _brute(rows)
+
+
+def _pairs_beside_a_crowd(seed=6):
+    rng = np.random.default_rng(seed)
+    crowd = rng.standard_normal(16)
+    x = [crowd + rng.standard_normal(16) * 0.05 for _ in range(120)]
+    for _ in range(80):
+        one = rng.standard_normal(16)
+        x += [one, one + rng.standard_normal(16) * 0.05]
+    return [(i, v.tolist(), 1) for i, v in enumerate(x)]
+
+
+def test_chunks_of_a_split_bucket_meet(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "CHUNK", 16)
+    rows = _pairs_beside_a_crowd()
+    nodes = spark.createDataFrame([(r[2], r[0], 1, r[1]) for r in rows], "label int, node long, weight long, v array<double>")
+    got = {(r.u, r.v) for r in neighbours._start(nodes, 16, 100, 0.93, 0.7298, 24, 1, 5).where("sim >= 0.93").collect()}
+    assert all({(i, i + 1), (i + 1, i)} <= got for i in range(120, 280, 2))
+
+
+def test_whole_labels_are_compared_when_the_search_loses_links(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "MORE", 1)
+    monkeypatch.setattr(neighbours, "TILE", 64)
+    monkeypatch.setattr(neighbours, "descend", lambda nodes, *a: nodes.sparkSession.createDataFrame(
+        [(i, j, 1.0, True) for i in range(120) for j in range(120) if i != j], "u long, v long, sim double, new boolean"))
+    rows = _pairs_beside_a_crowd()
+    got = sorted((tuple(r) for r in neighbours.near_duplicates(vecs(spark, rows)).collect()), key=str)
+    assert got == _brute(rows)
