@@ -4,15 +4,15 @@ Patterns (leftmost, not overlapping, per kind): ``assign`` a credential
 assignment, ``access`` a cloud access id, ``hex`` a long hexadecimal run.
 Spans are those of the whole match, in code points, end exclusive.
 
-Novelty (``novel``): a candidate is a long token shortly after a sensitive
-word that no pattern has reported.  Its marginal cost is the growth of the
+Novelty (``novel``): a candidate is a long token shortly after or before a
+sensitive word that no pattern has reported.  Its marginal cost is the growth of the
 zstandard frame of its surroundings when it is put between them; the
-compressor is primed with the identifiers that surround candidates anywhere
-in the corpus.  What costs at least ``MIN_RATIO`` bytes a character is
+compressor is primed with the identifiers that stand in most documents of the
+corpus.  What costs at least ``MIN_RATIO`` bytes a character is
 nothing that the code around it, or common names, would explain.
 
 Memory: the dictionary holds the ``N_IDENTIFIERS`` most frequent identifiers
-(counts cover all documents), everything else is per document.
+(counts cover the whole texts of all documents), everything else is per document.
 """
 
 from __future__ import annotations
@@ -37,8 +37,10 @@ SENSITIVE = re.compile(r"(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret
                        r"|auth(?:orization)?|bearer|credentials?|signature|session[ _-]?id|connection[ _-]?string)(?![A-Za-z])", re.I | re.A)
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_])[A-Za-z0-9+/_][A-Za-z0-9+/_.=~!@#$%^&*-]{14,}[A-Za-z0-9+/_=]")
 REACH = 48  # characters between a sensitive word and a candidate
+_TOKEN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=~!@#$%^&*-"
 AROUND = 256  # characters of surroundings on each side
 N_IDENTIFIERS = 4096
+MIN_DOCS = 3  # documents an identifier must stand in, or any copied key would explain itself
 MIN_RATIO = 0.7
 MIN_CLASSES = 2
 
@@ -60,20 +62,35 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
+def _token_start(text: str, at: int) -> int:
+    """Where the run of token characters that reaches ``at`` begins."""
+    low = max(0, at - 4096)
+    n = len(text[low:at].rstrip(_TOKEN))
+    return low + n if n or not low else len(text[:low].rstrip(_TOKEN))
+
+
 def candidates(text: str, base: Iterable[tuple[str, int, int, str]]) -> list[tuple[int, int, str, str, str]]:
     """(start, end, before, text, after) of tokens near sensitive words that
     touch no base span and mix letter cases, digits or signs."""
     taken = [x[1:3] for x in base]
     out: dict[int, tuple[int, int, str, str, str]] = {}
+
+    def add(i: int, j: int, token: str) -> None:
+        classes = sum(any(map(f, token)) for f in (str.islower, str.isupper, str.isdigit))
+        if classes >= MIN_CLASSES and not any(a < j and i < b for a, b in taken) and (i not in out or j > out[i][1]):
+            out[i] = (i, j, text[max(0, i - AROUND): i], text[i:j], text[j: j + AROUND])
+
     for word in SENSITIVE.finditer(text):
+        at = max(0, word.start() - REACH)
+        for m in CANDIDATE.finditer(text, _token_start(text, at), word.start()):
+            if m.end() >= at:
+                add(*m.span(), m[0])
         for m in CANDIDATE.finditer(text, word.end(), min(len(text), word.end() + REACH + 4096)):
             i, j = m.span()
             if i > word.end() + REACH:
                 break
             j = CANDIDATE.match(text, i).end()  # beyond the searched stretch, if it is longer
-            classes = sum(any(map(f, m[0])) for f in (str.islower, str.isupper, str.isdigit))
-            if classes >= MIN_CLASSES and not any(a < j and i < b for a, b in taken):
-                out[i] = (i, j, text[max(0, i - AROUND): i], text[i:j], text[j: j + AROUND])
+            add(i, j, m[0])
     return sorted(out.values())
 
 
@@ -96,13 +113,19 @@ class Novelty:
         return size(before + text + after) - size(before + after)
 
 
-def identifiers(scanned: DataFrame, n: int = N_IDENTIFIERS) -> list[str]:
-    """The ``n`` most frequent identifiers around candidates, rarest first
+def identifiers(docs: DataFrame, scanned: DataFrame, n: int = N_IDENTIFIERS) -> list[str]:
+    """The ``n`` identifiers that stand in most documents, rarest first
     (zstandard finds what is late in a dictionary cheapest); at most ``n``
-    rows reach the driver."""
-    near = scanned.select(F.explode("cand").alias("c")).select(F.explode(F.regexp_extract_all(
-        F.concat_ws(" ", "c.before", "c.after"), F.lit("[A-Za-z_][A-Za-z0-9_]{2,63}"), F.lit(0))).alias("name"))
-    top = near.groupBy("name").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "name").limit(n)
+    rows reach the driver.  A document doesn't count for a name that is (part
+    of) one of its candidates."""
+    def counted(text: Column, frame: DataFrame, count: str) -> DataFrame:
+        names = F.array_distinct(F.regexp_extract_all(text, F.lit("[A-Za-z_][A-Za-z0-9_]{2,63}"), F.lit(0)))
+        return frame.select(F.explode(names).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias(count))
+
+    all_of = counted(text_of(docs["text"]), docs, "n").where(F.col("n") >= MIN_DOCS)
+    judged = counted(F.array_join(F.col("cand.text"), " "), scanned.where(F.size("cand") > 0), "m")
+    top = all_of.join(judged, "name", "left").select("name", (F.col("n") - F.coalesce("m", F.lit(0))).alias("n")).where(
+        F.col("n") >= MIN_DOCS).orderBy(F.desc("n"), "name").limit(n)
     return [r["name"] for r in top.collect()][::-1]
 
 
@@ -111,7 +134,7 @@ def find_secrets(docs: DataFrame, min_ratio: float = MIN_RATIO) -> DataFrame:
     text), novel ones with their marginal bytes.  Null text: empty; every row
     is judged on its own, whatever its id."""
     scanned = staged(text_batches(docs).select(docs["doc_id"].alias("doc_id"), scan_udf(text_of(docs["text"])).alias("x")).select("doc_id", "x.*"))
-    names = identifiers(scanned)
+    names = identifiers(docs, scanned)
 
     @F.pandas_udf(_NOVEL)
     def judge(cands: pd.Series) -> pd.Series:

@@ -49,3 +49,26 @@ def test_ids_null_and_repeated_and_no_rows(spark):
     got = secrets.digests(secrets.find_secrets(docs(spark, [(None, "token: abcdefg"), (1, "token: abcdefg"), (1, "token: abcdefg")]))).collect()
     assert sorted(str(r.doc_id) for r in got) == ["1", "1", "None"] and {r.spans for r in got} == {"assign:0:14"}
     assert secrets.find_secrets(docs(spark, [])).count() == 0
+
+
+def test_names_from_anywhere_in_the_corpus_explain(spark):
+    code = "def run(task):\n    return task.result()\n" * 3
+    name = "GoogleCredentialsProviderFactory"
+    rows = [(i, f"{'words and lines ' * 40}\nimport {name}\n") for i in range(5)] + [(9, code + f"# auth {name}\n" + code)]
+    got = {r.doc_id: r.novel for r in secrets.find_secrets(docs(spark, rows)).collect()}
+    assert not any(got.values())
+
+
+def test_a_key_before_the_word_and_one_in_many_documents(spark):
+    key = base64.b64encode(random.Random(3).randbytes(30)).decode().replace("+", "a").replace("/", "b").rstrip("=")
+    code = "def run(task):\n    return task.result()\n" * 3
+    rows = [(1, code + f"{key} # api key\n" + code)] + [(2 + i, code + f"bearer {key}\n" + code) for i in range(4)]
+    got = {r.doc_id: r for r in secrets.find_secrets(docs(spark, rows)).collect()}
+    assert all([n.text for n in r.novel] == [key] for r in got.values())
+
+
+def test_candidates_on_both_sides():
+    key = "aB3" * 2000
+    found = lambda text: [c[3] for c in secrets.candidates(text, [])]
+    assert found(f"{key} # token") == [key] and found(f"token # {key}") == [key]
+    assert found(f"{key} {'x ' * 30} token") == [] and found("x" * 9000 + " " + "aB3" * 6 + " secret") == ["aB3" * 6]
