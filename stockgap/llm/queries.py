@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html, licenses, line_dedup, mixing, neighbours, quality, secrets, simhash
+from . import ann, bpe, html, licenses, line_dedup, mixing, neighbours, quality, secrets, simhash, trie
 from .common import staged, table
 
 #: the public vocabulary file of the BPE query; a parameter of the operator
@@ -66,6 +66,10 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_mixing": op2_mixing,
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
     "op10_nearest": op10_nearest,
+    "op13_trie": op13_trie,
 }
 
 ORACLE: dict[str, str] = {
