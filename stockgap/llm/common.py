@@ -32,12 +32,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return _LOCAL[0]
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The path of a new folder in the shared one."""
+    return f"{checkpoint_dir(spark)}/stockgap-llm/{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written as a table in the shared folder and read back.
 
     Cuts the lineage: whatever follows reads files that outlive any executor.
     """
-    path = f"{checkpoint_dir(df.sparkSession)}/stockgap-llm/{uuid.uuid4().hex}"
+    path = scratch_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html, licenses, line_dedup, mixing, neighbours, quality, secrets, simhash, trie
-from .common import staged, table
+from . import ann, bpe, html, licenses, line_dedup, mixing, neighbours, quality, secrets, simhash, token_counts, trie
+from .common import scratch_folder, staged, table
 
 #: the public vocabulary file of the BPE query; a parameter of the operator
 VOCABULARY = os.environ.get("STOCKGAP_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
@@ -66,6 +67,14 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts with a cache of its own, cold at the start: all distinct texts
+    are encoded.  ``stockgap.tokenCache`` in the session names a lasting one."""
+    cache = spark.conf.get("stockgap.tokenCache", None) or scratch_folder(spark)
+    counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.Tokenizer(public_tokenizers.path("word_bpe_49k.json")), cache)
+    return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
 def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -81,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
     "op10_nearest": op10_nearest,
+    "op12_token_counts": op12_token_counts,
     "op13_trie": op13_trie,
 }
 
