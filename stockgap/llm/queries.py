@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html, licenses, line_dedup, mixing, neighbours, quality, secrets, simhash, token_counts, trie
+from . import ann, bpe, html, licenses, line_dedup, mixing, neighbours, phrases, quality, secrets, simhash, token_counts, trie
 from .common import scratch_folder, staged, table
 
 #: the public vocabulary file of the BPE query; a parameter of the operator
@@ -67,6 +67,10 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts with a cache of its own, cold at the start: all distinct texts
     are encoded.  ``stockgap.tokenCache`` in the session names a lasting one."""
@@ -90,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
     "op10_nearest": op10_nearest,
+    "op11_phrases": op11_phrases,
     "op12_token_counts": op12_token_counts,
     "op13_trie": op13_trie,
 }
@@ -112,4 +117,39 @@ ORACLE: dict[str, str] = {
         FROM (SELECT l.*, b.line IS NOT NULL AND (b.first.doc <> l.doc_id OR b.first.pos <> l.pos) AS gone
               FROM lines l LEFT JOIN bad b ON l.line = b.line)
         GROUP BY doc_id""",
+    "op11_phrases": """
+        WITH pieces AS (
+            SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\n\\x0B\\x0C\\r]')) AS piece
+            FROM (SELECT coalesce(lang, 'und') AS lang,
+                         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)),
+        words AS (SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), x -> x <> '') AS w FROM pieces),
+        counts AS (
+            SELECT lang, k, phrase, count(*) AS n
+            FROM (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+                  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                        FROM words, (VALUES (1), (2), (3)) AS ks(k) WHERE len(w) >= k))
+            GROUP BY ALL),
+        cut AS (
+            SELECT lang, k, phrase, n AS a, c, string_split(phrase, ' ') AS w
+            FROM counts, (VALUES (1), (2)) AS cs(c) WHERE n >= 10 AND k >= 2 AND c < k),
+        scored AS (
+            SELECT cut.lang, cut.k, cut.phrase, a, c, f.n AS l, g.n AS r,
+                   (1000000::HUGEINT * a * a) // (f.n::HUGEINT * g.n) AS score
+            FROM cut JOIN counts f ON f.lang = cut.lang AND f.phrase = array_to_string(w[1 : c], ' ')
+                     JOIN counts g ON g.lang = cut.lang AND g.phrase = array_to_string(w[c + 1 :], ' ')),
+        worst AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+        longer AS (
+            SELECT lang, part, max(n) AS n
+            FROM (SELECT lang, n, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '),
+                                          array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS part
+                  FROM counts WHERE k = 3 AND n >= 10)
+            GROUP BY ALL),
+        kept AS (
+            SELECT worst.* FROM worst LEFT JOIN longer ON longer.lang = worst.lang AND longer.part = worst.phrase
+            WHERE worst.k = 3 OR longer.n IS NULL OR 100 * longer.n < 50 * a)
+        SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+               phrase, a, l, r, total.n::BIGINT AS n, score::BIGINT AS score
+        FROM kept JOIN (SELECT lang, sum(n) AS n FROM counts WHERE k = 1 GROUP BY lang) total ON total.lang = kept.lang
+        QUALIFY rank <= 2000""",
 }
