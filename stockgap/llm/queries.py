@@ -122,28 +122,28 @@ ORACLE: dict[str, str] = {
             SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\n\\x0B\\x0C\\r]')) AS piece
             FROM (SELECT coalesce(lang, 'und') AS lang,
                          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)),
-        words AS (SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), x -> x <> '') AS w FROM pieces),
+        words AS (SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS w FROM pieces),
+        places AS (SELECT lang, unnest(w) AS w1, unnest(w[2:]) AS w2, unnest(w[3:]) AS w3 FROM words),
         counts AS (
-            SELECT lang, k, phrase, count(*) AS n
-            FROM (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
-                  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
-                        FROM words, (VALUES (1), (2), (3)) AS ks(k) WHERE len(w) >= k))
-            GROUP BY ALL),
-        cut AS (
-            SELECT lang, k, phrase, n AS a, c, string_split(phrase, ' ') AS w
-            FROM counts, (VALUES (1), (2)) AS cs(c) WHERE n >= 10 AND k >= 2 AND c < k),
-        scored AS (
-            SELECT cut.lang, cut.k, cut.phrase, a, c, f.n AS l, g.n AS r,
-                   (1000000::HUGEINT * a * a) // (f.n::HUGEINT * g.n) AS score
-            FROM cut JOIN counts f ON f.lang = cut.lang AND f.phrase = array_to_string(w[1 : c], ' ')
-                     JOIN counts g ON g.lang = cut.lang AND g.phrase = array_to_string(w[c + 1 :], ' ')),
+            SELECT lang, 1 AS k, w1 AS phrase, count(*) AS n FROM places GROUP BY ALL
+            UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) FROM places WHERE w2 IS NOT NULL GROUP BY ALL
+            UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM places WHERE w3 IS NOT NULL GROUP BY ALL),
+        often AS MATERIALIZED (SELECT * FROM counts WHERE n >= 10),
+        cut AS MATERIALIZED (
+            SELECT lang, k, phrase, n AS a, c, array_to_string(string_split(phrase, ' ')[1 : c], ' ') AS head,
+                   array_to_string(string_split(phrase, ' ')[c + 1 :], ' ') AS tail
+            FROM often, (VALUES (1), (2)) AS cs(c) WHERE c < k),
+        headed AS MATERIALIZED (SELECT cut.*, o.n AS l FROM cut JOIN often o ON o.lang = cut.lang AND o.phrase = head),
+        scored AS MATERIALIZED (
+            SELECT h.*, o.n AS r, (1000000::HUGEINT * a * a) // (l::HUGEINT * o.n) AS score
+            FROM headed h JOIN often o ON o.lang = h.lang AND o.phrase = tail),
         worst AS (
             SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
         longer AS (
             SELECT lang, part, max(n) AS n
             FROM (SELECT lang, n, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '),
                                           array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS part
-                  FROM counts WHERE k = 3 AND n >= 10)
+                  FROM often WHERE k = 3)
             GROUP BY ALL),
         kept AS (
             SELECT worst.* FROM worst LEFT JOIN longer ON longer.lang = worst.lang AND longer.part = worst.phrase
