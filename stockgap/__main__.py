@@ -4,6 +4,9 @@
   risk     print the ranked risk list
   export   write the dashboard extracts as CSV
   rebuild  write all tables and the ledger as parquet
+  load     write all star-schema tables as versioned snapshots, each only if its
+           constraints hold, and bring the ledger by month up to date from the
+           first month that changed
   check    print the data-quality reports
 
 Input is either the TPC-H-shaped parquet tables (``--tables DIR``) or the
@@ -21,9 +24,11 @@ from pyspark.sql import SparkSession
 
 from . import params as P
 from .operators import ledger, quality, reports, risk
+from .operators.refresh import refresh_ledger
 from .session import cluster_conf, dense_partitions, local_session, scratch_path
 from .sources.bindings import bind_driver_tables
 from .sources.csv_io import write_table
+from .sources.snapshots import SnapshotTable
 from .sources.reference import bind_reference_tables, load_reference_csvs
 
 
@@ -56,11 +61,33 @@ def _parser() -> argparse.ArgumentParser:
     ex.add_argument("--dumper", help="distributor of the drop sizes (default: most bulk drops)")
     rb = sub.add_parser("rebuild", help="write dimensions, facts and ledger as parquet, replacing earlier ones")
     rb.add_argument("--out", required=True)
+    ld = sub.add_parser("load", help="checked tables and ledger as versioned snapshots")
+    ld.add_argument("--out", required=True)
+    ld.add_argument("--since", type=dt.date.fromisoformat, help="recompute the ledger from this day in any case")
+    ld.add_argument("--keep", type=int, default=2, help="versions that stay (default 2)")
     ck = sub.add_parser("check")
     ck.add_argument("--ledger", help="stored ledger to check (default: one is written first)")
     return ap
 
 
+def load_snapshots(spark: SparkSession, wh, folder: str, since: dt.date | None = None, keep: int = 2) -> dict[str, int | None]:
+    """Every table and the ledger as :class:`SnapshotTable`s under
+    ``folder``; the version of each.  The first broken constraint ends the load;
+    that table and those after it keep their earlier versions, and the ledger
+    follows from the loaded tables only when all of them are in."""
+    rules = (lambda name: quality.reference_rules(wh.raw, name)) if "dim_date" in wh.raw else (lambda name: {})
+    order = sorted(wh.raw, key=lambda n: (n.startswith("fact_"), n))  # parents before children
+    tables = {name: SnapshotTable(spark, f"{folder}/{name}") for name in order}
+    done = {name: t.write(wh.raw[name], **rules(name)) for name, t in tables.items()}
+    tables["ledger"] = SnapshotTable(spark, f"{folder}/ledger")
+    loaded = {name: tables[name].read() for name in order}
+    stored = bind_reference_tables(loaded) if "dim_date" in wh.raw else wh
+    done["ledger"] = refresh_ledger(stored, tables["ledger"], since)
+    for t in tables.values():
+        t.expire(keep)
+    return done
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     sizing = cluster_conf(int(args.size * (1 << 30)), args.cores) if args.size and args.cores else {}
@@ -94,6 +121,9 @@ def main(argv: list[str] | None = None) -> None:
             write_table(df, f"{args.out}/{name}")
         ledger.materialize_ledger(wh, f"{args.out}/ledger")
         print(f"{len(wh.raw)} tables and the ledger written to {args.out}")
+    elif args.cmd == "load":
+        for name, version in load_snapshots(spark, wh, args.out, args.since, args.keep).items():
+            print(f"{name}: {'unchanged' if version is None else f'version {version}'}")
     elif args.cmd == "check":
         if args.csv:
             reports_ = list(quality.reference_quality(wh).values())

@@ -23,6 +23,7 @@ from .densify import day_runs, densify, expand_runs
 from .keys import attach_all
 
 PAIR = ("distributor_id", "sku_id")
+LEDGER_KEY = (*PAIR, "date_id")
 
 
 def daily_movements(wh: Warehouse) -> DataFrame:
@@ -185,6 +186,15 @@ def negative_stock(wh: Warehouse, ledger: DataFrame | None = None) -> DataFrame:
     return ledger.filter(F.col("closing_units") < 0)
 
 
+def spread_by_month(led: DataFrame, files_per_month: int = 8) -> DataFrame:
+    """Dense ledger rows with ``month`` (yyyymm), dealt for a table with a folder
+    a month: at most ``files_per_month`` files each."""
+    n = int(led.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bucket = F.pmod(F.xxhash64(*PAIR), F.lit(files_per_month)).cast("int")
+    return (led.withColumn("month", (F.col("date_id") / 100).cast("int")).withColumn("_bucket", bucket)
+            .repartition(n, "month", "_bucket").sortWithinPartitions("month", "_bucket", *PAIR).drop("_bucket"))
+
+
 def materialize_ledger(wh: Warehouse, path: str, layout: str = "runs", scope: str = "full",
                        files_per_month: int = 8) -> None:
     """Write the ledger as parquet; the previous build goes whole.
@@ -204,10 +214,6 @@ def materialize_ledger(wh: Warehouse, path: str, layout: str = "runs", scope: st
         return
     led = stock_ledger(wh, scope)
     if layout == "month":
-        n = int(led.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        bucket = F.pmod(F.xxhash64(*PAIR), F.lit(files_per_month)).cast("int")
-        led = (led.withColumn("month", (F.col("date_id") / 100).cast("int")).withColumn("_bucket", bucket)
-               .repartition(n, "month", "_bucket").sortWithinPartitions("month", "_bucket", *PAIR).drop("_bucket"))
-        write_table(led, path, ("month",))
+        write_table(spread_by_month(led, files_per_month), path, ("month",))
     else:
         write_table(led, path)

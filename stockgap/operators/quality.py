@@ -10,7 +10,7 @@ key costs one row per map task).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -186,6 +186,66 @@ def dq_ledger_identity(wh: Warehouse, ledger: DataFrame) -> DataFrame:
                                                      "promotion.promo_end >= promo_start")])])
 
 
+# -- the rows themselves ----------------------------------------------------
+
+def tagged_rows(df: DataFrame, table: str, key: Sequence[str], checks: Sequence[tuple[str, Column]],
+                fks: Sequence[tuple[str, str, DataFrame, str]] = ()) -> DataFrame:
+    """Q1-Q5 for one table in one pass: (table_name, row_key, n_rows, checks).
+
+    key     columns that ought to identify a row
+    checks  (name, condition a row must meet; NULL passes, as in SQL)
+    fks     (name, column, parent table, its key): non-null values must be there
+
+    Each row gets a bitmap of the checks it fails; a parent's keys are joined
+    once, as a flag.  The rows of a key then fold into one, with their bitmaps
+    or-ed and counted, so a hot key is one row per map task.  What remains is a
+    row per key value with a failed check or more than one row; ``checks`` names
+    them in the order given, uniqueness last.
+    """
+    names = [name for name, _ in checks] + [name for name, *_ in fks] + [f"unique({', '.join(key)})"]
+    if len(names) > 63:
+        raise ValueError(f"{table}: more than 63 checks do not fit a bitmap")
+    bit = lambda i, bad: F.when(bad, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
+    rows = df
+    found = []
+    for i, (_, fk, parent, pk) in enumerate(fks):
+        known = parent.where(F.col(pk).isNotNull()).select(F.col(pk).alias(f"_k{i}")).distinct()
+        rows = rows.join(known, F.col(fk) == F.col(f"_k{i}"), "left")
+        found.append(F.col(fk).isNotNull() & F.col(f"_k{i}").isNull())
+    failed = [~F.coalesce(ok, F.lit(True)) for _, ok in checks] + found
+    bits = reduce(lambda a, b: a.bitwiseOR(b), [bit(i, bad) for i, bad in enumerate(failed)], F.lit(0).cast("bigint"))
+    per_key = rows.select(*key, bits.alias("_bits")).groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows"), F.bit_or("_bits").alias("_bits"))
+    all_bits = F.col("_bits").bitwiseOR(bit(len(names) - 1, F.col("n_rows") > 1))
+    said = F.array_compact(F.array(*[F.when(all_bits.bitwiseAND(F.lit(1 << i)) != 0, F.lit(name)) for i, name in enumerate(names)]))
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in key])
+    return per_key.where((F.col("_bits") != 0) | (F.col("n_rows") > 1)).select(
+        F.lit(table).alias("table_name"), text.alias("row_key"), "n_rows", F.array_join(said, ",").alias("checks"))
+
+
+def _not_null(*cols: str) -> list[tuple[str, Column]]:
+    return [(f"{c} not null", F.col(c).isNotNull()) for c in cols]
+
+
+def dq_violations(wh: Warehouse) -> DataFrame:
+    """Q1-Q5: the violating rows of the driver tables by their keys, each table
+    read once (and once more for its keys where another refers to it)."""
+    r, q = wh.raw, F.col("l_quantity")
+    fk = lambda col, parent, pk: (f"{col} -> {parent}", col, r[parent], pk)
+    return _union([
+        tagged_rows(r["lineitem"], "lineitem", ["l_orderkey", "l_linenumber"], [
+            *_not_null(*NOT_NULL["lineitem"]), ("l_quantity >= 0", q >= 0), ("l_quantity is whole", q == F.floor(q)),
+            ("l_quantity <= 45", q <= 45)],
+            [fk("l_orderkey", "orders", "o_orderkey"), fk("l_partkey", "part", "p_partkey"), fk("l_suppkey", "supplier", "s_suppkey")]),
+        tagged_rows(r["orders"], "orders", ["o_orderkey"], _not_null(*NOT_NULL["orders"]),
+                    [fk("o_custkey", "customer", "c_custkey"), fk("o_orderkey", "lineitem", "l_orderkey")]),
+        tagged_rows(r["part"], "part", ["p_partkey"], [*_not_null(*NOT_NULL["part"]), ("p_size > 0", F.col("p_size") > 0)]),
+        tagged_rows(r["supplier"], "supplier", ["s_suppkey"], _not_null(*NOT_NULL["supplier"]), [fk("s_nationkey", "nation", "n_nationkey")]),
+        tagged_rows(r["customer"], "customer", ["c_custkey"], _not_null(*NOT_NULL["customer"]), [fk("c_nationkey", "nation", "n_nationkey")]),
+        tagged_rows(r["nation"], "nation", ["n_nationkey"], _not_null(*NOT_NULL["nation"]), [fk("n_regionkey", "region", "r_regionkey")]),
+        tagged_rows(r["region"], "region", ["r_regionkey"], _not_null(*NOT_NULL["region"])),
+    ])
+
+
 # -- the checks for tables in the reference's own star schema ----------------
 
 REFERENCE_FKS = (
@@ -222,3 +282,14 @@ def reference_quality(wh: Warehouse) -> dict[str, DataFrame]:
            for n in dict(REFERENCE_CHECKS) if n in t]
     return {"duplicate_keys": _union(dup), "null_counts": _union(nulls),
             "orphans": _union(fks), "range": _union(rng)}
+
+
+def reference_rules(tables: Mapping[str, DataFrame], name: str) -> dict:
+    """The declared constraints of a star-schema table, as the arguments of
+    :meth:`stockgap.sources.snapshots.SnapshotTable.write`: NOT NULL and CHECKs,
+    the key, and references to the tables at hand."""
+    checks = {f"{c} not null": F.col(c).isNotNull() for c in tables[name].columns}
+    checks |= {c: F.expr(c) for n, c in REFERENCE_CHECKS if n == name}
+    fks = {f"{fk} -> {parent}": (fk, tables[parent], pk)
+           for child, fk, parent, pk in REFERENCE_FKS if child == name and parent in tables}
+    return {"checks": checks, "keys": PRIMARY_KEYS.get(name, ()), "references": fks}

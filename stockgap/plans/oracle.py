@@ -187,6 +187,7 @@ ORACLE.update({
         " opening_units FROM ledger"),
     "ledger": _q(_LEDGER),
     "ledger_stored": _q(_LEDGER),
+    "ledger_range_rebuild": _q(_LEDGER),
     "ledger_month_rebuild": _q(_LEDGER + " WHERE year(full_date) < (SELECT max(year) FROM dim_date)"),
     "ledger_runs": _q(
         "SELECT distributor_id, sku_id, full_date AS from_date, CAST(coalesce(lead(full_date) OVER ("
@@ -431,3 +432,37 @@ ORACLE.update({
         " UNION ALL " + _check("dim_promotion", "promo_end >= promo_start",
                                "promotion.promo_end >= promo_start")),
 })
+
+
+def _bad(table: str, key: list[str], rules: list[tuple[str, str]]) -> str:
+    """Key values with rows that break a rule (name, condition of breaking)."""
+    text = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), 'NULL')" for k in key)
+    twice = f"unique({', '.join(key)})"
+    marks = ", ".join(f"CASE WHEN bool_or({cond}) THEN '{name}' END" for name, cond in rules)
+    return (f"SELECT '{table}' AS table_name, {text} AS row_key, count(*) AS n_rows,"
+            f" array_to_string(list_filter([{marks}, CASE WHEN count(*) > 1 THEN '{twice}' END], lambda x: x IS NOT NULL), ',') AS checks"
+            f" FROM {table} GROUP BY {', '.join(key)} HAVING checks <> ''")
+
+
+def _gone(fk: str, parent: str, pk: str) -> tuple[str, str]:
+    return f"{fk} -> {parent}", f"{fk} IS NOT NULL AND {fk} NOT IN (SELECT {pk} FROM {parent} WHERE {pk} IS NOT NULL)"
+
+
+def _null(*cols: str) -> list[tuple[str, str]]:
+    return [(f"{c} not null", f"{c} IS NULL") for c in cols]
+
+
+ORACLE["dq_violations"] = " UNION ALL ".join([
+    _bad("lineitem", ["l_orderkey", "l_linenumber"], [
+        *_null("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_linestatus", "l_shipdate"),
+        ("l_quantity >= 0", "l_quantity < 0"), ("l_quantity is whole", "l_quantity <> floor(l_quantity)"),
+        ("l_quantity <= 45", "l_quantity > 45"),
+        _gone("l_orderkey", "orders", "o_orderkey"), _gone("l_partkey", "part", "p_partkey"), _gone("l_suppkey", "supplier", "s_suppkey")]),
+    _bad("orders", ["o_orderkey"], [*_null("o_orderkey", "o_custkey"), _gone("o_custkey", "customer", "c_custkey"),
+                                    _gone("o_orderkey", "lineitem", "l_orderkey")]),
+    _bad("part", ["p_partkey"], [*_null("p_partkey", "p_type", "p_size"), ("p_size > 0", "p_size <= 0")]),
+    _bad("supplier", ["s_suppkey"], [*_null("s_suppkey", "s_name", "s_nationkey"), _gone("s_nationkey", "nation", "n_nationkey")]),
+    _bad("customer", ["c_custkey"], [*_null("c_custkey", "c_name", "c_nationkey"), _gone("c_nationkey", "nation", "n_nationkey")]),
+    _bad("nation", ["n_nationkey"], [*_null("n_nationkey", "n_name", "n_regionkey"), _gone("n_regionkey", "region", "r_regionkey")]),
+    _bad("region", ["r_regionkey"], _null("r_regionkey", "r_name")),
+])

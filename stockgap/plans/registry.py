@@ -23,9 +23,11 @@ from ..operators import risk as rk
 from ..operators import route as rt
 from ..operators import stuffing as stf
 from ..operators.calendar import calendar_bounds
+from ..operators.refresh import refresh_ledger
 from ..session import scratch_path
 from ..sources.bindings import bind_driver_tables
 from ..sources.csv_io import export_csv, load_csv
+from ..sources.snapshots import SnapshotTable
 from ..sources.stored import stored_promo_stats, with_stored_ledger
 from .views import register_views
 
@@ -82,6 +84,16 @@ def _month_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).drop("month")
 
 
+def _range_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger of the years before the last one, brought up to date: only
+    the months that changed are computed, from the stored balances before."""
+    wh = _wh(spark, sf_dir)
+    table = SnapshotTable(spark, scratch_path(spark, "ledger-snapshots"))
+    refresh_ledger(first_years(wh), table)
+    refresh_ledger(wh, table)
+    return table.read().drop("month")
+
+
 def first_years(wh):
     """The warehouse up to the year before its last one."""
     lo, hi = calendar_bounds(wh)
@@ -156,6 +168,8 @@ QUERIES: dict[str, Query] = {
     "ledger_runs": _on_wh(led.ledger_runs),
     "ledger_stored": _stored("runs", lambda wh, runs: led.ledger_from_runs(runs)),
     "ledger_month_rebuild": _month_rebuild,
+    "ledger_range_rebuild": _range_rebuild,
+    "dq_violations": _on_wh(dq.dq_violations),
     "stuffing_stored": _stored("runs", lambda wh, runs: stf.channel_stuffing(with_stored_ledger(wh, runs), D.stuffing)),
     "leakage_stored": _stored("runs", lambda wh, runs: lk.promotion_leakage(
         wh, D.leakage, stats=stored_promo_stats(wh, runs, D.leakage))),
