@@ -49,7 +49,7 @@ SAMPLE = 16
 FILTER_BITS = 1 << 25
 PROBES = 3
 #: bytes of text that a task counts together
-CHUNK = 1 << 24
+CHUNK = 1 << 23
 #: fixed values: what ends a piece, and what separates words in it
 PIECE_END = b".,;:!?\n\x0b\x0c\r"
 WORD_END = b" \t"
@@ -78,10 +78,10 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     inside = of == 0
     first = inside & (start[:-1] | np.concatenate([[True], ~inside[:-1]]))
     at = np.flatnonzero(first)
-    ends = np.cumsum(inside)  # word bytes up to and with each byte
+    ends = np.cumsum(inside, dtype=np.int32)  # word bytes up to and with each byte (a text has at most 2 GB)
     begins = ends[at] - 1
     total = int(ends[-1]) if len(ends) else 0
-    piece = np.cumsum((of == 2) | start[:-1])[at]
+    piece = np.cumsum((of == 2) | start[:-1], dtype=np.int32)[at]
     bounds = np.append(begins, total).astype(np.int64)
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(lower[raw[inside]].tobytes())])
     return words, np.append(piece[1:] == piece[:-1], False)[: len(at)]
