@@ -29,6 +29,7 @@ from ..params import LEAK_VERDICT, OK_VERDICT, LeakageParams
 from ..sources.warehouse import Warehouse
 from .calendar import calendar_bounds, calendar_pick, in_calendar
 from .densify import densify
+from .intervals import days_in_ranges
 from .keys import attach_all
 from .ledger import daily_movements
 
@@ -235,8 +236,8 @@ def promo_window_rows(wh: Warehouse, p: LeakageParams = LeakageParams()) -> Data
     """Dense ledger rows of promoted SKUs inside each promotion's range
     ``[start - pre_days, end + post_days]``, labelled by window.
 
-    Only movements inside a range meet its promotion (interval condition of
-    the join); the balance before the range comes from :func:`balances_at`.
+    Only movements near a range meet its promotion (a join by bins of days);
+    the balance before the range comes from :func:`balances_at`.
     """
     daily = promoted_daily(wh)
     a, b, lo, hi = F.col("promo_start"), F.col("promo_end"), F.col("_cal.lo"), F.col("_cal.hi")
@@ -245,8 +246,7 @@ def promo_window_rows(wh: Warehouse, p: LeakageParams = LeakageParams()) -> Data
     spans = [F.greatest(F.date_sub(a, p.pre_days), lo).alias("_lo"),
              F.least(F.date_add(b, p.post_days), hi).alias("_hi")]
     ranges = valid_promotions(wh).select(*PROMO_COLS, pick).select(*PROMO_COLS, *spans)
-    mv = daily.join(ranges, "sku_id").filter(
-        (F.col("full_date") >= F.col("_lo")) & (F.col("full_date") <= F.col("_hi")))
+    mv = days_in_ranges(daily, ranges, ["sku_id"], "full_date", "_lo", "_hi")
     before = balances_at(daily, promo_pairs(wh).select("*", pick).select("*", *spans).drop("_cal").withColumn("full_date", F.date_sub("_lo", 1)))
     anchors = before.select(*KEYS, *carry, F.col("cum_net").alias("primary_units"))
     dense = densify(mv, KEYS, ["primary_units", "secondary_units"], F.col("_lo"), F.col("_hi"),

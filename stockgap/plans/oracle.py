@@ -10,8 +10,8 @@ cross-multiplying sums and counts.  Parameters are the driver values of
 
 from __future__ import annotations
 
-ONE = """('PROMO001', 'Spring sale on PROMO lines', 'PROMO', DATE '1998-04-10', DATE '1998-04-25', 20)"""
-SEVERAL = """('PROMO001', 'Spring sale', 'PROMO', DATE '1998-04-10', DATE '1998-04-25', 20),
+ONE = """VALUES ('PROMO001', 'Spring sale on PROMO lines', 'PROMO', DATE '1998-04-10', DATE '1998-04-25', 20)"""
+SEVERAL = """VALUES ('PROMO001', 'Spring sale', 'PROMO', DATE '1998-04-10', DATE '1998-04-25', 20),
              ('PROMO002', 'Late spring sale', 'PROMO', DATE '1998-04-20', DATE '1998-05-10', 10),
              ('PROMO003', 'Autumn sale', 'PROMO', DATE '1997-09-01', DATE '1997-09-20', 15),
              ('PROMO004', 'Economy week', 'ECONOMY', DATE '1998-04-12', DATE '1998-04-18', 30)"""
@@ -24,6 +24,11 @@ def _root(num: str, den: str) -> str:
             f" WHERE (2 * k - 1)::HUGEINT * (2 * k - 1) * ({den}) <= 400 * ({num})) / 10.0")
 
 
+#: a promotion of 16 days from every day on which a SKU was shipped
+DAILY = """SELECT sku_id || ' ' || d, 'from ' || d, sku_id, d, d + 15, 10
+           FROM (SELECT DISTINCT sku_id, d FROM li WHERE st = 'F' AND qty * p_size > 0)"""
+
+
 def base(promotions: str = ONE) -> str:
     return """
 WITH
@@ -44,7 +49,7 @@ dim_distributor AS (
     FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey LEFT JOIN region ON r_regionkey = n_regionkey
     WHERE s_suppkey IS NOT NULL),
 dim_promotion AS (
-    SELECT * FROM (VALUES """ + promotions + """)
+    SELECT * FROM (""" + promotions + """)
            AS t(promotion_id, promo_name, sku_id, promo_start, promo_end, discount_pct)),
 moved AS (
     SELECT d, distributor_id, sku_id,
@@ -266,6 +271,8 @@ ORACLE.update({
         "SELECT promotion_id, distributor_id, sku_id, stock_at_promo_end FROM windowed"),
     "leakage": _q(_LEAKAGE),
     "leakage_stored": _q(_LEAKAGE),
+    "leakage_month_stored": _q(_LEAKAGE),
+    "leaks_of_many": base(DAILY) + "SELECT * FROM (" + _LEAKAGE + ") WHERE verdict <> 'OK'",
     "leakage_several": base(SEVERAL) + _LEAKAGE,
     "leaked_pairs": _q("SELECT * FROM leaked"),
     "leak_counts": _q("SELECT * FROM leak_counts"),

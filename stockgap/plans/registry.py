@@ -74,6 +74,27 @@ def _stored(layout: str, fn) -> Query:
     return run
 
 
+def _daily_promotions(spark: SparkSession, sf_dir: str):
+    """The warehouse with a promotion of 16 days from every day on which a SKU
+    was shipped: thousands on each SKU, all overlapping."""
+    wh = _wh(spark, sf_dir)
+    days = wh.movements.where("primary_units > 0").select("sku_id", "full_date").distinct()
+    promos = days.select(
+        F.concat_ws(" ", "sku_id", "full_date").alias("promotion_id"), F.concat(F.lit("from "), "full_date").alias("promo_name"), "sku_id",
+        F.col("full_date").alias("promo_start"), F.date_add("full_date", 15).alias("promo_end"), F.lit(10).alias("discount_pct"))
+    return replace(wh, promotions=promos)
+
+
+def _leaks_of_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaks of thousands of overlapping promotions a SKU, from a
+    stored run-length ledger."""
+    wh = _daily_promotions(spark, sf_dir)
+    path = scratch_path(spark, "ledger-runs")
+    led.materialize_ledger(wh, path)
+    found = lk.promotion_leakage(wh, D.leakage, stats=stored_promo_stats(wh, spark.read.parquet(path), D.leakage))
+    return found.where(F.col("verdict") != P.OK_VERDICT)
+
+
 def _month_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A month layout written twice, the second time from a calendar
     that lost its last year; what is stored then."""
@@ -173,6 +194,9 @@ QUERIES: dict[str, Query] = {
     "stuffing_stored": _stored("runs", lambda wh, runs: stf.channel_stuffing(with_stored_ledger(wh, runs), D.stuffing)),
     "leakage_stored": _stored("runs", lambda wh, runs: lk.promotion_leakage(
         wh, D.leakage, stats=stored_promo_stats(wh, runs, D.leakage))),
+    "leakage_month_stored": _stored("month", lambda wh, months: lk.promotion_leakage(
+        wh, D.leakage, stats=stored_promo_stats(wh, months, D.leakage))),
+    "leaks_of_many": _leaks_of_many,
     "risk_score_stored": _stored("runs", lambda wh, runs: rk.risk_score(with_stored_ledger(wh, runs), D)),
     "leakage_several": _several(lambda wh: lk.promotion_leakage(wh, D.leakage)),
     "promo_windows_several": _several(lambda wh: lk.promo_windows(wh, D.leakage)),

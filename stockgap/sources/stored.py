@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_from_key, day_span
 from ..operators.calendar import calendar_pick
+from ..operators.intervals import overlapping
 from ..operators.leakage import KEYS, PROMO_COLS, valid_promotions
 from ..params import LeakageParams
 from .warehouse import Warehouse
@@ -46,22 +47,41 @@ def with_stored_ledger(wh: Warehouse, ledger: DataFrame) -> Warehouse:
                    movements_are_lines=False)
 
 
-def stored_promo_stats(wh: Warehouse, runs: DataFrame, p: LeakageParams = LeakageParams()) -> DataFrame:
+def stored_promo_stats(wh: Warehouse, ledger: DataFrame, p: LeakageParams = LeakageParams()) -> DataFrame:
     """The window statistics of :func:`stockgap.operators.leakage.promo_stats`
-    (those of C4) from a stored run-length ledger of every pair.
-
-    The scan is pruned to runs that touch any promotion's range (two scalar
-    subqueries), the join meets a promotion only with runs inside its own."""
-    lo, hi = F.col("_cal.lo"), F.col("_cal.hi")
+    (those of C4) from a stored ledger of every pair, run-length or dense by
+    month; only what lies in a promotion's range is read and joined.
+
+    Run-length: the scan is pruned to runs that touch any promotion's range (two
+    scalar subqueries), and runs meet the promotions near them by bins of days.
+    By month: promotions meet the rows of the months they touch, so the months
+    that no promotion touches are pruned when the query runs (dynamic partition
+    pruning on ``month``).
+    """
     a, b = F.col("promo_start"), F.col("promo_end")
     base_lo, post_hi = F.date_sub(a, p.pre_days), F.date_add(b, p.post_days)
-    ranges = valid_promotions(wh).select(*PROMO_COLS, base_lo.alias("_lo"), post_hi.alias("_hi"))
-    first = ranges.agg(F.min("_lo")).scalar()
-    last = ranges.agg(F.max("_hi")).scalar()
-    near = runs.filter((F.col("to_date") >= first) & (F.col("from_date") <= last))
-    met = near.join(ranges, "sku_id").filter(
-        (F.col("to_date") >= F.col("_lo")) & (F.col("from_date") <= F.col("_hi")))
-    d, s = F.col("from_date"), F.col("secondary_units")
+    ranges = valid_promotions(wh).where(a <= b).select(*PROMO_COLS, base_lo.alias("_lo"), post_hi.alias("_hi"))
+    if is_runs(ledger):
+        first, last = ranges.agg(F.min("_lo")).scalar(), ranges.agg(F.max("_hi")).scalar()
+        near = ledger.filter((F.col("to_date") >= first) & (F.col("from_date") <= last))
+        met = overlapping(near, ranges, ["sku_id"], ("from_date", "to_date"), ("_lo", "_hi"))
+        d, until = F.col("from_date"), F.col("to_date")
+    else:
+        start = F.trunc("_lo", "MM")
+        months = ranges.withColumn("_month", F.explode(F.sequence(start, F.col("_hi"), F.expr("INTERVAL 1 MONTH")))).withColumn(
+            "month", F.year("_month") * 100 + F.month("_month")).drop("_month")
+        met = ledger.join(months, ["month", "sku_id"]).withColumn("full_date", date_from_key(F.col("date_id"))).where(
+            (F.col("full_date") >= F.col("_lo")) & (F.col("full_date") <= F.col("_hi")))
+        d = until = F.col("full_date")
+    return _window_stats(wh, p, met, d, until)
+
+
+def _window_stats(wh: Warehouse, p: LeakageParams, met: DataFrame, d: Column, until: Column) -> DataFrame:
+    """Sums per promotion and pair of ledger rows in its range: movements on day
+    ``d``, the closing balance from ``d`` to ``until``."""
+    lo, hi = F.col("_cal.lo"), F.col("_cal.hi")
+    a, b, s = F.col("promo_start"), F.col("promo_end"), F.col("secondary_units")
+    base_lo, post_hi = F.date_sub(a, p.pre_days), F.date_add(b, p.post_days)
 
     def total(cond: Column) -> Column:
         return F.coalesce(F.sum(F.when(cond, s)), F.lit(0)).cast("bigint")
@@ -70,7 +90,7 @@ def stored_promo_stats(wh: Warehouse, runs: DataFrame, p: LeakageParams = Leakag
         total((d >= base_lo) & (d < a)).alias("baseline_units"),
         total((d >= a) & (d <= b)).alias("promo_units"),
         total((d > b) & (d <= post_hi)).alias("post_units"),
-        F.max(F.when((d <= b) & (F.col("to_date") >= b), F.col("closing_units"))).alias("stock_at_promo_end"))
+        F.max(F.when((d <= b) & (until >= b), F.col("closing_units"))).alias("stock_at_promo_end"))
     return sums.select("*", calendar_pick(wh).alias("_cal")).select(
         *KEYS, "baseline_units", "promo_units", "post_units", "stock_at_promo_end",
         day_span(F.greatest(base_lo, lo), F.least(F.date_sub(a, 1), hi)).cast("bigint").alias("baseline_days"),
