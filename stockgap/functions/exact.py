@@ -78,16 +78,22 @@ def round_ratio(num, den, digits: int = 0) -> Column:
     return q.cast("double") / F.lit(float(scale))
 
 
-def round_sqrt(quad, digits: int = 1) -> Column:
+def sqrt_estimate(quad) -> Column:
+    """A double's estimate of the ``k`` of :func:`round_sqrt`, off by one at most."""
+    return F.floor((F.sqrt(_wide(quad).cast("double")) + 1) / 2).cast("bigint")
+
+
+def round_sqrt(quad, digits: int = 1, estimate=None) -> Column:
     """``sqrt(x)`` rounded half away from zero to ``digits``, exactly, given
     the wide integer ``quad = floor(4 * 100**digits * x)``; NULL for NULL.
 
     With ``s = 10**digits`` the rounded value is ``k / s`` for the largest
     ``k`` with ``(2k - 1)^2 <= 4 s^2 x``; the left side is an integer, so the
-    floor decides it.  A double estimate of ``k`` is corrected by one step.
+    floor decides it.  A double estimate of ``k`` is corrected by one step;
+    ``estimate`` is a column that holds :func:`sqrt_estimate` already.
     """
     q = _wide(quad)
-    est = F.floor((F.sqrt(q.cast("double")) + 1) / 2).cast("bigint")
+    est = sqrt_estimate(quad) if estimate is None else _c(estimate)
 
     def odd_square(k):
         return (F.lit(2) * k - 1).cast("decimal(19,0)") * (F.lit(2) * k - 1).cast("decimal(19,0)")

@@ -36,28 +36,34 @@ def calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     return calendar_between(bounds)
 
 
-def calendar_pick(wh, daily: DataFrame | None = None) -> Column:
-    """The calendar's first and last day, a struct (lo, hi): a scalar subquery
-    of the plan that uses it, so new days show up without a new binding.
+def calendar_row(wh, daily: DataFrame | None = None) -> DataFrame:
+    """One row, ``_cal``: the calendar's first and last day, a struct (lo, hi);
+    part of the plan that uses it, so new days show up without a new binding.
 
     ``daily`` is the roll-up the caller reads anyway.  Where the calendar
-    spans the facts by construction, the bounds are those of the roll-up; the
-    subquery names all its columns, so it is the same aggregate and Spark
-    reuses its exchange instead of scanning the facts again.
+    spans the facts by construction, the bounds are those of the roll-up; they
+    name all its columns, so it is the same aggregate and Spark reuses its
+    exchange instead of scanning the facts again.
     """
     if daily is None or not wh.calendar_spans_facts:
-        return wh.span().select(F.struct("lo", "hi").alias("b")).scalar()
+        return wh.span().select(F.struct("lo", "hi").alias("_cal"))
     row = F.struct("full_date", *[c for c in daily.columns if c != "full_date"])
     # the count keeps Spark from dropping a roll-up without sums below min and max
     return daily.agg(F.min(row).alias("lo"), F.max(row).alias("hi"), F.count(F.lit(1)).alias("n")).select(
-        F.struct(F.col("lo.full_date").alias("lo"), F.col("hi.full_date").alias("hi"), "n").alias("b")).scalar()
+        F.struct(F.col("lo.full_date").alias("lo"), F.col("hi.full_date").alias("hi"), "n").alias("_cal"))
+
+
+def with_calendar(df: DataFrame, row: DataFrame) -> DataFrame:
+    """``df`` with the column ``_cal`` of :func:`calendar_row`: a broadcast of
+    one row, which enters the plan once however often its fields are used."""
+    return df.crossJoin(F.broadcast(row))
 
 
 def calendar_bounds(wh, daily: DataFrame | None = None) -> tuple[Column, Column]:
-    """First and last day of :func:`calendar_pick` as columns.  Every use puts
-    the subquery into the plan anew; where there are several, project the
-    pick once and take its fields."""
-    pick = calendar_pick(wh, daily)
+    """First and last day as columns (scalar subqueries).  Every use, also by
+    the optimizer, puts the subquery into the plan anew; where there are
+    several, use :func:`with_calendar`."""
+    pick = calendar_row(wh, daily).scalar()
     return pick["lo"], pick["hi"]
 
 

@@ -27,7 +27,7 @@ from ..functions.dates import date_key, day_span
 from ..functions.exact import mean_ge, mean_ge_k_mean, mean_le_k_mean, round_ratio
 from ..params import LEAK_VERDICT, OK_VERDICT, LeakageParams
 from ..sources.warehouse import Warehouse
-from .calendar import calendar_bounds, calendar_pick, in_calendar
+from .calendar import calendar_bounds, calendar_row, in_calendar, with_calendar
 from .densify import densify
 from .intervals import days_in_ranges
 from .keys import attach_all
@@ -47,7 +47,7 @@ def promo_calendar(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFra
     """The seeded promotions with the calendar days of each window."""
     lo, hi = F.col("_cal.lo"), F.col("_cal.hi")
     a, b = F.col("promo_start"), F.col("promo_end")
-    return valid_promotions(wh).select("*", calendar_pick(wh).alias("_cal")).select(
+    return with_calendar(valid_promotions(wh), calendar_row(wh)).select(
         "promotion_id", "promo_name", "sku_id", "promo_start", "promo_end", "discount_pct",
         day_span(F.greatest(F.date_sub(a, p.pre_days), lo), F.least(F.date_sub(a, 1), hi))
         .cast("bigint").alias("baseline_days"),
@@ -64,9 +64,13 @@ def promoted_daily(wh: Warehouse) -> DataFrame:
     return in_calendar(daily_movements(wh).join(skus, "sku_id", "left_semi"), wh)
 
 
-def promo_pairs(wh: Warehouse) -> DataFrame:
-    """Every distributor with every valid promotion."""
-    return attach_all(wh.dist_keys(), valid_promotions(wh), PROMO_COLS)
+def promo_pairs(wh: Warehouse, daily: DataFrame | None = None) -> DataFrame:
+    """Every distributor with every valid promotion; with ``daily``
+    (:func:`promoted_daily`) only the pairs that moved."""
+    if daily is None:
+        return attach_all(wh.dist_keys(), valid_promotions(wh), PROMO_COLS)
+    moved = daily.select(*PAIR).distinct().join(wh.dist_keys(), "distributor_id", "left_semi")
+    return moved.join(valid_promotions(wh).select(*PROMO_COLS), "sku_id")
 
 
 def balances_at(daily: DataFrame, probes: DataFrame) -> DataFrame:
@@ -92,18 +96,19 @@ def balances_at(daily: DataFrame, probes: DataFrame) -> DataFrame:
 
 
 def promo_stats(wh: Warehouse, p: LeakageParams = LeakageParams(),
-                pick: Column | None = None) -> DataFrame:
+                calendar: DataFrame | None = None, moved_only: bool = False) -> DataFrame:
     """Sums and day counts of every window, per (promotion, distributor, sku).
 
-    ``pick``: the calendar's bounds (:func:`calendar_pick`), where the caller
-    has them."""
+    ``calendar``: :func:`calendar_row`, where the caller has it.
+    ``moved_only``: leave out pairs without any movement, for tests that they
+    cannot pass (a baseline above 0)."""
     own = promoted_daily(wh)
     lo, hi = F.col("_cal.lo"), F.col("_cal.hi")
     a, b = F.col("promo_start"), F.col("promo_end")
     base_lo, post_hi = F.date_sub(a, p.pre_days), F.date_add(b, p.post_days)
     cuts = F.array(F.date_sub(base_lo, 1), F.date_sub(a, 1), b, post_hi)
-    probes = promo_pairs(wh).select("*", F.posexplode(cuts).alias("_cut", "full_date"))
-    at = balances_at(own, probes)
+    pairs = promo_pairs(wh, own if moved_only else None)
+    at = balances_at(own, pairs.select("*", F.posexplode(cuts).alias("_cut", "full_date")))
 
     def upto(i: int, c: str) -> Column:
         return F.max(F.when(F.col("_cut") == i, F.col(c)))
@@ -114,9 +119,9 @@ def promo_stats(wh: Warehouse, p: LeakageParams = LeakageParams(),
         (upto(3, "cum_secondary") - upto(2, "cum_secondary")).alias("post_units"),
         upto(1, "cum_secondary").alias("before_units"),
         upto(2, "cum_net").alias("_net_to_end"))
-    s = s.select("*", (calendar_pick(wh) if pick is None else pick).alias("_cal"))
+    s = with_calendar(s, calendar_row(wh) if calendar is None else calendar)
     return s.select(
-        *KEYS, "promo_start", "promo_end",
+        *KEYS, "promo_start", "promo_end", lo.alias("_first_day"),
         day_span(F.greatest(base_lo, lo), F.least(F.date_sub(a, 1), hi)).cast("bigint")
         .alias("baseline_days"), "baseline_units",
         day_span(F.greatest(a, lo), F.least(b, hi)).cast("bigint").alias("promo_days"),
@@ -175,20 +180,24 @@ def promotion_leakage(wh: Warehouse, p: LeakageParams = LeakageParams(),
 
 
 def leak_counts(wh: Warehouse, p: LeakageParams = LeakageParams(),
-                pick: Column | None = None) -> DataFrame:
+                calendar: DataFrame | None = None) -> DataFrame:
     """Distinct leaked SKUs per distributor (only distributors with one)."""
-    st = promo_stats(wh, p, pick).filter((F.col("_window_days") > 0) & is_leak(p))
+    st = promo_stats(wh, p, calendar, moved_only=p.min_baseline > 0).filter((F.col("_window_days") > 0) & is_leak(p))
     return st.groupBy("distributor_id").agg(F.count_distinct("sku_id").alias("leaked_skus"))
 
 
 def leaked_pairs(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
     """P9 (quirk K3): the dump-day query's own test, with an unbounded
     baseline (every calendar day before the promotion) and no post test."""
-    st = promo_stats(wh, p)
+    return _leaked(wh, p).select("promotion_id", "distributor_id", "sku_id", "promo_end")
+
+
+def _leaked(wh: Warehouse, p: LeakageParams) -> DataFrame:
+    st = promo_stats(wh, p, moved_only=p.min_baseline > 0)
     cond = (mean_le_k_mean(F.col("promo_units"), F.col("promo_days"),
                            F.col("before_units"), F.col("before_days"), p.max_promo_share)
             & mean_ge(F.col("before_units"), F.col("before_days"), p.min_baseline))
-    return st.filter(cond).select("promotion_id", "distributor_id", "sku_id", "promo_end")
+    return st.filter(cond)
 
 
 def prev_day_units(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
@@ -216,14 +225,13 @@ def dump_day(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame:
     several leaked promotions of a pair the first such day after any of them
     is the first one after the earliest end.
     """
-    lo, _ = calendar_bounds(wh)
-    after = leaked_pairs(wh, p).groupBy(*PAIR).agg(F.min("promo_end").alias("_after"))
+    after = _leaked(wh, p).groupBy(*PAIR).agg(F.min("promo_end").alias("_after"), F.first("_first_day").alias("_lo"))
     mv = promoted_daily(wh).filter(F.col("secondary_units") != 0).join(after, PAIR)
     w = Window.partitionBy(*PAIR).orderBy("full_date")
     prev = F.lag("full_date").over(w)
-    cand = mv.select(*PAIR, "_after", "full_date", "secondary_units", prev.alias("_prev"))
+    cand = mv.select(*PAIR, "_after", "_lo", "full_date", "secondary_units", prev.alias("_prev"))
     d = F.col("full_date")
-    hit = ((F.col("secondary_units") > 0) & (d > F.col("_after")) & (d > lo)
+    hit = ((F.col("secondary_units") > 0) & (d > F.col("_after")) & (d > F.col("_lo"))
            & (F.col("_prev").isNull() | (F.col("_prev") < F.date_sub(d, 1))))
     first = (cand.filter(hit).groupBy(*PAIR)
              .agg(F.min(F.struct("full_date", "secondary_units")).alias("_f")))
@@ -241,13 +249,14 @@ def promo_window_rows(wh: Warehouse, p: LeakageParams = LeakageParams()) -> Data
     """
     daily = promoted_daily(wh)
     a, b, lo, hi = F.col("promo_start"), F.col("promo_end"), F.col("_cal.lo"), F.col("_cal.hi")
-    pick = calendar_pick(wh).alias("_cal")
+    calendar = calendar_row(wh)
     carry = ["promo_start", "promo_end", "_lo", "_hi"]
     spans = [F.greatest(F.date_sub(a, p.pre_days), lo).alias("_lo"),
              F.least(F.date_add(b, p.post_days), hi).alias("_hi")]
-    ranges = valid_promotions(wh).select(*PROMO_COLS, pick).select(*PROMO_COLS, *spans)
+    ranges = with_calendar(valid_promotions(wh), calendar).select(*PROMO_COLS, *spans)
     mv = days_in_ranges(daily, ranges, ["sku_id"], "full_date", "_lo", "_hi")
-    before = balances_at(daily, promo_pairs(wh).select("*", pick).select("*", *spans).drop("_cal").withColumn("full_date", F.date_sub("_lo", 1)))
+    pairs = with_calendar(promo_pairs(wh), calendar).select("*", *spans).drop("_cal")
+    before = balances_at(daily, pairs.withColumn("full_date", F.date_sub("_lo", 1)))
     anchors = before.select(*KEYS, *carry, F.col("cum_net").alias("primary_units"))
     dense = densify(mv, KEYS, ["primary_units", "secondary_units"], F.col("_lo"), F.col("_hi"),
                     anchors=anchors, carry=carry, in_range=True,

@@ -38,8 +38,9 @@ def distributor_series(wh: Warehouse, p: Params = Params(),
     """One distributor's daily primary total over the whole calendar."""
     one = top_stuffer(wh, p) if distributor_id is None else wh.dist_keys().filter(
         F.col("distributor_id") == F.lit(distributor_id)).distinct()
-    lo, hi = calendar_bounds(wh)
-    mine = dist_day_sparse(wh).join(one, "distributor_id")
+    daily = dist_day_sparse(wh).select("distributor_id", "full_date", "primary_units")  # the roll-up that the pick reads
+    lo, hi = calendar_bounds(wh, daily)
+    mine = daily.join(one, "distributor_id")
     dense = densify(mine, ["distributor_id"], ["primary_units"], lo, hi, anchors=one)
     return dense.select("full_date", "primary_units").orderBy("full_date")
 

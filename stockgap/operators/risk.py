@@ -9,22 +9,22 @@ dimension); all three inputs are already one row per distributor.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_number
 from ..functions.exact import round_ratio
 from ..params import (TIER_CLEAN, TIER_CRITICAL, TIER_HIGH, TIER_MEDIUM, Params)
 from ..sources.warehouse import Warehouse
-from .calendar import calendar_pick
+from .calendar import calendar_row, with_calendar
 from .leakage import leak_counts
 from .route import drop_moments
 from .stuffing import is_flagged, stuffing_counts
 
 
-def stuffing_and_route(wh: Warehouse, p: Params = Params()) -> tuple[DataFrame, Column]:
+def stuffing_and_route(wh: Warehouse, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
     """(distributor_id, spike_days, bulk_dumps, total_units, bulk_units) from
-    one roll-up of the facts, and the calendar's bounds.
+    one roll-up of the facts, and the calendar's bounds (:func:`calendar_row`).
 
     Both detectors start from the same lines: a distributor-day row carries
     the purchases for the one and the drop sums for the other."""
@@ -35,10 +35,10 @@ def stuffing_and_route(wh: Warehouse, p: Params = Params()) -> tuple[DataFrame,
         F.coalesce(F.sum(q), F.lit(0)).cast("bigint").alias("total_units"),
         F.count_if(bulk).alias("bulk_dumps"),
         F.coalesce(F.sum(F.when(bulk, q)), F.lit(0)).cast("bigint").alias("bulk_units"))
-    pick = calendar_pick(wh, dd)
+    calendar = calendar_row(wh, dd)
     lo, hi = F.col("_cal.lo"), F.col("_cal.hi")
     d = F.col("full_date")
-    dd = dd.select("*", pick.alias("_cal"))
+    dd = with_calendar(dd, calendar)
     if not wh.calendar_spans_facts:  # purchases outside the calendar are no stuffing; drops count
         inside = (d >= lo) & (d <= hi)
         dd = dd.withColumn("primary_units", F.when(inside, F.col("primary_units")).otherwise(0))
@@ -52,7 +52,7 @@ def stuffing_and_route(wh: Warehouse, p: Params = Params()) -> tuple[DataFrame,
     out = t.groupBy("distributor_id").agg(
         F.count_if(spike).alias("spike_days"),
         *[F.sum(c).cast("bigint").alias(c) for c in ("bulk_dumps", "total_units", "bulk_units")])
-    return out, pick
+    return out, calendar
 
 
 def risk_score(wh: Warehouse, p: Params = Params()) -> DataFrame:
@@ -62,9 +62,9 @@ def risk_score(wh: Warehouse, p: Params = Params()) -> DataFrame:
     one (of the promoted SKUs) for leakage."""
     d = wh.distributors.select("distributor_id", "distributor_name", "region")
     if p.stuffing.min_trail > 0 and wh.movements_are_lines:
-        both, pick = stuffing_and_route(wh, p)
+        both, calendar = stuffing_and_route(wh, p)
         j = d.join(both, "distributor_id", "left").join(
-            leak_counts(wh, p.leakage, pick), "distributor_id", "left")
+            leak_counts(wh, p.leakage, calendar), "distributor_id", "left")
         return scored(j, p)
     # without a floor quiet month ends count too: they need the dense days;
     # a stored ledger's movements are daily sums: drops come from deliveries

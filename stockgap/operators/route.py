@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exact import _wide, idiv, round_ratio, round_sqrt, round_sqrt_ratio
+from ..functions.exact import _wide, idiv, round_ratio, round_sqrt, sqrt_estimate
 from ..params import OK_VERDICT, ROUTE_FALSIFIED, ROUTE_SUSPECT, RouteParams
 from ..sources.warehouse import Warehouse
 
@@ -55,19 +55,22 @@ def _with_stats(m: DataFrame) -> DataFrame:
     ``floor((Q - ceil(Q / n)) / num)``, so nothing larger than ``Q`` and
     ``400 num`` is ever formed (38 digits hold 10^12 drops of 10^5 units).
     """
-    n, s1, s2, mx = F.col("total_drops"), F.col("_s1"), F.col("_s2"), F.col("max_drop_units")
-    num = _wide(n) * _wide(s2) - _wide(s1) * _wide(s1)
-    a = _wide(n) * _wide(mx) - _wide(s1)
-    std = F.when(n > 1, round_sqrt_ratio(num, _wide(n) * (_wide(n) - 1), 1))
-    quad = a * a * 400
-    z = F.when((n > 1) & (num > 0),
-               round_sqrt(idiv(quad - idiv(quad + _wide(n) - 1, n), F.when(num > 0, num)), 1))
+    # each step names its result, so that no expression enters the plan twice
+    n, wide_n, num, quad = F.col("total_drops"), F.col("_n"), F.col("_num"), F.col("_quad")
+    m = m.withColumn("_n", _wide(n)).withColumns({
+        "_num": wide_n * _wide(F.col("_s2")) - _wide(F.col("_s1")) * _wide(F.col("_s1")),
+        "_a": wide_n * _wide(F.col("max_drop_units")) - _wide(F.col("_s1"))})
+    m = m.withColumns({"_quad": F.col("_a") * F.col("_a") * 400, "_num400": _wide(num * 400),
+                       "_den": F.when(n > 1, _wide(wide_n * (wide_n - 1))), "_pos": F.when((n > 1) & (num > 0), num)})
+    m = m.withColumns({"_std": idiv(F.col("_num400"), F.col("_den")), "_part": quad - idiv(quad + wide_n - 1, wide_n)})
+    m = m.withColumn("_z", idiv(F.col("_part"), F.col("_pos")))
+    m = m.withColumns({"_std_k": sqrt_estimate(F.col("_std")), "_z_k": sqrt_estimate(F.col("_z"))})
     return m.select(
         "*",
-        round_ratio(s1, n, 1).alias("avg_drop_units"),
-        std.alias("std_drop_units"),
-        z.alias("max_drop_z_score"),
-        round_ratio(F.col("_bulk_s") * 100, s1, 1).alias("bulk_volume_pct"))
+        round_ratio(F.col("_s1"), n, 1).alias("avg_drop_units"),
+        round_sqrt(F.col("_std"), 1, F.col("_std_k")).alias("std_drop_units"),
+        round_sqrt(F.col("_z"), 1, F.col("_z_k")).alias("max_drop_z_score"),
+        round_ratio(F.col("_bulk_s") * 100, F.col("_s1"), 1).alias("bulk_volume_pct"))
 
 
 def drop_stats(wh: Warehouse, p: RouteParams = RouteParams()) -> DataFrame:

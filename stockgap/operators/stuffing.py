@@ -25,7 +25,7 @@ from ..functions.dates import date_key, day_number, is_month_end
 from ..functions.exact import mean_ge, round_ratio, value_ge_k_mean
 from ..params import StuffingParams
 from ..sources.warehouse import Warehouse
-from .calendar import calendar_bounds, in_calendar
+from .calendar import calendar_bounds, calendar_row, in_calendar, with_calendar
 from .densify import densify
 
 VALUES = ["primary_units", "secondary_units"]
@@ -92,12 +92,11 @@ def trailing_sparse(wh: Warehouse, p: StuffingParams = StuffingParams(),
     """The same frame over movement days only (RANGE on the day number), with
     the trailing sums of ``values``."""
     dd = dist_day_sparse(wh).select("distributor_id", "full_date", *values)
-    lo, _ = calendar_bounds(wh, dd)
     w = (Window.partitionBy("distributor_id").orderBy(day_number(F.col("full_date")))
          .rangeBetween(-p.trail_days, -1))
-    return dd.select(
+    return with_calendar(dd, calendar_row(wh, dd)).select(
         "distributor_id", "full_date", *values,
-        F.least(F.lit(p.trail_days), F.datediff(F.col("full_date"), lo)).cast("bigint")
+        F.least(F.lit(p.trail_days), F.datediff(F.col("full_date"), F.col("_cal.lo"))).cast("bigint")
         .alias("trail_days"),
         *[F.coalesce(F.sum(v).over(w), F.lit(0)).cast("bigint").alias(f"trail_{v.removesuffix('_units')}_sum")
           for v in values])

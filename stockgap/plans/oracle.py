@@ -325,10 +325,13 @@ ORACLE.update({
         "SELECT full_date, secondary_units FROM ledger WHERE distributor_id = 3 AND sku_id = 'STANDARD'"
         " AND full_date BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'"),
     "drop_size_buckets_subject": _q(_BUCKETS.replace(_DUMPER, "3")),
+    # the distributor first, then its days only
     "distributor_series": _q(
-        "SELECT r.full_date, r.primary_units FROM dist_day r WHERE r.distributor_id = (SELECT d.distributor_id FROM dim_distributor d"
+        ", pick AS MATERIALIZED (SELECT d.distributor_id FROM dim_distributor d"
         "   LEFT JOIN stuffing_counts st ON st.distributor_id = d.distributor_id"
-        "   ORDER BY st.spike_days DESC NULLS LAST, d.distributor_id LIMIT 1)"),
+        "   ORDER BY st.spike_days DESC NULLS LAST, d.distributor_id LIMIT 1)"
+        " SELECT full_date, CAST(coalesce(sum(bought), 0) AS BIGINT) AS primary_units"
+        " FROM dim_date LEFT JOIN (SELECT moved.* FROM moved JOIN pick USING (distributor_id)) m ON m.d = full_date GROUP BY full_date"),
     "pair_series": _q(
         "SELECT r.full_date, r.secondary_units FROM ledger r,"
         " (SELECT lf.distributor_id, lf.sku_id, pr.promo_start, pr.promo_end FROM leak_flag lf"

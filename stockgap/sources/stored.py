@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_from_key, day_span
-from ..operators.calendar import calendar_pick
+from ..operators.calendar import calendar_row, with_calendar
 from ..operators.intervals import overlapping
 from ..operators.leakage import KEYS, PROMO_COLS, valid_promotions
 from ..params import LeakageParams
@@ -91,7 +91,7 @@ def _window_stats(wh: Warehouse, p: LeakageParams, met: DataFrame, d: Column, un
         total((d >= a) & (d <= b)).alias("promo_units"),
         total((d > b) & (d <= post_hi)).alias("post_units"),
         F.max(F.when((d <= b) & (until >= b), F.col("closing_units"))).alias("stock_at_promo_end"))
-    return sums.select("*", calendar_pick(wh).alias("_cal")).select(
+    return with_calendar(sums, calendar_row(wh)).select(
         *KEYS, "baseline_units", "promo_units", "post_units", "stock_at_promo_end",
         day_span(F.greatest(base_lo, lo), F.least(F.date_sub(a, 1), hi)).cast("bigint").alias("baseline_days"),
         day_span(F.greatest(a, lo), F.least(b, hi)).cast("bigint").alias("promo_days"),

@@ -51,7 +51,21 @@ def test_detectors_are_spine_free(spark):
         # the only day generator is the calendar's (one row per day, from a
         # one-row min/max); no per-key dense days
         assert "explode(sequence(from_date" not in text, key
-        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, key
+        assert "CartesianProduct" not in text, key
+        # the calendar's bounds: a row of a global aggregate meets every row
+        lines = text.splitlines()
+        for i, s in enumerate(lines):
+            if "BroadcastNestedLoopJoin" in s:
+                assert "BuildRight, Cross" in s, key
+                built = [x for x in lines[i + 1:] if "BroadcastExchange" in x and "IdentityBroadcastMode" in x]
+                at = lines.index(built[0])
+                assert "Project" in lines[at + 1] or "HashAggregate(keys=[]" in lines[at + 1] or "SortAggregate(key=[]" in lines[at + 1], key
+
+
+def test_calendar_bounds_enter_a_plan_once_a_branch(spark):
+    for key, most in (("risk_score", 2), ("dump_day", 2), ("leakage", 2), ("stuffing", 1)):
+        text = QUERIES[key](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("scalar-subquery#") + text.count("Join Cross") <= most, key
 
 
 def test_scans_are_pruned_and_filtered(spark):
