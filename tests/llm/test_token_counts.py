@@ -1,8 +1,9 @@
+import random
+
 import public_tokenizers
 import pytest
 import sentencepiece
 from llm_data import docs
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer as Library
 
 from stockgap.llm import queries
@@ -61,12 +62,29 @@ def test_counts_come_from_the_cache_and_equal_rows_count_once(spark, tmp_path):
     assert [r.n_tokens for r in count_tokens(docs(spark, [(1, "hello"), (2, "HELLO")]), tok, cache).collect()] == [42, 42]
 
 
-def test_folds_keep_special_strings_apart(spark, tmp_path):
+def test_folds_keep_special_strings_apart():
     tok = Tokenizer(WORDS)
-    assert tok.lower and tok.spaces and not Tokenizer(public_tokenizers.path("byte_bpe_50k.json")).lower
-    out = docs(spark, rows(TEXTS)).select("doc_id", tok.normalised(F.col("text")).alias("x"))
-    forms = {r.doc_id: r.x for r in out.collect()}
-    assert forms[1] == forms[2] and forms[5] != forms[6] and forms[6] != forms[7]
+    assert tok.lower and tok.spaces and tok.words and not Tokenizer(public_tokenizers.path("byte_bpe_50k.json")).lower
+    forms = [tok.normaliser()(t.encode()) for t in TEXTS]
+    assert forms[1] == forms[2] != forms[3] and forms[5] != forms[6] != forms[7] and len(set(forms)) == len(forms) - 1
+
+
+def test_words_add_up_to_their_text():
+    """Random strings of awkward characters: the words' counts against the library's count of the whole."""
+    rng, count, pieces = random.Random(4), Tokenizer(WORDS).counter(), [
+        "a", "B", "'s", "'", "9", "42", "é", "e\u0301", "\u0301", "İ", "ΑΣ", "\u212a", "한", "\u1112\u1161", "日本", "👩\u200d👧", "...", "<|", "|>", "<|endoftext|>",
+        " ", "  ", "\t", "\n", "\r\n", "\x0b", "\x1c", "\x85", "\u00a0", "\u2003", "\u200b", "\ufeff", "<|startoftext|>", "\x00", "don't", "I'LL"]
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(1, 30))) for _ in range(20000)]
+    assert count([t.encode() for t in texts]) == plain(texts)
+
+
+def test_remembered_words_are_bounded(monkeypatch):
+    from stockgap.llm import token_counts
+    monkeypatch.setattr(token_counts, "WORDS", 50)
+    count = Tokenizer(WORDS).counter()
+    texts = [" ".join(f"word{i * 7 % 200} w{i} {'long' * 40}" for i in range(k, k + 30)) for k in range(0, 400, 10)]
+    assert [n for t in texts for n in count([t.encode()])] == plain(texts)
+    assert 0 < len(count.known) <= 61 and max(map(len, count.known)) <= token_counts.WORD_BYTES
 
 
 def test_empty_table_and_kept_columns(spark, tmp_path):
