@@ -56,6 +56,18 @@ def text_of(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+def own_names(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have (Spark compares
+    them without case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 TEXT_BATCH = 1024
 
 

@@ -109,7 +109,7 @@ ORACLE: dict[str, str] = {
                   FROM (SELECT *, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))),
         bad AS (
             SELECT line, min(struct_pack(doc := doc_id, pos := pos)) AS first FROM lines
-            WHERE regexp_matches(line, '[^ \\t]+[ \\t]+[^ \\t]+[ \\t]+[^ \\t]+')
+            WHERE line <> ''
             GROUP BY line HAVING count(DISTINCT site) >= 5)
         SELECT doc_id, count(*) FILTER (gone) AS n_removed,
                length(coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS n_chars,

@@ -47,7 +47,7 @@ def test_lines_near_duplicates_and_sample(run):
         keep = []
         for line in t.split("\n"):
             key = line.strip(" ")
-            if len(key.split()) < line_dedup.MIN_WORDS or len(sites[key]) < line_dedup.MIN_SITES or key not in seen:
+            if not key or len(sites[key]) < line_dedup.MIN_SITES or key not in seen:
                 keep.append(line)
             seen.add(key)
         want[i] = "\n".join(keep)
