@@ -1,19 +1,35 @@
 """HTML extraction by wrapper induction.
 
-In the DOM trees of pages runs of like sibling text blocks and inline elements
-are folded into one node; pages with equal folded trees have one shape.  All
-different pages of a host are counted (equal pages once).  A node is template
-if what it says, all the way down, stands at its path on at least ``LEAST``
-of them, and on most of the pages of its shape, or on most of those that have
-its path, so that a layout with rare shapes has a wrapper too.
+Every page is parsed once.  In its DOM tree, runs of like sibling text blocks
+and inline elements are folded into one node; pages of a host with equal folded
+trees have one shape.  Shapes of like outline (the labels of the upper levels)
+form a layout.  Its commonest shape is the layout's frame, and every other
+shape is aligned to it by simple tree matching: the largest matching of nodes
+that keeps labels, parents and the order of siblings.  Nodes matched to the same
+node of the frame are one place, whatever their shape.
+
+Over all different pages of a host (equal pages once), what stands at each
+place is counted.  A place where most pages say the same, and at least ``LEAST``
+of them, is template there; where they differ it is a slot.  Nodes that the
+frame has no partner for, and those of layouts with fewer than ``LEAST`` pages,
+are placed by their path of labels instead, over all pages of the host.
 
 The text of a page is that of all its article and main elements in page order
-(else of what is named main, else of the body), without the parts that by their tag or name are menus, ads,
-comments and the like, and without template nodes: outside article and main
-all of them, inside only those that are no text blocks by themselves, so
-that a paragraph that a host's articles share stays.  Character references
-are decoded, white space inside a block becomes one space, blocks are joined
-by one space in page order.
+(else of what is named main, else of the body), without the parts that by
+their tag or name are menus, ads, comments and the like, and without template
+nodes: outside article and main all of them, inside only those that are no text
+blocks by themselves, so that a paragraph that a host's articles share stays.
+Inside an article a name takes out only containers, and only if all of its
+words say so: a heading, paragraph, list item or cell stays, and so does a
+section whose id is a slug of its title.  Character references are decoded,
+white space inside a block becomes one space, blocks are joined by one space in
+page order.
+
+Edge cases: null and empty html give the empty text; null urls are one host;
+repeated rows get a row each and count once; of two equally common shapes the
+smaller hash is the frame; broken markup is read as far as it goes; texts of any
+length are read whole; an empty table gives an empty result; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,6 +38,7 @@ import hashlib
 import html as entities
 import json
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -50,6 +67,11 @@ NAMES = frozenset("nav navigation navbar menu menus breadcrumb breadcrumbs foote
                   "sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social "
                   "related recommended recommendations comment comments commentlist disqus reply replies respond responses discussion pagination pager widget toolbar masthead copyright "
                   "disclaimer search toc skip complementary contentinfo banner".split())
+#: words that may stand beside them in a name of such a part
+BESIDE = frozenset("area bar block body bottom box btn button buttons col column container content footer form foot group head header holder icon icons inline inner item items js "
+                   "large left link links list main message module outer page panel post posts right row section slot small stories story tools top unit wrap wrapper".split())
+#: ids that name such a part and are no slug of a title
+PART_IDS = frozenset("comments commentlist comment-list respond disqus_thread nav navigation sidebar footer menu breadcrumbs cookie-banner newsletter".split())
 _TAG = re.compile(r"""<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _WORD = re.compile(r"[a-z0-9]+")
@@ -60,21 +82,27 @@ class Node:
     tag: str
     names: frozenset[str] = frozenset()
     hidden: bool = False
+    tokens: frozenset[str] = frozenset()  # the class and role tokens, whole
+    ident: str = ""
     parts: list = field(default_factory=list)  # str or Node, in page order
 
     def children(self) -> list[Node]:
         return [x for x in self.parts if not isinstance(x, str)]
 
 
-def _attributes(source: str) -> tuple[frozenset[str], bool]:
-    names, hidden = set(), False
+def _attributes(source: str) -> dict:
+    names, tokens, hidden, ident = set(), set(), False, ""
     for m in _ATTR.finditer(source):
         key, value = m[1].lower(), next((x for x in m.groups()[1:] if x is not None), "")
         if key in ("class", "id", "role"):
             names.update(_WORD.findall(value.lower()))
+            if key == "id":
+                ident = value.strip().lower()
+            else:
+                tokens.update(value.lower().split())
         elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none", value, re.I):
             hidden = True
-    return frozenset(names), hidden
+    return {"names": frozenset(names), "hidden": hidden, "tokens": frozenset(tokens), "ident": ident}
 
 
 def parse(source: str) -> Node:
@@ -118,8 +146,7 @@ def parse(source: str) -> Node:
                     close(i)
                     if tag not in ("tr", "tbody"):
                         break
-        names, hidden = _attributes(m[3]) if m[3] and not m[3].isspace() else (frozenset(), False)
-        node = Node(tag, names, hidden)
+        node = Node(tag, **(_attributes(m[3]) if m[3] and not m[3].isspace() else {}))
         stack[-1].parts.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
@@ -132,33 +159,61 @@ def parse(source: str) -> Node:
     return root
 
 
+def _named_away(node: Node, in_article: bool) -> bool:
+    """Whether the names of an element say that it is no part of an article."""
+    if not in_article:
+        return not node.names.isdisjoint(NAMES) or "header" in node.names
+    if node.tag in TEXT_BLOCKS:
+        return False
+    said = [set(_WORD.findall(t)) for t in node.tokens]
+    return node.ident in PART_IDS or bool(said) and all(w <= NAMES | BESIDE for w in said) and any(w & NAMES for w in said)
+
+
 def dropped(node: Node, in_article: bool) -> bool:
     """Whether the element is no part of an article, by its tag or names."""
     if node.tag in DROPPED or node.hidden or node.tag == "header" and not in_article:
         return True
-    return node.tag not in ("html", "body", "main", "article") and (not node.names.isdisjoint(NAMES) or "header" in node.names and not in_article)
+    return node.tag not in ("html", "body", "main", "article") and _named_away(node, in_article)
+
+
+def _removable(node: Node, in_article: bool) -> bool:
+    """Whether the element goes if it is template."""
+    return not in_article or node.tag not in TEXT_BLOCKS and node.tag not in INLINE and not any(y.tag in TEXT_BLOCKS for y in node.children())
+
+
+Piece = tuple[tuple[int, ...], str]
 
 
-def _blocks(node: Node, in_article: bool, template: set[int], out: list[list[str]]) -> None:
+def _walk(node: Node, in_article: bool, chain: tuple[int, ...], out: list[Piece]) -> list[Piece]:
+    """The pieces of text below ``node`` in page order, each with the chain of
+    elements (by id) that take it along if they are template."""
     for x in node.parts:
         if isinstance(x, str):
-            out[-1].append(entities.unescape(x))
+            out.append((chain, entities.unescape(x)))
         elif x.tag in ("br", "hr"):
-            out[-1].append(" ")
-        elif not dropped(x, in_article) and id(x) not in template:
+            out.append((chain, " "))
+        elif dropped(x, in_article) or in_article and _aside(x):
+            if x.tag in CLOSES_P:  # what stands around a block stays apart without it
+                out.append((chain, "\n"))
+        else:
+            own = (*chain, id(x)) if _removable(x, in_article) else chain
             if x.tag in INLINE:
-                _blocks(x, in_article, template, out)
+                _walk(x, in_article, own, out)
             else:
-                out.append([])
-                _blocks(x, in_article, template, out)
-                out.append([])
+                out.append((chain, "\n"))
+                _walk(x, in_article, own, out)
+                out.append((chain, "\n"))
+    return out
+
 
+def _spaced(pieces: Iterable[str]) -> str:
+    """Blocks are set apart by white space already: one space between words."""
+    return " ".join("".join(pieces).split())
 
-def text_in(node: Node, in_article: bool = True, template: frozenset[int] | set[int] = frozenset()) -> str:
+
+def text_in(node: Node, in_article: bool = True) -> str:
     """The text of ``node``: its blocks, each with single spaces, joined by one."""
-    out: list[list[str]] = [[]]
-    _blocks(node, in_article, template, out)
-    return " ".join(" ".join(w) for b in out if (w := "".join(b).split()))
+    return _spaced(x for _, x in _walk(node, in_article, (), []))
 
 
 def _find(node: Node, tags: tuple[str, ...], named: str, found: list[Node]) -> list[Node]:
@@ -188,9 +243,6 @@ class Folded:
     texts: list[str]
     members: list[list[Node]]
 
-    def signature(self) -> str:
-        return json.dumps([self.labels, self.kids])
-
 
 def fold(root: Node) -> Folded:
     """The element tree; runs of siblings of one label as one node, if FOLDED."""
@@ -218,10 +270,15 @@ def fold(root: Node) -> Folded:
     return out
 
 
-def tree_match(a: tuple[list[str], list[list[int]]], b: tuple[list[str], list[list[int]]]) -> list[tuple[int, int]]:
+Tree = tuple[list[str], list[list[int]]]
+
+
+def tree_match(a: Tree, b: Tree, says: tuple[list, list] | None = None) -> list[tuple[int, int]]:
     """Simple tree matching: the pairs of a largest matching that keeps labels,
-    parents and the order of siblings."""
+    parents and the order of siblings; of several, with ``says``, one with the
+    most nodes that say the same."""
     (la, ka), (lb, kb) = a, b
+    unit = min(len(la), len(lb)) + 1  # a node outweighs any number of equal texts
     size: dict[tuple[int, int], int] = {}
     trace: dict[tuple[int, int], list[list[int]]] = {}
 
@@ -234,9 +291,25 @@ def tree_match(a: tuple[list[str], list[list[int]]], b: tuple[list[str], list[li
             for r, c in enumerate(x, 1):
                 for s, d in enumerate(y, 1):
                     m[r][s] = max(m[r - 1][s], m[r][s - 1], m[r - 1][s - 1] + best(c, d))
-            size[i, j], trace[i, j] = 1 + m[-1][-1], m
+            size[i, j], trace[i, j] = unit + (says is not None and says[0][i] == says[1][j]) + m[-1][-1], m
         return size[i, j]
 
+    # deepest first, so that no recursion goes below the next level
+    depth = [0] * len(la)
+    for i, kids in enumerate(ka):
+        for c in kids:
+            depth[c] = depth[i] + 1
+    below = [0] * len(lb)
+    for j, kids in enumerate(kb):
+        for d in kids:
+            below[d] = below[j] + 1
+    level: dict[int, list[int]] = {}
+    for j, d in enumerate(below):
+        level.setdefault(d, []).append(j)
+    for i in sorted(range(len(la)), key=lambda i: -depth[i]):
+        for j in level.get(depth[i], ()):
+            best(i, j)
+
     pairs: list[tuple[int, int]] = []
     todo = [(0, 0)] if best(0, 0) else []
     while todo:
@@ -259,66 +332,97 @@ def _hash(*parts: str | int) -> int:
     return int.from_bytes(hashlib.blake2b(json.dumps(parts).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
-def places(page: Folded) -> list[tuple[int, int]]:
-    """(path, key) of each node: a hash of the labels from the root down to it,
-    and one of the path and what the node says all the way down."""
-    path = [0] * len(page.labels)
-    says = [0] * len(page.labels)
-    for i, label in enumerate(page.labels):  # parents come before their children
+def _paths(labels: list[str], kids: list[list[int]]) -> list[int]:
+    """A hash of the labels from the root down to each node."""
+    path = [0] * len(labels)
+    for i, label in enumerate(labels):  # parents come before their children
         path[i] = _hash(path[i], label)
-        for c in page.kids[i]:
+        for c in kids[i]:
             path[c] = path[i]
+    return path
+
+
+def _says(page: Folded) -> list[int]:
+    """A hash of what each node says, all the way down."""
+    says = [0] * len(page.labels)
     for i in range(len(page.labels) - 1, -1, -1):
         says[i] = _hash(page.labels[i], page.texts[i], *(says[c] for c in page.kids[i]))
-    return [(p, _hash(p, x)) for p, x in zip(path, says)]
+    return says
 
 
-def template(page: Folded, keys: set[int] | frozenset[int]) -> set[int]:
-    """ids of the DOM nodes whose key is among those of the template."""
-    return {id(n) for (_, key), nodes in zip(places(page), page.members) if key in keys for n in nodes}
+def _outline(labels: list[str], kids: list[list[int]], depth: int = 3) -> int:
+    """What layouts are told apart by: the labels of the upper levels."""
+    seen, row = [], [0]
+    for _ in range(depth + 1):
+        seen.append(sorted({labels[i] for i in row}))
+        row = [c for i in row for c in kids[i]]
+    return _hash(*map(json.dumps, seen))
 
 
-def main_text(source: str, keys: set[int] | frozenset[int] = frozenset()) -> str:
-    """The article's text of a page ("" if there is none)."""
-    root = parse(source)
-    constant = template(fold(root), keys) if keys else set()
+def pieces(root: Node) -> list[Piece]:
+    """The pieces of the article's text, see :func:`_walk`."""
     articles = [x for x in _find(root, ("article", "main"), "", []) if not _aside(x)] or _find(root, ("main",), "main", [])
     if not articles:
-        return text_in(root, False, constant)
-
-    def inside(node: Node, out: set[int]) -> set[int]:
-        for x in node.children():
-            if _aside(x) or id(x) in constant and x.tag not in TEXT_BLOCKS and x.tag not in INLINE and not any(y.tag in TEXT_BLOCKS for y in x.children()):
-                out.add(id(x))
-            else:
-                inside(x, out)
-        return out
-
-    texts = [text_in(x, True, inside(x, set())) for x in articles]
-    return " ".join(x for x in texts if x)
-
-
-_OUTLINE = T.StructType([T.StructField("shape", T.LongType()), *[T.StructField(c, T.ArrayType(T.LongType())) for c in ("paths", "keys", "at")]])
+        return _walk(root, False, (), [])
+    out: list[Piece] = []
+    for x in articles:
+        out = [*_walk(x, True, (), out), ((), "\n")]
+    return out
 
 
-@F.pandas_udf(_OUTLINE)
-def _outline(sources: pd.Series) -> pd.DataFrame:
-    """The shape of a page, its different paths, its different keys and the path of each key."""
-    def one(source: str) -> tuple:
-        f = fold(parse(source))
-        at = {key: path for path, key in places(f)}
-        return _hash(f.signature()), sorted(set(at.values())), list(at), list(at.values())
-    return pd.DataFrame([one(x) for x in sources], columns=["shape", "paths", "keys", "at"])
+def main_text(source: str) -> str:
+    """The article's text of a page by tags and names alone ("" if there is none)."""
+    return _spaced(x for _, x in pieces(parse(source)))
 
 
-@F.pandas_udf(T.LongType())
-def _shape(sources: pd.Series) -> pd.Series:
-    return sources.map(lambda x: _hash(fold(parse(x)).signature()))
+def digest(source: str) -> tuple:
+    """What extraction needs of a page: (layout, shape, tree, says, texts,
+    chains): the folded tree as JSON, and the pieces of text, merged, with the
+    folded nodes that take them along."""
+    root = parse(source)
+    page = fold(root)
+    node = {id(n): i for i, nodes in enumerate(page.members) for n in nodes}
+    texts: list[list[str]] = []
+    chains: list[tuple[int, ...]] = []
+    for chain, x in pieces(root):
+        if not chains or chain != chains[-1]:
+            chains.append(chain)
+            texts.append([])
+        texts[-1].append(x)
+    tree = json.dumps([page.labels, page.kids])
+    says = _says(page) if any(chains) else [0] * len(page.labels)  # nothing to take along, nothing to compare
+    return (_outline(page.labels, page.kids), _hash(tree), tree, says, ["".join(x) for x in texts], [[node[i] for i in c] for c in chains])
+
+
+_DIGEST = T.StructType([T.StructField("layout", T.LongType()), T.StructField("shape", T.LongType()), T.StructField("tree", T.StringType()),
+                        T.StructField("says", T.ArrayType(T.LongType())), T.StructField("texts", T.ArrayType(T.StringType())),
+                        T.StructField("chains", T.ArrayType(T.ArrayType(T.IntegerType())))])
+
+
+@F.pandas_udf(_DIGEST)
+def _digest(sources: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([digest(x) for x in sources], columns=_DIGEST.names)
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _placed(tree: pd.Series, says: pd.Series, frame: pd.Series, frame_says: pd.Series, layout: pd.Series, aligned: pd.Series) -> pd.Series:
+    """The place of each node of a shape: its partner in the frame, else its path."""
+    def one(t, s, f, g, which, by_frame):
+        labels, kids = json.loads(t)
+        place = _paths(labels, kids)
+        if by_frame:
+            for i, j in tree_match((labels, kids), tuple(json.loads(f)), (s.tolist(), g.tolist())):
+                place[i] = _hash("frame", which, j)
+        return place
+    return pd.Series([one(*x) for x in zip(tree, says, frame, frame_says, layout.tolist(), aligned)], dtype=object)
 
 
 @F.pandas_udf(T.StringType())
-def _extract(sources: pd.Series, keys: pd.Series) -> pd.Series:
-    return pd.Series([main_text(x, frozenset() if k is None else frozenset(k.tolist())) for x, k in zip(sources, keys)], dtype=object)
+def _kept(texts: pd.Series, chains: pd.Series, says: pd.Series, template: pd.Series) -> pd.Series:
+    def one(texts, chains, says, template):
+        gone = set() if template is None else {t["node"] for t in template if says[t["node"]] == t["says"]}
+        return _spaced(x for x, c in zip(texts, chains) if gone.isdisjoint(c))
+    return pd.Series([one(*x) for x in zip(texts, chains, says, template)], dtype=object)
 
 
 def host(url: Column) -> Column:
@@ -326,29 +430,40 @@ def host(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
 
 
-def wrappers(outlines: DataFrame, least: int = LEAST) -> DataFrame:
-    """(host, shape, template): the keys of the template nodes of the pages of
-    a shape, from the outlines (host, shape, paths, keys, at) of all different
-    pages.  What stands on one page alone leaves no partition."""
-    shapes = staged(outlines.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("pages"), F.first("paths").alias("paths")))
-    said = staged(outlines.select("host", "shape", F.explode(F.arrays_zip("keys", "at")).alias("x")).groupBy(
-        "host", "shape", F.col("x.at").alias("path"), F.col("x.keys").alias("key")).agg(F.count(F.lit(1)).alias("n")))
-    on_path = shapes.select("host", F.explode("paths").alias("path"), "pages").groupBy("host", "path").agg(F.sum("pages").alias("pages"))
-    own = said.where(F.col("n") >= least).join(shapes.select("host", "shape", "pages"), ["host", "shape"]).where("2 * n > pages").select("host", "shape", "key")
-    common = said.groupBy("host", "path", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).join(
-        on_path, ["host", "path"]).where("2 * n > pages").select("host", "path", "key")
-    spread = said.join(common, ["host", "path", "key"], "left_semi").select("host", "shape", "key")
-    return own.unionByName(spread).groupBy("host", "shape").agg(F.collect_set("key").alias("template"))
+def wrappers(pages: DataFrame, least: int = LEAST) -> DataFrame:
+    """(host, shape, template): for each shape the nodes that are template and
+    what they then say, from the digests of all different pages of a host
+    (host, layout, shape, tree, says, chains).
+
+    Only nodes that take text along are counted, by shape first; a shape has
+    one row per node afterwards, and a place one template.
+    """
+    key = ["host", "shape"]
+    nodes = F.array_distinct(F.flatten("chains"))
+    shapes = staged(pages.groupBy(*key).agg(F.count(F.lit(1)).alias("pages"), F.first("layout").alias("layout"),
+                                            F.min(F.struct("page", "tree", "says")).alias("one")).select(*key, "pages", "layout", "one.tree", "one.says"))
+    layouts = shapes.groupBy("host", "layout").agg(F.sum("pages").alias("all"), F.max(F.struct("pages", "shape", "tree", "says")).alias("frame"))
+    place = _placed("tree", "says", "frame.tree", "frame.says", "layout", F.col("all") >= least)
+    places = staged(shapes.join(layouts, ["host", "layout"]).select(*key, "pages", F.posexplode(place).alias("node", "place")))
+    said = pages.select(*key, "says", F.explode(nodes).alias("node")).select(*key, "node", F.element_at("says", F.col("node") + 1).alias("says")).groupBy(
+        *key, "node", "says").agg(F.count(F.lit(1)).alias("n"))
+    # like siblings of an unaligned shape share a path: the page counts once
+    at = staged(said).join(places.drop("pages"), [*key, "node"]).groupBy(*key, "place", "says").agg(F.max("n").alias("n"))
+    constant = at.groupBy("host", "place", "says").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    total = places.select(*key, "place", "pages").distinct().groupBy("host", "place").agg(F.sum("pages").alias("all"))
+    template = constant.join(total, ["host", "place"]).where("2 * n > all").select("host", "place", "says")
+    return places.select(*key, "node", "place").join(template, ["host", "place"]).groupBy(*key).agg(F.collect_list(F.struct("node", "says")).alias("template"))
 
 
 def extract(pages: DataFrame, least: int = LEAST) -> DataFrame:
     """(page_id, url, text) per row of ``pages``; null html: the empty text.
 
     A host with fewer than ``least`` different pages has no wrapper; its
-    pages are judged by tags and names alone.  Null urls are one host.
+    pages are judged by tags and names alone.
     """
-    rows = text_batches(pages).select(pages["page_id"].alias("page_id"), pages["url"].alias("url"), F.coalesce(pages["html"], F.lit("")).alias("html"),
-                        host(pages["url"]).alias("host"))
-    outlines = staged(rows.select("host", F.xxhash64("html").alias("h"), _outline("html").alias("x")).select("host", "h", "x.*").dropDuplicates(["host", "h"]))
-    # reading the shape again costs less than html dealt by its hash: few templates can be broadcast
-    return rows.withColumn("shape", _shape("html")).join(staged(wrappers(outlines, least)), ["host", "shape"], "left").select("page_id", "url", _extract("html", "template").alias("text"))
+    html = F.coalesce(pages["html"], F.lit(""))
+    rows = staged(text_batches(pages).select(pages["page_id"].alias("page_id"), pages["url"].alias("url"), host(pages["url"]).alias("host"),
+                                             F.xxhash64(html).alias("page"), _digest(html).alias("x")).select("page_id", "url", "host", "page", "x.*"))
+    different = rows.select("host", "page", "layout", "shape", "tree", "says", "chains").dropDuplicates(["host", "page"])
+    found = rows.drop("tree").join(staged(wrappers(different, least)), ["host", "shape"], "left")
+    return found.select("page_id", "url", _kept("texts", "chains", "says", "template").alias("text"))

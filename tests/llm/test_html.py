@@ -1,9 +1,12 @@
 import html as H
+import json
+import random
 
 import pytest
+import xxhash
 from llm_data import pages
 
-from stockgap.llm import html
+from stockgap.llm import html, queries
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu".split()
 
@@ -139,3 +142,93 @@ def test_what_some_near_copies_share_is_no_template(spark):
     ("<div class=main>m</div><p>n</p>", "m")])
 def test_all_articles_in_page_order(body, want):
     assert html.main_text(f"<html><body><nav>menu</nav>{body}<footer>f</footer></body></html>") == want
+
+
+@pytest.mark.parametrize("body,want", [
+    ('<p>One</p><h2 id="how-to-search-files">How to search files</h2><p>Two</p>', "One How to search files Two"),
+    ('<section id="share-prices"><p>Up</p></section><section id="replies"><p>All of them</p></section>', "Up All of them"),
+    ('<div class="share-prices">Up</div><p class="notice">Note</p><li class="related">item</li>', "Up Note item"),
+    ('a<div class="ad-slot">x</div><div class="related-posts">y</div><section id="comments">z</section><div class="search box">w</div>b', "a b"),
+    ('<ul class="comment-list"><li class="comment"><p>no</p></ul><div class="newsletter-signup">no</div>yes', "yes")])
+def test_names_take_only_containers_out_of_an_article(body, want):
+    assert html.main_text(f"<article>{body}</article>") == want
+
+
+def test_only_alignment_tells_menu_from_content(spark):
+    """Menu and content have the same path, and some articles say what the menu says: the place decides, not the text."""
+    rows, want = [], {}
+    for i in range(12):
+        said = "Home and about" if i % 4 == 0 else " ".join(_text(i))
+        note = f"<div>Only today {i}</div>" if i % 3 == 0 else ""
+        rows.append((i, f"http://al.example/{i}", f"<html><body><div>Home and about</div><div>{said}</div>{note}<table><tr><td>Printed daily</table></body></html>"))
+        want[i] = said + (f" Only today {i}" if i % 3 == 0 else "")
+    assert _got(spark, rows) == want
+
+
+def _brute_wrapper(rows, least=html.LEAST):
+    """Template by plain loops over all pages: places by matching each tree to its layout's frame."""
+    from collections import Counter, defaultdict
+    hosts = defaultdict(dict)
+    for _, url, source in rows:
+        hosts[(url or "").split("/")[2].lower() if "//" in (url or "") else ""].setdefault(source or "", html.digest(source or ""))
+    constant = {}
+    for h, found in hosts.items():
+        layouts, shapes = defaultdict(list), defaultdict(list)
+        for source, d in found.items():
+            layouts[d[0]].append(d)
+            shapes[d[1]].append((source, d))
+        n, total, place = Counter(), Counter(), {}
+        first = {s: min(own, key=lambda x: html_hash(x[0]))[1] for s, own in shapes.items()}
+        for s, d in first.items():
+            labels, kids = json.loads(d[2])
+            place[s] = html._paths(labels, kids)
+            frame = max({x[1] for x in layouts[d[0]]}, key=lambda t: (len(shapes[t]), t))
+            if len(layouts[d[0]]) >= least:
+                for i, j in html.tree_match((labels, kids), tuple(json.loads(first[frame][2])), (d[3], first[frame][3])):
+                    place[s][i] = ("frame", d[0], j)
+            for p in set(place[s]):
+                total[p] += len(shapes[s])
+            at = defaultdict(Counter)
+            for _, x in shapes[s]:
+                for i in {i for c in x[5] for i in c}:
+                    at[i][x[3][i]] += 1
+            best = Counter()
+            for i, c in at.items():
+                for says, k in c.items():
+                    best[place[s][i], says] = max(best[place[s][i], says], k)
+            n.update(best)
+        good = {p for p, k in n.items() if k >= least and 2 * k > total[p[0]]}
+        constant[h] = (place, good)
+    out = {}
+    for i, url, source in rows:
+        h = (url or "").split("/")[2].lower() if "//" in (url or "") else ""
+        d = html.digest(source or "")
+        place, good = constant[h]
+        keep = [x for x, c in zip(d[4], d[5]) if not any((place[d[1]][k], d[3][k]) in good for k in c)]
+        out[i] = " ".join("".join(keep).split())
+    return out
+
+
+def html_hash(source):
+    return xxhash.xxh64(source.encode(), seed=42).intdigest() - (1 << 64) * (xxhash.xxh64(source.encode(), seed=42).intdigest() >> 63)
+
+
+def test_wrappers_against_brute_force(spark):
+    rng, rows = random.Random(8), []
+    for i in range(90):
+        boxes = [f"<div>{rng.choice(['Start Shop', 'Start Shop', 'News'])}</div>", f"<div class=x>{' '.join(rng.choices(WORDS, k=3))}</div>",
+                 f"<div>{rng.choice(['Printed daily', 'Start Shop'])}<span>{rng.choice('ab')}</span></div>", "<section><p>Same</p><div>Call us</div></section>"]
+        body = "".join(rng.sample(boxes, rng.randrange(1, 5)) if i % 3 else boxes)  # every order and number of boxes
+        if i % 5 == 0:
+            body = f"<article><div>Share</div>{body}</article>"
+        rows.append((i, f"http://h{min(i % 7, 3)}.example/{i}", f"<html><body>{body}</body></html>"))
+    rows += [(100, None, "<div>x"), (101, None, None), (102, "http://H1.example", rows[1][2])]
+    assert _got(spark, rows) == _brute_wrapper(rows)
+
+
+def test_deep_pages_and_registered_query(spark, tmp_path):
+    rows = [(i, "http://d.example/", "<div>" * 300 + f"deep {i}" + "</div>" * 300 + "<div>end</div>") for i in range(4)]
+    pages(spark, rows).select("page_id", "url", "html").write.parquet(f"{tmp_path}/pages.parquet")
+    got = queries.QUERIES["op4_html"](spark, str(tmp_path))
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    assert sorted((r.page_id, r.text, r.n_chars) for r in got.collect()) == [(i, f"deep {i}", 6) for i in range(4)]
