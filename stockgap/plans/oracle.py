@@ -476,3 +476,22 @@ ORACLE["dq_violations"] = " UNION ALL ".join([
     _bad("nation", ["n_nationkey"], [*_null("n_nationkey", "n_name", "n_regionkey"), _gone("n_regionkey", "region", "r_regionkey")]),
     _bad("region", ["r_regionkey"], _null("r_regionkey", "r_name")),
 ])
+
+
+def _swap(text: str, *pairs: tuple[str, str]) -> str:
+    for old, new in pairs:
+        if old not in text:
+            raise ValueError(old)
+        text = text.replace(old, new)
+    return text
+
+
+ORACLE.update({
+    "catalog_risk": _q("SELECT * FROM risk"),
+    "catalog_risk_strict": _swap(_q("SELECT * FROM risk"), ("primary_units * trail_n >= 4 * trail_p", "primary_units * trail_n >= 3 * trail_p"),
+                                 ("qty_units >= 45", "qty_units >= 40"), ("100 * bulk_s >= 20 * s1", "100 * bulk_s >= 35 * s1")),
+    "bulk_stores_months": _q(
+        "SELECT distributor_id, COUNT(DISTINCT kirana_id) AS kiranas_hit_by_dumps FROM drops"
+        " WHERE qty_units >= 45 AND d BETWEEN DATE '1997-03-01' AND DATE '1998-06-30' GROUP BY distributor_id").replace(
+        "SELECT distributor_id, o_custkey AS kirana_id, qty AS qty_units", "SELECT distributor_id, o_custkey AS kirana_id, qty AS qty_units, d"),
+})

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,10 +26,11 @@ from ..operators import stuffing as stf
 from ..operators.calendar import calendar_bounds
 from ..operators.refresh import refresh_ledger
 from ..session import scratch_path
-from ..sources.bindings import bind_driver_tables
-from ..sources.csv_io import export_csv, load_csv
+from ..sources.bindings import DRIVER_PROMOTIONS, bind_driver_tables
+from ..sources.csv_io import export_csv, load_csv, write_table
 from ..sources.snapshots import SnapshotTable
 from ..sources.stored import stored_promo_stats, with_stored_ledger
+from . import catalog
 from .views import register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,6 +144,26 @@ def _view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT distributor_id, risk_score, risk_tier FROM vw_fraud_risk_score WHERE risk_score > 0")
 
 
+#: stricter thresholds than the driver's
+STRICT = replace(D, stuffing=replace(D.stuffing, ratio=Fraction(3)), route=replace(D.route, bulk_units=40),
+                 risk=replace(D.risk, route_share_pct=Fraction(35)))
+
+
+def _catalog_view(name: str) -> Query:
+    """The risk view in the session's catalog, under a set of thresholds."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        catalog.install(spark, sf_dir, scratch_path(spark, "catalog"), DRIVER_PROMOTIONS, {"driver": D, "strict": STRICT})
+        return catalog.risk_under(spark, name)
+    return run
+
+
+def _stores_of_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stores hit by bulk drops over 16 months, from stored monthly bitmaps."""
+    path = scratch_path(spark, "store-bitmaps")
+    write_table(rt.store_bitmaps(_wh(spark, sf_dir), D.route), path, ("month",))
+    return rt.bulk_stores_of(spark.read.parquet(path), 199703, 199806)
+
+
 QUERIES: dict[str, Query] = {
     "calendar": _on_wh(lambda wh: wh.calendar),
     "spine": _on_wh(led.spine),
@@ -207,4 +229,7 @@ QUERIES: dict[str, Query] = {
     "drop_size_buckets_subject": _on_wh(lambda wh: rp.drop_size_buckets(wh, D, distributor_id=3)),
     "csv_round_trip": _csv_round_trip,
     "view_risk": _view,
+    "catalog_risk": _catalog_view("driver"),
+    "catalog_risk_strict": _catalog_view("strict"),
+    "bulk_stores_months": _stores_of_months,
 }

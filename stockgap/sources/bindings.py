@@ -87,7 +87,7 @@ def bind_driver_tables(spark: SparkSession, sf_dir: str,
     drops = (deliveries.join(orders.select("o_orderkey", "o_custkey"),
                              deliveries.l_orderkey == orders.o_orderkey, "left")
              .select(F.col("l_suppkey").alias("distributor_id"), qty.alias("qty_units"),
-                     F.col("o_custkey").alias("kirana_id")))
+                     F.col("o_custkey").alias("kirana_id"), "full_date"))
 
     raw = LazyTables(("lineitem", "orders", "part", "supplier", "customer", "nation", "region"),
                      lambda name: read_table(spark, sf_dir, name))

@@ -67,7 +67,7 @@ def bind_reference_tables(t: dict[str, DataFrame], promotions=(REFERENCE_PROMO,)
                           "sku_id", F.lit(None).cast("bigint").alias("primary_units"),
                           F.col("qty_units").cast("bigint").alias("secondary_units"))
     drops = sec_fact.select("distributor_id", F.col("qty_units").cast("bigint").alias("qty_units"),
-                            "kirana_id")
+                            "kirana_id", date_from_key(F.col("date_id")).alias("full_date"))
     return Warehouse(
         calendar=t["dim_date"].select("date_id", "full_date", "year", "month", "day",
                                       "is_month_end"),

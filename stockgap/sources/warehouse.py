@@ -18,8 +18,8 @@ movements     full_date DATE, distributor_id, sku_id, primary_units BIGINT,
               converted from cases to units; the measure of the other kind
               of line is NULL.
 drop_sizes    distributor_id, qty_units BIGINT; one row per delivery.
-drops         distributor_id, qty_units BIGINT, kirana_id; one row per
-              delivery (store key may need a join, so it is kept apart).
+drops         distributor_id, qty_units BIGINT, kirana_id, full_date DATE;
+              one row per delivery (store key may need a join, so it is kept apart).
 """
 
 from __future__ import annotations
