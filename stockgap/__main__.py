@@ -38,6 +38,8 @@ def _parser() -> argparse.ArgumentParser:
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--tables", help="folder of TPC-H-shaped parquet tables")
     src.add_argument("--csv", help="folder of star-schema CSV files")
+    ap.add_argument("--max-rejects", type=int, metavar="N",
+                    help="with --csv: leave out up to N lines a table that do not fit it (default: the first one ends the job)")
     ap.add_argument("--params", choices=["driver", "reference"], default=None,
                     help="threshold set (default: driver for --tables, reference for --csv)")
     ap.add_argument("--local", type=int, default=0, help="start a local session with N cores")
@@ -53,6 +55,7 @@ def _parser() -> argparse.ArgumentParser:
     rk.add_argument("--top", type=int, default=10)
     ex = sub.add_parser("export")
     ex.add_argument("--out", required=True)
+    ex.add_argument("--files", action="store_true", help="plain files <name>.csv instead of folders")
     ex.add_argument("--stuffer", help="distributor of the series (default: most stuffing flags)")
     ex.add_argument("--hoarder", nargs=2, metavar=("DISTRIBUTOR", "SKU"),
                     help="pair of the sales series (default: the first leaked one)")
@@ -96,7 +99,7 @@ def main(argv: list[str] | None = None) -> None:
         wh = bind_driver_tables(spark, args.tables)
         params = P.REFERENCE if args.params == "reference" else P.DRIVER
     else:
-        wh = bind_reference_tables(load_reference_csvs(spark, args.csv))
+        wh = bind_reference_tables(load_reference_csvs(spark, args.csv, args.max_rejects))
         params = P.DRIVER if args.params == "driver" else P.REFERENCE
 
     if args.cmd == "ledger":
@@ -114,7 +117,7 @@ def main(argv: list[str] | None = None) -> None:
         hoarder = args.hoarder and dict(distributor_id=args.hoarder[0], sku_id=args.hoarder[1],
                                         start=args.start, end=args.end)
         for name, path in reports.export_dashboard_extracts(
-                spark, wh, args.out, params, args.stuffer, hoarder, args.dumper).items():
+                spark, wh, args.out, params, args.stuffer, hoarder, args.dumper, args.files).items():
             print(f"{name}: {path}")
     elif args.cmd == "rebuild":
         for name, df in wh.raw.items():

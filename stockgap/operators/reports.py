@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exact import value_ge_k_mean
 from ..params import COHORT_OTHERS, COHORT_SUFFIX, Params
-from ..sources.csv_io import export_csv
+from ..sources.csv_io import export_csv, export_csv_file
 from ..sources.warehouse import Warehouse
 from .calendar import calendar_bounds
 from .densify import densify
@@ -169,7 +169,7 @@ def drop_size_pivot(spark: SparkSession, wh: Warehouse, p: Params = Params(),
 
 def export_dashboard_extracts(spark: SparkSession, wh: Warehouse, folder: str,
                               p: Params = Params(), stuffer=None, hoarder=None,
-                              dumper=None) -> dict[str, str]:
+                              dumper=None, files: bool = False) -> dict[str, str]:
     """The four extracts as headed CSV folders (ranked risk list, the top
     stuffer's series, the top hoarder's series, drop-size buckets).
 
@@ -179,6 +179,8 @@ def export_dashboard_extracts(spark: SparkSession, wh: Warehouse, folder: str,
     The ranked list has one row per distributor and stays partitioned (its
     order is kept by a range-partitioned sort); the other three are bounded
     (days of one distributor, buckets) and are written as one file each.
+    ``files``: plain files ``<name>.csv`` instead of folders, the ranked list
+    too, in its order.
     """
     risk = risk_score(wh, p).orderBy(F.desc("risk_score"), "distributor_id")
     out = {
@@ -189,6 +191,9 @@ def export_dashboard_extracts(spark: SparkSession, wh: Warehouse, folder: str,
     }
     paths = {}
     for name, (df, single) in out.items():
-        paths[name] = os.path.join(folder, name)
-        export_csv(df, paths[name], single_file=single)
+        paths[name] = os.path.join(folder, name) + (".csv" if files else "")
+        if files:
+            export_csv_file(df, paths[name])
+        else:
+            export_csv(df, paths[name], single_file=single)
     return paths

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.dates import date_from_key
 from ..params import REFERENCE_PROMO
-from .csv_io import load_csv
+from .csv_io import load_csv, load_csv_checked
 from .promotions import promotions_frame
 from .warehouse import Warehouse
 
@@ -32,17 +32,22 @@ CSV_TABLES = {
 REQUIRED = ("dim_date", "dim_product", "dim_distributor", "fact_primary_sales", "fact_secondary_sales")
 
 
-def load_reference_csvs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def load_reference_csvs(spark: SparkSession, folder: str, max_rejects: int | None = None) -> dict[str, DataFrame]:
     """Every ``<table>.csv`` in ``folder`` (a path or URI of any file system
     that Spark reads), by position and schema.  A table that the jobs need
-    and the folder lacks is an error."""
+    and the folder lacks is an error.
+
+    ``max_rejects``: lines that do not fit their table are left out, up to so
+    many a table (:func:`stockgap.sources.csv_io.load_csv_checked`); by default
+    the first one ends the job."""
     out = {}
     base = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
     for name, schema in CSV_TABLES.items():
         path = spark._jvm.org.apache.hadoop.fs.Path(base, f"{name}.csv")
         if fs.exists(path):
-            out[name] = load_csv(spark, path.toString(), schema)
+            out[name] = (load_csv(spark, path.toString(), schema) if max_rejects is None
+                         else load_csv_checked(spark, path.toString(), schema, max_rejects).rows)
     missing = [n for n in REQUIRED if n not in out]
     if missing:
         raise FileNotFoundError(f"{folder}: no {', '.join(f'{n}.csv' for n in missing)}")
