@@ -1,28 +1,40 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
-Documents fall into cells (source, language, topic).  The cells' token
-weights are raked to one target share per source, per language and per topic
-in turn; a document then stays with the calibrated probability of its cell,
-so that the expected tokens of the sample meet the raked shares of the token
-budget.  DataFrame functions only.
+Documents fall into cells (source, language, topic).  The cells' expected
+tokens are raked to one target per source, per language and per topic in turn,
+and a cell never gives more tokens than it has: what a full cell cannot give,
+the next sweeps take from the others of its margins.  Sweeps go on until no
+cell moves any more.  A document then stays with the calibrated probability of
+its cell, expected tokens over tokens.  DataFrame functions only.
 
 Default targets temper the shares that the corpus has: share ** alpha, scaled
-to one.  A cell never contributes more tokens than it has: a full cell stays
-whole and the others share what is left of the budget.
+to one.  A margin value without enough tokens for its target is set to all it
+has, and the others of its margin share the rest.  Three margins may still ask
+for more than the full cells leave; then the sample comes as near as the sweeps
+get, and :func:`residuals` says by how much each target is missed.
+
+Edge cases: null source, language or topic is a category of its own, the empty
+name; null and empty texts have no tokens, and cells without tokens stay whole;
+rows that repeat an id share one coin, and so do all rows without id; texts of
+any length are counted whole; an empty table gives an empty sample.  Columns of
+any names are carried along; an added column gets underscores in front if its
+name is taken.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import staged, text_of
+from .common import own_names, staged, text_of
 
 DIMS = ("source", "lang", "topic")
 ALPHA = {"source": 0.5, "lang": 0.7, "topic": 0.6}
-SWEEPS = 10
+#: sweeps stop when no cell moves by more than this share of the budget
+TOLERANCE = 5e-5
+MAX_SWEEPS = 100
 BUDGET = 0.5
 SEED = "mix-1"
 _P = "__mix_"
@@ -52,32 +64,64 @@ def _profiled(docs: DataFrame, topic: Column | None) -> DataFrame:
                           _P + "topic": F.coalesce(kind.cast("string"), F.lit(""))})
 
 
-def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None,
-         alpha: Mapping[str, float] = ALPHA, sweeps: int = SWEEPS) -> DataFrame:
-    """``cells`` (source, lang, topic, tokens) with ``share``: their raked
-    share of all tokens, after ``sweeps`` rounds over the three margins.
+def with_targets(cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None,
+                 alpha: Mapping[str, float] = ALPHA, budget: float = BUDGET) -> DataFrame:
+    """``cells`` (source, lang, topic, tokens) with, for each margin, the tokens
+    asked for its value (``w_...``) and those that can be had (``t_...``).
 
     ``targets`` may name a margin's shares (values it leaves out get none);
     a margin it does not name is tempered by ``alpha``.
     """
-    total = cells.agg(F.sum("tokens").cast("double")).first()[0] or 1.0
-    now = cells.select(*DIMS, "tokens", (F.col("tokens") / F.lit(total)).alias("share"))
+    now = staged(cells.select(*DIMS, F.col("tokens").cast("double").alias("tokens")))
+    total = now.agg(F.sum("tokens")).first()[0] or 0.0
     for d in DIMS:
+        margin = now.groupBy(d).agg(F.sum("tokens").alias("tokens"))
         if targets and d in targets:
             given = F.map_from_arrays(F.array(*map(F.lit, targets[d])), F.array(*map(F.lit, targets[d].values())))
-            now = now.withColumn("t_" + d, F.coalesce(given[F.col(d)], F.lit(0.0)))
+            margin = margin.withColumn("share", F.coalesce(given[F.col(d)], F.lit(0.0)))
         else:
-            margin = now.groupBy(d).agg(F.pow(F.sum("share"), F.lit(alpha[d])).alias("raw"))
+            margin = margin.withColumn("raw", F.pow(F.col("tokens") / F.lit(total or 1.0), F.lit(alpha[d])))
             whole = margin.agg(F.sum("raw")).first()[0] or 1.0
-            now = now.join(margin.select(d, (F.col("raw") / F.lit(whole)).alias("t_" + d)), d)
-    now = staged(now)
-    for _ in range(sweeps):
+            margin = margin.withColumn("share", F.col("raw") / F.lit(whole)).drop("raw")
+        reach = calibrate(margin, budget).select(d, (F.lit(budget * total) * F.col("share")).alias("w_" + d),
+                                                 F.when(F.col("share") > 0, F.col("tokens") * F.col("probability")).otherwise(0.0).alias("t_" + d))
+        now = now.join(reach, d)
+    return staged(now)
+
+
+def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, alpha: Mapping[str, float] = ALPHA,
+         budget: float = BUDGET, tolerance: float = TOLERANCE, max_sweeps: int = MAX_SWEEPS) -> DataFrame:
+    """``cells`` with their targets (see :func:`with_targets`) and ``expected``
+    tokens: raked to the three margins in turn, at most ``tokens`` a cell.
+
+    It ends when a sweep moves no cell by more than ``tolerance`` times the
+    budget, or after ``max_sweeps``.
+    """
+    now = with_targets(cells, targets, alpha, budget).withColumn("expected", F.lit(budget) * F.col("tokens"))
+    names = now.columns
+    still = tolerance * budget * (now.agg(F.sum("tokens")).first()[0] or 0.0)
+    for _ in range(max_sweeps):
+        now = now.withColumn("old", F.col("expected"))
         for d in DIMS:
-            margin = now.groupBy(d).agg(F.sum("share").alias("m"))
-            now = now.join(margin, d).withColumn(
-                "share", F.when(F.col("m") > 0, F.col("share") * F.col("t_" + d) / F.col("m")).otherwise(0.0)).drop("m")
-        now = staged(now)
-    return now.select(*DIMS, "tokens", "share")
+            margin = now.groupBy(d).agg(F.sum("expected").alias("m"))
+            scaled = F.when(F.col("m") > 0, F.col("expected") * F.col("t_" + d) / F.col("m")).otherwise(0.0)
+            now = now.join(margin, d).withColumn("expected", F.least(F.col("tokens"), scaled)).drop("m")
+        seen = Observation()
+        now = staged(now.observe(seen, F.max(F.abs(F.col("expected") - F.col("old"))).alias("moved")).select(*names))
+        if (seen.get["moved"] or 0.0) <= still:
+            break
+    return now
+
+
+def residuals(raked: DataFrame) -> DataFrame:
+    """(margin, value, wanted, reachable, expected): the tokens a target asks
+    for, those its value can give, and those the sample will have, as shares of
+    all expected tokens; from :func:`rake`'s rows."""
+    total = raked.agg(F.sum("expected")).first()[0] or 1.0
+    share = lambda c: (F.max(c) / F.lit(total))
+    parts = [raked.groupBy(F.lit(d).alias("margin"), F.col(d).alias("value")).agg(
+        share("w_" + d).alias("wanted"), share("t_" + d).alias("reachable"), (F.sum("expected") / F.lit(total)).alias("expected")) for d in DIMS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def calibrate(shares: DataFrame, budget: float = BUDGET, max_rounds: int = 100) -> DataFrame:
@@ -105,58 +149,54 @@ def coin(doc_id: Column, seed: str = SEED) -> Column:
 
 
 def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, alpha: Mapping[str, float] = ALPHA,
-        budget: float = BUDGET, sweeps: int = SWEEPS, topic: Column | None = None, seed: str = SEED,
-        details: bool = False) -> DataFrame:
+        budget: float = BUDGET, topic: Column | None = None, seed: str = SEED, details: bool = False) -> DataFrame:
     """The documents drawn: a document stays if its coin is under its cell's
     probability.  Same columns; ``details`` adds topic, n_tokens, probability.
-
-    Null source, language or topic is a category of its own; null and empty
-    texts have no tokens; rows that repeat an id share one coin, and so do
-    all rows without id.
     """
     own = _profiled(docs, topic)
     small = own.select(F.col(_P + "n").alias("n"), *[F.col(_P + d).alias(d) for d in DIMS])
     cells = staged(small.groupBy(*DIMS).agg(F.sum("n").alias("tokens")))
-    drawn = calibrate(rake(cells, targets, alpha, sweeps), budget).select(
-        *[F.col(d).alias(f"{_P}{d}") for d in DIMS], F.col("probability").alias(_P + "p"))
+    chance = F.when(F.col("tokens") > 0, F.col("expected") / F.col("tokens")).otherwise(1.0)
+    drawn = rake(cells, targets, alpha, budget).select(*[F.col(d).alias(f"{_P}{d}") for d in DIMS], chance.alias(_P + "p"))
     out = own.join(drawn, [_P + d for d in DIMS]).where(coin(docs["doc_id"], seed) < F.col(_P + "p"))
-    extra = [F.col(_P + "topic").alias("topic"), F.col(_P + "n").alias("n_tokens"), F.col(_P + "p").alias("probability")]
-    return out.select(*[docs[c] for c in docs.columns], *(extra if details else []))
+    added = [F.col(_P + c).alias(n) for c, n in zip(("topic", "n", "p"), own_names(docs, "topic", "n_tokens", "probability"))]
+    return out.select(*[docs[c] for c in docs.columns], *(added if details else []))
 
 
-def oracle(budget: float = BUDGET, sweeps: int = SWEEPS, seed: str = SEED, rounds: int = 30) -> str:
-    """DuckDB SQL for ``mix(details=True)`` with default targets: the margins
-    as window sums, sweeps and calibration rounds unrolled."""
+def oracle(budget: float = BUDGET, seed: str = SEED) -> str:
+    """DuckDB SQL for ``mix(details=True)`` with default targets: reachable
+    targets by sorting the values of a margin, sweeps as a recursive query over
+    window sums."""
     t = "coalesce(text, '')"
-    pre = f"""WITH docs AS (
+    sweep = "(SELECT *, x AS old FROM f WHERE change > still AND sweep < %d)" % MAX_SWEEPS
+    for d in DIMS:
+        sweep = f"""(SELECT * EXCLUDE (m) REPLACE (least(tokens, CASE WHEN m > 0 THEN x * t_{d} / m ELSE 0 END) AS x)
+              FROM (SELECT *, sum(x) OVER (PARTITION BY {d}) AS m FROM {sweep}))"""
+    reach = "".join(f""",
+      r_{d} AS MATERIALIZED (
+        SELECT {d}, cap, CASE WHEN k * share > cap OR k IS NULL THEN cap ELSE k * share END AS t_{d}
+        FROM (SELECT {d}, cap, share, arg_min(k, cap / share) FILTER (k * share <= cap) OVER () AS k
+              FROM (SELECT {d}, cap, share, (({budget} * sum(cap) OVER ()) - coalesce(sum(cap) OVER (ORDER BY cap / share, {d} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                           / sum(share) OVER (ORDER BY cap / share, {d} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS k
+                    FROM (SELECT {d}, cap, raw / sum(raw) OVER () AS share FROM (SELECT {d}, sum(tokens) AS cap, pow(sum(tokens) / sum(sum(tokens)) OVER (), {ALPHA[d]}) AS raw
+                          FROM cells GROUP BY {d} HAVING sum(tokens) > 0)))))""" for d in DIMS)
+    return f"""WITH RECURSIVE docs AS (
         SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, {t} AS text,
                len(regexp_extract_all({t}, '[^ \\t\\n\\r\\x0B\\f]+')) AS n_tokens,
                length({t}) - length(replace({t}, '|', '')) AS bars FROM documents),
-      kinds AS (SELECT doc_id, source, lang, n_tokens, CASE
+      kinds AS MATERIALIZED (SELECT doc_id, source, lang, n_tokens, CASE
           WHEN bars > 0 AND bars * 5 >= n_tokens THEN 'table'
           WHEN contains(text, 'icensed under') OR contains(text, 'll rights reserved') THEN 'legal'
           WHEN regexp_matches(text, '[A-Za-z0-9]@[A-Za-z0-9]|[0-9]{{3}}[ .-][0-9]{{3}}') THEN 'contact'
           WHEN n_tokens < 100 THEN 'brief' WHEN n_tokens < 1000 THEN 'article' ELSE 'long' END AS topic FROM docs),
-      cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM kinds GROUP BY ALL),
-      s AS (SELECT *, tokens / sum(tokens) OVER () AS share FROM cells),
-      m AS (SELECT *, {', '.join(f'sum(share) OVER (PARTITION BY {d}) AS m_{d}, count(*) OVER (PARTITION BY {d}) AS c_{d}' for d in DIMS)} FROM s),
-      f0_topic AS MATERIALIZED (SELECT source, lang, topic, tokens, share, {', '.join(f'pow(m_{d}, {ALPHA[d]}) / sum(pow(m_{d}, {ALPHA[d]}) / c_{d}) OVER () AS t_{d}' for d in DIMS)} FROM m)"""
-    last = "f0_topic"
-    for i in range(1, sweeps + 1):
-        for d in DIMS:
-            now = f"f{i}_{d}"
-            pre += f""",
-      {now} AS MATERIALIZED (SELECT * REPLACE (share * t_{d} / sum(share) OVER (PARTITION BY {d}) AS share) FROM {last})"""
-            last = now
-    pre += f""",
-      c0 AS MATERIALIZED (SELECT {budget} * sum(tokens) / sum(share) AS c FROM {last})"""
-    for i in range(1, rounds + 1):
-        pre += f""",
-      c{i} AS MATERIALIZED (SELECT greatest(any_value(c), coalesce(({budget} * sum(tokens) - coalesce(sum(tokens) FILTER (tokens <= c * share), 0))
-             / sum(share) FILTER (tokens > c * share), any_value(c))) AS c FROM {last}, c{i - 1})"""
-    return pre + f"""
-      SELECT doc_id, k.source, k.lang, k.topic, n_tokens,
-             round(CASE WHEN tokens > 0 THEN least(1.0, c * share / tokens) ELSE 1.0 END, 9) AS probability
-      FROM kinds k JOIN {last} w ON k.source = w.source AND k.lang = w.lang AND k.topic = w.topic, c{rounds}
-      WHERE ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 12))::BIGINT / {float(1 << 48)}
-            < CASE WHEN tokens > 0 THEN least(1.0, c * share / tokens) ELSE 1.0 END"""
+      cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM kinds GROUP BY ALL){reach},
+      f AS (
+        SELECT 0 AS sweep, source, lang, topic, tokens, {', '.join(f'coalesce(t_{d}, 0) AS t_{d}' for d in DIMS)}, {budget} * tokens AS x,
+               {TOLERANCE} * {budget} * sum(tokens) OVER () AS still, 1e300 AS change
+        FROM cells {' '.join(f'LEFT JOIN r_{d} USING ({d})' for d in DIMS)}
+        UNION ALL
+        SELECT sweep + 1, source, lang, topic, tokens, {', '.join(f't_{d}' for d in DIMS)}, x, still, max(abs(x - old)) OVER () FROM {sweep}),
+      w AS (SELECT *, CASE WHEN tokens > 0 THEN x / tokens ELSE 1.0 END AS p FROM f WHERE sweep = (SELECT max(sweep) FROM f))
+      SELECT doc_id, k.source, k.lang, k.topic, n_tokens, round(p, 9) AS probability
+      FROM kinds k JOIN w ON k.source = w.source AND k.lang = w.lang AND k.topic = w.topic
+      WHERE ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 12))::BIGINT / {float(1 << 48)} < p"""

@@ -14,10 +14,39 @@ def test_raked_shares_meet_all_three_margins(spark):
     cells = spark.createDataFrame([(s, la, t, 10.0 + 7 * i) for i, (s, la, t) in enumerate((s, la, t) for s in "abc" for la in ("en", "de") for t in "xy")],
                                   "source string, lang string, topic string, tokens double")
     targets = {"source": {"a": 0.2, "b": 0.3, "c": 0.5}, "lang": {"en": 0.6, "de": 0.4}, "topic": {"x": 0.9, "y": 0.1}}
-    got = mixing.rake(cells, targets, sweeps=30).toPandas()
+    raked = mixing.rake(cells, targets, budget=0.1, tolerance=1e-7)
+    got = raked.toPandas()
+    assert abs(got.expected.sum() - 0.1 * got.tokens.sum()) < 1e-6
     for d, t in targets.items():
         for k, v in t.items():
-            assert abs(got[got[d] == k].share.sum() - v) < 1e-6
+            assert abs(got[got[d] == k].expected.sum() / got.expected.sum() - v) < 1e-6
+    for r in mixing.residuals(raked).collect():
+        assert abs(r.wanted - targets[r.margin][r.value]) < 1e-6 and abs(r.expected - r.wanted) < 1e-6 and abs(r.reachable - r.wanted) < 1e-6
+
+
+def test_full_cells_leave_their_share_to_others(spark):
+    """One topic has fewer tokens than asked: it is taken whole, and the other margins still meet their targets."""
+    rows = [(s, la, "x", 1000.0) for s in "ab" for la in ("en", "de")] + [("a", "en", "y", 20.0), ("b", "de", "y", 30.0)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens double")
+    targets = {"source": {"a": 0.7, "b": 0.3}, "lang": {"en": 0.6, "de": 0.4}, "topic": {"x": 0.5, "y": 0.5}}
+    raked = mixing.rake(cells, targets, budget=0.3, tolerance=1e-6)
+    got, whole = raked.toPandas(), 0.3 * 4050
+    assert (got.expected <= got.tokens + 1e-9).all() and abs(got.expected.sum() - whole) < 0.1
+    assert abs(got[got.topic == "y"].expected.sum() - 50) < 0.1
+    for d in ("source", "lang"):
+        for k, v in targets[d].items():
+            assert abs(got[got[d] == k].expected.sum() - v * whole) < 0.1
+    missed = {(r.margin, r.value): r for r in mixing.residuals(raked).collect()}
+    y = missed["topic", "y"]
+    assert abs(y.wanted - 0.5) < 1e-4 and abs(y.reachable - 50 / whole) < 1e-4 and abs(y.expected - y.reachable) < 1e-4
+
+
+def test_targets_that_cannot_all_be_met_are_reported(spark):
+    rows = [("a", "en", "x", 100.0), ("b", "de", "x", 100.0)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens double")
+    raked = mixing.rake(cells, {"source": {"a": 0.9, "b": 0.1}, "lang": {"en": 0.1, "de": 0.9}}, budget=0.4, max_sweeps=8)
+    assert (raked.toPandas().expected <= 100).all()
+    assert max(abs(r.expected - r.reachable) for r in mixing.residuals(raked).collect()) > 0.1
 
 
 def test_expected_tokens_are_the_budget(spark):
@@ -61,4 +90,5 @@ def test_nulls_empty_texts_repeats_and_empty_tables(spark):
 
 def test_own_topic_column(spark):
     got = mixing.mix(docs(spark, _rows(50)), topic=F.col("lang"), details=True)
-    assert {c for c in got.columns if c == "n_tokens"} and got.count() > 0
+    assert got.columns[-3:] == ["_topic", "n_tokens", "probability"] and got.count() > 0  # the table has a topic of its own
+    assert {r["_topic"] for r in got.collect()} == {"en", "de"} and {r.topic for r in got.collect()} == {"c"}
