@@ -187,11 +187,12 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = TABLES, rec
     probes = min(2 * hashes.size, int(np.quantile(ranks, recall, method="higher")) + 1) if len(ranks) else 1
 
     def ranked(asked: DataFrame, p: int) -> DataFrame:
-        found = _search(distinct, asked, k, hashes, p, dim, floor).groupBy("query_id").agg(F.flatten(F.collect_list("found")).alias("found"))
-        # a pair turns up in each table at most once
-        near = F.slice(F.array_distinct(F.slice(F.sort_array("found"), 1, k * tables)), 1, k)
-        return staged(found.select("query_id", F.posexplode(near).alias("at", "x")).select(
-            "query_id", (F.col("at") + 1).alias("rank"), "x.vec_id", (-F.col("x.away")).alias("score")))
+        found = _search(distinct, asked, k, hashes, p, dim, floor).select("query_id", F.explode("found").alias("x")).select(
+            "query_id", "x.vec_id", (-F.col("x.away")).alias("score"))
+        # a pair turns up in each table at most once; of the rest each task sends k a query
+        best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return staged(found.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(best)).where(
+            F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
 
     first = ranked(queries, probes)
     short = queries.join(first.where(F.col("rank") == min(k, max(1, (n or 0) - 1))).select("query_id"), "query_id", "left_anti")

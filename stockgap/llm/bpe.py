@@ -58,7 +58,11 @@ def load(path: str) -> dict:
     special = {a.content: i for i, a in t.get_added_tokens_decoder().items()}
     byte = _byte_of_char()
     ranks = {bytes(map(byte.__getitem__, k)): i for k, i in t.get_vocab(with_added_tokens=False).items() if k not in special}
-    model = json.loads(text)["model"]
+    spec = json.loads(text)
+    cut = spec.get("pre_tokenizer") or {}
+    if spec.get("normalizer") or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
+        raise ValueError(f"{path}: not a plain byte-level vocabulary (no normalizer, ByteLevel without prefix space)")
+    model = spec["model"]
     merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
     if merged != sorted(merged):
         raise ValueError(f"{path}: the merges are not in the order of the ids")

@@ -32,9 +32,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return _LOCAL[0]
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark)}/stockgap-llm/{spark.sparkContext.applicationId}"
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """The path of a new folder in the shared one."""
-    return f"{checkpoint_dir(spark)}/stockgap-llm/{uuid.uuid4().hex}"
+    """The path of a new folder in the shared one, under this application's."""
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Remove every table this application has staged.  Call it when the
+    results that were read from them have been written: a DataFrame that still
+    depends on one fails afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 import public_tokenizers
@@ -13,7 +12,7 @@ from . import ann, bpe, html, licenses, line_dedup, mixing, neighbours, phrases,
 from .common import scratch_folder, staged, table
 
 #: the public vocabulary file of the BPE query; a parameter of the operator
-VOCABULARY = os.environ.get("STOCKGAP_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

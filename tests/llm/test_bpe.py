@@ -71,3 +71,9 @@ def test_decoding_broken_characters_as_the_library_does(codec, library):
     for _ in range(200):
         ids = [rng.randrange(len(codec.width)) for _ in range(rng.randrange(1, 12))]
         assert codec.decode([__import__("numpy").array(ids)])[0] == library.decode(ids, skip_special_tokens=False)
+
+
+def test_other_kinds_of_vocabularies_are_an_error():
+    import public_tokenizers
+    with pytest.raises(ValueError, match="byte-level"):
+        bpe.load(public_tokenizers.path("word_bpe_49k.json"))

@@ -16,3 +16,16 @@ def test_chains_stars_and_random_graphs(spark):
 
 def test_no_edges(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_staged_tables_are_removed_on_cleanup(spark):
+    import glob
+
+    from stockgap.llm.common import checkpoint_dir, cleanup, staged
+    df = staged(spark.range(3))
+    assert df.count() == 3
+    own = f"{checkpoint_dir(spark).removeprefix('file:')}/stockgap-llm/{spark.sparkContext.applicationId}"
+    assert glob.glob(f"{own}/*")
+    cleanup(spark)
+    assert not glob.glob(own)
+    assert staged(spark.range(2)).count() == 2
