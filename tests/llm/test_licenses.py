@@ -73,3 +73,13 @@ def test_winnowing_shares_a_print_with_every_three_words():
         for i in range(len(ids) - 2):
             doc = np.concatenate([[-1, -1], ids[i: i + 3], [-1]])
             assert any(h[0] == t for h in INDEX.hits(doc)), INDEX.names[t]
+
+
+def test_every_template_is_found_as_itself():
+    """Whole texts of like licenses (two and three clauses, the GNU notices) are told apart, also between other words."""
+    from stockgap.llm.licenses import TEMPLATES, Index, matches
+    index = Index(TEMPLATES)
+    for name, text in TEMPLATES.items():
+        found = matches(f"Some words before it. {text} And a few after.", index)
+        assert name in [m[0] for m in found] and all(m[1] >= 0.8 for m in found), name
+        assert max(found, key=lambda m: (m[2], m[1]))[0] == name
