@@ -45,7 +45,7 @@ MIN_COUNT = 10
 MAX_WORDS = 3
 #: one document in so many is sampled
 SAMPLE = 16
-#: bits of the filter of proposed phrases, and probes a phrase
+#: bits of the filter of proposed phrases (a power of two), and probes a phrase
 FILTER_BITS = 1 << 25
 PROBES = 3
 #: bytes of text that a task counts together
@@ -109,19 +109,25 @@ def chained(head: np.ndarray, last: np.ndarray) -> np.ndarray:
     return _mixed(head * np.uint64(0x9E3779B97F4A7C15) + last)
 
 
+def _place(hashes: np.ndarray, probe: int, bits: int) -> np.ndarray:
+    """The bit of each hash in a filter of ``bits`` (a power of two)."""
+    return _mixed(hashes + np.uint64(0xA5A5A5A5A5A5A5A5 * probe & _MASK)) & np.uint64(bits - 1)
+
+
 def filter_places(hashes: np.ndarray, bits: int) -> np.ndarray:
     """The bits of each hash, one row per probe."""
-    a, b = _mixed(hashes), _mixed(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)) | np.uint64(1)
-    return np.stack([((a + np.uint64(i) * b) & np.uint64(_MASK)) % np.uint64(bits) for i in range(PROBES)])
+    return np.stack([_place(hashes, i, bits) for i in range(PROBES)])
 
 
-def holds(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Which hashes the filter holds (an empty filter holds none)."""
-    if not len(bitmap):
-        return np.zeros(len(hashes), bool)
-    places = filter_places(hashes, len(bitmap) * 8)
-    got = (bitmap[(places >> np.uint64(3)).astype(np.int64)] >> (places & np.uint64(7)).astype(np.uint8)) & 1
-    return got.all(axis=0)
+def holds(bitmap: np.ndarray, hashes: np.ndarray, among: np.ndarray | None = None) -> np.ndarray:
+    """Which hashes the filter holds; only those ``among`` are looked up."""
+    left = np.arange(len(hashes)) if among is None else np.flatnonzero(among)
+    for i in range(PROBES):
+        at = _place(hashes[left], i, len(bitmap) * 8)
+        left = left[((bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)]
+    out = np.zeros(len(hashes), bool)
+    out[left] = True
+    return out
 
 
 def _joined(parts: list[pa.Array]) -> pa.Array:
@@ -144,35 +150,40 @@ def count_chunk(texts: pa.Array, lang: str, old: np.ndarray | None, new: np.ndar
     if not len(words):
         return
     coded = words.dictionary_encode()
-    vocabulary, code = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+    del words
+    vocabulary, code = coded.dictionary, coded.indices.to_numpy()
     single = word_hashes(vocabulary.to_pylist(), lang)
-    hashes, held = single, holds(new, single)
-    held_old = np.zeros(len(single), bool) if old is None else holds(old, single)
+    held = holds(new, single)
+    held_old = np.zeros(len(single), bool) if old is None else holds(old, single, held)  # the new filter holds all of the old one
     if old is None:
         yield batch(0, pa.array([b""], pa.large_binary()), np.array([len(code)]), np.array([True]))
         yield batch(1, vocabulary, np.bincount(code, minlength=len(vocabulary)), held)
-    # occurrences: the place of the phrase's last word, and the phrase's code
-    last, phrase, ids = np.arange(len(code)), code, np.arange(len(vocabulary))[:, None]
+    # by occurrence: the place of the phrase's last word, its hash, and whether the filters hold it
+    last, hashes, held, held_old = None, single[code], held[code], held_old[code]
     for k in range(2, max_words + 1):
         # two overlapping phrases of k - 1 words, one place apart, make one of k
-        step = np.flatnonzero((np.diff(last) == 1) & follows[last[:-1]] & held[phrase[:-1]] & held[phrase[1:]])
-        if not len(step):
+        at = np.flatnonzero(held[:-1] & held[1:] & (follows[:-1] if last is None else (np.diff(last) == 1) & follows[last[:-1]]))
+        if not len(at):
             return
-        head, tail = phrase[step], phrase[step + 1]
-        last = last[step + 1]
-        codes, keys = pd.factorize(head * len(vocabulary) + code[last])
+        open_old = held_old[at] & held_old[at + 1]
+        last = (at if last is None else last[at]) + 1
+        hashes = chained(hashes[at], single[code[last]])
+        held = holds(new, hashes)
+        held_old = np.zeros(len(at), bool) if old is None else holds(old, hashes, held & open_old)
+        own = np.flatnonzero(~open_old)  # counted in this pass
+        if not len(own):
+            continue
+        ids = np.stack([code[last[own] - j] for j in range(k - 1, -1, -1)])
+        codes = ids[0].astype(np.int64)
+        for j in range(1, k):
+            codes, keys = pd.factorize(codes * len(vocabulary) + ids[j])
         n = np.bincount(codes, minlength=len(keys))
         some = np.empty(len(keys), np.int64)
         some[codes] = np.arange(len(codes))  # an occurrence of each
-        open_old = held_old[head[some]] & held_old[tail[some]]
-        hashes = chained(hashes[head[some]], single[code[last[some]]])
-        ids = np.concatenate([ids[head[some]], code[last[some]][:, None]], axis=1)
-        held, held_old = holds(new, hashes), open_old & (holds(old, hashes) if old is not None else False)
-        phrase = codes
-        out = np.flatnonzero(~open_old)
-        for i in range(0, len(out), 1 << 18):
-            own = out[i: i + (1 << 18)]
-            yield batch(k, _joined([vocabulary.take(pa.array(c)) for c in ids[own].T]), n[own], held[own])
+        ids, known = ids[:, some], held[own[some]]
+        del codes, keys, some
+        for i in range(0, len(n), 1 << 17):
+            yield batch(k, _joined([vocabulary.take(pa.array(c[i: i + (1 << 17)])) for c in ids]), n[i: i + (1 << 17)], known[i: i + (1 << 17)])
 
 
 def _tasks(old: "pa.Buffer | None", new, max_words: int, chunk: int):
@@ -253,6 +264,8 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     lowered = max(2, min_count // (2 * sample))
     everything = np.full(bits // 8, 255, np.uint8)
     proposed = staged(counted(_texts(drawn), None, everything, lowered, max_words - 1, chunk).where("k > 0").select("lang", "phrase"))
+    if bits < 64 or bits & (bits - 1):
+        raise ValueError("bits must be a power of two, 64 at least")
     texts, old, new, found = _texts(docs), None, filter_of(proposed, bits), None
     for _ in range(max_words):
         part = staged(counted(texts, old, new, min_count, max_words, chunk))
