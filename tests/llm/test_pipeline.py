@@ -78,7 +78,7 @@ def test_tokens(run):
 def test_run_is_the_stages(spark, run):
     digest = lambda t: sorted((i, hashlib.sha256(x.encode()).hexdigest()) for i, x in zip(t.doc_id, t.text))
     assert digest(corpus_pipeline.run(spark, SF).toPandas()) == digest(run[-1])
-    assert quality.FOLDS > 1 and mixing.SWEEPS > 0
+    assert quality.FOLDS > 1 and mixing.MAX_SWEEPS > 0
 
 
 def test_stages_take_empty_tables_extra_columns_and_nulls(spark):
