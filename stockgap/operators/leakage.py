@@ -182,7 +182,7 @@ def promotion_leakage(wh: Warehouse, p: LeakageParams = LeakageParams(),
 def leak_counts(wh: Warehouse, p: LeakageParams = LeakageParams(),
                 calendar: DataFrame | None = None) -> DataFrame:
     """Distinct leaked SKUs per distributor (only distributors with one)."""
-    st = promo_stats(wh, p, calendar, moved_only=p.min_baseline > 0).filter((F.col("_window_days") > 0) & is_leak(p))
+    st = promo_stats(wh, p, calendar).filter((F.col("_window_days") > 0) & is_leak(p))
     return st.groupBy("distributor_id").agg(F.count_distinct("sku_id").alias("leaked_skus"))
 
 
@@ -193,7 +193,7 @@ def leaked_pairs(wh: Warehouse, p: LeakageParams = LeakageParams()) -> DataFrame
 
 
 def _leaked(wh: Warehouse, p: LeakageParams) -> DataFrame:
-    st = promo_stats(wh, p, moved_only=p.min_baseline > 0)
+    st = promo_stats(wh, p)
     cond = (mean_le_k_mean(F.col("promo_units"), F.col("promo_days"),
                            F.col("before_units"), F.col("before_days"), p.max_promo_share)
             & mean_ge(F.col("before_units"), F.col("before_days"), p.min_baseline))
