@@ -48,26 +48,26 @@ def bulk_stores(wh: Warehouse, p: RouteParams = RouteParams()) -> DataFrame:
 def store_bitmaps(wh: Warehouse, p: RouteParams = RouteParams()) -> DataFrame:
     """A11/A5, mergeable: (distributor_id, month, bucket, stores): the stores
     that received a bulk drop in a month (yyyymm), as exact bitmaps of their
-    numbers, 32,768 a bucket.  A table of this form answers for any range of
-    months without the deliveries (:func:`bulk_stores_of`), and a new month is
-    a new partition of it.  Store keys must be whole numbers."""
+    numbers, 64 a bucket in one bigint, so a row costs the same whether its
+    distributor reaches few stores or many.  A table of this form answers for
+    any range of months without the deliveries (:func:`bulk_stores_of`), and a
+    new month is a new partition of it.  Store keys must be whole numbers."""
     if not isinstance(wh.drops.schema["kirana_id"].dataType, T.IntegralType):
         raise TypeError("bitmaps need store keys of an integral type")
     b = wh.drops.filter(F.col("qty_units") >= p.bulk_units).select(
         "distributor_id", (F.year("full_date") * 100 + F.month("full_date")).alias("month"),
         F.col("kirana_id").cast("bigint").alias("_store"))
-    return b.groupBy("distributor_id", "month", F.bitmap_bucket_number("_store").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("_store")).alias("stores"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("_store", F.lit(64)).cast("int"))
+    return b.groupBy("distributor_id", "month", F.shiftright("_store", 6).alias("bucket")).agg(F.bit_or(bit).alias("stores"))
 
 
 def bulk_stores_of(bitmaps: DataFrame, first_month: int, last_month: int) -> DataFrame:
     """Distinct stores with a bulk drop per distributor over the months from
     ``first_month`` to ``last_month``, from :func:`store_bitmaps` rows."""
     of = bitmaps.filter(F.col("month").between(first_month, last_month))
-    merged = of.filter(F.col("bucket").isNotNull()).groupBy("distributor_id", "bucket").agg(F.bitmap_or_agg("stores").alias("stores"))
-    known = of.select("distributor_id").distinct()  # drops whose store is unknown count for none
-    return known.join(merged, "distributor_id", "left").groupBy("distributor_id").agg(
-        F.coalesce(F.sum(F.bitmap_count("stores")), F.lit(0)).cast("bigint").alias("kiranas_hit_by_dumps"))
+    merged = of.groupBy("distributor_id", "bucket").agg(F.bit_or("stores").alias("stores"))
+    return merged.groupBy("distributor_id").agg(  # drops whose store is unknown count for none
+        F.coalesce(F.sum(F.bit_count("stores")), F.lit(0)).cast("bigint").alias("kiranas_hit_by_dumps"))
 
 
 def _with_stats(m: DataFrame) -> DataFrame:
