@@ -18,7 +18,8 @@ queries are dealt into blocks of bounded size, and each block pair is one
 group, so no group grows with the data.  A block reports one row per query:
 its k best that reach the query's k-th best among ``FLOOR_ROWS`` sampled
 rows, a lower bound on what a true neighbour scores.  So a query has at most
-``tables * probes`` such rows a block, whatever the table's size.
+``tables * probes`` such rows a block, whatever the table's size.  A query's
+lists are merged to its k best before any of their pairs becomes a row.
 """
 
 from __future__ import annotations
@@ -178,7 +179,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = TABLES, rec
     distinct = staged(rows.select("*", F.row_number().over(same).alias("copy")).where(F.col("copy") <= k + 1).drop("copy"))
     queries = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "v").distinct()
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    low, top, n = distinct.select(norm.alias("x")).agg(F.min("x"), F.max("x"), F.count(F.lit(1))).first()
+    low, top, n, ids = distinct.select("vec_id", norm.alias("x")).agg(F.min("x"), F.max("x"), F.count(F.lit(1)), F.count_distinct("vec_id")).first()
     hashes = Hashes(dim, tables, None if not n or top <= low * (1 + 1e-4) else top)
     lot = F.xxhash64(F.lit("sample"), "vec_id")
     sample = queries.select(F.col("query_id").alias("vec_id"), "v").orderBy(lot, "vec_id").limit(SAMPLE).toPandas()
@@ -187,12 +188,14 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = TABLES, rec
     probes = min(2 * hashes.size, int(np.quantile(ranks, recall, method="higher")) + 1) if len(ranks) else 1
 
     def ranked(asked: DataFrame, p: int) -> DataFrame:
-        found = _search(distinct, asked, k, hashes, p, dim, floor).select("query_id", F.explode("found").alias("x")).select(
-            "query_id", "x.vec_id", (-F.col("x.away")).alias("score"))
-        # a pair turns up in each table at most once; of the rest each task sends k a query
-        best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        return staged(found.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(best)).where(
-            F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
+        # the lists of a query's blocks become one; a pair turns up in each table at most once
+        best = F.array_sort(F.array_distinct(F.flatten(F.collect_list("found"))))
+        merged = _search(distinct, asked, k, hashes, p, dim, floor).groupBy("query_id").agg(best.alias("best"))
+        if ids < n:  # an id with several vectors stands for its nearest one
+            merged = merged.withColumn("best", F.filter("best", lambda x, i: F.array_position(
+                F.transform("best", lambda y: y["vec_id"]), x["vec_id"]) == i + 1))
+        return staged(merged.select("query_id", F.posexplode(F.slice("best", 1, k)).alias("pos", "x")).select(
+            "query_id", (F.col("pos") + 1).alias("rank"), "x.vec_id", (-F.col("x.away")).alias("score")))
 
     first = ranked(queries, probes)
     short = queries.join(first.where(F.col("rank") == min(k, max(1, (n or 0) - 1))).select("query_id"), "query_id", "left_anti")

@@ -79,3 +79,13 @@ def test_rotations_keep_lengths_and_buckets_are_nearest_axes():
     for t, z in enumerate(h.scores(x, False)):
         np.testing.assert_allclose((z[:, : h.size] ** 2).sum(1), 1)
         assert (h.buckets(x)[:, t] == z.argmax(1)).all()
+
+
+def test_an_id_with_several_vectors_is_found_once(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(60) for _ in range(2)]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=20).collect()
+    assert sorted(r["rank"] for r in got) == list(range(1, 21)) and len({r.vec_id for r in got}) == 20
+    q = [np.array(v) for i, v in rows if i == 0]
+    best = {i: max(float((np.array(v) * x).sum()) for j, v in rows if j == i for x in q) for i in range(1, 60)}
+    assert all(abs(r.score - best[r.vec_id]) < 1e-12 for r in got)
