@@ -186,13 +186,40 @@ def negative_stock(wh: Warehouse, ledger: DataFrame | None = None) -> DataFrame:
     return ledger.filter(F.col("closing_units") < 0)
 
 
-def spread_by_month(led: DataFrame, files_per_month: int = 8) -> DataFrame:
-    """Dense ledger rows with ``month`` (yyyymm), dealt for a table with a folder
-    a month: at most ``files_per_month`` files each."""
-    n = int(led.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def month_pieces(runs: DataFrame) -> DataFrame:
+    """:func:`ledger_runs` cut at month ends: a row per run and month it touches,
+    with ``month`` (yyyymm), the key of its first day and its number of days."""
+    number = lambda d: F.year(d) * 12 + F.month(d) - 1
+    cut = runs.where(F.col("from_date") <= F.col("to_date")).select("*", F.explode(F.sequence(number("from_date"), number("to_date"))).alias("_m"))
+    start = F.make_date(F.floor(F.col("_m") / 12).cast("int"), F.pmod("_m", F.lit(12)) + 1, F.lit(1))
+    cut = cut.withColumn("_start", F.greatest("from_date", start))
+    moves = F.col("_start") == F.col("from_date")
+    values = [F.when(moves, F.col(v)).otherwise(F.lit(0)).cast("bigint").alias(v) for v in ("primary_units", "secondary_units")]
+    return cut.select(
+        *PAIR, F.when(moves, F.col("opening_units")).otherwise(F.col("closing_units")).alias("opening_units"), *values, "closing_units",
+        (F.floor(F.col("_m") / 12) * 100 + F.pmod("_m", F.lit(12)) + 1).cast("int").alias("month"), date_key(F.col("_start")).alias("_key"),
+        (F.datediff(F.least(F.col("to_date"), F.last_day("_start")), "_start") + 1).alias("_days"))
+
+
+def spread_by_month(runs: DataFrame, files_per_month: int = 8) -> DataFrame:
+    """The dense ledger of ``runs`` (:func:`ledger_runs`) with ``month`` (yyyymm),
+    dealt for a table with a folder a month: at most ``files_per_month`` files each.
+
+    Runs are dealt and sorted, not days: the days are made afterwards, by a
+    join with the 496 numbers (days, day) of months of up to 31 days.  A
+    broadcast join keeps the order, so the write needs no sort of its own."""
+    spark = runs.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bucket = F.pmod(F.xxhash64(*PAIR), F.lit(files_per_month)).cast("int")
-    return (led.withColumn("month", (F.col("date_id") / 100).cast("int")).withColumn("_bucket", bucket)
-            .repartition(n, "month", "_bucket").sortWithinPartitions("month", "_bucket", *PAIR).drop("_bucket"))
+    dealt = month_pieces(runs).withColumn("_bucket", bucket).repartition(n, "month", "_bucket").sortWithinPartitions(
+        "month", "_bucket", *PAIR, "_key")
+    days = spark.range(1, 32).select(F.col("id").cast("int").alias("_days")).select(
+        "_days", F.explode(F.sequence(F.lit(0), F.col("_days") - 1)).alias("_day"))
+    first = F.col("_day") == 0
+    on_first = [F.when(first, F.col(v)).otherwise(F.lit(0)).cast("bigint").alias(v) for v in ("primary_units", "secondary_units")]
+    return dealt.join(F.broadcast(days), "_days").select(
+        (F.col("_key") + F.col("_day")).alias("date_id"), *PAIR,
+        F.when(first, F.col("opening_units")).otherwise(F.col("closing_units")).alias("opening_units"), *on_first, "closing_units", "month")
 
 
 def materialize_ledger(wh: Warehouse, path: str, layout: str = "runs", scope: str = "full",
@@ -206,14 +233,14 @@ def materialize_ledger(wh: Warehouse, path: str, layout: str = "runs", scope: st
                         in (keys clustered, days in order): no extra shuffle,
                         row groups prune well on distributor and SKU.
     layout="month"      dense rows in one folder per month (``month`` =
-                        yyyymm), dealt by (month, pair bucket) before the
-                        write: at most ``files_per_month`` files a month.
+                        yyyymm): the runs are dealt by (month, pair bucket)
+                        and become days as they are written: at most
+                        ``files_per_month`` files a month.
     """
     if layout == "runs":
         write_table(ledger_runs(wh, scope), path)
         return
-    led = stock_ledger(wh, scope)
     if layout == "month":
-        write_table(spread_by_month(led, files_per_month), path, ("month",))
+        write_table(spread_by_month(ledger_runs(wh, scope), files_per_month), path, ("month",))
     else:
-        write_table(led, path)
+        write_table(stock_ledger(wh, scope), path)

@@ -20,11 +20,10 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import date_key
 from ..sources.snapshots import SnapshotTable
 from ..sources.warehouse import Warehouse
 from .calendar import in_calendar
-from .densify import densify
+from .densify import day_runs
 from .ledger import LEDGER_KEY, PAIR, daily_movements, pair_keys, spread_by_month
 
 VALUES = ["primary_units", "secondary_units"]
@@ -76,16 +75,15 @@ def ledger_note(wh: Warehouse) -> dict:
 
 
 def ledger_from(wh: Warehouse, cut: dt.date, last_day: dt.date, balances: DataFrame) -> DataFrame:
-    """Dense ledger rows from ``cut`` to ``last_day``; ``balances``
+    """The ledger from ``cut`` to ``last_day`` in run-length form; ``balances``
     (distributor_id, sku_id, closing_units) are those of the day before, and
     pairs without one start at 0."""
     anchors = pair_keys(wh).join(balances, list(PAIR), "left").select(
         *PAIR, F.coalesce("closing_units", F.lit(0)).alias("primary_units"))
     daily = daily_movements(wh).where(F.col("full_date") >= F.lit(cut))
     net = F.col("primary_units") - F.col("secondary_units")
-    dense = densify(daily, PAIR, VALUES, F.lit(cut), F.lit(last_day), anchors=anchors, opening=("opening_units", net))
-    return dense.select(date_key(F.col("full_date")).alias("date_id"), *PAIR, "opening_units", *VALUES,
-                        (F.col("opening_units") + net).alias("closing_units"))
+    runs = day_runs(daily, PAIR, VALUES, F.lit(cut), F.lit(last_day), anchors=anchors, opening=("opening_units", net))
+    return runs.withColumn("closing_units", F.col("opening_units") + net)
 
 
 def refresh_ledger(wh: Warehouse, table: SnapshotTable, since: dt.date | None = None, files_per_month: int = 8) -> int | None:
