@@ -30,7 +30,7 @@ EVENT, ANCHOR, HISTORY = 0, 1, 2
 
 
 def day_runs(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
-             lo: Column, hi: Column, anchors: DataFrame | None = None,
+             lo: Column | None, hi: Column | None, anchors: DataFrame | None = None,
              opening: tuple[str, Column] | None = None,
              carry: Sequence[str] = (), history_from: Column | None = None,
              partitions: int | None = None, in_range: bool = False) -> DataFrame:
@@ -45,6 +45,8 @@ def day_runs(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
     """
     keys, values, carry = list(keys), list(values), list(carry)
     d = F.col("full_date")
+    own = lo is None  # the range is that of ``sparse``
+    in_range = in_range or own
     start = lo if history_from is None else history_from
     kind = F.lit(EVENT) if in_range else F.when(d >= lo, F.lit(EVENT)).otherwise(F.lit(HISTORY))
     rows = sparse.select(*keys, *carry, "full_date", *values)
@@ -52,19 +54,25 @@ def day_runs(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
         rows = rows.filter((d >= start) & (d <= hi))
     rows = rows.select("*", kind.alias("_kind"))
     if anchors is not None:
+        # without a day an anchor sorts first as well, and the exchange needs no bounds
+        day_before = F.lit(None).cast("date") if own else F.date_sub(lo, 1)
         rows = rows.unionByName(anchors.select(
-            *keys, *carry, F.date_sub(lo, 1).alias("full_date"),
+            *keys, *carry, day_before.alias("full_date"),
             *[(F.col(v) if v in anchors.columns else F.lit(0)).cast("bigint").alias(v) for v in values],
             F.lit(ANCHOR).alias("_kind")))
 
     if partitions is None:
         partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(partitions, *keys)
+    if own:
+        lo, hi = _own_range(rows)
     w = Window.partitionBy(*keys).orderBy("full_date", "_kind")
     extra = [F.lead("full_date").over(w).alias("_next")]
     if anchors is not None:
         extra.append(F.max((F.col("_kind") == ANCHOR).cast("int")).over(
             w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_known"))
+        if own:  # what comes before an anchor emits nothing, nor does an anchor that comes twice
+            extra.append(F.coalesce(F.lead("_kind").over(w) != ANCHOR, F.lit(True)).alias("_emits"))
     if opening is not None:
         name, net = opening
         extra.append(F.coalesce(F.sum(net).over(
@@ -72,7 +80,7 @@ def day_runs(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
     # the bounds once, after the exchange: they may be subqueries
     rows = rows.select("*", *extra).select("*", lo.alias("_first"), hi.alias("_last"))
     if anchors is not None:
-        rows = rows.filter(F.col("_known") == 1)
+        rows = rows.filter((F.col("_known") == 1) & (F.col("_emits") if own else F.lit(True)))
 
     first = F.greatest(d, F.col("_first"))
     last = F.least(F.coalesce(F.date_sub(F.col("_next"), 1), F.col("_last")), F.col("_last"))
@@ -88,6 +96,20 @@ def day_runs(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
     return rows.filter(first <= last).select(*out)
 
 
+def _own_range(rows: DataFrame) -> tuple[Column, Column]:
+    """First and last day of the events in ``rows`` (scalar subqueries); no
+    first day if an event has none.
+
+    ``rows`` are those of the exchange: the bounds name all their columns, so
+    Spark reads the exchange again instead of rolling up the facts once more."""
+    d = F.col("full_date")
+    undated = F.count_if(d.isNull() & (F.col("_kind") == EVENT))
+    pick = rows.agg(F.when(undated == 0, F.min(d)).alias("lo"), F.max(d).alias("hi"),
+                    F.expr(f"count({', '.join(f'`{c}`' for c in rows.columns)})").alias("n")).select(
+        F.struct("lo", "hi", "n").alias("_range")).scalar()
+    return pick["lo"], pick["hi"]
+
+
 def expand_runs(runs: DataFrame, keys: Sequence[str], values: Sequence[str],
                 opening: tuple[str, Column] | None = None,
                 carry: Sequence[str] = ()) -> DataFrame:
@@ -110,14 +132,16 @@ def expand_runs(runs: DataFrame, keys: Sequence[str], values: Sequence[str],
 
 
 def densify(sparse: DataFrame, keys: Sequence[str], values: Sequence[str],
-            lo: Column, hi: Column, anchors: DataFrame | None = None,
+            lo: Column | None, hi: Column | None, anchors: DataFrame | None = None,
             opening: tuple[str, Column] | None = None,
             carry: Sequence[str] = (), history_from: Column | None = None,
             partitions: int | None = None, in_range: bool = False) -> DataFrame:
     """Expand ``sparse`` (keys, full_date, values; one row per key-day) to
     every day in ``[lo, hi]``.
 
-    lo, hi        range bounds; scalar columns, or expressions over ``carry``
+    lo, hi        range bounds; scalar columns, or expressions over ``carry``;
+                  both ``None``: from the first to the last day of ``sparse``
+                  (without history)
     anchors       keys (+ carry) to emit in full; ``None`` emits only keys
                   present in ``sparse`` (from their first day in range on).
                   Value columns it has are movements of the day before the

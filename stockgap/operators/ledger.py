@@ -71,6 +71,11 @@ def spine(wh: Warehouse) -> DataFrame:
     return days.select(date_key(F.col("full_date")).alias("date_id"), *PAIR)
 
 
+def _range(wh: Warehouse, daily: DataFrame) -> tuple[Column | None, Column | None]:
+    """The calendar's bounds; none where they are those of ``daily`` itself."""
+    return (None, None) if wh.calendar_spans_facts else calendar_bounds(wh, daily)
+
+
 def _net() -> Column:
     return F.col("primary_units") - F.col("secondary_units")
 
@@ -82,7 +87,7 @@ def stock_ledger_by_date(wh: Warehouse, scope: str = "full") -> DataFrame:
     scope="active" only pairs with at least one movement in the calendar
     """
     daily = daily_movements(wh)
-    lo, hi = calendar_bounds(wh, daily)
+    lo, hi = _range(wh, daily)
     anchors = pair_keys(wh) if scope == "full" else None
     dense = densify(daily, PAIR, ["primary_units", "secondary_units"], lo, hi, anchors=anchors,
                     opening=("opening_units", _net()), in_range=wh.calendar_spans_facts)
@@ -105,7 +110,7 @@ def ledger_runs(wh: Warehouse, scope: str = "full") -> DataFrame:
     :func:`ledger_from_runs` gives the dense rows back.
     """
     daily = daily_movements(wh)
-    lo, hi = calendar_bounds(wh, daily)
+    lo, hi = _range(wh, daily)
     anchors = pair_keys(wh) if scope == "full" else None
     runs = day_runs(daily, PAIR, ["primary_units", "secondary_units"], lo, hi, anchors=anchors,
                     opening=("opening_units", _net()), in_range=wh.calendar_spans_facts)
@@ -115,9 +120,21 @@ def ledger_runs(wh: Warehouse, scope: str = "full") -> DataFrame:
                        "secondary_units", (F.col("opening_units") + _net()).alias("closing_units"))
 
 
+def deal_runs(runs: DataFrame) -> DataFrame:
+    """Stored :func:`ledger_runs` dealt by pair over the shuffle partitions.
+
+    A scan packs files by their bytes into about as many tasks as there are
+    cores, often one more, so one core makes its days when the others are done.
+    A pair has the same number of days whatever its runs, so tasks of as many
+    pairs make as many days; only runs move."""
+    n = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return runs.repartition(n, *PAIR)
+
+
 def ledger_from_runs(runs: DataFrame) -> DataFrame:
-    """The dense ledger (reference columns) from :func:`ledger_runs` rows,
-    e.g. read back from storage; a local explode, no shuffle."""
+    """The dense ledger (reference columns) from :func:`ledger_runs` rows;
+    a local explode, no shuffle.  Rows read back from storage are dealt
+    first (:func:`deal_runs`)."""
     dense = expand_runs(runs, PAIR, ["primary_units", "secondary_units"],
                         opening=("opening_units", _net()))
     return dense.select(date_key(F.col("full_date")).alias("date_id"), *PAIR,
@@ -135,7 +152,7 @@ def stock_ledger(wh: Warehouse, scope: str = "full") -> DataFrame:
 def ledger_movements(wh: Warehouse) -> DataFrame:
     """Dense daily movements (spine left-joined to both roll-ups)."""
     daily = daily_movements(wh)
-    lo, hi = calendar_bounds(wh, daily)
+    lo, hi = _range(wh, daily)
     dense = densify(daily, PAIR, ["primary_units", "secondary_units"], lo, hi,
                     anchors=pair_keys(wh), in_range=wh.calendar_spans_facts)
     return dense.select(date_key(F.col("full_date")).alias("date_id"), *PAIR,
@@ -228,7 +245,8 @@ def materialize_ledger(wh: Warehouse, path: str, layout: str = "runs", scope: st
 
     layout="runs"       the run-length form (:func:`ledger_runs`): one row per
                         pair and movement day; read back with
-                        :func:`ledger_from_runs`.  The form to store at scale.
+                        :func:`deal_runs` and :func:`ledger_from_runs`.  The
+                        form to store at scale.
     layout="generated"  dense rows stay in the partitions they were generated
                         in (keys clustered, days in order): no extra shuffle,
                         row groups prune well on distributor and SKU.

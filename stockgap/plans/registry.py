@@ -213,7 +213,7 @@ QUERIES: dict[str, Query] = {
     "dq_range": _on_wh(dq.dq_range),
     "dq_ledger_identity": _stored("runs", dq.dq_ledger_identity),
     "ledger_runs": _on_wh(led.ledger_runs),
-    "ledger_stored": _stored("runs", lambda wh, runs: led.ledger_from_runs(runs)),
+    "ledger_stored": _stored("runs", lambda wh, runs: led.ledger_from_runs(led.deal_runs(runs))),
     "ledger_month_rebuild": _month_rebuild,
     "ledger_range_rebuild": _range_rebuild,
     "dq_violations": _on_wh(dq.dq_violations),

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from stockgap.operators import ledger as led
 from stockgap.operators import route
+from stockgap.operators.densify import densify
 from stockgap.operators.leakage import promo_stats
 from stockgap.params import REFERENCE, RouteParams
+from stockgap.plans import registry
 from stockgap.sources.snapshots import _broken_keys
 from stockgap.sources.stored import stored_promo_stats
 
@@ -73,3 +75,43 @@ def test_store_bitmaps_are_small(spark, planted):
     maps = route.store_bitmaps(wh, RouteParams())
     assert maps.schema["stores"].dataType.simpleString() == "bigint"
     assert route.bulk_stores_of(maps, 202301, 202301).collect()[0].kiranas_hit_by_dumps == 50
+
+
+def test_days_of_a_stored_ledger_are_made_by_evenly_dealt_tasks(spark, planted, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "_wh", lambda spark, sf_dir: planted)
+    got = registry.QUERIES["ledger_stored"](spark, "")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert got.rdd.getNumPartitions() == n > 1  # a scan of the small files alone is one task
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, led.stock_ledger(planted).collect()))
+    lines = plan(got).splitlines()
+    days = next(i for i, s in enumerate(lines) if "Generate explode(sequence(from_date" in s)
+    assert not any("Exchange" in s for s in lines[:days]) and any("hashpartitioning(distributor_id" in s for s in lines[days:])
+
+
+def test_ledger_takes_its_range_from_the_rows_it_shuffles(spark, planted):
+    wh = replace(planted, calendar_spans_facts=True)
+    runs = led.ledger_runs(wh)
+    runs.collect()
+    lines = runs._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert any("ReusedExchange" in s and "_kind" in s for s in lines)  # the bounds read it again: the facts are not rolled up twice
+
+
+def test_range_of_the_rows_themselves(spark):
+    day = lambda n: dt.date(2024, 1, n)
+    rows = [("a", day(3), 5), ("a", day(5), 2), ("b", day(7), 1), ("orphan", day(2), 9)]
+    keys = [("a",), ("a",), ("b",), ("quiet",)]  # a key that comes twice
+    sparse = spark.createDataFrame(rows, "k string, full_date date, v long")
+    anchors = spark.createDataFrame(keys, "k string")
+
+    def of(sparse, lo, hi):
+        df = densify(sparse, ["k"], ["v"], lo, hi, anchors=anchors, opening=("open", F.col("v")), in_range=True)
+        return sorted(map(tuple, df.collect()))
+
+    got = of(sparse, None, None)
+    assert got == of(sparse, F.lit(day(2)), F.lit(day(7)))
+    assert len(got) == 3 * 6 and {r[0] for r in got} == {"a", "b", "quiet"}
+    assert ("a", day(7), 0, 7) in got and ("quiet", day(2), 0, 0) in got
+    assert of(sparse.where("false"), None, None) == []
+    # a movement without a day: as with bounds of which the first is unknown
+    undated = sparse.union(spark.createDataFrame([("a", None, 100)], sparse.schema))
+    assert of(undated, None, None) == of(undated, F.lit(None).cast("date"), F.lit(day(7)))
