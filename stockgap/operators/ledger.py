@@ -222,9 +222,9 @@ def spread_by_month(runs: DataFrame, files_per_month: int = 8) -> DataFrame:
     """The dense ledger of ``runs`` (:func:`ledger_runs`) with ``month`` (yyyymm),
     dealt for a table with a folder a month: at most ``files_per_month`` files each.
 
-    Runs are dealt and sorted, not days: the days are made afterwards, by a
-    join with the 496 numbers (days, day) of months of up to 31 days.  A
-    broadcast join keeps the order, so the write needs no sort of its own."""
+    Runs are dealt, not days: the days are made afterwards, by a join with the
+    496 numbers (days, day) of months of up to 31 days.  The optimizer drops the
+    sort below the join, so the write sorts the days by month."""
     spark = runs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bucket = F.pmod(F.xxhash64(*PAIR), F.lit(files_per_month)).cast("int")
@@ -252,13 +252,18 @@ def materialize_ledger(wh: Warehouse, path: str, layout: str = "runs", scope: st
                         row groups prune well on distributor and SKU.
     layout="month"      dense rows in one folder per month (``month`` =
                         yyyymm): the runs are dealt by (month, pair bucket)
-                        and become days as they are written: at most
-                        ``files_per_month`` files a month.
+                        and become days as they are written, by Arrow columns
+                        (:mod:`stockgap.sources.months`) or, where tasks
+                        cannot open the path as files, by Spark's writer: at
+                        most ``files_per_month`` files a month.
     """
     if layout == "runs":
         write_table(ledger_runs(wh, scope), path)
         return
     if layout == "month":
-        write_table(spread_by_month(ledger_runs(wh, scope), files_per_month), path, ("month",))
+        from ..sources.months import write_months  # the only part of the ledger that needs pyarrow
+        runs = ledger_runs(wh, scope)
+        if not write_months(runs, path, PAIR, files_per_month):
+            write_table(spread_by_month(runs, files_per_month), path, ("month",))
     else:
         write_table(stock_ledger(wh, scope), path)

@@ -17,6 +17,12 @@ class Files:
     def uri(self, path: str = "") -> str:
         return f"{self.root}/{path}" if path else self.root
 
+    def local(self, path: str = "") -> str | None:
+        """The path as this and other machines of the session open it without
+        Hadoop's client; None on another file system than files'."""
+        full = self._fs.makeQualified(self._path(path)).toUri()
+        return full.getPath() if full.getScheme() == "file" else None
+
     def _path(self, path: str):
         return self._jvm.org.apache.hadoop.fs.Path(self.uri(path))
 
