@@ -17,12 +17,13 @@ import os
 import sys
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .files import Files
@@ -31,6 +32,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MOVED = ("primary_units", "secondary_units")
 BALANCES = ("opening_units", "closing_units")
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: dense rows of a row group, and of what a task holds
 GROUP = 1 << 19
 
@@ -134,6 +136,24 @@ def file_writer(folder: str, keys: Sequence[str]) -> Callable[[Iterator[pa.Recor
     return write
 
 
+@contextmanager
+def batches_by_rows(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches bounded by their rows alone, where the session bounds those.
+
+    For the bound of bytes Spark adds up the sizes of all columns at every row,
+    which takes longer than all else it does to hand over a row of numbers."""
+    bounded, before = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 0, spark.conf.get(BATCH_BYTES, None)
+    if bounded:
+        spark.conf.set(BATCH_BYTES, str((1 << 31) - 1))
+    try:
+        yield
+    finally:
+        if bounded and before is None:
+            spark.conf.unset(BATCH_BYTES)
+        elif bounded:
+            spark.conf.set(BATCH_BYTES, before)
+
+
 def write_months(runs: DataFrame, path: str, keys: Sequence[str], files_per_month: int) -> bool:
     """Write the dense ledger of ``runs`` by month to ``path`` in place of what
     is there, at most ``files_per_month`` files a month; False, and nothing
@@ -146,7 +166,8 @@ def write_months(runs: DataFrame, path: str, keys: Sequence[str], files_per_mont
         return False
     try:
         files.write_new(f"{new}/_SUCCESS", "")
-        got = dealt_by_month(runs, keys, files_per_month).mapInArrow(file_writer(folder, keys), "name string").collect()
+        with batches_by_rows(spark):
+            got = dealt_by_month(runs, keys, files_per_month).mapInArrow(file_writer(folder, keys), "name string").collect()
         named = {r.name for r in got}
         for month in files.names(new, folders=True):  # what attempts left that did not finish
             for left in {f"{month}/{f}" for f in files.names(f"{new}/{month}")} - named:

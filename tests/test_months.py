@@ -94,3 +94,22 @@ def test_other_file_systems_take_sparks_writer(spark, planted, tmp_path):
     led.materialize_ledger(planted, "viewfs://months/at/m", layout="month", files_per_month=1)
     assert {pq.read_metadata(f).created_by.split()[0] for f in files_of(f"{tmp_path}/m")} == {"parquet-mr"}
     assert days_of(spark.read.parquet("viewfs://months/at/m")) == days_of(led.stock_ledger(planted))
+
+
+def test_the_sessions_batches_stay_as_they_were(spark):
+    was = spark.conf.get(months.BATCH_BYTES, None)
+    with months.batches_by_rows(spark):
+        assert spark.conf.get(months.BATCH_BYTES) == str((1 << 31) - 1)
+    assert spark.conf.get(months.BATCH_BYTES, None) == was
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    try:
+        spark.conf.set(months.BATCH_BYTES, "1000000")
+        with pytest.raises(ValueError), months.batches_by_rows(spark):
+            raise ValueError
+        assert spark.conf.get(months.BATCH_BYTES) == "1000000"
+        spark.conf.set(rows, "0")  # without a bound of rows that of bytes stays
+        with months.batches_by_rows(spark):
+            assert spark.conf.get(months.BATCH_BYTES) == "1000000"
+    finally:
+        spark.conf.unset(rows)
+        spark.conf.unset(months.BATCH_BYTES) if was is None else spark.conf.set(months.BATCH_BYTES, was)
